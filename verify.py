@@ -17,6 +17,17 @@ from pyspark.sql import SparkSession
 from workload import CHECKS
 
 
+# Spark type -> type the SQL side should report.
+SAME_TYPE = {
+    "bigint": "bigint",
+    "int": "integer",
+    "double": "double",
+    "string": "varchar",
+    "boolean": "boolean",
+    "timestamp_ntz": "timestamp",
+}
+
+
 def normal(value):
     if isinstance(value, float):
         return None if math.isnan(value) else float(f"{value:.10g}")
@@ -46,8 +57,16 @@ def compare(spark, db, check, folder: str) -> str | None:
         return None
     theirs = db.execute(check.sql)
     columns = [d[0] for d in theirs.description]
+    kinds = {d[0]: str(d[1]).lower() for d in theirs.description}
     if sorted(columns) != sorted(ours.columns):
         return f"columns {sorted(ours.columns)} != {sorted(columns)}"
+    odd = {
+        f.name: (f.dataType.simpleString(), kinds[f.name])
+        for f in ours.schema.fields
+        if SAME_TYPE.get(f.dataType.simpleString()) not in (None, kinds[f.name])
+    }
+    if odd:
+        return f"types {odd}"
     want = rows_of(columns, theirs.fetchall())
     if got != want:
         return (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from lakestrata.functions.expressions import (
     mean_of_present,
@@ -10,6 +11,7 @@ from lakestrata.functions.expressions import (
     platform_family,
     similarity,
 )
+from lakestrata.functions.schemas import COUNT
 from lakestrata.operators.analytics import earliest
 from lakestrata.operators.columns import (
     align_columns,
@@ -240,7 +242,7 @@ def epoch_columns(t: Source) -> DataFrame:
 def columns_ops(t: Source) -> DataFrame:
     parts = drop_columns(t.part, ["p_size", "p_type", "not_there"])
     parts = rename(parts, {"p_name": "part_name"})
-    wanted = parts.schema.add("stock", "bigint")
+    wanted = StructType([*parts.schema.fields, StructField("stock", COUNT)])
     return sort_columns(align_columns(parts, wanted))
 
 
