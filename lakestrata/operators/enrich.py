@@ -45,18 +45,22 @@ def fan_out(
 ) -> DataFrame:
     """Left join to a table with many rows per key; `{other column: new name}` is added.
 
-    A left join cannot split a hot key on its right side.  So the matches are
-    an inner join, which can, and the rows without a match are added from an
-    anti join against the distinct keys.
+    A left join cannot split a hot key on its right side, an inner join can.
+    So every row first learns whether it has a match (against the distinct
+    keys), and rows without one meet a single row of nulls in an inner join.
     """
-    side = other.select(
+    side = other.where(F.col(other_key).isNotNull()).select(
         F.col(other_key).alias("__other_key"),
         *(F.col(source).alias(name) for source, name in take.items()),
     )
-    matched = df.join(side, df[key] == side["__other_key"]).drop("__other_key")
-    keys = other.select(F.col(other_key).alias("__other_key")).distinct()
-    unmatched = df.join(keys, df[key] == keys["__other_key"], "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    nothing = df.sparkSession.range(1).select(
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in side.schema.fields)
+    )
+    keys = side.select(F.col("__other_key").alias("__match")).distinct()
+    known = df.join(keys, df[key] == keys["__match"], "left")
+    return known.join(
+        side.unionByName(nothing), F.col("__match").eqNullSafe(F.col("__other_key"))
+    ).drop("__match", "__other_key")
 
 
 def decode(
