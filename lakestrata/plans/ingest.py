@@ -186,7 +186,7 @@ def apply_batches(
             row[_DATE]: row["n"]
             for row in per_date.groupBy(_DATE).agg(F.count(F.lit(1)).alias("n")).collect()
         }
-        newest = latest_by(per_date, key, _DATE, rest).drop(_DATE)
+        newest = latest_by(per_date, key, None, [_DATE]).drop(_DATE)
         merged = upsert(merged, newest, key, overwrite_missing=overwrite_missing)
 
     written = write_snapshot(merged, lake.path(target))

@@ -19,6 +19,8 @@ SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     # Parquet grows several times in memory: compare the broadcast threshold
     # with that size, not with the size of the compressed files.
     "spark.sql.sources.fileCompressionFactor": "4.0",

@@ -198,6 +198,18 @@ def test_nothing_is_due_after_a_build(lake):
     assert not any(r.built for r in build_all(lake, specs))
 
 
+def test_jobs_take_the_same_tables(lake, spark):
+    from lakestrata.jobs import main
+
+    done = main(["context", "--root", lake.root, "--api", CATALOGUE, "--tables", "genres", "games"], spark)
+    assert [(r.table, r.built) for r in done] == [("context/igdb/genres", False), ("context/igdb/games", False)]
+    done = main(["trust", "--root", lake.root, "--tables", "indie_games", "games"], spark)
+    assert [r.table for r in done] == ["trust/games", "trust/indie_games"]
+    assert main(["raw", "--root", lake.root, "--tables", "genres"], spark) == [None]
+    with pytest.raises(SystemExit):
+        main(["trust", "--root", lake.root, "--tables", "nope"], spark)
+
+
 def test_standard_rule(table):
     df = context(table, "genres")
     assert df.columns == ["created_at", "id", "name", "updated_at"]
