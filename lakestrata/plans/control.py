@@ -56,6 +56,11 @@ class Run:
     def date(self) -> str:
         return self._local().strftime("%Y-%m-%d")
 
+    @property
+    def folder(self) -> str:
+        """Name no other run of the table has; begins with the run's `Exec_time`."""
+        return str(int(self.started * 1000))
+
     def _local(self) -> datetime:
         return datetime.fromtimestamp(self.started, timezone(timedelta(hours=self.offset_hours)))
 

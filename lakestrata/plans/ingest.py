@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, functions as F
@@ -49,18 +50,25 @@ def batch_path(lake: Lake, source: TableId, date: str) -> str:
     return f"{lake.path(source)}/{date}"
 
 
-def _land(lake: Lake, source: TableId, df: DataFrame, load_type: str, run: Run, pages: int) -> int:
+def land(
+    lake: Lake,
+    source: TableId,
+    df: DataFrame,
+    load_type: str,
+    run: Run,
+    *,
+    records_per_file: int = RECORDS_PER_FILE,
+    log: StructType = LANDING_RUN,
+    **metrics: Any,
+) -> int:
     """Write one run's pages and its log row; returns the number of files."""
-    counted = Observation(f"land-{run.started}")
-    folder = f"{batch_path(lake, source, run.date)}/{int(run.started * 1000)}"
-    write_json_pages(df.observe(counted, F.count(F.lit(1)).alias("rows")), folder, pages)
+    counted = Observation()
+    folder = f"{batch_path(lake, source, run.date)}/{run.folder}"
+    pages = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    write_json_pages(pages, folder, records_per_file)
     files = _count_files(lake, folder) if counted.get["rows"] else 0
-    append_run(
-        lake.spark,
-        lake.control_path(source),
-        LANDING_RUN,
-        run.record(Load_type=load_type, Loaded_files=files),
-    )
+    record = run.record(Load_type=load_type, Loaded_files=files, **metrics)
+    append_run(lake.spark, lake.control_path(source), log, record)
     return files
 
 
@@ -81,23 +89,39 @@ def land_incremental(
     run = Run()
     load_type, since = plan_load(control_or_empty(lake.spark, lake.control_path(source), LANDING_RUN))
     changed = incremental_filter(df, updated_at, since)
-    return _land(lake, source, changed, load_type, run, records_per_file)
+    return land(lake, source, changed, load_type, run, records_per_file=records_per_file)
+
+
+def _last_landed(lake: Lake, source: TableId) -> str | None:
+    """Folder of the newest run that landed files."""
+    log = control_or_empty(lake.spark, lake.control_path(source), LANDING_RUN)
+    at = last_run_time(log.where(F.col("Loaded_files") > 0))
+    if at is None:
+        return None
+    return f"{batch_path(lake, source, Run(started=at).date)}/{at}*"
 
 
 def land_full(
     lake: Lake,
     source: TableId,
     df: DataFrame,
-    previous: DataFrame | None,
     *,
     symmetric: bool = True,
     records_per_file: int = RECORDS_PER_FILE,
 ) -> int:
-    """Land a whole table if it differs from `previous`; the run is logged either way."""
+    """Land a whole table if it differs from what was landed last; the run is logged either way.
+
+    The last files are read with the types of `df`.  A column they have and
+    `df` lacks is a change; a column only `df` has is one if it holds values.
+    """
     run = Run()
-    if previous is not None and not has_changed(previous, df, symmetric=symmetric):
-        df = df.limit(0)
-    return _land(lake, source, df, "Full", run, records_per_file)
+    folder = _last_landed(lake, source)
+    if folder is not None:
+        gone = set(read_json_batch(lake.spark, folder).columns) - set(df.columns)
+        previous = read_json_batch(lake.spark, folder, df.schema)
+        if not gone and not has_changed(previous, df, symmetric=symmetric):
+            df = df.limit(0)
+    return land(lake, source, df, "Full", run, records_per_file=records_per_file)
 
 
 @dataclass(frozen=True)

@@ -220,11 +220,17 @@ def test_land_incremental_takes_only_newer_records(lake, frame):
 
 
 def test_land_full_only_when_changed(lake, frame):
-    records = frame("id long", (1,), (2,))
-    assert land_full(lake, SOURCE, records, None) > 0
-    assert land_full(lake, SOURCE, records, records) == 0
-    assert land_full(lake, SOURCE, records, records.limit(1)) > 0
-    assert land_full(lake, SOURCE, records, records.limit(1), symmetric=False) == 0
+    records = frame("id long, name string", (1, "a"), (2, None))
+    assert land_full(lake, SOURCE, records) > 0
+    assert land_full(lake, SOURCE, records) == 0
+    more = records.union(frame("id long, name string", (3, "c")))
+    assert land_full(lake, SOURCE, more, symmetric=False) == 0  # additions alone do not count
+    time.sleep(1)
+    assert land_full(lake, SOURCE, more) > 0
+    assert land_full(lake, SOURCE, more) == 0
+    assert land_full(lake, SOURCE, more.drop("name")) > 0
+    log = read_control(lake.spark, lake.control_path(SOURCE))
+    assert log.count() == 6
 
 
 def test_enum_import_follows_modification_times(lake, spark, rows, tmp_path):

@@ -161,7 +161,7 @@ def new_not_held(t: Source) -> DataFrame:
 )
 def worklist(t: Source) -> DataFrame:
     current, previous = _versions(t)
-    held = t.orders.where("o_orderpriority = '1-URGENT'")
+    held = t.orders.where("o_orderpriority = '1-URGENT'").select("o_orderkey")
     return refresh_worklist(current, previous, held, "o_orderkey")
 
 
