@@ -279,28 +279,30 @@ def _named_parts(t: Source) -> tuple[DataFrame, DataFrame]:
     return left, right
 
 
-@check(
-    "best_match",
-    """WITH a AS (SELECT DISTINCT p_name AS lname FROM part),
-       b AS (SELECT p_name || substr(p_brand, 7) AS rname, p_size AS y, count(*) AS n,
-                    min(p_partkey) AS first FROM part GROUP BY 1, 2),
-       names AS (SELECT DISTINCT rname FROM b),
-       scored AS (
-           SELECT lname, rname,
-                  1 - levenshtein(lname, rname)::DOUBLE / greatest(length(lname), length(rname)) AS sim
-           FROM a, names),
-       top AS (SELECT lname, rname, sim FROM (
-                   SELECT *, max(sim) OVER (PARTITION BY lname) AS best FROM scored WHERE sim > 0.8)
-               WHERE sim = best),
-       ties AS (SELECT lname, y, sum(n) AS n, min(first) AS first, max(sim) AS sim
-                FROM top JOIN b USING (rname) GROUP BY 1, 2),
-       sole AS (SELECT lname, sum(n) AS n, min(first) AS first, max(sim) AS sim FROM ties GROUP BY 1)
-       SELECT p_partkey AS id, CASE WHEN sole.n = 1 THEN sole.first ELSE ties.first END AS cand_id,
-              round(sole.sim, 9) AS similarity
-       FROM part JOIN sole ON p_name = sole.lname
-       LEFT JOIN ties ON p_name = ties.lname AND p_size = ties.y
-       WHERE CASE WHEN sole.n = 1 THEN sole.first ELSE ties.first END IS NOT NULL""",
-)
+# All pairs of distinct names, scored; the winner per part by the tie rule.
+BEST_MATCH_SQL = """
+    WITH a AS (SELECT DISTINCT p_name AS lname FROM part),
+    b AS (SELECT p_name || substr(p_brand, 7) AS rname, p_size AS y, count(*) AS n,
+                 min(p_partkey) AS first FROM part GROUP BY 1, 2),
+    names AS (SELECT DISTINCT rname FROM b),
+    scored AS (
+        SELECT lname, rname,
+               1 - levenshtein(lname, rname)::DOUBLE / greatest(length(lname), length(rname)) AS sim
+        FROM a, names),
+    top AS (SELECT lname, rname, sim FROM (
+                SELECT *, max(sim) OVER (PARTITION BY lname) AS best FROM scored WHERE sim > 0.8)
+            WHERE sim = best),
+    ties AS (SELECT lname, y, sum(n) AS n, min(first) AS first, max(sim) AS sim
+             FROM top JOIN b USING (rname) GROUP BY 1, 2),
+    sole AS (SELECT lname, sum(n) AS n, min(first) AS first, max(sim) AS sim FROM ties GROUP BY 1)
+    SELECT p_partkey AS id, CASE WHEN sole.n = 1 THEN sole.first ELSE ties.first END AS cand_id,
+           round(sole.sim, 9) AS similarity
+    FROM part JOIN sole ON p_name = sole.lname
+    LEFT JOIN ties ON p_name = ties.lname AND p_size = ties.y
+    WHERE CASE WHEN sole.n = 1 THEN sole.first ELSE ties.first END IS NOT NULL"""
+
+
+@check("best_match", BEST_MATCH_SQL)
 def best_match_parts(t: Source) -> DataFrame:
     left, right = _named_parts(t)
     return best_match(left, right).withColumn("similarity", F.round("similarity", 9))

@@ -8,11 +8,19 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegerType
 
 from lakestrata.functions.schemas import COUNT, REAL, TEXT, schema
 from lakestrata.operators.match import parse_records
+from lakestrata.plans import matching
 from lakestrata.plans.control import LANDING_RUN, RAW_RUN, TABLE_RUN, append_runs, read_control
-from lakestrata.plans.ingest import apply_batches, batch_path, import_enums, land_incremental
+from lakestrata.plans.ingest import (
+    apply_batches,
+    batch_path,
+    import_enums,
+    land_full,
+    land_incremental,
+)
 from lakestrata.plans.lake import CONTEXT, LANDING, RAW, TRUST, Lake, TableId
 from lakestrata.plans.runner import TableSpec, build_all
 from lakestrata.sources.catalog import sync_catalog
@@ -28,7 +36,7 @@ from lakestrata.sources.scratch import scratch_path
 from lakestrata.sources.snapshot import read_snapshot, snapshot_history, write_snapshot
 from workload.base import Source, check
 from workload.changes import at
-from workload.joins import country_codes
+from workload.joins import BEST_MATCH_SQL, country_codes
 
 EVENT = schema(
     event_id=COUNT, user_id=COUNT, event_type=TEXT, value=REAL, props=TEXT, at=COUNT
@@ -219,6 +227,48 @@ def land_events(t: Source) -> DataFrame:
     return read_json_batch(t.spark, f"{lake.path(source)}/2*/*", columns)
 
 
+@check(
+    "land_full",
+    """SELECT c_custkey, c_name, c_mktsegment FROM customer
+       UNION ALL
+       SELECT c_custkey, c_name, upper(c_mktsegment) || '!' FROM customer""",
+)
+def land_customers(t: Source) -> DataFrame:
+    lake, source = Lake(t.spark, scratch_path(t.spark, "lake")), TableId(LANDING, "customers", "shop")
+    customers = t.customer.select("c_custkey", "c_name", "c_mktsegment")
+    land_full(lake, source, customers)
+    land_full(lake, source, customers)  # unchanged: lands no file
+    louder = F.concat(F.upper("c_mktsegment"), F.lit("!"))
+    land_full(lake, source, customers.withColumn("c_mktsegment", louder))
+    return read_json_batch(t.spark, f"{lake.path(source)}/2*/*", customers.schema)
+
+
+@check(
+    "match_landing",
+    f"SELECT id, cand_id AS game_id, 1970 + p_size AS release_world FROM ({BEST_MATCH_SQL}) "
+    "JOIN part ON cand_id = p_partkey",
+)
+def match_landing(t: Source) -> DataFrame:
+    lake = Lake(t.spark, scratch_path(t.spark, "lake"))
+    released = F.unix_timestamp(
+        F.make_date(F.col("p_size") + 1970, F.lit(6), F.lit(1)).cast("timestamp")
+    )
+    catalogue = t.part.select(
+        F.col("p_partkey").alias("id"),
+        F.col("p_name").alias("name"),
+        released.alias("first_release_date"),
+    )
+    candidates = t.part.select(
+        F.col("p_partkey").alias("game_id"),
+        F.concat("p_name", F.substring("p_brand", 7, 9)).alias("game_name"),
+        (F.col("p_size") + 1970).alias("release_world"),
+    )
+    write_snapshot(catalogue, lake.path(matching.GAMES))
+    matching.land_matches(lake, candidates)
+    columns = schema(id=COUNT, game_id=COUNT, release_world=IntegerType())
+    return read_json_batch(t.spark, f"{lake.path(matching.LANDED)}/2*/*", columns)
+
+
 def _landed(t: Source) -> Lake:
     """Three landing dates: first load, a batch without `props`, one with stale copies."""
     lake, source = Lake(t.spark, scratch_path(t.spark, "lake")), TableId(LANDING, "events", "shop")
