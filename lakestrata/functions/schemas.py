@@ -1,7 +1,13 @@
-"""Schemas from keyword arguments, usable before a session exists."""
+"""Schemas from keyword arguments, and small frames made on the driver."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from typing import Any
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (
     BooleanType,
     DataType,
@@ -17,3 +23,15 @@ TEXT, COUNT, REAL, FLAG = StringType(), LongType(), DoubleType(), BooleanType()
 
 def schema(*, nullable: bool = True, **columns: DataType) -> StructType:
     return StructType([StructField(name, kind, nullable) for name, kind in columns.items()])
+
+
+def local_frame(
+    spark: SparkSession, columns: StructType, records: Sequence[Mapping[str, Any]] = ()
+) -> DataFrame:
+    """A frame of a few driver-side records, such as log rows.
+
+    Arrow data becomes a local relation: no Python worker, one task, and a
+    size the planner knows.
+    """
+    rows = [{name: record[name] for name in columns.names} for record in records]
+    return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(columns)), columns)

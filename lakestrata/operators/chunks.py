@@ -7,6 +7,7 @@ from itertools import accumulate
 
 from pyspark.sql import DataFrame, functions as F
 
+from lakestrata.functions.schemas import COUNT, local_frame, schema
 from lakestrata.sources.scratch import materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition above, row position below
@@ -19,7 +20,6 @@ def assign_chunks(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
     row count per range comes to the driver, one number per task.  `order`
     should be unique, which also lets the sort split a hot value.
     """
-    spark = df.sparkSession
     numbered = materialize(
         df.orderBy(*order).withColumn("__pos", F.monotonically_increasing_id()), "chunks"
     )
@@ -33,9 +33,10 @@ def assign_chunks(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
         located.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).collect()
     )
     starts = accumulate((r["n"] for r in counts), initial=0)
-    offsets = spark.createDataFrame(
-        [(r["__range"], start) for r, start in zip(counts, starts)],
-        "__range bigint, __start bigint",
+    offsets = local_frame(
+        df.sparkSession,
+        schema(__range=COUNT, __start=COUNT),
+        [{"__range": r["__range"], "__start": start} for r, start in zip(counts, starts)],
     )
     # One row per sort task, so the broadcast is bounded by the partition count.
     return (

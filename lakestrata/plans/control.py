@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from lakestrata.functions.expressions import local_date
-from lakestrata.functions.schemas import COUNT, TEXT, schema
+from lakestrata.functions.schemas import COUNT, TEXT, local_frame, schema
 from lakestrata.sources.files import read_or_empty
 
 # Column names of the run logs, per layer.
@@ -79,8 +79,7 @@ def append_runs(
     spark: SparkSession, path: str, columns: StructType, records: Sequence[Mapping[str, Any]]
 ) -> None:
     """Append rows to the run log at `path`."""
-    rows = [tuple(record[name] for name in columns.names) for record in records]
-    spark.createDataFrame(rows, columns).coalesce(1).write.mode("append").parquet(path)
+    local_frame(spark, columns, records).coalesce(1).write.mode("append").parquet(path)
 
 
 def append_run(

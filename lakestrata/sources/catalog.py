@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DataType, StructType
 
-from lakestrata.functions.schemas import TEXT, schema
+from lakestrata.functions.schemas import TEXT, local_frame, schema
 from lakestrata.sources.snapshot import current_location
 
 RESULT = schema(database=TEXT, table=TEXT, action=TEXT, error=TEXT)
@@ -122,7 +122,10 @@ def sync_catalog(
                     location = f"{table['path']}/control"
                     columns = spark.read.parquet(location).schema
                 action = sync_table(spark, database, name, location, columns)
-                results.append((database, name, action, None))
-            except Exception as error:  # noqa: BLE001 - reported, the others go on
-                results.append((database, name, "failed", str(error)))
-    return spark.createDataFrame(results, RESULT)
+                error = None
+            except Exception as failure:  # noqa: BLE001 - reported, the others go on
+                action, error = "failed", str(failure)
+            results.append(
+                {"database": database, "table": name, "action": action, "error": error}
+            )
+    return local_frame(spark, RESULT, results)

@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from lakestrata.functions.schemas import local_frame
+
 # Fixed value: <prefix>_enum_<entity>_<column>.csv; greedy, so the last word is the column.
 # The list may be one file or a folder of parts.
 ENUM_FILE_PATTERN = r"/[a-z]+_enum_(\w+)_(\w+)\.csv(/[^/]+)?$"
@@ -80,4 +82,4 @@ def read_or_none(spark: SparkSession, path: str, schema: StructType | None = Non
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A parquet table, or an empty one of the given schema."""
     found = read_or_none(spark, path, schema)
-    return spark.createDataFrame([], schema) if found is None else found
+    return local_frame(spark, schema) if found is None else found

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from lakestrata.functions.schemas import COUNT, TEXT, schema
+from lakestrata.functions.schemas import COUNT, TEXT, local_frame, schema
 from lakestrata.operators.changes import schema_diff
 from lakestrata.sources.files import read_or_empty
 
@@ -92,8 +92,12 @@ def write_snapshot(
         .parquet(f"{path}/data/{run}")
     )
     rows = counted.get["rows"]
-    entry = (version, int(time.time()), rows, df.schema.json(), run)
-    spark.createDataFrame([entry], HISTORY).coalesce(1).write.mode("append").parquet(
-        f"{path}/history"
-    )
+    entry = {
+        "version": version,
+        "timestamp": int(time.time()),
+        "rows": rows,
+        "schema": df.schema.json(),
+        "run": run,
+    }
+    local_frame(spark, HISTORY, [entry]).coalesce(1).write.mode("append").parquet(f"{path}/history")
     return Snapshot(version, rows)

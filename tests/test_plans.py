@@ -5,23 +5,17 @@ from __future__ import annotations
 import re
 from contextlib import contextmanager
 
-import pytest
 from pyspark.sql import functions as F
 
 from lakestrata.operators.dedup import latest_by
 from lakestrata.operators.enrich import decode, fan_out, lookup
+from plans import plan
 from workload import CHECKS
 from workload.base import Source
 
 FOLDER = "/root/testdata/sf0.001"
 
 
-def plan(df) -> str:
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
-    )
-
-
 @contextmanager
 def settings(spark, **values):
     values = {k.replace("__", "."): v for k, v in values.items()}
@@ -35,15 +29,6 @@ def settings(spark, **values):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("name", list(CHECKS))
-def test_no_python_no_cross_join_no_one_task_window(spark, name):
-    text = plan(CHECKS[name].query(Source(spark, FOLDER)))
-    for node in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "NestedLoopJoin"):
-        assert node not in text, node
-    for window in re.findall(r"\+- Window \[.*", text):
-        assert not window.rstrip().endswith("[]"), window
-
-
 def test_latest_keeps_one_row_per_key_before_the_shuffle(spark):
     events = Source(spark, FOLDER).events
     text = plan(latest_by(events, "user_id", "ts", ["event_id"]))

@@ -51,7 +51,10 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 def compare(spark, db, check, folder: str) -> str | None:
     """None if Spark and SQL agree, else what differs."""
-    ours = check.run(spark, folder)
+    return difference(db, check, check.run(spark, folder))
+
+
+def difference(db, check, ours) -> str | None:
     got = rows_of(ours.columns, ours.collect())
     if check.sql is None:
         return None
