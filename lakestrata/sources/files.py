@@ -24,7 +24,7 @@ def read_json_batch(
     schema where it is known: inferring it reads the batch a first time.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.json(paths, encoding="UTF-8")
+    return reader.json(paths)
 
 
 def write_json_pages(df: DataFrame, path: str, records_per_file: int = 10_000) -> None:
@@ -47,12 +47,12 @@ def read_enum_dir(
 ) -> DataFrame:
     """All enum lists of a folder in one scan: entity, enum, name, value, modified.
 
-    Paths that do not fit the pattern are left out.  `modified` is the file's
-    modification time in epoch seconds.
+    Paths that do not fit the pattern are left out, a list with another header
+    is an error.  `modified` is the file's modification time in epoch seconds.
     """
     path = F.col("_metadata.file_path")
     listed = spark.read.schema("name string, value string").csv(
-        root, header=True, sep=sep, recursiveFileLookup=True
+        root, header=True, sep=sep, enforceSchema=False, recursiveFileLookup=True
     )
     return listed.where(path.rlike(pattern)).select(
         F.regexp_extract(path, pattern, 1).alias("entity"),

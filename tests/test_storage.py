@@ -238,7 +238,7 @@ def test_enum_import_follows_modification_times(lake, spark, rows, tmp_path):
     folder.mkdir()
     (folder / "aux_enum_iso_country_code_countryname.csv").write_text("name;value\nÅland Islands;248\n")
     (folder / "igdb_enum_age_rating_content_description_category.csv").write_text("name;value\nX;1\nY;2\n")
-    (folder / "readme.csv").write_text("name;value\nno;0\n")
+    (folder / "readme.csv").write_text("something;else;altogether\nno;0;1\n")
     listed = read_enum_dir(spark, str(folder))
     assert rows(listed, "entity", "enum", "name", "value") == [
         ("age_rating_content_description", "category", "X", "1"),
@@ -251,6 +251,12 @@ def test_enum_import_follows_modification_times(lake, spark, rows, tmp_path):
     assert lake.enum("enums", "iso_country_code", "nope") is None
 
 
+def test_enum_with_another_header_is_refused(spark, tmp_path):
+    (tmp_path / "a_enum_b_c.csv").write_text("value;name\n1;x\n")
+    with pytest.raises(Exception, match="header"):
+        read_enum_dir(spark, str(tmp_path)).collect()
+
+
 # --- building and cataloguing ------------------------------------------------
 
 
