@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         .appName("tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")  # short runs
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
