@@ -9,8 +9,11 @@ from pyspark.sql.types import StructType
 
 
 def not_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
-    """Rows of `df` whose key does not occur in `other`."""
-    return df.join(other.select(key), key, "left_anti")
+    """Rows of `df` whose key does not occur in `other`.
+
+    An anti join cannot split its right side, so copies of a key collapse first.
+    """
+    return df.join(other.select(key).distinct(), key, "left_anti")
 
 
 def upsert(

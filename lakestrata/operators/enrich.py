@@ -53,7 +53,7 @@ def fan_out(
         F.col(other_key).alias("__other_key"),
         *(F.col(source).alias(name) for source, name in take.items()),
     )
-    nothing = df.sparkSession.range(1).select(
+    nothing = df.sparkSession.range(0, 1, 1, numPartitions=1).select(
         *(F.lit(None).cast(f.dataType).alias(f.name) for f in side.schema.fields)
     )
     keys = side.select(F.col("__other_key").alias("__match")).distinct()

@@ -16,7 +16,7 @@ from lakestrata.operators.analytics import earliest
 from lakestrata.operators.columns import fill_label, sort_columns
 from lakestrata.operators.enrich import fan_out, lookup, with_parent
 from lakestrata.operators.membership import membership
-from lakestrata.plans.lake import CATALOGUE, CONTEXT, TIMES, TRUST, Lake, TableId
+from lakestrata.plans.lake import CATALOGUE, CONTEXT, TIMES, TRUST, TableId
 from lakestrata.plans.runner import TableSpec
 
 # Labels for members that are not there.

@@ -28,16 +28,16 @@ def ddl_type(data_type: DataType) -> str:
 def discover_tables(spark: SparkSession, root: str, layer: str, kind: str) -> DataFrame:
     """Tables of a layer: name, path.  `kind` is 'history' (data) or 'control'.
 
-    A table is a folder `<root>/<layer>/<parts...>` with parquet files under
-    `<kind>/`; its name joins the layer and the parts by `_`, with `-` as `_`.
-    Only paths are listed, no file is read.
+    A table is a folder `<root>/<layer>/<parts...>`, one to three parts deep,
+    with parquet files under `<kind>/`; its name joins the layer and the parts
+    by `_`, with `-` as `_`.  Only the small files of that kind are listed,
+    never the data files, and none is read.
     """
     parts = F.regexp_extract("path", rf"/{layer}/(.+)/{kind}/[^/]+\.parquet$", 1)
     return (
         spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
-        .load(f"{root}/{layer}")
+        .load(f"{root}/{layer}/{{*,*/*,*/*/*}}/{kind}")
         .select(parts.alias("parts"))
         .where("parts != ''")
         .distinct()

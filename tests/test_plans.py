@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
+from lakestrata.operators.changes import not_in, upsert
 from lakestrata.operators.dedup import latest_by
 from lakestrata.operators.enrich import decode, fan_out, lookup
 from plans import plan
@@ -51,6 +52,24 @@ def test_only_needed_columns_are_read(spark):
     assert not any("l_extendedprice" in s for s in schemas)
 
 
+def test_copies_of_a_key_collapse_before_an_anti_join(spark):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        t = Source(spark, FOLDER)
+        orders = t.orders.withColumnRenamed("o_orderkey", "l_orderkey")
+        text = plan(not_in(orders, t.lineitem, "l_orderkey"))
+    # One shuffle per side: the distinct keys already lie where the join needs them.
+    assert text.count("Exchange hashpartitioning") == 2
+    assert "HashAggregate(keys=[l_orderkey" in text
+
+
+def test_upsert_does_not_shuffle_the_base_for_a_small_batch(spark):
+    t = Source(spark, FOLDER)
+    updates = t.orders.where("o_orderkey = 5").withColumn("o_totalprice", F.lit(0.0))
+    assert "Exchange hashpartitioning" not in plan(upsert(t.orders, updates, "o_orderkey"))
+    partial = updates.drop("o_orderstatus")
+    assert "Exchange hashpartitioning" not in plan(upsert(t.orders, partial, "o_orderkey"))
+
+
 def skewed(spark):
     """A third of the rows under one key, a third under null."""
     return spark.range(60_000).select(
