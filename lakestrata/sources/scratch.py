@@ -1,21 +1,16 @@
-"""Where intermediate tables go: the shared folder the cluster names."""
+"""Where intermediate tables go: a folder the driver and all executors share."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`; a local folder only in local mode without that setting."""
+    """`spark.checkpoint.dir`; where it is unset, the warehouse, which a cluster shares as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="lakestrata-")
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
