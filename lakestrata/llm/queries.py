@@ -1,6 +1,6 @@
 """All registered queries of this package."""
 
-from lakestrata.llm import queries_native  # noqa: F401
+from lakestrata.llm import queries_native, queries_text  # noqa: F401
 from lakestrata.llm.registry import CHECKS
 
 __all__ = ["CHECKS"]
