@@ -8,11 +8,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakestrata.llm.bpe import decode_ids, encode_texts, share_vocabulary
 from lakestrata.llm.registry import check, table
 from lakestrata.llm.repetition import repetition_stats
+from lakestrata.llm.token_spans import section_tokens
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 
+@check("op2_token_spans")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    return section_tokens(table(spark, folder, "documents"), RANKS, PATTERN)
+
+
 @check("op5_suffix_repetition")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return repetition_stats(table(spark, folder, "documents"), carry=["doc_id"])
