@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakestrata.llm.bpe import decode_ids, encode_texts, share_vocabulary
 from lakestrata.llm.registry import check, table
 from lakestrata.llm.repetition import repetition_stats
+from lakestrata.llm.simhash import simhash_classes
 from lakestrata.llm.token_spans import section_tokens
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -41,3 +42,13 @@ def token_digests(docs: DataFrame) -> DataFrame:
 @check("op8_byte_bpe")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(table(spark, folder, "documents"))
+
+
+@check("op7_simhash_gray")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash_classes(table(spark, folder, "documents"), shingle=4, most=4)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
