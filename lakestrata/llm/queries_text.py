@@ -10,11 +10,23 @@ from lakestrata.llm.registry import check, table
 from lakestrata.llm.repetition import repetition_stats
 from lakestrata.llm.simhash import simhash_classes
 from lakestrata.llm.token_spans import section_tokens
+from lakestrata.llm.vectors import vector_classes
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 
+@check("op1_grid_order_join")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    found = vector_classes(table(spark, folder, "embeddings"), least=0.93)
+    return found.select(
+        F.col("id").alias("vec_id"),
+        "n_links",
+        "component_id",
+        (F.col("id") == F.col("component_id")).alias("kept"),
+    )
+
+
 @check("op2_token_spans")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every line of every document."""
