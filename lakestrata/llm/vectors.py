@@ -248,6 +248,8 @@ def vector_classes(
                     continue
                 ids = [np.array(row[f"{s}_class"]) for s in ("a", "b")]
                 weight = [links @ np.array(row["b_copies"]), links.T @ np.array(row["a_copies"])]
+                if same:  # a row and its column are one vector
+                    np.fill_diagonal(links, True)
                 roots_a, roots_b = local_roots(links)
                 every = np.concatenate(ids)
                 sides = [(ids[0], weight[0], every[roots_a])]
