@@ -387,9 +387,11 @@ def encode_texts(
     *,
     text_col: str = "text",
     ids_col: str = "token_ids",
+    decoded_col: str | None = None,
 ) -> DataFrame:
     """All columns of `docs` and the token ids of the whole text, special tokens not recognised.
 
+    `decoded_col` also gives the bytes that the ids decode to, in the same pass.
     Nothing is shuffled.  Defined cases: a null text gives no ids, as an empty one
     does; repeated rows are encoded each; a text of any length is encoded whole; an
     empty table gives no rows.  If `docs` has a column called `ids_col`, the new one
@@ -398,13 +400,17 @@ def encode_texts(
     name, held = fresh(docs.columns, ids_col), fresh([*docs.columns, ids_col], "encoded_text")
     columns = docs.columns
     schema = StructType([*docs.schema.fields, StructField(name, ArrayType(IntegerType()))])
+    if decoded_col is not None:
+        schema = schema.add(fresh(schema.names, decoded_col), BinaryType())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer(vocabulary.value, pattern)
         for part in slices(batches, held, 2 << 20):
             ids = tokenizer.encode_all(part.column(held).to_pylist())
             arrays = [part.column(c) for c in columns] + [pa.array(ids, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*columns, name])
+            if decoded_col is not None:
+                arrays.append(pa.array(map(tokenizer.decode, ids), pa.binary()))
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return docs.withColumn(held, F.col(text_col).cast("string")).mapInArrow(run, schema)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakestrata.llm.bpe import decode_ids, encode_texts, share_vocabulary
+from lakestrata.llm.bpe import encode_texts, share_vocabulary
 from lakestrata.llm.registry import check, table
 from lakestrata.llm.repetition import repetition_stats
 from lakestrata.llm.simhash import simhash_classes
@@ -41,9 +41,9 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def token_digests(docs: DataFrame) -> DataFrame:
     """Per document: number of tokens, digest of the ids, digest of the bytes they decode to."""
     vocabulary = share_vocabulary(docs.sparkSession, RANKS)
-    ids = encode_texts(docs.select("doc_id", "text"), vocabulary, PATTERN).select("doc_id", "token_ids")
+    rows = docs.select("doc_id", "text")
     listed = F.concat_ws(" ", F.col("token_ids").cast("array<string>"))
-    return decode_ids(ids, vocabulary).select(
+    return encode_texts(rows, vocabulary, PATTERN, decoded_col="decoded").select(
         "doc_id",
         F.size("token_ids").cast("bigint").alias("n_tokens"),
         F.sha2(listed, 256).alias("ids_sha256"),
