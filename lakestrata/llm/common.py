@@ -48,3 +48,17 @@ def uniform(*parts: Column | str | int) -> Column:
     key = F.concat_ws("|", *(F.coalesce(t, F.lit("")) for t in texts))
     digits = F.conv(F.substring(F.md5(key.cast("binary")), 1, 13), 16, 10).cast("bigint")
     return (digits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
+
+
+BROADCAST_ROWS = 200_000  # ids; some megabytes
+
+
+def only_ids(rows: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """`rows` less some that no id of `ids` (distinct) names, to spare a later join on the id a part of its shuffle.
+
+    Few ids are broadcast, their number being counted first; of more ids all rows go on.
+    """
+    if ids.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return rows
+    wanted = F.broadcast(ids.select(F.col(ids.columns[0]).alias("only_id")))
+    return rows.join(wanted, F.col(id_col).eqNullSafe(F.col("only_id")), "left_semi")

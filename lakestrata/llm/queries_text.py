@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestrata.llm.bpe import encode_texts, share_vocabulary
+from lakestrata.llm.lines import dedup_lines
 from lakestrata.llm.registry import check, table
 from lakestrata.llm.repetition import repetition_stats
 from lakestrata.llm.simhash import simhash_classes
@@ -64,3 +65,10 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+@check("op3_fuzzy_lines")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document its lines, those removed, and a digest of the text that stays."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
