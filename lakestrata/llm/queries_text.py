@@ -10,6 +10,7 @@ from lakestrata.llm.lines import dedup_lines
 from lakestrata.llm.registry import check, table
 from lakestrata.llm.repetition import repetition_stats
 from lakestrata.llm.simhash import simhash_classes
+from lakestrata.llm.substrings import dedup_substrings
 from lakestrata.llm.token_spans import section_tokens
 from lakestrata.llm.vectors import vector_classes
 
@@ -72,3 +73,11 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Per document its lines, those removed, and a digest of the text that stays."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@check("op10_fm_substring")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return dedup_substrings(docs, window=50).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
