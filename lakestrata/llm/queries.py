@@ -1,6 +1,9 @@
 """All registered queries of this package."""
 
+import corpus_pipeline
 from lakestrata.llm import queries_native, queries_text  # noqa: F401
-from lakestrata.llm.registry import CHECKS
+from lakestrata.llm.registry import CHECKS, check
+
+check("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
 
 __all__ = ["CHECKS"]
