@@ -24,9 +24,10 @@ from lakestrata.llm.common import fresh, slices
 
 NONE = -1
 SCALAR_FROM = 96  # longer pieces go one by one
-PIECES_HELD = 200_000  # encodings a task keeps; it then starts anew
+PIECES_HELD = 400_000  # encodings a task keeps; it then starts anew
 BYTES_AT_ONCE = 1 << 20
 PAIR_SHIFT = 20  # ids are below 2**20
+MEMO_BITS = 19  # recent verdicts on pairs of tokens
 
 
 @dataclass(frozen=True)
@@ -186,6 +187,19 @@ class PrefixEncoder:
         whole = v.token != NONE
         self.shorter[v.token[whole]] = best[fail[whole]]
         self.longest = int(self.size.max())
+        self.memo = np.zeros(1 << MEMO_BITS, np.int64)  # pair and verdict; 0 is no pair that gets there
+
+    def checked_pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """`compatible` for arrays, remembering recent verdicts."""
+        keys = (((a.astype(np.int64) << PAIR_SHIFT) | b) << 1) + 2
+        slot = ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
+        held = self.memo[slot]
+        ok = held == keys + 1
+        todo = np.flatnonzero(~ok & (held != keys))
+        if len(todo):
+            ok[todo] = self.compatible_pairs(a[todo], b[todo])
+            self.memo[slot[todo]] = keys[todo] + ok[todo]
+        return ok
 
     def compatible_pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """`compatible` for arrays."""
@@ -233,21 +247,17 @@ class PrefixEncoder:
 
     def encode(self, pieces: Sequence[bytes]) -> list[list[int]]:
         """Token ids of each piece; short ones advance together, byte by byte."""
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
         out: list[list[int]] = [[]] * len(pieces)
-        short = [i for i, p in enumerate(pieces) if len(p) <= SCALAR_FROM]
-        for i in set(range(len(pieces))) - set(short):
+        for i in np.flatnonzero(size > SCALAR_FROM).tolist():
             out[i] = self.walk_back(self.last_tokens(pieces[i]))
-        short.sort(key=lambda i: -len(pieces[i]))
-        begin = 0
-        while begin < len(short):
-            stop, held = begin, 0
-            while stop < len(short) and held < BYTES_AT_ONCE:
-                held += len(pieces[short[stop]])
-                stop += 1
-            part = short[begin:stop]
+        short = np.argsort(-size, kind="stable")
+        short = short[size[short] <= SCALAR_FROM]
+        cuts = np.searchsorted(np.cumsum(size[short]), np.arange(BYTES_AT_ONCE, size.sum() + 1, BYTES_AT_ONCE))
+        for part in np.split(short, cuts):
+            part = part.tolist()
             for i, ids in zip(part, self.encode_together([pieces[i] for i in part])):
                 out[i] = ids
-            begin = stop
         return out
 
     def encode_together(self, pieces: list[bytes]) -> list[list[int]]:
@@ -265,7 +275,7 @@ class PrefixEncoder:
                 before = i - self.size[token[todo]]
                 rest = before >= 0
                 todo, before = todo[rest], before[rest]
-                ok = self.compatible_pairs(last[start[todo] + before], token[todo])
+                ok = self.checked_pairs(last[start[todo] + before], token[todo])
                 todo = todo[~ok]
                 if not len(todo):
                     break
@@ -286,39 +296,57 @@ class PrefixEncoder:
         return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
 
+class Matches(dict):
+    """Ids of recent matches; a new match gets an empty list, filled once its batch is encoded."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> list[int]:
+        self.new.append(piece)
+        ids = self[piece] = []
+        return ids
+
+
 class Tokenizer:
     """Splits texts by a pattern, encodes each match, and remembers recent matches."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.encoder, self.pattern = PrefixEncoder(vocabulary), regex.compile(pattern)
-        self.held: dict[str, list[int]] = {}
+        self.held = Matches()
+
+    def fill(self) -> None:
+        """Encode the new matches; start anew where too many are held."""
+        new, self.held.new = self.held.new, []
+        for piece, ids in zip(new, self.encoder.encode([p.encode() for p in new])):
+            self.held[piece].extend(ids)
 
-    def ids_of(self, pieces: list[str]) -> list[int]:
-        new = list(set(pieces).difference(self.held))
-        if new:
-            if len(self.held) + len(new) > PIECES_HELD:
-                self.held = {}
-                new = list(set(pieces))
-            self.held.update(zip(new, self.encoder.encode([p.encode() for p in new])))
-        return list(chain.from_iterable(map(self.held.__getitem__, pieces)))
+    def trim(self) -> None:
+        if len(self.held) > PIECES_HELD:
+            self.held = Matches()
 
     def encode(self, text: str | None) -> list[int]:
         matches = (m.group() for m in self.pattern.finditer(text or ""))
         out: list[int] = []
-        while pieces := list(islice(matches, PIECES_HELD // 2)):
-            out += self.ids_of(pieces)
+        while pieces := list(islice(matches, PIECES_HELD)):
+            self.trim()
+            lists = list(map(self.held.__getitem__, pieces))
+            self.fill()
+            out.extend(chain.from_iterable(lists))
         return out
 
     def encode_all(self, texts: Sequence[str | None]) -> list[list[int]]:
         """As `encode`, with the new matches of all texts encoded at once."""
-        pieces = [self.pattern.findall(t or "") for t in texts]
-        new = list(set(chain.from_iterable(pieces)).difference(self.held))
-        if len(self.held) + len(new) > PIECES_HELD:
-            self.held = {}
-            new = list(set(chain.from_iterable(pieces)))
-        self.held.update(zip(new, self.encoder.encode([p.encode() for p in new])))
-        get = self.held.__getitem__
-        return [list(chain.from_iterable(map(get, p))) for p in pieces]
+        self.trim()
+        get, find = self.held.__getitem__, self.pattern.findall
+        lists = [
+            list(map(get, find(t))) if len(t) <= BYTES_AT_ONCE else None for t in (x or "" for x in texts)
+        ]
+        self.fill()
+        return [
+            self.encode(t) if found is None else list(chain.from_iterable(found)) for t, found in zip(texts, lists)
+        ]
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.encoder.tokens.__getitem__, ids))
@@ -407,7 +435,7 @@ def encode_texts(
         tokenizer = Tokenizer(vocabulary.value, pattern)
         for part in slices(batches, held, 2 << 20):
             ids = tokenizer.encode_all(part.column(held).to_pylist())
-            arrays = [part.column(c) for c in columns] + [pa.array(ids, pa.list_(pa.int32()))]
+            arrays = [part.column(c) for c in columns] + [int_lists(ids)]
             if decoded_col is not None:
                 arrays.append(pa.array(map(tokenizer.decode, ids), pa.binary()))
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
@@ -415,6 +443,12 @@ def encode_texts(
     return docs.withColumn(held, F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 
+def int_lists(rows: list[list[int]]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, rows)])
+    values = np.fromiter(chain.from_iterable(rows), np.int32, ends[-1])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
 def decode_ids(
     docs: DataFrame, vocabulary: Broadcast, *, ids_col: str = "token_ids", bytes_col: str = "decoded"
 ) -> DataFrame:
