@@ -11,12 +11,11 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from lakestrata.llm.common import fresh, only_ids, slices, text_rows
 from lakestrata.llm.fm_index import FmIndex
-from lakestrata.llm.lines import BASE, mixed
+from lakestrata.llm.hashing import BASE, SECOND_BASE, Powers
 from lakestrata.sources.scratch import materialize
 
 SHARD_WORDS = 400_000  # an index is closed at the first anchor beyond
 HOT_PIECES = 2_000  # different passages around one anchor that one shard may take
-SECOND_BASE = 0xC2B2AE3D27D4EB4F
 # What a passage is known by: its anchor and two hashes of its words.
 PIECE = ["anchor", "h1", "h2"]
 
@@ -26,26 +25,6 @@ def anchor_words(window: int) -> int:
     return max(1, window * 2 // 5)
 
 
-class Powers:
-    """Powers of an odd number and of its inverse modulo 2**64, for hashes of ranges."""
-
-    def __init__(self, base: int):
-        self.base, self.up, self.down = base, np.ones(0, np.uint64), np.ones(0, np.uint64)
-
-    def sums(self, values: np.ndarray) -> np.ndarray:
-        n = len(values)
-        if n > len(self.up):
-            size = max(n, 1 << 16)
-            one = np.ones(1, np.uint64)
-            self.up = np.cumprod(np.append(one, np.full(size - 1, self.base, np.uint64)))
-            inverse = pow(self.base, -1, 1 << 64)
-            self.down = np.cumprod(np.append(one, np.full(size - 1, inverse, np.uint64)))
-        return np.append(np.uint64(0), np.cumsum(values * self.up[:n]))
-
-    def ranges(self, sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return mixed((sums[stop] - sums[start]) * self.down[start])
-
-
 class WordStream:
     """Words of some texts end to end, with their hashes and the bounds of their texts."""
 
