@@ -9,10 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (
+    ArrayType,
     BooleanType,
     DataType,
     DoubleType,
+    IntegralType,
     LongType,
+    NumericType,
     StringType,
     StructField,
     StructType,
@@ -31,7 +34,34 @@ def local_frame(
     """A frame of a few driver-side records, such as log rows.
 
     Arrow data becomes a local relation: no Python worker, one task, and a
-    size the planner knows.
+    size the planner knows.  Only nullable columns may be missing from a record.
     """
-    rows = [{name: record[name] for name in columns.names} for record in records]
+    rows = [
+        {f.name: record.get(f.name) if f.nullable else record[f.name] for f in columns.fields}
+        for record in records
+    ]
     return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(columns)), columns)
+
+
+def merged_type(a: DataType, b: DataType) -> DataType:
+    """Type that holds both: numbers widen, nested types merge, anything else becomes text."""
+    if a == b:
+        return a
+    if isinstance(a, IntegralType) and isinstance(b, IntegralType):
+        return COUNT
+    if isinstance(a, NumericType) and isinstance(b, NumericType):
+        return REAL
+    if isinstance(a, ArrayType) and isinstance(b, ArrayType):
+        return ArrayType(merged_type(a.elementType, b.elementType))
+    if isinstance(a, StructType) and isinstance(b, StructType):
+        return merged_schema([a, b])
+    return TEXT
+
+
+def merged_schema(schemas: Sequence[StructType]) -> StructType:
+    """All columns in order of appearance, with types that hold what every schema says."""
+    types: dict[str, DataType] = {}
+    for one in schemas:
+        for f in one.fields:
+            types[f.name] = merged_type(types[f.name], f.dataType) if f.name in types else f.dataType
+    return StructType([StructField(name, kind) for name, kind in types.items()])

@@ -28,14 +28,21 @@ LANDING_RUN = schema(
 MATCHED_LANDING_RUN = StructType(
     [*LANDING_RUN.fields, StructField("IGDB_Game_Version", COUNT, nullable=False)]
 )
-RAW_RUN = schema(
-    nullable=False,
-    Exec_date=TEXT,
-    Exec_time=COUNT,
-    Loaded_date=TEXT,
-    Read_Rows=COUNT,
-    Table_Rows=COUNT,
-    Total_duration=TEXT,
+# The last two are additions: records kept apart, and columns whose type had to change.
+RAW_RUN = StructType(
+    [
+        *schema(
+            nullable=False,
+            Exec_date=TEXT,
+            Exec_time=COUNT,
+            Loaded_date=TEXT,
+            Read_Rows=COUNT,
+            Table_Rows=COUNT,
+            Total_duration=TEXT,
+        ).fields,
+        StructField("Bad_Rows", COUNT),
+        StructField("Retyped", TEXT),
+    ]
 )
 TABLE_RUN = schema(
     nullable=False, Exec_date=TEXT, Exec_time=COUNT, Table_Rows=COUNT, Total_duration=TEXT

@@ -2,19 +2,22 @@
 
     landing-zone/<api>/<entity>/<yyyy-MM-dd>/<run>/   JSON pages of one run
     landing-zone/<api>/<entity>/control/              run log
+    landing-zone/<api>/<entity>/schemas/              columns and types of each run's pages
+    raw/<api>/<entity>/rejected/                      records that could not be read, or have no key
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
+from lakestrata.functions.schemas import TEXT, merged_schema, schema as columns_of
 from lakestrata.operators.changes import has_changed, upsert
 from lakestrata.operators.columns import incremental_filter
 from lakestrata.operators.dedup import latest_by
@@ -31,19 +34,16 @@ from lakestrata.plans.control import (
     unread_dates,
 )
 from lakestrata.plans.lake import CATALOGUE_ENUMS, LANDING, RAW, Lake, TableId
-from lakestrata.sources.files import (
-    modified_files,
-    read_enum_dir,
-    read_json_batch,
-    write_json_pages,
-)
+from lakestrata.sources.files import read_enum_dir, read_json_batch, read_or_empty, write_json_pages
 from lakestrata.sources.scratch import materialize
 from lakestrata.sources.snapshot import write_snapshot
 
 # Records per landed file.
 RECORDS_PER_FILE = 10_000
 
-_DATE = "__landed"
+PAGES = columns_of(date=TEXT, folder=TEXT, schema=TEXT)
+
+_DATE, _BROKEN = "__landed", "__broken"
 
 
 def batch_path(lake: Lake, source: TableId, date: str) -> str:
@@ -61,12 +61,15 @@ def land(
     log: StructType = LANDING_RUN,
     **metrics: Any,
 ) -> int:
-    """Write one run's pages and its log row; returns the number of files."""
+    """Write one run's pages, what they hold, and its log row; returns the number of files."""
     counted = Observation()
     folder = f"{batch_path(lake, source, run.date)}/{run.folder}"
     pages = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     write_json_pages(pages, folder, records_per_file)
     files = _count_files(lake, folder) if counted.get["rows"] else 0
+    if files:
+        pages = {"date": run.date, "folder": run.folder, "schema": df.schema.json()}
+        append_run(lake.spark, _schemas_path(lake, source), PAGES, pages)
     record = run.record(Load_type=load_type, Loaded_files=files, **metrics)
     append_run(lake.spark, lake.control_path(source), log, record)
     return files
@@ -92,13 +95,22 @@ def land_incremental(
     return land(lake, source, changed, load_type, run, records_per_file=records_per_file)
 
 
-def _last_landed(lake: Lake, source: TableId) -> str | None:
-    """Folder of the newest run that landed files."""
-    log = control_or_empty(lake.spark, lake.control_path(source), LANDING_RUN)
-    at = last_run_time(log.where(F.col("Loaded_files") > 0))
-    if at is None:
+def _schemas_path(lake: Lake, source: TableId) -> str:
+    return f"{lake.path(source)}/schemas"
+
+
+def _landed_pages(lake: Lake, source: TableId) -> DataFrame:
+    """One row per run that landed files: date, folder, schema."""
+    return read_or_empty(lake.spark, _schemas_path(lake, source), PAGES)
+
+
+def _last_landed(lake: Lake, source: TableId) -> DataFrame | None:
+    """The pages of the newest run that landed files, with the types they were written with."""
+    last = _landed_pages(lake, source).orderBy(F.desc("folder")).first()
+    if last is None:
         return None
-    return f"{batch_path(lake, source, Run(started=at).date)}/{at}*"
+    folder = f"{batch_path(lake, source, last['date'])}/{last['folder']}"
+    return read_json_batch(lake.spark, folder, StructType.fromJson(json.loads(last["schema"])))
 
 
 def land_full(
@@ -111,61 +123,154 @@ def land_full(
 ) -> int:
     """Land a whole table if it differs from what was landed last; the run is logged either way.
 
-    The last files are read with the types of `df`.  A column they have and
-    `df` lacks is a change; a column only `df` has is one if it holds values.
+    A column that came, went or changed its type is a difference.
     """
     run = Run()
-    folder = _last_landed(lake, source)
-    if folder is not None:
-        gone = set(read_json_batch(lake.spark, folder).columns) - set(df.columns)
-        previous = read_json_batch(lake.spark, folder, df.schema)
-        if not gone and not has_changed(previous, df, symmetric=symmetric):
-            df = df.limit(0)
+    previous = _last_landed(lake, source)
+    if previous is not None and not has_changed(previous, df, symmetric=symmetric):
+        df = df.limit(0)
     return land(lake, source, df, "Full", run, records_per_file=records_per_file)
 
 
 @dataclass(frozen=True)
-class Batch:
-    """Records of consecutive dates that share their columns."""
-
-    columns: tuple[str, ...]
-    records: DataFrame
-
-
-def _read_batches(
-    lake: Lake, source: TableId, dates: Sequence[str], schema: StructType | None
-) -> list[Batch]:
-    """One scan per run of dates with the same columns; dates without files are skipped."""
-    groups: list[tuple[tuple[str, ...], StructType, list[str]]] = []
-    for date in dates:
-        try:
-            found = read_json_batch(
-                lake.spark, f"{batch_path(lake, source, date)}/*", schema
-            ).schema
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                continue
-            raise
-        if not found.names:
+class Pending:
+    """What the unread dates hold: types over all dates, and the columns of each date."""
+
+    types: StructType
+    columns: dict[str, frozenset[str]]
+    retyped: dict[str, str]  # column -> 'old type -> new type'
+
+
+def _date_glob(lake: Lake, source: TableId, dates: Sequence[str]) -> str:
+    return f"{lake.path(source)}/{{{','.join(dates)}}}/*"
+
+
+def _landed_date() -> Column:
+    return F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+/[^/]+$", 1)
+
+
+def _plan_read(
+    lake: Lake, source: TableId, dates: Sequence[str], given: StructType | None, base: DataFrame | None
+) -> Pending | None:
+    """Types and columns of the dates: as given, as their runs say, or else looked up in the pages.
+
+    The number of jobs does not depend on the number of dates.
+    """
+    held = [] if base is None else [base.schema]
+    if given is not None:
+        told = [(d, given) for d in dates]
+    else:
+        rows = _landed_pages(lake, source).where(F.col("date").isin(list(dates))).orderBy("folder").collect()
+        told = [(r["date"], StructType.fromJson(json.loads(r["schema"]))) for r in rows]
+    columns: dict[str, frozenset[str]] = {}
+    for date, one in told:
+        columns[date] = columns.get(date, frozenset()) | set(one.names)
+    unknown = [d for d in dates if d not in columns]
+    schemas = [one for _, one in told]
+    if unknown:
+        found, types = _look_up(lake, source, unknown)
+        names = sorted(set().union(*found.values())) if found else []
+        columns |= found
+        schemas.append(types)
+        # A column of nothing but nulls takes the type it has in the table.
+        known = set(merged_schema([*held, *schemas]).names)
+        schemas.append(StructType([StructField(n, TEXT) for n in names if n not in known]))
+    if not any(columns.values()):
+        return None
+    merged = merged_schema([*held, *schemas])
+    used = set().union(*columns.values())
+    types = StructType([f for f in merged.fields if f.name in used])
+    retyped: dict[str, str] = {}
+    for one in [*held, *schemas]:
+        for f in one.fields:
+            if f.name in used and f.dataType != merged[f.name].dataType and f.name not in retyped:
+                now = merged[f.name].dataType.simpleString()
+                retyped[f.name] = f"{f.dataType.simpleString()} -> {now}"
+    return Pending(types, columns, retyped)
+
+
+def _look_up(
+    lake: Lake, source: TableId, dates: Sequence[str]
+) -> tuple[dict[str, frozenset[str]], StructType]:
+    """Columns per date, and types, of pages that no run described."""
+    glob = _date_glob(lake, source, dates)
+    try:
+        types = lake.spark.read.json(glob, dropFieldIfAllNull=True).schema
+        lines = lake.spark.read.text(glob).select("value", _landed_date().alias("date"))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return {}, StructType([])
+        raise
+    several = F.from_json("value", ArrayType(StringType()))
+    records = F.when(F.trim("value").startswith("["), several).otherwise(F.array("value"))
+    keys = (
+        lines.select("date", F.explode(records).alias("record"))
+        .select("date", F.explode(F.json_object_keys("record")).alias("key"))
+        .groupBy("date")
+        .agg(F.collect_set("key").alias("keys"))
+    )
+    found = {r["date"]: frozenset(r["keys"]) - {"_corrupt_record"} for r in keys.collect()}
+    return found, StructType([f for f in types.fields if f.name != "_corrupt_record"])
+
+
+def _read_dates(lake: Lake, source: TableId, pending: Pending) -> DataFrame | None:
+    """All records of the dates in one scan, parsed once; lines that fail are in a column of their own."""
+    reader = lake.spark.read.schema(StructType([*pending.types.fields, StructField(_BROKEN, TEXT)]))
+    try:
+        pages = reader.json(_date_glob(lake, source, list(pending.columns)), columnNameOfCorruptRecord=_BROKEN)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return materialize(pages.withColumn(_DATE, _landed_date()), "pages")
+
+
+def _newest(
+    good: DataFrame, pending: Pending, key: str, order: str | None, ties: Sequence[str], overwrite: bool
+) -> tuple[DataFrame, list[str]]:
+    """One record per key, and the columns that some date lacks.
+
+    The latest date wins, and within it the latest record.  A column that a date
+    lacks comes from the latest date that has it; a flag `<column>__set` says if one has.
+    """
+    ranked = [order] if order else []
+    rest = list(ties) or [c for c in pending.types.names if c not in (key, *ranked)] or [key]
+    partial = [c for c in pending.types.names if any(c not in held for held in pending.columns.values())]
+    if overwrite or not partial:
+        return latest_by(good, key, [_DATE, *ranked], rest).drop(_DATE), []
+    per_date = latest_by(good, [key, _DATE], ranked, rest)
+    values = []
+    for c in pending.types.names:
+        if c == key:
             continue
-        if groups and groups[-1][1] == found:
-            groups[-1][2].append(date)
-        else:
-            groups.append((tuple(found.names), found, [date]))
-    return [
-        Batch(
-            columns,
-            reduce(
-                DataFrame.unionByName,
-                (
-                    read_json_batch(lake.spark, f"{batch_path(lake, source, d)}/*", found)
-                    .withColumn(_DATE, F.lit(d))
-                    for d in members
-                ),
-            ),
+        having = [d for d, held in pending.columns.items() if c in held]
+        dated = F.when(F.col(_DATE).isin(having), F.col(_DATE)) if c in partial else F.col(_DATE)
+        values.append(F.max_by(F.when(dated.isNotNull(), F.struct(c)), dated).alias(c))
+    found = per_date.groupBy(key).agg(*values)
+    flags = [F.col(c).isNotNull().alias(f"{c}__set") for c in partial]
+    return found.select(key, *(F.col(v)[v].alias(v) for v in pending.types.names if v != key), *flags), partial
+
+
+def _with_stored(newest: DataFrame, base: DataFrame | None, partial: Sequence[str], key: str) -> DataFrame:
+    """Values that no date gave come from the stored row."""
+    stored = [c for c in partial if base is not None and c in base.columns]
+    if stored:
+        old = base.select(key, *(F.col(c).alias(f"{c}__old") for c in stored))
+        newest = newest.join(old.join(newest.select(key), key, "left_semi"), key, "left")
+        newest = newest.withColumns(
+            {c: F.when(F.col(f"{c}__set"), F.col(c)).otherwise(F.col(f"{c}__old")) for c in stored}
         )
-        for columns, found, members in groups
-    ]
+    return newest.drop(*(f"{c}__set" for c in partial), *(f"{c}__old" for c in stored))
+
+
+def _retype(base: DataFrame, pending: Pending) -> DataFrame:
+    """The stored table with the types it will have."""
+    columns = []
+    for f in base.schema.fields:
+        now = pending.types[f.name].dataType if f.name in pending.types.names else f.dataType
+        nested = isinstance(f.dataType, (StructType, ArrayType, MapType)) and now == TEXT
+        columns.append((F.to_json(f.name) if nested else F.col(f.name).cast(now)).alias(f.name))
+    return base.select(*columns)
 
 
 def apply_batches(
@@ -182,57 +287,94 @@ def apply_batches(
 ) -> int | None:
     """Upsert every unread landing date into the raw table; returns its rows, None if idle.
 
-    The outcome is that of applying the dates one after the other, but the
-    table is rewritten once: per key the latest date wins, and within it the
-    latest record.  The log gets one row per date.  `ties` default to all
-    other columns of a batch.
+    The outcome is that of applying the dates one after the other, but the pages
+    are read in one scan and the table is rewritten once: per key the latest
+    date wins, and within it the latest record.  The log gets one row per date.
+
+    `order` must be a column of every date; None leaves the choice to `ties`, which
+    default to all other columns.  Lines that are no JSON or do not fit the types,
+    and records without key, go to the table's `rejected` folder and are counted
+    in the log.  A type that changed widens: numbers to larger numbers, anything
+    else to text; the log says so.
     """
     spark, run = lake.spark, Run()
     source, target = TableId(LANDING, entity, api), TableId(RAW, entity, api)
     base = lake.read(target, required=False)
     log = control_or_empty(spark, lake.control_path(target), RAW_RUN)
     landed = control_or_empty(spark, lake.control_path(source), LANDING_RUN)
-    pending = unread_dates(landed, None if base is None else log, same_day=same_day)
-    dates = [row["exec_date"] for row in pending.collect()]  # one short text per calendar day
-    batches = _read_batches(lake, source, dates, schema)
-    if not batches:
+    pending_dates = unread_dates(landed, None if base is None else log, same_day=same_day)
+    dates = [row["exec_date"] for row in pending_dates.collect()]  # one short text per calendar day
+    pending = _plan_read(lake, source, dates, schema, base) if dates else None
+    if pending is None:
         return None
+    for column in (key, *([order] if order else [])):
+        without = sorted(d for d, held in pending.columns.items() if held and column not in held)
+        if without:
+            raise ValueError(f"column {column!r} is missing from {source.folder} on {', '.join(without)}")
 
-    merged, read_rows = base, {}
-    for batch in batches:
-        ranked = [order] if order in batch.columns else []
-        rest = list(ties) or [c for c in batch.columns if c not in (key, *ranked)] or [key]
-        # Parsed and reduced once; the upsert below reads it more than once.
-        per_date = materialize(
-            latest_by(batch.records, [key, _DATE], ranked, rest), f"batch-{entity}"
+    parsed = _read_dates(lake, source, pending)
+    if parsed is None:
+        return None
+    bad = F.col(_BROKEN).isNotNull() | F.col(key).isNull()
+    keys = F.when(~bad, F.col(key))
+    counts = {
+        row[_DATE]: row
+        for row in parsed.groupBy(_DATE)
+        .agg(F.count_distinct(keys).alias("n"), F.count(F.when(bad, 1)).alias("bad"))
+        .collect()
+    }
+    if any(row["bad"] for row in counts.values()):
+        whole = F.to_json(F.struct(*pending.types.names), {"ignoreNullFields": "false"})
+        rejected = parsed.where(bad).select(
+            F.col(_DATE).alias("Loaded_date"),
+            F.lit(int(run.started)).cast("bigint").alias("Exec_time"),
+            F.coalesce(F.col(_BROKEN), whole).alias("record"),
         )
-        read_rows |= {
-            row[_DATE]: row["n"]
-            for row in per_date.groupBy(_DATE).agg(F.count(F.lit(1)).alias("n")).collect()
-        }
-        newest = latest_by(per_date, key, None, [_DATE]).drop(_DATE)
-        merged = upsert(merged, newest, key, overwrite_missing=overwrite_missing)
-
-    written = write_snapshot(merged, lake.path(target))
+        rejected.write.mode("append").parquet(f"{lake.path(target)}/rejected")
+    if not counts:
+        return None
+
+    good = parsed.where(~bad).drop(_BROKEN)
+    newest, partial = _newest(good, pending, key, order, ties, overwrite_missing)
+    newest = materialize(newest, f"batch-{entity}")  # the upsert reads it more than once
+    if base is not None:
+        base = _retype(base, pending)
+    updates = _with_stored(newest, base, partial, key)
+    written = write_snapshot(upsert(base, updates, key, overwrite_missing=overwrite_missing), lake.path(target))
+    retyped = "; ".join(f"{c}: {change}" for c, change in sorted(pending.retyped.items()))
     append_runs(
         spark,
         lake.control_path(target),
         RAW_RUN,
         [
-            run.record(Loaded_date=d, Read_Rows=read_rows.get(d, 0), Table_Rows=written.rows)
+            run.record(
+                Loaded_date=d,
+                Read_Rows=counts[d]["n"],
+                Table_Rows=written.rows,
+                Bad_Rows=counts[d]["bad"],
+                Retyped=retyped or None,
+            )
             for d in dates
-            if d in read_rows
+            if d in counts
         ],
     )
     return written.rows
 
 
+def read_rejected(lake: Lake, api: str, entity: str) -> DataFrame:
+    """Records kept apart by `apply_batches`: Loaded_date, Exec_time, record."""
+    columns = columns_of(Loaded_date=TEXT, Exec_time=RAW_RUN["Exec_time"].dataType, record=TEXT)
+    return read_or_empty(lake.spark, f"{lake.path(TableId(RAW, entity, api))}/rejected", columns)
+
+
 def import_enums(lake: Lake, folder: str, api: str = CATALOGUE_ENUMS) -> list[str]:
-    """Import the enum files that changed since they were last read; returns their names.
+    """Import the enum lists of which some part changed since they were last read; returns their names.
 
-    All files are read in one scan.  The loop runs over enum lists, which are
-    a fixed handful; the rows of each stay in Spark.
+    All files are read in one scan, which begins after the run's clock: a part
+    that changes meanwhile is read again next time.  The loop runs over enum
+    lists, which are a fixed handful; the rows of each stay in Spark.
     """
+    run = Run()
     listed = read_enum_dir(lake.spark, folder).persist()
     imported = []
     files = (
@@ -242,24 +384,13 @@ def import_enums(lake: Lake, folder: str, api: str = CATALOGUE_ENUMS) -> list[st
         .collect()
     )
     for file in files:
-        run = Run()
         table = TableId(RAW, f"{file['entity']}/{file['enum']}", api)
-        log = control_or_empty(lake.spark, lake.control_path(table), TABLE_RUN)
-        rows = modified_files(
-            listed.where(
-                (F.col("entity") == file["entity"]) & (F.col("enum") == file["enum"])
-            ),
-            last := last_run_time(log),
-        ).select("name", "value")
-        if last is not None and file["modified"] <= last:
+        last = last_run_time(control_or_empty(lake.spark, lake.control_path(table), TABLE_RUN))
+        if last is not None and file["modified"] < last:
             continue
-        written = write_snapshot(rows, lake.path(table), evolve=False)
-        append_run(
-            lake.spark,
-            lake.control_path(table),
-            TABLE_RUN,
-            run.record(Table_Rows=written.rows),
-        )
+        rows = listed.where((F.col("entity") == file["entity"]) & (F.col("enum") == file["enum"]))
+        written = write_snapshot(rows.select("name", "value"), lake.path(table), evolve=False)
+        append_run(lake.spark, lake.control_path(table), TABLE_RUN, run.record(Table_Rows=written.rows))
         imported.append(f"{file['entity']}/{file['enum']}")
     listed.unpersist()
     return imported

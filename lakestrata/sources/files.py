@@ -12,7 +12,14 @@ from lakestrata.functions.schemas import local_frame
 
 # Fixed value: <prefix>_enum_<entity>_<column>.csv; greedy, so the last word is the column.
 # The list may be one file or a folder of parts.
-ENUM_FILE_PATTERN = r"/[a-z]+_enum_(\w+)_(\w+)\.csv(/[^/]+)?$"
+ENUM_FILE_PATTERN = r"/[a-z]+_enum_(\w+)_(\w+)\.csv(/.+)?$"
+
+
+PAGE_OPTIONS = {
+    "ignoreNullFields": False,
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def read_json_batch(
@@ -28,8 +35,12 @@ def read_json_batch(
 
 
 def write_json_pages(df: DataFrame, path: str, records_per_file: int = 10_000) -> None:
-    """Write JSON files of at most `records_per_file` records each."""
-    df.write.option("maxRecordsPerFile", records_per_file).json(path)
+    """Write JSON files of at most `records_per_file` records each.
+
+    Nulls are written, so that a column is there whatever it holds, and
+    timestamps keep their microseconds.
+    """
+    df.write.options(**PAGE_OPTIONS, maxRecordsPerFile=records_per_file).json(path)
 
 
 def to_json_rows(df: DataFrame) -> DataFrame:
@@ -63,11 +74,6 @@ def read_enum_dir(
     )
 
 
-def modified_files(df: DataFrame, last: int | None) -> DataFrame:
-    """Rows of files modified after the last read; all rows if there was none."""
-    return df if last is None else df.where(F.col("modified") > F.lit(last))
-
-
 def read_or_none(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """A parquet table, or None if nothing is there."""
     reader = spark.read if schema is None else spark.read.schema(schema)

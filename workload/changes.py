@@ -208,19 +208,22 @@ def chunk_rows(t: Source) -> DataFrame:
 
 @check(
     "schema_columns",
-    """SELECT * FROM (VALUES
-           ('only_left', 'p_size'), ('only_right', 'stock'), ('retyped', 'p_retailprice'))
-       AS d(difference, "column")""",
+    """SELECT p_partkey, d.kind, CASE d.kind WHEN 'only_left' THEN p_size::VARCHAR
+              WHEN 'only_right' THEN p_brand ELSE (p_size * 2)::VARCHAR END AS value
+       FROM part, (VALUES ('only_left'), ('only_right'), ('retyped')) AS d(kind)""",
 )
 def schema_columns(t: Source) -> DataFrame:
-    other = (
-        t.part.drop("p_size")
-        .withColumn("stock", F.lit(1))
-        .withColumn("p_retailprice", F.col("p_retailprice").cast("string"))
-    )
-    diff = schema_diff(t.part.schema, other.schema)
-    rows = [(kind, c) for kind, names in vars(diff).items() for c in names]
-    return t.spark.createDataFrame(rows, "difference string, column string")
+    """Per part the values of the columns that two versions of the table do not share."""
+    old = t.part.select("p_partkey", "p_name", "p_size", (F.col("p_size") * 2).alias("stock"))
+    new = t.part.select("p_partkey", "p_name", F.col("p_brand").alias("brand"), (F.col("p_size") * 2).cast("string").alias("stock"))
+    diff = schema_diff(old.schema, new.schema)
+    sides = {"only_left": old, "only_right": new, "retyped": new}
+    parts = [
+        sides[kind].select("p_partkey", F.lit(kind).alias("kind"), F.col(c).cast("string").alias("value"))
+        for kind, names in vars(diff).items()
+        for c in names
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def _runs(events: DataFrame) -> DataFrame:

@@ -11,6 +11,9 @@ from lakestrata.plans.context import CATALOGUE_RULES, TIMES_RULES
 from lakestrata.plans.lake import CATALOGUE_ENUMS, COMMON_ENUMS, TableId
 from lakestrata.plans.marts import (
     GAME_COLUMNS,
+    INDIE_COMPANY,
+    INDIE_GAME,
+    INDIE_PLATFORM,
     MEMBER_RULES,
     games,
     games_by_platform,
@@ -252,7 +255,9 @@ def mart_companies(t: Source) -> DataFrame:
     return involved_companies_by_game(involved, companies, orders)
 
 
+# Every other column of the mart gets a number of its own, so that none can stand in for another.
 _GAME_SHAPE = {
+    **{c: f"doc_id + {1000 * (i + 1)}" for i, c in enumerate(GAME_COLUMNS)},
     "id": "doc_id",
     "name": "lang",
     "category": "source",
@@ -266,16 +271,32 @@ _GAME_SHAPE = {
     "hypes": "n_chars + 3",
     "follows": "n_chars + 4",
 }
+_TIME_COLUMNS = (
+    "comp_time_100",
+    "comp_time_100_count",
+    "comp_time_all_styles",
+    "comp_time_all_styles_count",
+    "comp_time_main_story",
+    "comp_time_main_story_count",
+    "comp_time_main_plus_sides",
+    "comp_time_main_plus_sides_count",
+)
 
 
 def _documents_as_games(t: Source) -> DataFrame:
-    absent = {c: "cast(null as bigint)" for c in GAME_COLUMNS if c not in _GAME_SHAPE}
-    return t.documents.select(*(col(e, c) for c, e in {**absent, **_GAME_SHAPE}.items()))
+    return t.documents.select(*(col(e, c) for c, e in _GAME_SHAPE.items()))
+
+
+_PLAIN_GAME_SQL = ", ".join(
+    f"d.{_GAME_SHAPE[c]} AS {c}" for c in GAME_COLUMNS if _GAME_SHAPE[c].startswith("doc_id + ")
+)
+_TIMES_SQL = ", ".join(f"toxic + {i} AS {c}" for i, c in enumerate(_TIME_COLUMNS))
 
 
 @check(
     "mart_games",
-    """SELECT d.doc_id AS id, lang AS name, source AS category, d.doc_id * 2 AS cover_id,
+    f"""SELECT d.doc_id AS id, lang AS name, source AS category, d.doc_id * 2 AS cover_id,
+              {_PLAIN_GAME_SQL}, {_TIMES_SQL},
               url AS cover_url, n_chars AS rating_igdb_users_count,
               n_chars + 1 AS rating_igdb_external_critics_count,
               n_chars + 2 AS rating_igdb_total_count,
@@ -283,7 +304,7 @@ def _documents_as_games(t: Source) -> DataFrame:
               n_chars / 10.0::DOUBLE AS rating_igdb_external_critics,
               CASE WHEN lang = 'en' THEN n_chars / 100.0::DOUBLE END AS rating_igdb_users,
               CASE WHEN lang <> 'de' THEN n_chars / 50.0::DOUBLE END AS rating_igdb_total,
-              CAST(quality AS DOUBLE) AS rating_hltb_users, toxic AS comp_time_100,
+              CAST(quality AS DOUBLE) AS rating_hltb_users,
               (coalesce(CASE WHEN lang = 'en' THEN n_chars / 100.0::DOUBLE END, quality)
                + coalesce(quality, CASE WHEN lang = 'en' THEN n_chars / 100.0::DOUBLE END)) / 2
                   AS average_rating_users,
@@ -299,23 +320,37 @@ def mart_games(t: Source) -> DataFrame:
         col("doc_id + 7", "game_id"),
         col("'x'", "platform"),
         col("cast(quality as double)", "review_score"),
-        col("toxic", "comp_time_100"),
+        *(col(f"toxic + {i}", c) for i, c in enumerate(_TIME_COLUMNS)),
     )
     covers = t.pages.select(col("page_id", "id"), "url")
-    built = games(_documents_as_games(t), times, covers)
-    absent = [c for c in GAME_COLUMNS if c not in _GAME_SHAPE]
-    return sort_columns(built.drop(*absent))
+    return sort_columns(games(_documents_as_games(t), times, covers))
+
+
+# Columns of the games, platforms and companies that the indie mart takes over, with values of their own.
+_INDIE_NUMBERS = {
+    c: f"o_totalprice + {i + 1}"
+    for i, c in enumerate(c for c in INDIE_GAME if c not in ("first_release_date", "rating_igdb_total", "status"))
+}
+_INDIE_PLATFORM_TEXTS = {
+    c: f"concat(l_returnflag, '{c}')" for c in INDIE_PLATFORM if c not in ("platform_id", "release_date")
+}
+_INDIE_COMPANY_TEXTS = {
+    c: f"concat(o_orderstatus, '{c}')" for c in INDIE_COMPANY if c not in ("company_id", "company_name")
+}
 
 
 @check(
     "mart_indie_games",
-    """WITH companies AS (
-           SELECT o_orderkey, unnest([o_custkey, o_custkey * 2]) AS company FROM orders
+    f"""WITH companies AS (
+           SELECT o_orderkey, o_orderstatus, unnest([o_custkey, o_custkey * 2]) AS company FROM orders
            WHERE o_orderstatus <> 'P')
        SELECT o.o_orderkey AS game_id, 'order' AS game_name, 'main' AS game_category,
               l_partkey AS platform_id, l_shipdate AS platform_release_date,
+              {", ".join(f"CASE WHEN l_orderkey IS NOT NULL THEN {e} END AS {INDIE_PLATFORM[c]}" for c, e in _INDIE_PLATFORM_TEXTS.items())},
               company AS company_id, c_name AS company_name,
+              {", ".join(f"CASE WHEN c.o_orderkey IS NOT NULL THEN concat(c.o_orderstatus, '{c}') END AS {INDIE_COMPANY[c]}" for c in _INDIE_COMPANY_TEXTS)},
               o.o_totalprice AS rating_igdb_total, o.o_orderdate AS game_first_release_date,
+              {", ".join(f"o.{e} AS {INDIE_GAME[c]}" for c, e in _INDIE_NUMBERS.items())},
               coalesce(CASE WHEN o.o_orderstatus <> 'F' THEN o.o_orderstatus END, '(Não Definido)')
                   AS game_status
        FROM orders o LEFT JOIN lineitem ON o.o_orderkey = l_orderkey
@@ -324,7 +359,6 @@ def mart_games(t: Source) -> DataFrame:
        WHERE o.o_orderpriority = '1-URGENT'""",
 )
 def mart_indie(t: Source) -> DataFrame:
-    none, number = "cast(null as string)", "cast(null as double)"
     by_genre = t.orders.select(
         col("o_orderkey", "game_id"),
         col("'order'", "game_name"),
@@ -337,71 +371,21 @@ def mart_indie(t: Source) -> DataFrame:
         col("o_orderdate", "first_release_date"),
         col("o_totalprice", "rating_igdb_total"),
         col("case when o_orderstatus <> 'F' then o_orderstatus end", "status"),
-        *(
-            col(number, c)
-            for c in (
-                "follows",
-                "follows_before_release",
-                "rating_igdb_external_critics",
-                "rating_igdb_users",
-                "rating_hltb_users",
-                "average_rating_users",
-                "average_rating_total",
-                "comp_time_100",
-                "comp_time_all_styles",
-                "comp_time_main_story",
-                "comp_time_main_plus_sides",
-            )
-        ),
+        *(col(e, c) for c, e in _INDIE_NUMBERS.items()),
     )
     platforms = t.lineitem.select(
         col("l_orderkey", "game_id"),
         col("l_partkey", "platform_id"),
         col("l_shipdate", "release_date"),
-        *(
-            col(none, c)
-            for c in (
-                "platform_name",
-                "platform_generation",
-                "platform_family",
-                "platform_category",
-                "release_year",
-            )
-        ),
+        *(col(e, c) for c, e in _INDIE_PLATFORM_TEXTS.items()),
     )
     takers = t.orders.where("o_orderstatus <> 'P'").select(
         col("o_orderkey", "game_id"),
         F.explode(F.array("o_custkey", F.col("o_custkey") * 2)).alias("company_id"),
+        *(col(e, c) for c, e in _INDIE_COMPANY_TEXTS.items()),
     )
     names = t.customer.select(col("c_custkey", "company_id"), col("c_name", "company_name"))
-    companies = takers.join(names, "company_id", "left").select(
-        "*",
-        *(
-            col(none, c)
-            for c in (
-                "company_country",
-                "company_country_alpha3",
-                "parent_company_id",
-                "parent_company_name",
-                "developer",
-                "porting",
-                "publisher",
-                "supporting",
-            )
-        ),
-    )
-    return indie_games(by_genre, described, platforms, companies).select(
-        "game_id",
-        "game_name",
-        "game_category",
-        "platform_id",
-        "platform_release_date",
-        "company_id",
-        "company_name",
-        "rating_igdb_total",
-        "game_first_release_date",
-        "game_status",
-    )
+    return indie_games(by_genre, described, platforms, takers.join(names, "company_id", "left"))
 
 
 # --- context rules ---------------------------------------------------------

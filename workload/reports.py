@@ -122,13 +122,13 @@ def report_recent(t: Source) -> DataFrame:
 
 @check(
     "report_rated",
-    """SELECT l_orderkey AS id, l_shipdate::VARCHAR AS name, l_extendedprice AS rating
-       FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey LIMIT 10""",
+    """SELECT l_orderkey * 100 + l_linenumber AS id, l_shipdate::VARCHAR AS name, l_extendedprice AS rating
+       FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey * 100 + l_linenumber LIMIT 10""",
 )
 def report_rated(t: Source) -> DataFrame:
     return best_rated(
         t.lineitem.select(
-            F.col("l_orderkey").alias("id"),
+            (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("id"),
             F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("name"),
             F.col("l_extendedprice").alias("rating"),
         )

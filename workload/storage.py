@@ -5,6 +5,7 @@ Everything is written under the shared folder of the session and read back.
 
 from __future__ import annotations
 
+import time
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F
@@ -13,13 +14,15 @@ from pyspark.sql.types import IntegerType
 from lakestrata.functions.schemas import COUNT, REAL, TEXT, schema
 from lakestrata.operators.match import parse_records
 from lakestrata.plans import matching
-from lakestrata.plans.control import LANDING_RUN, RAW_RUN, TABLE_RUN, append_runs, read_control
+from lakestrata.plans.control import LANDING_RUN, RAW_RUN, TABLE_RUN, Run, append_runs, read_control
 from lakestrata.plans.ingest import (
     apply_batches,
     batch_path,
     import_enums,
+    land,
     land_full,
     land_incremental,
+    read_rejected,
 )
 from lakestrata.plans.lake import CONTEXT, LANDING, RAW, TRUST, Lake, TableId
 from lakestrata.plans.runner import TableSpec, build_all
@@ -173,6 +176,27 @@ def enum_import(t: Source) -> DataFrame:
     return first.unionByName(second)
 
 
+@check(
+    "enum_reimport",
+    """SELECT c_name || CASE WHEN c_custkey % 2 = 0 THEN '!' ELSE '' END AS name, c_custkey::VARCHAR AS value
+       FROM customer""",
+)
+def enum_reimport(t: Source) -> DataFrame:
+    """A list of two parts, one of which changed after the import: the other one's rows stay."""
+    lake, root = Lake(t.spark, scratch_path(t.spark, "lake")), scratch_path(t.spark, "enums")
+    folder = f"{root}/shop_enum_customer_account.csv"
+    rows = t.customer.select(F.col("c_name").alias("name"), F.col("c_custkey").cast("string").alias("value"), "c_custkey")
+    even, odd = (rows.where(F.col("c_custkey") % 2 == k).drop("c_custkey") for k in (0, 1))
+    odd.coalesce(1).write.csv(f"{folder}/odd", header=True, sep=";")
+    even.coalesce(1).write.csv(f"{folder}/even", header=True, sep=";")
+    import_enums(lake, root, "shop_enums")
+    time.sleep(1.1)  # files and run logs count seconds
+    louder = even.withColumn("name", F.concat("name", F.lit("!")))
+    louder.coalesce(1).write.mode("overwrite").csv(f"{folder}/even", header=True, sep=";")
+    import_enums(lake, root, "shop_enums")
+    return lake.enum("shop_enums", "customer", "account")
+
+
 def _two_versions(t: Source) -> str:
     path = scratch_path(t.spark, "orders")
     orders = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
@@ -206,10 +230,11 @@ def snapshot_versions(t: Source) -> DataFrame:
     return snapshot_history(t.spark, _two_versions(t)).select("version", "rows")
 
 
-@check("read_absent", "SELECT o_orderkey FROM orders WHERE false")
+@check("read_absent", "SELECT o_orderkey, o_orderstatus FROM orders")
 def read_absent(t: Source) -> DataFrame:
-    columns = t.orders.select("o_orderkey").schema
-    return read_or_empty(t.spark, scratch_path(t.spark, "nothing"), columns)
+    """A table that is not there yet adds no rows to one that is."""
+    held = t.orders.select("o_orderkey", "o_orderstatus")
+    return held.unionByName(read_or_empty(t.spark, scratch_path(t.spark, "nothing"), held.schema))
 
 
 @check(
@@ -243,6 +268,96 @@ def land_customers(t: Source) -> DataFrame:
     return read_json_batch(t.spark, f"{lake.path(source)}/2*/*", customers.schema)
 
 
+@check("land_full_micros", "SELECT event_id, user_id, ts FROM events")
+def land_full_micros(t: Source) -> DataFrame:
+    """Landed twice: the second time nothing differs, to the microsecond, and nothing is landed."""
+    lake, source = Lake(t.spark, scratch_path(t.spark, "lake")), TableId(LANDING, "events", "shop")
+    events = t.events.select("event_id", "user_id", "ts")
+    land_full(lake, source, events)
+    land_full(lake, source, events)
+    return read_json_batch(t.spark, f"{lake.path(source)}/2*/*", events.schema)
+
+
+def _two_dates(t: Source, first: DataFrame, second: DataFrame, **options) -> Lake:
+    """A lake in which both batches were landed and applied, on two days."""
+    lake, source = Lake(t.spark, scratch_path(t.spark, "lake")), TableId(LANDING, "orders", "shop")
+    for day, batch in ((10, first), (11, second)):
+        noon = datetime(2024, 1, day, 15, tzinfo=timezone.utc).timestamp()
+        land(lake, source, batch, "Incremental", Run(started=noon), records_per_file=5_000)
+        apply_batches(lake, "shop", "orders", key="o_orderkey", order=None, **options)
+    return lake
+
+
+_ORDERS = TableId(RAW, "orders", "shop")
+
+
+@check(
+    "apply_null_update",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS note,
+              CASE WHEN o_orderstatus <> 'F' OR o_totalprice >= 100000 THEN o_totalprice END AS price
+       FROM orders""",
+)
+def apply_null_update(t: Source) -> DataFrame:
+    """Updates to null: `note` is null in the whole batch, `price` in a part of its records."""
+    orders = t.orders.select("o_orderkey", "o_orderstatus", F.col("o_orderpriority").alias("note"), F.col("o_totalprice").alias("price"))
+    closed = orders.where("o_orderstatus = 'F'").withColumns(
+        {"note": F.lit(None).cast("string"), "price": F.when(F.col("price") >= 100000, F.col("price"))}
+    )
+    lake = _two_dates(t, orders.drop("o_orderstatus"), closed.drop("o_orderstatus"))
+    return lake.read(_ORDERS)
+
+
+@check(
+    "apply_bad_records",
+    """SELECT o_orderkey, 'held' AS state, o_totalprice AS price, NULL::VARCHAR AS record FROM orders
+       WHERE o_orderstatus <> 'F'
+       UNION ALL
+       SELECT NULL, 'rejected', NULL, '{"o_orderkey": ' || o_orderkey FROM orders WHERE o_orderstatus = 'F'
+       UNION ALL
+       SELECT n, 'log', NULL, NULL FROM (SELECT count(*) FILTER (o_orderstatus <> 'F') AS n FROM orders
+                                         UNION ALL SELECT count(*) FILTER (o_orderstatus = 'F') FROM orders)""",
+)
+def apply_bad_records(t: Source) -> DataFrame:
+    """Lines of closed orders are cut off: they are kept apart and counted, the others are held."""
+    lake, source = Lake(t.spark, scratch_path(t.spark, "lake")), TableId(LANDING, "orders", "shop")
+    whole = F.to_json(F.struct("o_orderkey", F.col("o_totalprice").alias("price")))
+    cut = F.concat(F.lit('{"o_orderkey": '), F.col("o_orderkey").cast("string"))
+    lines = t.orders.select(F.when(F.col("o_orderstatus") == "F", cut).otherwise(whole).alias("value"))
+    lines.write.text(f"{batch_path(lake, source, '2024-01-10')}/1")
+    noon = int(datetime(2024, 1, 10, 15, tzinfo=timezone.utc).timestamp())
+    append_runs(t.spark, lake.control_path(source), LANDING_RUN, [Run(started=noon).record(Load_type="Full", Loaded_files=1)])
+    columns = schema(o_orderkey=COUNT, price=REAL)
+    apply_batches(lake, "shop", "orders", key="o_orderkey", order=None, schema=columns)
+    none = F.lit(None)
+    held = lake.read(_ORDERS).select("o_orderkey", F.lit("held").alias("state"), "price", none.cast("string").alias("record"))
+    bad = read_rejected(lake, "shop", "orders").select(
+        none.cast("bigint").alias("o_orderkey"), F.lit("rejected").alias("state"), none.cast("double").alias("price"), "record"
+    )
+    log = read_control(t.spark, lake.control_path(_ORDERS))
+    counts = log.select(F.explode(F.array("Read_Rows", "Bad_Rows")).alias("o_orderkey"), F.lit("log").alias("state"))
+    return held.unionByName(bad).unionByName(counts, allowMissingColumns=True)
+
+
+@check(
+    "apply_type_drift",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE o_custkey END::DOUBLE AS amount,
+              CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE o_custkey::VARCHAR END AS code,
+              'amount: bigint -> double; code: bigint -> string' AS retyped
+       FROM orders""",
+)
+def apply_type_drift(t: Source) -> DataFrame:
+    """Whole numbers at first; later one column has fractions and the other one texts."""
+    orders = t.orders.select(
+        "o_orderkey", "o_orderstatus", F.col("o_custkey").alias("amount"), F.col("o_custkey").alias("code")
+    )
+    closed = t.orders.where("o_orderstatus = 'F'").select(
+        "o_orderkey", F.col("o_totalprice").alias("amount"), F.col("o_orderpriority").alias("code")
+    )
+    lake = _two_dates(t, orders.drop("o_orderstatus"), closed)
+    log = read_control(t.spark, lake.control_path(_ORDERS)).where("Retyped is not null")
+    return lake.read(_ORDERS).withColumn("retyped", log.select("Retyped").scalar())
+
+
 @check(
     "match_landing",
     f"SELECT id, cand_id AS game_id, 1970 + p_size AS release_world FROM ({BEST_MATCH_SQL}) "
