@@ -312,6 +312,24 @@ def best_match_parts(t: Source) -> DataFrame:
     return best_match(left, right).withColumn("similarity", F.round("similarity", 9))
 
 
+@check(
+    "best_match_customers",
+    """WITH scored AS (
+           SELECT a.c_custkey AS id, b.c_custkey AS cand_id,
+                  1 - levenshtein(a.c_name, b.c_name || 'x')::DOUBLE
+                      / greatest(length(a.c_name), length(b.c_name) + 1) AS sim
+           FROM customer a, customer b),
+       top AS (SELECT *, max(sim) OVER (PARTITION BY id) AS best FROM scored WHERE sim > 0.8)
+       SELECT id, min(cand_id) AS cand_id, round(max(sim), 9) AS similarity FROM top
+       WHERE sim = best GROUP BY id HAVING count(*) = 1""",
+)
+def best_match_customers(t: Source) -> DataFrame:
+    """Names that differ in a few digits, against the same names with one letter more."""
+    left = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit(None).cast("int").alias("year"))
+    right = t.customer.select(F.col("c_custkey").alias("cand_id"), F.concat("c_name", F.lit("x")).alias("name"), F.lit(1).alias("year"))
+    return best_match(left, right).withColumn("similarity", F.round("similarity", 9))
+
+
 @check(
     "pick_best",
     """WITH hits AS (
