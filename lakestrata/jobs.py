@@ -1,12 +1,17 @@
 """Command line for the scheduled jobs.
 
+    spark-submit lakestrata/jobs.py land    --root s3a://lake --api igdb --table games --records s3a://in/games --updated-at updated_at
+    spark-submit lakestrata/jobs.py land    --root s3a://lake --api igdb --table genres --records s3a://in/genres --full
+    spark-submit lakestrata/jobs.py match   --root s3a://lake --candidates s3a://in/times
     spark-submit lakestrata/jobs.py enums   --root s3a://lake --folder s3a://lake/enums
     spark-submit lakestrata/jobs.py raw     --root s3a://lake --api igdb --tables games genres
     spark-submit lakestrata/jobs.py context --root s3a://lake [--tables games ...]
     spark-submit lakestrata/jobs.py trust   --root s3a://lake [--tables games_by_genre ...]
     spark-submit lakestrata/jobs.py catalog --root s3a://lake
 
-Storage access comes from the Spark configuration of the cluster.
+Records and candidates are parquet, or with `--format json` JSON lines.  Intermediate
+tables are removed when a job ends.  Storage access comes from the Spark configuration
+of the cluster.
 """
 
 from __future__ import annotations
@@ -15,14 +20,17 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
 from lakestrata.plans.context import CONTEXT_TABLES
-from lakestrata.plans.ingest import apply_batches, import_enums
-from lakestrata.plans.lake import CATALOGUE, CATALOGUE_ENUMS, TIMES, Lake
+from lakestrata.plans.ingest import apply_batches, import_enums, land_full, land_incremental
+from lakestrata.plans.lake import CATALOGUE, CATALOGUE_ENUMS, LANDING, TIMES, Lake, TableId
 from lakestrata.plans.marts import MARTS
+from lakestrata.plans.matching import land_matches
 from lakestrata.plans.runner import TableSpec, build_all
 from lakestrata.session import build_session
 from lakestrata.sources.catalog import sync_catalog
+from lakestrata.sources.scratch import clear_scratch
 
 
 def parser() -> argparse.ArgumentParser:
@@ -34,6 +42,17 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--root", required=True)
         return sub
 
+    land = job("land")
+    land.add_argument("--api", default=CATALOGUE)
+    land.add_argument("--table", required=True)
+    land.add_argument("--records", required=True)
+    how = land.add_mutually_exclusive_group(required=True)
+    how.add_argument("--updated-at", help="column of epoch seconds: land what changed since the last run")
+    how.add_argument("--full", action="store_true", help="land the whole table if it changed")
+    match = job("match")
+    match.add_argument("--candidates", required=True)
+    for sub in (land, match):
+        sub.add_argument("--format", choices=("parquet", "json"), default="parquet")
     enums = job("enums")
     enums.add_argument("--folder", required=True)
     enums.add_argument("--api", default=CATALOGUE_ENUMS)
@@ -42,8 +61,11 @@ def parser() -> argparse.ArgumentParser:
     raw.add_argument("--tables", nargs="+", required=True)
     raw.add_argument("--key", default="id")
     raw.add_argument("--order", default="updated_at")
+    raw.add_argument("--no-order", action="store_const", const=None, dest="order")
+    raw.add_argument("--ties", nargs="+", default=())
+    raw.add_argument("--schema", help="types of the records, as DDL; else as they were landed")
     raw.add_argument("--overwrite-missing", action="store_true")
-    raw.add_argument("--same-day", action="store_true")
+    raw.add_argument("--first-landing-only", action="store_true", help="do not read a second landing on one day")
     context = job("context")
     context.add_argument("--api", choices=(CATALOGUE, TIMES))
     context.add_argument("--tables", nargs="*")
@@ -61,9 +83,15 @@ def _chosen(specs: dict[str, TableSpec], names: Sequence[str] | None) -> list[Ta
     return [s for s in specs.values() if not names or s.target.name in names]
 
 
-def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> list:
-    args = parser().parse_args(argv)
-    lake = Lake(spark or build_session(f"lakestrata-{args.job}"), args.root)
+def run(args: argparse.Namespace, lake: Lake) -> list:
+    if args.job == "land":
+        source = TableId(LANDING, args.table, args.api)
+        records = lake.spark.read.format(args.format).load(args.records)
+        if args.full:
+            return [land_full(lake, source, records)]
+        return [land_incremental(lake, source, records, args.updated_at)]
+    if args.job == "match":
+        return [land_matches(lake, lake.spark.read.format(args.format).load(args.candidates))]
     if args.job == "enums":
         return import_enums(lake, args.folder, args.api)
     if args.job == "raw":
@@ -74,19 +102,34 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
                 table,
                 key=args.key,
                 order=args.order,
+                ties=args.ties,
+                schema=StructType.fromDDL(args.schema) if args.schema else None,
                 overwrite_missing=args.overwrite_missing,
-                same_day=args.same_day,
+                same_day=not args.first_landing_only,
             )
             for table in args.tables
         ]
     if args.job == "catalog":
-        return sync_catalog(lake.spark, lake.root).collect()
+        rows = sync_catalog(lake.spark, lake.root).collect()
+        failed = [f"{r['database']}.{r['table']}: {r['error']}" for r in rows if r["action"] == "failed"]
+        if failed:  # the others are done
+            raise SystemExit("\n".join(failed))
+        return rows
     if args.job == "trust":
         return build_all(lake, _chosen(MARTS, args.tables))
     tables = {k: s for k, s in CONTEXT_TABLES.items() if args.api in (None, s.target.api)}
     return build_all(lake, _chosen(tables, args.tables))
 
 
+def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> list:
+    args = parser().parse_args(argv)
+    lake = Lake(spark or build_session(f"lakestrata-{args.job}"), args.root)
+    try:
+        return run(args, lake)
+    finally:
+        clear_scratch(lake.spark)
+
+
 if __name__ == "__main__":
     for result in main():
         print(result)

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegralType
 
 
+NULL_SALTS = 256  # rows of nulls for rows without a match
+
+
 def lookup(
     df: DataFrame,
     key: str,
@@ -47,20 +50,26 @@ def fan_out(
 
     A left join cannot split a hot key on its right side, an inner join can.
     So every row first learns whether it has a match (against the distinct
-    keys), and rows without one meet a single row of nulls in an inner join.
+    keys), and rows without one meet rows of nulls in an inner join: they are
+    dealt out over NULL_SALTS of these by a hash of their columns, so that they
+    never gather under one key.
     """
     side = other.where(F.col(other_key).isNotNull()).select(
         F.col(other_key).alias("__other_key"),
         *(F.col(source).alias(name) for source, name in take.items()),
+        F.lit(0).cast("bigint").alias("__other_salt"),
     )
-    nothing = df.sparkSession.range(0, 1, 1, numPartitions=1).select(
-        *(F.lit(None).cast(f.dataType).alias(f.name) for f in side.schema.fields)
+    nothing = df.sparkSession.range(0, NULL_SALTS, 1, numPartitions=1).select(
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in side.schema.fields[:-1]),
+        F.col("id").alias("__other_salt"),
     )
     keys = side.select(F.col("__other_key").alias("__match")).distinct()
     known = df.join(keys, df[key] == keys["__match"], "left")
-    return known.join(
-        side.unionByName(nothing), F.col("__match").eqNullSafe(F.col("__other_key"))
-    ).drop("__match", "__other_key")
+    spread = F.xxhash64(*(F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()))
+    salt = F.when(F.col("__match").isNull(), F.pmod(spread, F.lit(NULL_SALTS))).otherwise(F.lit(0))
+    salted = known.withColumn("__salt", salt.cast("bigint"))
+    meet = F.col("__match").eqNullSafe(F.col("__other_key")) & (F.col("__salt") == F.col("__other_salt"))
+    return salted.join(side.unionByName(nothing), meet).drop("__match", "__other_key", "__salt", "__other_salt")
 
 
 def decode(

@@ -25,7 +25,12 @@ from lakestrata.plans.lake import (
 )
 from lakestrata.plans.runner import TableSpec
 
-Step = Callable[[DataFrame, Lake], DataFrame]
+@dataclass(frozen=True)
+class Step:
+    """A change of the records, and the tables it reads for that."""
+
+    change: Callable[[DataFrame, Lake], DataFrame]
+    reads: tuple[TableId, ...] = ()
 
 
 def decoded(
@@ -37,25 +42,30 @@ def decoded(
     into: str | None = None,
 ) -> Step:
     """Decode `column` with the enum list (entity, enum); the enum defaults to the column."""
-    return lambda df, lake: decode(df, column, lake.enum(api, entity, enum or column), into=into)
+    name = enum or column
+    return Step(
+        lambda df, lake: decode(df, column, lake.enum(api, entity, name), into=into),
+        (TableId(RAW, f"{entity}/{name}", api),),
+    )
 
 
 def looked_up(key: str, table: str, take: Mapping[str, str]) -> Step:
     """Swap the id in `key` for columns of a raw table; nothing happens without that table."""
+    source = TableId(RAW, table, CATALOGUE)
 
-    def step(df: DataFrame, lake: Lake) -> DataFrame:
-        dim = lake.read(TableId(RAW, table, CATALOGUE), required=False)
+    def change(df: DataFrame, lake: Lake) -> DataFrame:
+        dim = lake.read(source, required=False)
         return df if dim is None else lookup(df, key, dim, take)
 
-    return step
+    return Step(change, (source,))
 
 
 def replaced(column: str, old: str, new: str) -> Step:
-    return lambda df, lake: df.withColumn(column, F.regexp_replace(column, old, new))
+    return Step(lambda df, lake: df.withColumn(column, F.regexp_replace(column, old, new)))
 
 
 def renamed(mapping: Mapping[str, str]) -> Step:
-    return lambda df, lake: rename(df, mapping)
+    return Step(lambda df, lake: rename(df, mapping))
 
 
 @dataclass(frozen=True)
@@ -67,7 +77,7 @@ class Rule:
     def apply(self, df: DataFrame, lake: Lake) -> DataFrame:
         df = epoch_to_timestamp(drop_columns(df, self.drop), self.epochs)
         for step in self.steps:
-            df = step(df, lake)
+            df = step.change(df, lake)
         return sort_columns(df)
 
 
@@ -200,7 +210,7 @@ def _spec(api: str, name: str, rule: Rule) -> TableSpec:
     raw = TableId(RAW, name, api)
     return TableSpec(
         target=TableId(CONTEXT, name, api),
-        sources=(raw,),
+        sources=(raw, *dict.fromkeys(t for step in rule.steps for t in step.reads)),
         transform=lambda lake: rule.apply(lake.read(raw), lake),
     )
 

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructType
 
 from lakestrata.functions.schemas import TEXT, local_frame, schema
+from lakestrata.sources.folders import table_folders
 from lakestrata.sources.snapshot import current_location
 
-RESULT = schema(database=TEXT, table=TEXT, action=TEXT, error=TEXT)
+FOUND = schema(name=TEXT, path=TEXT)
+RESULT = schema(database=TEXT, table=TEXT, action=TEXT, error=TEXT, columns=TEXT)
 
 # Type names of the SQL catalogue where they differ from Spark's.
 SQL_TYPE_NAMES = {"string": "varchar", "int": "integer"}
@@ -25,27 +26,22 @@ def ddl_type(data_type: DataType) -> str:
     return SQL_TYPE_NAMES.get(name, name)
 
 
+def typed(columns: StructType) -> str:
+    """`name type, ...` in SQL type names."""
+    return ", ".join(f"{f.name} {ddl_type(f.dataType)}" for f in columns.fields)
+
+
 def discover_tables(spark: SparkSession, root: str, layer: str, kind: str) -> DataFrame:
     """Tables of a layer: name, path.  `kind` is 'history' (data) or 'control'.
 
-    A table is a folder `<root>/<layer>/<parts...>`, one to three parts deep,
-    with parquet files under `<kind>/`; its name joins the layer and the parts
-    by `_`, with `-` as `_`.  Only the small files of that kind are listed,
-    never the data files, and none is read.
+    A table is a folder `<root>/<layer>/<parts...>`, at any depth, with a folder
+    `<kind>`; its name joins the layer and the parts by `_`, with `-` as `_`.
     """
-    parts = F.regexp_extract("path", rf"/{layer}/(.+)/{kind}/[^/]+\.parquet$", 1)
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .load(f"{root}/{layer}/{{*,*/*,*/*/*}}/{kind}")
-        .select(parts.alias("parts"))
-        .where("parts != ''")
-        .distinct()
-        .select(
-            F.translate(F.concat_ws("/", F.lit(layer), "parts"), "/-", "__").alias("name"),
-            F.concat_ws("/", F.lit(f"{root}/{layer}"), "parts").alias("path"),
-        )
-    )
+    found = [
+        {"name": f"{layer}/{parts}".translate(str.maketrans("/-", "__")), "path": f"{root}/{layer}/{parts}"}
+        for parts in sorted(table_folders(spark, f"{root}/{layer}", kind))
+    ]
+    return local_frame(spark, FOUND, found)
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:
@@ -77,7 +73,7 @@ def sync_table(
     if not spark.catalog.tableExists(name):
         register_table(spark, database, table, location, columns)
         return "created"
-    same_columns = spark.table(name).columns == columns.names
+    same_columns = typed(spark.table(name).schema) == typed(columns)
     if same_columns and spark.catalog.getTable(name).description == location:
         return "unchanged"
     spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
@@ -96,7 +92,7 @@ def sync_catalog(
 
     Data tables go to a database per layer and point at the current version;
     run logs go to the control database as `ctrl_<name>`.  A table that fails
-    is reported and does not stop the others.
+    is reported and does not stop the others; `columns` has names and SQL types.
     """
     jobs = []
     for layer in data_layers:
@@ -107,14 +103,10 @@ def sync_catalog(
 
     results = []
     for database, layer, kind in jobs:
-        try:
-            found = discover_tables(spark, root, layer, kind).orderBy("name").collect()
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":  # a layer without tables yet
-                continue
-            raise
+        found = discover_tables(spark, root, layer, kind).orderBy("name").collect()
         for table in found:
             name = table["name"] if kind == "history" else f"ctrl_{table['name']}"
+            told = None
             try:
                 if kind == "history":
                     location, columns = current_location(spark, table["path"])
@@ -122,10 +114,10 @@ def sync_catalog(
                     location = f"{table['path']}/control"
                     columns = spark.read.parquet(location).schema
                 action = sync_table(spark, database, name, location, columns)
-                error = None
+                error, told = None, typed(columns)
             except Exception as failure:  # noqa: BLE001 - reported, the others go on
                 action, error = "failed", str(failure)
             results.append(
-                {"database": database, "table": name, "action": action, "error": error}
+                {"database": database, "table": name, "action": action, "error": error, "columns": told}
             )
     return local_frame(spark, RESULT, results)

@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakestrata.sources.folders import delete_folder
+
 
 def shared_dir(spark: SparkSession) -> str:
     """`spark.checkpoint.dir`; where it is unset, the warehouse, which a cluster shares as well."""
@@ -13,9 +15,20 @@ def shared_dir(spark: SparkSession) -> str:
     return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
+_given: list[str] = []  # paths since the last clearing
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; every call gives a new one."""
-    return f"{shared_dir(spark)}/lakestrata/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/lakestrata/{label}-{uuid.uuid4().hex}"
+    _given.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this process; for the end of a job, when none is read any more."""
+    while _given:
+        delete_folder(spark, _given.pop())
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

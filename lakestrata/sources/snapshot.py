@@ -22,6 +22,7 @@ from pyspark.sql.types import StructType
 from lakestrata.functions.schemas import COUNT, TEXT, local_frame, schema
 from lakestrata.operators.changes import schema_diff
 from lakestrata.sources.files import read_or_empty
+from lakestrata.sources.scratch import materialize
 
 HISTORY = schema(version=COUNT, timestamp=COUNT, rows=COUNT, schema=TEXT, run=TEXT)
 
@@ -74,7 +75,9 @@ def write_snapshot(
     """Write the next version; earlier versions are never touched.
 
     Without `evolve` a schema other than the stored one is refused.  `sort_by`
-    range-partitions and sorts the files.  Rows are counted during the write.
+    range-partitions and sorts the files; the sort samples its input, so that is
+    written to the shared folder first, and the sources are read once.  Rows are
+    counted during the write.
     """
     spark = df.sparkSession
     last = _find(spark, path, None)
@@ -85,7 +88,7 @@ def write_snapshot(
     version = 0 if last is None else last["version"] + 1
     run = f"{version:06d}-{uuid.uuid4().hex}"
     counted = Observation(run)
-    ordered = df.orderBy(*sort_by) if sort_by else df
+    ordered = materialize(df, "unsorted").orderBy(*sort_by) if sort_by else df
     (
         ordered.observe(counted, F.count(F.lit(1)).alias("rows"))
         .write.mode("errorifexists")

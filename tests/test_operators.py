@@ -426,3 +426,21 @@ def test_parse_records_keeps_bad_rows_apart(frame, rows):
     good, bad = parse_records(df, "j", schema(a=COUNT, b=TEXT))
     assert rows(good, "id", "a", "b") == [(1, 1, "x"), (3, 2, None)]
     assert rows(bad, "id") == [(2,), (4,)]
+
+
+def test_rows_without_a_match_spread_over_tasks(spark, frame):
+    """No adaptive splitting: the salts alone deal them out."""
+    facts = spark.range(2000).select("id", F.lit(None).cast("long").alias("k"))
+    facts = facts.unionByName(frame("id long, k long", (5000, 1), (5001, 2)))
+    others = frame("ok long, v string", (1, "a"), (1, "b"))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        for key, value in zip(held, ("false", "-1", "8")):
+            spark.conf.set(key, value)
+        out = fan_out(facts, "k", others, {"v": "v"}, other_key="ok")
+        parts = out.where("k is null").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(parts) >= 6 and sum(r["count"] for r in parts) == 2000
+        assert sorted((r["id"], r["v"] or "") for r in out.where("id >= 5000").collect()) == [(5000, "a"), (5000, "b"), (5001, "")]
+    finally:
+        for key, value in held.items():
+            spark.conf.set(key, value)

@@ -21,6 +21,7 @@ from pyspark.sql.types import (
 )
 
 from lakestrata.functions.schemas import merged_schema, schema
+from lakestrata.jobs import main
 from lakestrata.plans.control import (
     LANDING_RUN,
     RAW_RUN,
@@ -47,7 +48,7 @@ from lakestrata.plans.lake import LANDING, RAW, Lake, TableId
 from lakestrata.plans.runner import TableSpec, build_all
 from lakestrata.sources.catalog import ddl_type, discover_tables, sync_catalog
 from lakestrata.sources.files import read_enum_dir, read_or_none, write_json_pages
-from lakestrata.sources.scratch import scratch_path, shared_dir
+from lakestrata.sources.scratch import clear_scratch, materialize, scratch_path, shared_dir
 from lakestrata.sources.snapshot import read_snapshot, snapshot_history, write_snapshot
 
 SOURCE, TARGET = TableId(LANDING, "things", "shop"), TableId(RAW, "things", "shop")
@@ -129,6 +130,36 @@ def test_empty_table_and_sorted_files(spark, frame, tmp_path):
     assert written.rows == 100
 
 
+def test_a_sorted_write_reads_its_sources_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+    source = spark.range(1000, numPartitions=4)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    counted = source.mapInArrow(count, "id long")
+    write_snapshot(counted, str(tmp_path / "t"), sort_by=["id"])
+    assert seen.value == 1000
+
+
+def test_scratch_is_cleared(spark, tmp_path):
+    written = materialize(spark.range(3), "gone").inputFiles()
+    assert written
+    clear_scratch(spark)
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in written)
+
+
+def test_tables_at_any_depth_are_found(spark, tmp_path):
+    deep = "raw/a/b/c/d/e"
+    write_snapshot(spark.range(2), str(tmp_path / deep))
+    (tmp_path / "raw/a/2024-01-01/history").mkdir(parents=True)  # a landing date, no table
+    found = discover_tables(spark, str(tmp_path), "raw", "history").collect()
+    assert [(f["name"], f["path"]) for f in found] == [("raw_a_b_c_d_e", str(tmp_path / deep))]
+    assert discover_tables(spark, str(tmp_path), "nothing", "history").count() == 0
+
+
 # --- gates -------------------------------------------------------------------
 
 
@@ -428,6 +459,31 @@ def test_one_failing_table_does_not_stop_the_rest(lake, spark, frame):
     assert {r["table"]: r["action"] for r in done} == {f"{layer}_good": "created", f"{layer}_bad": "failed"}
 
 
+def test_jobs_alone_fill_a_lake(spark, frame, rows, tmp_path):
+    root, given = str(tmp_path / "lake"), str(tmp_path / "given")
+    frame("id long, name string, first_release_date long, updated_at long", (1, "Halo", 978307200, 5), (2, "Doom", 0, 6)).coalesce(1).write.parquet(f"{given}/games")
+    frame("id long, name string", (7, "Genre")).coalesce(1).write.parquet(f"{given}/genres")
+    frame("game_id long, game_name string, release_world int", (501, "Halo", 2001)).coalesce(1).write.parquet(f"{given}/times")
+    run = lambda *words: main([words[0], "--root", root, *words[1:]], spark)
+    assert run("land", "--table", "games", "--records", f"{given}/games", "--updated-at", "updated_at") == [1]
+    assert run("land", "--table", "genres", "--records", f"{given}/genres", "--full") == [1]
+    assert run("land", "--table", "genres", "--records", f"{given}/genres", "--full") == [0]
+    assert run("raw", "--tables", "games") == [2]
+    assert run("raw", "--tables", "genres", "--no-order", "--ties", "name", "--schema", "id long, name string") == [1]
+    assert run("match", "--candidates", f"{given}/times") == [1]
+    assert run("raw", "--api", "hltb", "--tables", "games", "--order", "extracted_datetime") == [1]
+    assert rows(Lake(spark, root).read(TableId(RAW, "games", "hltb")), "id", "game_id") == [(1, 501)]
+
+
+def test_a_failed_table_fails_the_catalogue_job_at_its_end(spark, frame, tmp_path):
+    root = tmp_path / "lake"
+    write_snapshot(frame("a long", (1,)), str(root / "raw" / "good"))
+    frame("nonsense long", (1,)).write.parquet(str(root / "raw" / "bad" / "history"))
+    with pytest.raises(SystemExit, match="raw_bad"):
+        main(["catalog", "--root", str(root)], spark)
+    assert spark.table("raw.raw_good").count() == 1
+
+
 def test_read_or_none_does_not_hide_other_errors(spark, frame, tmp_path):
     assert read_or_none(spark, str(tmp_path / "nothing")) is None
     (tmp_path / "junk").mkdir()

@@ -634,3 +634,47 @@ def ctx_times(t: Source) -> DataFrame:
         col("1", "comp_lvl_sp"),
     )
     return _plain_times(TIMES_RULES["games"].apply(raw, Tables()))
+
+
+@check(
+    "ctx_involved_companies",
+    f"""SELECT o_orderkey AS id, o_custkey AS company, o_orderstatus = 'O' AS developer, 's' AS slug, {_STAMPS_SQL}
+        FROM orders""",
+)
+def ctx_involved_companies(t: Source) -> DataFrame:
+    raw = _stamped(t, company="o_custkey", developer="o_orderstatus = 'O'")
+    return _plain_times(CATALOGUE_RULES["involved_companies"].apply(raw, Tables()))
+
+
+@check(
+    "ctx_multiplayer_modes",
+    "SELECT o_orderkey AS id, o_orderstatus = 'F' AS lancoop, o_custkey AS game FROM orders",
+)
+def ctx_multiplayer_modes(t: Source) -> DataFrame:
+    raw = t.orders.select(
+        col("o_orderkey", "id"), col("o_orderstatus = 'F'", "lancoop"), col("o_custkey", "game"), col("'x'", "checksum")
+    )
+    return CATALOGUE_RULES["multiplayer_modes"].apply(raw, Tables())
+
+
+@check(
+    "ctx_external_games",
+    f"""SELECT o_orderkey AS id, n_name AS category, 's' AS slug, {_STAMPS_SQL}
+        FROM orders LEFT JOIN nation ON o_custkey % 30 = n_nationkey""",
+)
+def ctx_external_games(t: Source) -> DataFrame:
+    tables = Tables(enums={(CATALOGUE_ENUMS, "external_games", "category"): country_codes(t)})
+    return _plain_times(CATALOGUE_RULES["external_games"].apply(_stamped(t, category="o_custkey % 30"), tables))
+
+
+@check(
+    "ctx_content_descriptions",
+    """SELECT page_id AS id, url AS description, n_name AS category
+       FROM pages LEFT JOIN nation ON page_id % 30 = n_nationkey""",
+)
+def ctx_content_descriptions(t: Source) -> DataFrame:
+    enum = (CATALOGUE_ENUMS, "age_rating_content_description", "category")
+    raw = t.pages.select(
+        col("page_id", "id"), col("url", "description"), col("page_id % 30", "category"), col("'x'", "checksum")
+    )
+    return CATALOGUE_RULES["age_rating_content_descriptions"].apply(raw, Tables(enums={enum: country_codes(t)}))

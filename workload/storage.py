@@ -14,6 +14,7 @@ from pyspark.sql.types import IntegerType
 from lakestrata.functions.schemas import COUNT, REAL, TEXT, schema
 from lakestrata.operators.match import parse_records
 from lakestrata.plans import matching
+from lakestrata.plans.context import CONTEXT_TABLES
 from lakestrata.plans.control import LANDING_RUN, RAW_RUN, TABLE_RUN, Run, append_runs, read_control
 from lakestrata.plans.ingest import (
     apply_batches,
@@ -24,7 +25,7 @@ from lakestrata.plans.ingest import (
     land_incremental,
     read_rejected,
 )
-from lakestrata.plans.lake import CONTEXT, LANDING, RAW, TRUST, Lake, TableId
+from lakestrata.plans.lake import CATALOGUE, CONTEXT, LANDING, RAW, TRUST, Lake, TableId
 from lakestrata.plans.runner import TableSpec, build_all
 from lakestrata.sources.catalog import sync_catalog
 from lakestrata.sources.files import (
@@ -553,3 +554,63 @@ def catalog_sync(t: Source) -> DataFrame:
     for other in counts[1:]:
         result = result.unionByName(other)
     return result
+
+
+@check(
+    "catalog_types",
+    """SELECT o_orderstatus, count(*) AS n, 'o_orderstatus varchar, n bigint' AS columns FROM orders GROUP BY 1""",
+)
+def catalog_types(t: Source) -> DataFrame:
+    """The registered mart, with the SQL types the catalogue shows for it."""
+    lake, specs = _small_lake(t)
+    build_all(lake, specs)
+    synced = sync_catalog(t.spark, lake.root)
+    told = synced.where("table = 'trust_orders_by_status'")
+    return t.spark.table("trust.trust_orders_by_status").withColumn("columns", told.select("columns").scalar())
+
+
+@check(
+    "catalog_drift",
+    """SELECT o_orderkey, o_orderstatus, o_orderstatus = 'O' AS open, o_orderkey % 7 AS extra,
+              'recreated' AS action FROM orders""",
+)
+def catalog_drift(t: Source) -> DataFrame:
+    """A second build with another column: the registered table follows."""
+    lake, specs = _small_lake(t)
+    build_all(lake, specs)
+    sync_catalog(t.spark, lake.root)
+    current = lake.read(specs[0].target).withColumn("extra", F.col("o_orderkey") % 7)
+    write_snapshot(current, lake.path(specs[0].target))
+    action = sync_catalog(t.spark, lake.root).where("table = 'context_shop_orders'").select("action").scalar()
+    return t.spark.table("context.context_shop_orders").withColumn("action", action)
+
+
+@check(
+    "enum_makes_due",
+    """SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'O' THEN 'first' END AS category, 1 AS round FROM orders
+       UNION ALL
+       SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'second' END, 2 FROM orders""",
+)
+def enum_makes_due(t: Source) -> DataFrame:
+    """A context table is built again when an enum list it decodes with was imported anew."""
+    lake = Lake(t.spark, scratch_path(t.spark, "lake"))
+    raw, rounds = TableId(RAW, "websites", CATALOGUE), []
+    orders = t.orders.select(
+        F.col("o_orderkey").alias("id"),
+        F.when(F.col("o_orderstatus") == "O", 1).otherwise(2).cast("bigint").alias("category"),
+        F.lit("c").alias("checksum"),
+    )
+    written = write_snapshot(orders, lake.path(raw))
+    long_ago = Run(started=time.time() - 3600)
+    record = long_ago.record(Loaded_date="2024-01-01", Read_Rows=written.rows, Table_Rows=written.rows)
+    append_runs(t.spark, lake.control_path(raw), RAW_RUN, [record])
+    for number, label in enumerate(("first", "second"), 1):
+        folder = scratch_path(t.spark, "enums")
+        names = t.orders.where("o_orderstatus = 'O'").select(F.lit(label).alias("name"), F.lit("1").alias("value"))
+        names.distinct().coalesce(1).write.csv(f"{folder}/igdb_enum_websites_category.csv", header=True, sep=";")
+        import_enums(lake, folder)
+        time.sleep(1.1)  # run logs count seconds
+        build_all(lake, [CONTEXT_TABLES["context/igdb/websites"]])
+        time.sleep(1.1)
+        rounds.append(lake.read(TableId(CONTEXT, "websites", CATALOGUE)).withColumn("round", F.lit(number)))
+    return rounds[0].unionByName(rounds[1])
