@@ -50,9 +50,9 @@ class FmIndex:
     """Index of word sequences, each with the number of its document.
 
     Words are numbers from 1; a 0 that sorts first ends each sequence.  Besides
-    the compressed sequence itself it holds the common prefixes of neighbours, to
-    shorten a match that cannot go on, and for each row the smallest document
-    among the rows that share the first `window` words.
+    the compressed sequence itself it holds, for each row, the smallest document
+    among the rows that share the first `window` words; the common prefixes of
+    neighbours, which shorten a match that cannot go on, are made when one has to.
     """
 
     NOWHERE = np.iinfo(np.int64).max
@@ -72,26 +72,39 @@ class FmIndex:
         self.counts = np.concatenate([zero, np.cumsum(np.bincount(text, minlength=symbols))])
         self.tree = WaveletMatrix(before, symbols)
         self.symbols = symbols
-        lcp = np.zeros(self.n, np.int32)
-        lcp[1:] = common_prefix(levels, order[:-1], order[1:], end)
-        self.lcp_levels = [lcp]  # minima over 1, 2, 4, ... neighbours
-        while 2 ** len(self.lcp_levels) < self.n:
-            held, step = self.lcp_levels[-1], 1 << (len(self.lcp_levels) - 1)
-            self.lcp_levels.append(np.minimum(held[:-step], held[step:]) if len(held) > step else held[:0])
-        # Runs of rows whose neighbours share `window` words, without the closing 0.
+        self.sorted = order, levels, end
+        self.minima: list[np.ndarray] | None = None
+        # Runs of rows that share their first `window` words, without the closing 0: by the
+        # ranks of the first and of the last 2**k words of the window.
         whole = order + window < end[order]
+        k = window.bit_length() - 1
         new = np.ones(self.n, bool)
-        new[1:] = ~((lcp[1:] >= window) & whole[1:] & whole[:-1])
+        if k < len(levels):
+            tail = np.minimum(order + window - (1 << k), self.n - 1)
+            a, b = levels[k][order], levels[k][tail]
+            new[1:] = ~(whole[1:] & whole[:-1] & (a[1:] == a[:-1]) & (b[1:] == b[:-1]))
         owner = np.repeat(documents, size)[order]
         starts = np.flatnonzero(new)
         lowest = np.minimum.reduceat(np.where(whole, owner, self.NOWHERE), starts)
         self.lowest = lowest[np.cumsum(new) - 1]
 
+    def lcp_levels(self) -> list[np.ndarray]:
+        """Common prefixes of neighbouring rows, and their minima over 2, 4, ... rows; made when first needed."""
+        if self.minima is None:
+            order, levels, end = self.sorted
+            lcp = np.zeros(self.n, np.int32)
+            lcp[1:] = common_prefix(levels, order[:-1], order[1:], end)
+            self.minima = [lcp]
+            while 2 ** len(self.minima) < self.n:
+                held, step = self.minima[-1], 1 << (len(self.minima) - 1)
+                self.minima.append(np.minimum(held[:-step], held[step:]) if len(held) > step else held[:0])
+        return self.minima
+
     def widen(self, low: np.ndarray, high: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Largest row intervals around [low, high) whose rows share `depth` words."""
         low, high = low.copy(), high.copy()
-        for k in reversed(range(len(self.lcp_levels))):
-            minima, step = self.lcp_levels[k], 1 << k
+        for k, minima in reversed(list(enumerate(self.lcp_levels()))):
+            step = 1 << k
             if not len(minima):
                 continue
             at = low - step + 1  # lcp of rows low-step+1 .. low
@@ -121,7 +134,7 @@ class FmIndex:
             todo = todo[~ok]
             if not len(todo):
                 break
-            edges = self.lcp_levels[0]
+            edges = self.lcp_levels()[0]
             left = edges[low[todo]]
             right = np.where(high[todo] < self.n, edges[np.minimum(high[todo], self.n - 1)], 0)
             depth = np.minimum(np.maximum(left, right), length[todo] - 1)

@@ -17,7 +17,7 @@ def suffix_array(words: np.ndarray, group: np.ndarray, end: np.ndarray) -> tuple
     if n == 0:
         return np.empty(0, np.int64), []
     key = group.astype(np.int64) * (int(words.max()) + 1) + words
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     sorted_key = key[order]
     new = np.ones(n, bool)
     new[1:] = sorted_key[1:] != sorted_key[:-1]
@@ -33,7 +33,7 @@ def suffix_array(words: np.ndarray, group: np.ndarray, end: np.ndarray) -> tuple
         then = at + step
         second = np.where(then < end[at], rank[np.minimum(then, n - 1)], -1)
         first = rank[at]
-        sort = np.argsort(first.astype(np.int64) * (n + 1) + second + 1, kind="stable")
+        sort = np.argsort(first.astype(np.int64) * (n + 1) + second + 1, kind="stable")  # runs of equal `first`
         at, first, second = at[sort], first[sort], second[sort]
         order[slots] = at
         new = np.ones(len(at), bool)
@@ -43,6 +43,8 @@ def suffix_array(words: np.ndarray, group: np.ndarray, end: np.ndarray) -> tuple
         levels.append(rank)
         slots = slots[shared(new)]
         step *= 2
+    at = order[slots]  # equal to their ends
+    order[slots] = at[np.argsort(rank[at].astype(np.int64) * n + at)]
     return order, levels
 
 
