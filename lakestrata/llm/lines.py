@@ -3,72 +3,149 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from lakestrata.llm.block_join import block_rows, close_blocks, number_blocks, with_blocks
 from lakestrata.llm.common import fresh, only_ids, slices, text_rows
 from lakestrata.llm.components import connected_components
+from lakestrata.llm.hashing import BASE, SECOND_BASE, Powers
 from lakestrata.llm.simhash import Forest
 from lakestrata.sources.scratch import materialize
 
 LEAST_WORDS = 5  # shorter lines stay as they are
 MOST_BITS = 3
 LEAST_SIMILARITY = 0.8
-# Five bit ranges; at most three differ, so two of them agree in full: ten tables.
-RANGES = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
-TABLES = tuple(combinations(range(len(RANGES)), 2))
-TABLE_SHIFT = 32
+TABLE_SHIFT = 56  # a bucket's number: table above, bits below
+MOST_RANGES = 8
+# Costs of a row in a table and of one comparison in a bucket, in the same unit.
+ROW_COST, PAIR_COST = 1000.0, 1.0
+HASH_BYTES = 1 << 18  # of text hashed at a time: the arrays then fit the processor's caches
+LONG_RUN = 48  # entries of a bucket from which all are compared at once
+PAIRS_AT_ONCE = 1 << 20
 LEAST_BLOCK, MOST_BLOCK, MOST_BLOCK_BYTES = 4096, 1 << 16, 4 << 20
 NORMAL = bytes.maketrans(
-    (string.digits + string.punctuation).encode(), b"0" * 10 + b" " * len(string.punctuation)
+    (string.digits + string.punctuation + "\t\v\f\r").encode(), b"0" * 10 + b" " * (len(string.punctuation) + 4)
 )
-BASE, MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
-def normal_lines(text: str | None) -> list[list[bytes]]:
-    """Words of each line in lower case, digits as 0, ASCII punctuation as space."""
-    return [line.split() for line in (text or "").lower().encode().translate(NORMAL).split(b"\n")]
+@dataclass(frozen=True)
+class Tables:
+    """Pigeonhole tables: bit ranges of a fingerprint, and the groups of ranges that must agree.
+
+    At most `most` of `len(ranges)` ranges can differ, so the others agree in full,
+    and some table has exactly these.
+    """
+
+    ranges: tuple[tuple[int, int], ...]
+    groups: tuple[tuple[int, ...], ...]
+
+    @staticmethod
+    def of(n_ranges: int, most: int) -> Tables:
+        cuts = [64 * i // n_ranges for i in range(n_ranges + 1)]
+        ranges = tuple((a, b - a) for a, b in zip(cuts, cuts[1:]))
+        return Tables(ranges, tuple(combinations(range(n_ranges), n_ranges - most)))
 
+    @staticmethod
+    def choose(n: int, most: int) -> Tables:
+        """The cheapest tables for n fingerprints: more ranges make more rows, but smaller buckets."""
 
-def line_key(words: list[bytes]) -> bytes:
-    return xxhash.xxh3_128_digest(b" ".join(words))
+        def cost(tables: Tables) -> float:
+            bits = min(sum(tables.ranges[r][1] for r in g) for g in tables.groups)
+            return len(tables.groups) * (ROW_COST + PAIR_COST * n / 2 ** (bits + 1))
 
+        return min((Tables.of(k, most) for k in range(most + 1, max(MOST_RANGES, most + 1) + 1)), key=cost)
 
-def mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    def buckets(self, bits: Column) -> Column:
+        """The bucket of a fingerprint in each table."""
+        keys = []
+        for t, group in enumerate(self.groups):
+            key = F.lit(0).cast("bigint")
+            for r in group:
+                start, width = self.ranges[r]
+                part = F.shiftrightunsigned(bits, start).bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))
+                key = F.shiftleft(key, width).bitwiseOR(part)
+            keys.append(key.bitwiseOR(F.lit(t << TABLE_SHIFT).cast("bigint")))
+        return F.array(*keys)
 
+    def first(self, differ: np.ndarray) -> np.ndarray:
+        """The first table in which two fingerprints with these differing bits meet."""
+        same = [(differ >> np.uint64(s)) & np.uint64((1 << w) - 1) == 0 for s, w in self.ranges]
+        out = np.full(len(differ), len(self.groups))
+        for t in reversed(range(len(self.groups))):
+            out[np.logical_and.reduce([same[r] for r in self.groups[t]])] = t
+        return out
 
-def word_hashes(buffer: bytes) -> np.ndarray:
-    """64-bit hashes of the words of a text with single spaces, by sums of powers."""
-    values = np.frombuffer(buffer, np.uint8)
-    space = np.flatnonzero(values == 32)
-    start, stop = np.append(0, space + 1), np.append(space, len(values))
-    n = np.uint64(len(values))
-    up = np.cumprod(np.full(n, BASE, np.uint64))
-    down = np.cumprod(np.full(n, pow(BASE, -1, 1 << 64), np.uint64))
-    sums = np.append(np.uint64(0), np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up))
-    return mixed((sums[stop] - sums[start]) * down[start])
 
+def normalised(text: str | None) -> bytes:
+    """Lower case, digits as 0, ASCII punctuation and white space other than line feeds as space."""
+    return (text or "").lower().encode().translate(NORMAL)
 
-def line_simhashes(lines: list[list[bytes]]) -> np.ndarray:
-    """Bits set in over half of the hashes of a line's words, as signed 64-bit numbers."""
-    if not lines:
+
+def normal_lines(text: str | None) -> list[list[bytes]]:
+    """Words of each normalised line."""
+    return [line.split() for line in normalised(text).split(b"\n")]
+
+
+class LineHasher:
+    """Word hashes, line keys and SimHashes of many texts at once, by sums of powers."""
+
+    def __init__(self):
+        self.letters, self.one, self.two = Powers(BASE), Powers(BASE), Powers(SECOND_BASE)
+
+    def read(self, texts: Sequence[str | None]) -> dict[str, np.ndarray]:
+        """Per line with a word: owner (text), line (from 0), words, key (two numbers), bits."""
+        raw = [normalised(t) for t in texts]
+        values = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+        feed = values == 10
+        blank = feed | (values == 32)
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], blank])))  # beginnings and ends of words in turn
+        start, stop = edge[::2], edge[1::2]
+        sums = self.letters.sums(values.astype(np.uint64) + np.uint64(1))
+        hashes = self.letters.ranges(sums, start, stop)
+        line_of = np.cumsum(feed)[start] if len(start) else np.empty(0, np.int64)
+        first = np.flatnonzero(np.diff(np.concatenate([[-1], line_of])))
+        last = np.append(first[1:], len(hashes))
+        line = line_of[first]
+        # Lines of a text: one more than its line feeds.
+        lines = np.array([r.count(b"\n") + 1 for r in raw], np.int64)
+        begin = np.cumsum(lines) - lines
+        owner = np.searchsorted(begin, line, side="right") - 1
+        key = [p.ranges(p.sums(hashes), first, last) for p in (self.one, self.two)] if len(first) else [hashes, hashes]
+        key[1] = key[1] + (last - first).astype(np.uint64)
+        return {
+            "owner": owner, "line": line - begin[owner], "words": last - first,
+            "key": np.stack(key, axis=1), "bits": majority_bits(hashes, first, last - first),
+        }
+
+    def key_of(self, words: list[bytes]) -> bytes:
+        """Key of one line of words."""
+        return self.read([b" ".join(words).decode()])["key"].tobytes()
+
+
+def majority_bits(hashes: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Bits set in over half of the hashes of each run, as signed numbers.
+
+    Eight lanes count eight bits each in the bytes of one number, over runs of up to 255.
+    """
+    if not len(first):
         return np.empty(0, np.int64)
-    hashes = word_hashes(b" ".join(w for line in lines for w in line))
-    counts = np.array([len(line) for line in lines])
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    sums = np.add.reduceat(bits, np.cumsum(counts) - counts, axis=0, dtype=np.int32)
-    return np.packbits(2 * sums > counts[:, None], axis=1, bitorder="little").view("<i8").ravel()
+    pieces = -(-count // 255)
+    row = np.repeat(np.arange(len(first)), pieces)
+    begin = first[row] + 255 * (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    sums = np.empty((len(row), 8), np.uint64)
+    for lane in range(8):
+        sums[:, lane] = np.add.reduceat((hashes >> np.uint64(lane)) & np.uint64(0x0101010101010101), begin)
+    counts = sums.view(np.uint8).reshape(-1, 8, 8).transpose(0, 2, 1).reshape(-1, 64).astype(np.int32)
+    if len(row) > len(first):
+        counts = np.add.reduceat(counts, np.cumsum(pieces) - pieces, axis=0)
+    return np.packbits(2 * counts > count[:, None], axis=1, bitorder="little").view("<i8").ravel()
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -84,25 +161,26 @@ def edit_distance(a: str, b: str) -> int:
     places: dict[str, int] = {}
     for i, c in enumerate(a):
         places[c] = places.get(c, 0) | 1 << i
-    full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
-    rise, fall, score = full, 0, len(a)
+    full = (1 << len(a)) - 1
+    rise, fall = full, 0
     for c in b:
         equal = places.get(c, 0)
-        down = equal | fall
-        across = (((equal & rise) + rise) ^ rise) | equal
-        more, less = fall | (~(across | rise) & full), rise & across
-        score += bool(more & top) - bool(less & top)
-        more, less = (more << 1) | 1, less << 1
-        rise, fall = (less | ~(down | more)) & full, more & down & full
-    return score
+        level = (((equal & rise) + rise) ^ rise) | equal | fall
+        more = ((fall | ~(level | rise)) << 1 | 1) & full
+        rise, fall = ((level & rise) << 1 | ~(level | more)) & full, more & level
+    return len(b) + rise.bit_count() - fall.bit_count()
 
 
 def similar(a: str, b: str, least: float) -> bool:
     """1 - edit distance / longer length >= least."""
     longer = max(len(a), len(b), 1)
-    if abs(len(a) - len(b)) > (1 - least) * longer + 1e-9:
+    most = (1 - least) * longer + 1e-9
+    if abs(len(a) - len(b)) > most:
         return False
-    return 1 - edit_distance(a, b) / longer >= least - 1e-12
+    wa, wb = a.split(" "), b.split(" ")
+    if len(wa) == len(wb) and sum(max(len(x), len(y)) for x, y in zip(wa, wb) if x != y) <= most:
+        return True  # words replaced one by one are no fewer edits
+    return edit_distance(a, b) <= most
 
 
 def line_rows(docs: DataFrame, least_words: int, id_col: str, text_col: str) -> DataFrame:
@@ -110,20 +188,19 @@ def line_rows(docs: DataFrame, least_words: int, id_col: str, text_col: str) ->
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, line long, key binary, bits long"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 1 << 20):
-            owner, number, lines = [], [], []
-            for i, text in enumerate(part.column("text").to_pylist()):
-                for k, words in enumerate(normal_lines(text)):
-                    if len(words) >= least_words:
-                        owner.append(i)
-                        number.append(k)
-                        lines.append(words)
+        hasher = LineHasher()
+        for part in slices(batches, "text", HASH_BYTES):
+            found = hasher.read(part.column("text").to_pylist())
+            keep = np.flatnonzero(found["words"] >= least_words)
+            keys = np.ascontiguousarray(found["key"][keep])
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("id").take(pa.array(owner, pa.int64())),
-                    pa.array(number, pa.int64()),
-                    pa.array(map(line_key, lines), pa.binary()),
-                    pa.array(line_simhashes(lines)),
+                    part.column("id").take(pa.array(found["owner"][keep])),
+                    pa.array(found["line"][keep]),
+                    pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(keep), [None, pa.py_buffer(keys.tobytes())]).cast(
+                        pa.binary()
+                    ),
+                    pa.array(found["bits"][keep]),
                 ],
                 names=["id", "line", "key", "bits"],
             )
@@ -131,29 +208,6 @@ def line_rows(docs: DataFrame, least_words: int, id_col: str, text_col: str) ->
     return text_rows(docs, id_col, text_col).mapInArrow(run, schema)
 
 
-def bucket_keys(bits: Column) -> Column:
-    """For each table its number and the bits of its two ranges."""
-    keys = []
-    for t, pair in enumerate(TABLES):
-        key = F.lit(t)
-        for r in pair:
-            start, width = RANGES[r]
-            part = F.shiftrightunsigned(bits, start).bitwiseAND(F.lit((1 << width) - 1))
-            key = F.shiftleft(key.cast("bigint"), TABLE_SHIFT // 2).bitwiseOR(part)
-        keys.append(key)
-    return F.array(*keys)
-
-
-def first_table(differ: np.ndarray) -> np.ndarray:
-    """The first table in which two fingerprints with these differing bits meet."""
-    same = [(differ >> np.uint64(s)) & np.uint64((1 << w) - 1) == 0 for s, w in RANGES]
-    out = np.full(len(differ), len(TABLES))
-    for t in reversed(range(len(TABLES))):
-        a, b = TABLES[t]
-        out[same[a] & same[b]] = t
-    return out
-
-
 def bucket_blocks(rows: DataFrame, extra: list[str]) -> DataFrame:
     """Rows (bucket, bits, extra ...) sorted by bucket, in blocks: low, high, buckets, entries, extra lists."""
     n = rows.count()
@@ -190,7 +244,7 @@ def bucket_blocks(rows: DataFrame, extra: list[str]) -> DataFrame:
     return number_blocks(materialize(blocks, "line_blocks"))
 
 
-def close_in_buckets(row: dict, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def close_in_buckets(row: dict, most: int, tables: Tables) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions in blocks a and b of entries of one bucket within `most` bits; each pair in its first table."""
     same = row["a"] == row["b"]
     ka, kb = (np.frombuffer(row[f"{s}_buckets"], "<i8") for s in ("a", "b"))
@@ -200,12 +254,26 @@ def close_in_buckets(row: dict, most: int) -> Iterator[tuple[np.ndarray, np.ndar
         differ = va[i] ^ vb[j]
         near = np.bitwise_count(differ) <= most
         i, j, differ = i[near], j[near], differ[near]
-        first = first_table(differ) == ka[i] >> TABLE_SHIFT
+        first = tables.first(differ) == ka[i] >> TABLE_SHIFT
         return i[first], j[first]
 
+    def close_in_run(v: np.ndarray, start: int, stop: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        run = v[start:stop]
+        rows = max(1, PAIRS_AT_ONCE // len(run))
+        for k in range(0, len(run), rows):
+            i, j = np.nonzero(np.bitwise_count(run[k : k + rows, None] ^ run[None, k:]) <= most)
+            later = j > i
+            yield checked(i[later] + start + k, j[later] + start + k)
+
     if same:
-        i = np.arange(len(ka) - 1)
-        for step in range(1, len(ka)):
+        edges = np.flatnonzero(np.diff(ka)) + 1
+        starts, stops = np.append(0, edges), np.append(edges, len(ka))
+        long = stops - starts >= LONG_RUN
+        for start, stop in zip(starts[long].tolist(), stops[long].tolist()):
+            yield from close_in_run(va, start, stop)
+        short = np.repeat(~long, stops - starts)
+        i = np.flatnonzero(short[:-1])
+        for step in range(1, LONG_RUN):
             i = i[i + step < len(ka)]
             i = i[ka[i] == ka[i + step]]  # sorted: a run that ended stays ended
             if not len(i):
@@ -214,7 +282,7 @@ def close_in_buckets(row: dict, most: int) -> Iterator[tuple[np.ndarray, np.ndar
         return
     for bucket in np.intersect1d(ka, kb):
         own, other = np.flatnonzero(ka == bucket), np.flatnonzero(kb == bucket)
-        step = max(1, (1 << 20) // len(other))
+        step = max(1, PAIRS_AT_ONCE // len(other))
         for k in range(0, len(own), step):
             i = np.repeat(own[k : k + step], len(other))
             yield checked(i, np.tile(other, len(own[k : k + step])))
@@ -240,13 +308,13 @@ def join_buckets(
     return with_blocks(pairs, blocks, ["buckets", "entries", *extra]).mapInArrow(run, schema)
 
 
-def partnered(lines: DataFrame, most: int) -> DataFrame:
+def partnered(lines: DataFrame, most: int, tables: Tables) -> DataFrame:
     """(bucket, bits) of fingerprints that have another line within `most` bits there."""
-    rows = lines.select("bits", F.explode(bucket_keys(F.col("bits"))).alias("bucket"))
+    rows = lines.select("bits", F.explode(tables.buckets(F.col("bits"))).alias("bucket"))
 
     def work(row: dict) -> Iterator[pa.RecordBatch]:
         for_a, for_b = [], []
-        for i, j in close_in_buckets(row, most):
+        for i, j in close_in_buckets(row, most, tables):
             for_a.append(np.unique(i))
             for_b.append(np.unique(j))
         for side, found in (("a", for_a), ("b", for_b)):
@@ -266,14 +334,14 @@ def line_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = LineHasher()
         for part in slices(batches, "text", 1 << 20):
-            keys, texts = [], []
+            texts: list[str] = []
             for text, lines in zip(part.column("text").to_pylist(), part.column("lines").to_pylist()):
-                normal = normal_lines(text)
-                for k in lines:
-                    if k < len(normal):
-                        keys.append(line_key(normal[k]))
-                        texts.append(b" ".join(normal[k]).decode())
+                raw = normalised(text).split(b"\n")
+                chosen = [b" ".join(raw[k].split()).decode() for k in sorted(lines) if k < len(raw)]
+                texts += [c for c in chosen if c]
+            keys = [k.tobytes() for k in hasher.read(["\n".join(texts)])["key"]]
             arrays = [pa.array(keys, pa.binary()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=["key", "text"])
 
@@ -281,7 +349,7 @@ def line_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
     return found.groupBy("key").agg(F.min("text").alias("text"))  # repeated ids give a line twice
 
 
-def similar_links(candidates: DataFrame, most: int, least: float) -> DataFrame:
+def similar_links(candidates: DataFrame, most: int, least: float, tables: Tables) -> DataFrame:
     """Links (a, b) of line keys that connect all pairs of `candidates` that pass both tests.
 
     `candidates`: bucket, bits, key, text.  Pairs that are connected already need no test.
@@ -290,7 +358,7 @@ def similar_links(candidates: DataFrame, most: int, least: float) -> DataFrame:
     def work(row: dict) -> Iterator[pa.RecordBatch]:
         forest, kept = Forest(), []
         offset = 0 if row["a"] == row["b"] else len(row["a_key"])
-        for i, j in close_in_buckets(row, most):
+        for i, j in close_in_buckets(row, most, tables):
             for x, y in zip(i.tolist(), j.tolist()):
                 if forest.root(x) != forest.root(y + offset) and similar(row["a_text"][x], row["b_text"][y], least):
                     forest.join(x, y + offset)
@@ -302,29 +370,28 @@ def similar_links(candidates: DataFrame, most: int, least: float) -> DataFrame:
     return join_buckets(candidates, ["key", "text"], work, "a binary, b binary")
 
 
-def kept_places(
+def removed_places(
     docs: DataFrame, least_words: int, most: int, least: float, id_col: str, text_col: str
 ) -> DataFrame:
-    """(id, places): for each document the lines (line, key) that are the kept ones of their groups."""
-    rows = line_rows(docs, least_words, id_col, text_col)
+    """(id, line) of every line that is not the kept one of its group."""
+    rows = materialize(line_rows(docs, least_words, id_col, text_col), "line_rows")
     lines = materialize(
         rows.groupBy("key").agg(F.min(F.struct("id", "line")).alias("place"), F.min("bits").alias("bits")), "lines"
     )
-    active = materialize(partnered(lines, most), "partnered")
+    tables = Tables.choose(lines.count(), most)
+    active = materialize(partnered(lines, most, tables), "partnered")
     near = materialize(active.join(lines, "bits").select("bucket", "bits", "key", "place.id", "place.line"), "near")
     texts = line_texts(docs, near.select("key", "id", "line").distinct(), id_col, text_col)
     candidates = materialize(near.select("bucket", "bits", "key").join(texts, "key"), "candidates")
-    groups = connected_components(similar_links(candidates, most, least))
-    root = F.coalesce("component", "key")
-    place = F.struct(F.col("place.id").alias("id"), F.col("place.line").alias("line"), F.col("key"))
+    groups = connected_components(similar_links(candidates, most, least, tables))
     kept = (
         lines.join(groups.withColumnRenamed("id", "key"), "key", "left")
-        .groupBy(root.alias("root"))
-        .agg(F.min(place).alias("kept"))
-    )
-    return kept.groupBy(F.col("kept.id").alias("id")).agg(
-        F.collect_list(F.struct("kept.line", "kept.key")).alias("places")
+        .groupBy(F.coalesce("component", "key").alias("root"))
+        .agg(F.min("place").alias("place"))
+        .select(F.col("place.id").alias("kept_id"), F.col("place.line").alias("kept_line"))
     )
+    here = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("line") == F.col("kept_line"))
+    return rows.select("id", "line").join(kept, here, "left_anti")
 
 
 def dedup_lines(
@@ -348,40 +415,32 @@ def dedup_lines(
     tables would miss links.
 
     Defined cases: a null text stays null and has no lines; a text may become empty,
-    its row stays.  Rows with equal ids are one document: equal lines at equal
-    places in them stay or go together.  A null id sorts first.  An empty table
-    gives no rows.  Names that `docs` has already get a trailing underscore.
+    its row stays.  Rows with equal ids are one document: a line number that goes in
+    one of them goes in all, and equal rows stay or go together.  A null id sorts
+    first.  An empty table gives no rows.  Names that `docs` has already get a
+    trailing underscore.
     """
-    if not 0 <= most_bits <= len(RANGES) - 2:
-        raise ValueError(f"most_bits must be from 0 to {len(RANGES) - 2}")
-    kept = kept_places(docs, least_words, most_bits, least_similarity, id_col, text_col)
+    if not 0 <= most_bits < MOST_RANGES:
+        raise ValueError(f"most_bits must be from 0 to {MOST_RANGES - 1}")
+    removed = removed_places(docs, least_words, most_bits, least_similarity, id_col, text_col)
     columns = docs.columns
     n_lines = fresh(columns, "n_lines")
     n_removed = fresh([*columns, n_lines], "n_removed")
-    held, key = fresh(columns, "kept_places"), fresh(columns, "kept_id")
-    joined = docs.join(
-        kept.select(F.col("id").alias(key), F.col("places").alias(held)), F.col(id_col).eqNullSafe(F.col(key)), "left"
-    ).drop(key)
-    schema = StructType([*docs.schema.fields, StructField(n_lines, LongType()), StructField(n_removed, LongType())])
-    at = columns.index(text_col)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text_col, 2 << 20):
-            texts, counts, removed = [], [], []
-            for text, places in zip(part.column(text_col).to_pylist(), part.column(held).to_pylist()):
-                kept_here = {(p["line"], p["key"]) for p in places or ()}
-                lines = [] if text is None else text.split("\n")
-                words = normal_lines(text) if lines else []
-                stay = [
-                    line
-                    for i, (line, own) in enumerate(zip(lines, words))
-                    if len(own) < least_words or (i, line_key(own)) in kept_here
-                ]
-                texts.append(None if text is None else "\n".join(stay))
-                counts.append(len(lines))
-                removed.append(len(lines) - len(stay))
-            arrays = [part.column(c) for c in columns]
-            arrays[at] = pa.array(texts, arrays[at].type)
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(counts), pa.array(removed)], names=schema.names)
-
-    return joined.mapInArrow(run, schema)
+    held, key = fresh(columns, "removed_lines"), fresh(columns, "removed_id")
+    by_id = materialize(
+        removed.groupBy(F.col("id").alias(key)).agg(F.collect_set("line").alias(held)), "removed_lines"
+    )
+    joined = docs.join(by_id, F.col(id_col).eqNullSafe(F.col(key)), "left").drop(key)
+    text = F.col(text_col)
+    every = F.split(text, "\n", -1)
+    stay = F.filter(every, lambda _, i: ~F.array_contains(held, i.cast("bigint")))
+    return (
+        joined.withColumns(
+            {
+                n_lines: F.when(text.isNull(), 0).otherwise(F.size(every)).cast("bigint"),
+                n_removed: F.when(text.isNull() | F.col(held).isNull(), 0).otherwise(F.size(every) - F.size(stay)).cast("bigint"),
+            }
+        )
+        .withColumn(text_col, F.when(F.col(held).isNull(), text).otherwise(F.array_join(stay, "\n")))
+        .select(*(F.col(f"`{c}`") for c in columns), n_lines, n_removed)
+    )

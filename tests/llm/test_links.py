@@ -207,6 +207,16 @@ def test_edit_distance():
     assert fuzzy.similar("abcde", "abcdx", 0.8) and not fuzzy.similar("abcde", "abxyx", 0.8) and fuzzy.similar("", "", 0.8)
 
 
+def word_hash(word):
+    """The bits of a line of one word are the word's hash."""
+    if word not in WORD_HASHES:
+        WORD_HASHES[word] = int(fuzzy.LineHasher().read([word])["bits"][0]) & (1 << 64) - 1
+    return WORD_HASHES[word]
+
+
+WORD_HASHES = {}
+
+
 def brute_lines(rows, most=3, least=0.8, words=5):
     places, bits = {}, {}
     for id_, text in rows:
@@ -214,7 +224,7 @@ def brute_lines(rows, most=3, least=0.8, words=5):
             if len(own) >= words:
                 line = b" ".join(own).decode()
                 places.setdefault(line, []).append((id_ is not None, id_ or 0, k))
-                hashes = [int(h) for h in fuzzy.word_hashes(line.encode())]
+                hashes = [word_hash(w) for w in line.split(" ")]
                 bits[line] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
     names = sorted(places)
     links = [
@@ -238,6 +248,8 @@ def brute_lines(rows, most=3, least=0.8, words=5):
 
 def test_lines_against_brute_force(docs, spark, monkeypatch):
     monkeypatch.setattr(fuzzy, "LEAST_BLOCK", 16)
+    monkeypatch.setattr(fuzzy, "LONG_RUN", 3)
+    monkeypatch.setattr(fuzzy.Tables, "choose", staticmethod(lambda n, most: fuzzy.Tables.of(5, most)))
     rng = random.Random(10)
     vocabulary = ["w" + hashlib.md5(str(i).encode()).hexdigest()[:5] for i in range(200)]
     base = [" ".join(rng.choice(vocabulary) for _ in range(60)) for _ in range(25)]
@@ -257,7 +269,25 @@ def test_lines_against_brute_force(docs, spark, monkeypatch):
     assert all(r["n_removed"] <= r["n_lines_"] for r in got)
     assert fuzzy.dedup_lines(rows.limit(0)).count() == 0
     with pytest.raises(ValueError):
-        fuzzy.dedup_lines(rows, most_bits=4)
+        fuzzy.dedup_lines(rows, most_bits=8)
+
+
+def test_line_hasher_counts_lines_and_words():
+    texts = ["x " * 70_000 + "y", "", "\n\na\tb", None, "A, b\nq 7"]
+    found = fuzzy.LineHasher().read(texts)
+    places = list(zip(found["owner"].tolist(), found["line"].tolist(), found["words"].tolist()))
+    assert places == [(0, 0, 70_001), (2, 2, 2), (4, 0, 2), (4, 1, 2)]
+    assert (found["key"][1] == found["key"][2]).all() and found["bits"][1] == found["bits"][2]
+    assert len({tuple(k) for k in found["key"].tolist()}) == 3
+
+
+@pytest.mark.parametrize("n", [1, 10**7, 10**10, 10**13])
+def test_some_table_holds_every_close_pair(n):
+    rng, tables = random.Random(13), fuzzy.Tables.choose(n, 3)
+    assert sum(w for _, w in tables.ranges) == 64
+    for _ in range(200):
+        differ = sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3)))
+        assert tables.first(np.array([differ], np.uint64))[0] < len(tables.groups)
 
 
 def test_query_op3(spark):
@@ -308,9 +338,9 @@ def brute_substrings(rows, window):
     return out
 
 
-@pytest.mark.parametrize(("window", "hot"), [(50, 2000), (7, 2000), (7, 3), (1, 2000)])
+@pytest.mark.parametrize(("window", "hot"), [(50, 2000), (7, 2000), (7, 2), (1, 2000)])
 def test_substrings_against_brute_force(docs, monkeypatch, window, hot):
-    monkeypatch.setattr(substrings, "HOT_PIECES", hot)
+    monkeypatch.setattr(substrings, "MOST_PIECES", hot)
     monkeypatch.setattr(substrings, "SHARD_WORDS", 500)
     rng = random.Random(12)
 
