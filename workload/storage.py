@@ -401,20 +401,9 @@ def _landed(t: Source) -> Lake:
         "2024-01-20": second.select(*columns).drop("props"),
         "2024-01-30": third.unionByName(stale).select(*columns),
     }
-    runs = []
     for date, batch in batches.items():
-        write_json_pages(batch, f"{batch_path(lake, source, date)}/1", 5_000)
         noon = datetime.fromisoformat(f"{date}T15:00:00").replace(tzinfo=timezone.utc)
-        runs.append(
-            {
-                "Exec_date": f"{date} 12:00:00",
-                "Exec_time": int(noon.timestamp()),
-                "Load_type": "Incremental",
-                "Loaded_files": 1,
-                "Total_duration": "00:00:00",
-            }
-        )
-    append_runs(t.spark, lake.control_path(source), LANDING_RUN, runs)
+        land(lake, source, batch, "Incremental", Run(started=noon.timestamp()), records_per_file=5_000)
     return lake
 
 
