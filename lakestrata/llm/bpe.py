@@ -24,7 +24,7 @@ from lakestrata.llm.common import fresh, slices
 
 NONE = -1
 SCALAR_FROM = 96  # longer pieces go one by one
-PIECES_HELD = 400_000  # encodings a task keeps; it then starts anew
+PIECES_HELD = 150_000  # encodings a task keeps; it then starts anew
 BYTES_AT_ONCE = 1 << 20
 PAIR_SHIFT = 20  # ids are below 2**20
 MEMO_BITS = 19  # recent verdicts on pairs of tokens
@@ -165,21 +165,25 @@ class PrefixEncoder:
         self.size = np.array([len(t) for t in v.tokens], np.int32)
         self.left, self.right = v.left, v.right
         self.pairs = PairTable(v.left, v.right)
-        self.merged = {
-            (int(a), int(b)): i for i, (a, b) in enumerate(zip(v.left, v.right)) if len(v.tokens[i]) > 1
-        }
+        self.merges: dict[tuple[int, int], int] = {}
         nodes = len(v.parent)
-        self.goto = np.zeros((nodes, 256), np.int32)
+        inner = np.zeros(nodes, bool)
+        inner[v.parent] = True
+        # Transitions by byte; a node without children has those of its longest proper suffix.
+        self.row = np.where(inner, np.cumsum(inner) - 1, 0).astype(np.int32)
+        self.goto = np.zeros((int(inner.sum()), 256), np.int32)
         fail, best = np.zeros(nodes, np.int32), v.token.copy()
         ends = v.depth_ends
         for depth in range(len(ends)):
             here = np.arange(ends[depth - 1] if depth else 0, ends[depth])
             if depth:
-                self.goto[here] = self.goto[fail[here]]
+                own, leaf = here[inner[here]], here[~inner[here]]
+                self.row[leaf] = self.row[fail[leaf]]
+                self.goto[self.row[own]] = self.goto[self.row[fail[own]]]
                 best[here] = np.where(v.token[here] != NONE, v.token[here], best[fail[here]])
             if depth + 1 < len(ends):
                 below = np.arange(ends[depth], ends[depth + 1])
-                up, by = v.parent[below], v.label[below]
+                up, by = self.row[v.parent[below]], v.label[below]
                 fail[below] = self.goto[up, by] if depth else 0
                 self.goto[up, by] = below
         self.best = best  # the longest token that ends at a node's text
@@ -189,6 +193,13 @@ class PrefixEncoder:
         self.longest = int(self.size.max())
         self.memo = np.zeros(1 << MEMO_BITS, np.int64)  # pair and verdict; 0 is no pair that gets there
 
+    def merged(self) -> dict[tuple[int, int], int]:
+        """Token of a pair, for pieces that are encoded one by one; made when first needed."""
+        if not self.merges:
+            pairs = zip(self.left.tolist(), self.right.tolist())
+            self.merges = {pair: i for i, pair in enumerate(pairs) if len(self.tokens[i]) > 1}
+        return self.merges
+
     def checked_pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """`compatible` for arrays, remembering recent verdicts."""
         keys = (((a.astype(np.int64) << PAIR_SHIFT) | b) << 1) + 2
@@ -224,9 +235,9 @@ class PrefixEncoder:
         """The last token of every prefix of `piece`; `known` are those of its first prefixes."""
         last, state = list(known), 0
         for byte in piece[max(0, len(last) - self.longest) : len(last)]:
-            state = self.goto[state, byte]
+            state = self.goto[self.row[state], byte]
         for i in range(len(last), len(piece)):
-            state = self.goto[state, piece[i]]
+            state = self.goto[self.row[state], piece[i]]
             last.append(self.next_token(last, i, int(self.best[state])))
         return last
 
@@ -234,7 +245,7 @@ class PrefixEncoder:
         """The one valid token that ends at byte i; `token` is the longest that ends there."""
         while True:
             before = i - int(self.size[token])
-            if before < 0 or compatible(last[before], token, self.left, self.right, self.merged):
+            if before < 0 or compatible(last[before], token, self.left, self.right, self.merged()):
                 return token
             token = int(self.shorter[token])
 
@@ -269,7 +280,7 @@ class PrefixEncoder:
         state = np.zeros(len(pieces), np.int32)
         for i in range(int(size[0]) if len(size) else 0):
             live = int(np.searchsorted(-size, -i, side="left"))
-            state = self.goto[state[:live], flat[start[:live] + i]]
+            state = self.goto[self.row[state[:live]], flat[start[:live] + i]]
             token, todo = self.best[state], np.arange(live)
             while True:
                 before = i - self.size[token[todo]]
@@ -433,7 +444,7 @@ def encode_texts(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer(vocabulary.value, pattern)
-        for part in slices(batches, held, 2 << 20):
+        for part in slices(batches, held, 1 << 20):
             ids = tokenizer.encode_all(part.column(held).to_pylist())
             arrays = [part.column(c) for c in columns] + [int_lists(ids)]
             if decoded_col is not None:
