@@ -27,6 +27,7 @@ MOST_RANGES = 8
 # Costs of a row in a table and of one comparison in a bucket, in the same unit.
 ROW_COST, PAIR_COST = 1000.0, 1.0
 HASH_BYTES = 1 << 18  # of text hashed at a time: the arrays then fit the processor's caches
+LOOK_EVERY = 64  # columns of an edit table after which it may be given up
 LONG_RUN = 48  # entries of a bucket from which all are compared at once
 PAIRS_AT_ONCE = 1 << 20
 LEAST_BLOCK, MOST_BLOCK, MOST_BLOCK_BYTES = 4096, 1 << 16, 4 << 20
@@ -148,8 +149,11 @@ def majority_bits(hashes: np.ndarray, first: np.ndarray, count: np.ndarray) -> n
     return np.packbits(2 * counts > count[:, None], axis=1, bitorder="little").view("<i8").ravel()
 
 
-def edit_distance(a: str, b: str) -> int:
-    """Levenshtein distance, a column of the table at a time in the bits of one integer."""
+def edit_distance(a: str, b: str, most: float = float("inf")) -> int:
+    """Levenshtein distance, a column of the table at a time in the bits of one integer.
+
+    Where all ways through a column are longer than `most`, the shortest of them is returned.
+    """
     begin = 0
     while begin < min(len(a), len(b)) and a[begin] == b[begin]:
         begin += 1
@@ -163,7 +167,11 @@ def edit_distance(a: str, b: str) -> int:
         places[c] = places.get(c, 0) | 1 << i
     full = (1 << len(a)) - 1
     rise, fall = full, 0
-    for c in b:
+    for j, c in enumerate(b):
+        if j % LOOK_EVERY == 0 and j and most < len(a) + len(b):
+            least = least_through(rise, fall, j, len(a), len(b))
+            if least > most:
+                return least
         equal = places.get(c, 0)
         level = (((equal & rise) + rise) ^ rise) | equal | fall
         more = ((fall | ~(level | rise)) << 1 | 1) & full
@@ -171,6 +179,16 @@ def edit_distance(a: str, b: str) -> int:
     return len(b) + rise.bit_count() - fall.bit_count()
 
 
+def least_through(rise: int, fall: int, column: int, m: int, n: int) -> int:
+    """Smallest distance that a way through this column can still have."""
+    up, down = (
+        np.unpackbits(np.frombuffer(x.to_bytes(m // 8 + 1, "little"), np.uint8), bitorder="little")[:m].astype(np.int64)
+        for x in (rise, fall)
+    )
+    held = column + np.concatenate([[0], np.cumsum(up - down)])
+    return int((held + np.abs((m - np.arange(m + 1)) - (n - column))).min())
+
+
 def similar(a: str, b: str, least: float) -> bool:
     """1 - edit distance / longer length >= least."""
     longer = max(len(a), len(b), 1)
@@ -180,7 +198,7 @@ def similar(a: str, b: str, least: float) -> bool:
     wa, wb = a.split(" "), b.split(" ")
     if len(wa) == len(wb) and sum(max(len(x), len(y)) for x, y in zip(wa, wb) if x != y) <= most:
         return True  # words replaced one by one are no fewer edits
-    return edit_distance(a, b) <= most
+    return edit_distance(a, b, most) <= most
 
 
 def line_rows(docs: DataFrame, least_words: int, id_col: str, text_col: str) -> DataFrame:
@@ -380,7 +398,7 @@ def removed_places(
     )
     tables = Tables.choose(lines.count(), most)
     active = materialize(partnered(lines, most, tables), "partnered")
-    near = materialize(active.join(lines, "bits").select("bucket", "bits", "key", "place.id", "place.line"), "near")
+    near = materialize(active.hint("merge").join(lines, "bits").select("bucket", "bits", "key", "place.id", "place.line"), "near")
     texts = line_texts(docs, near.select("key", "id", "line").distinct(), id_col, text_col)
     candidates = materialize(near.select("bucket", "bits", "key").join(texts, "key"), "candidates")
     groups = connected_components(similar_links(candidates, most, least, tables))
@@ -430,17 +448,20 @@ def dedup_lines(
     by_id = materialize(
         removed.groupBy(F.col("id").alias(key)).agg(F.collect_set("line").alias(held)), "removed_lines"
     )
-    joined = docs.join(by_id, F.col(id_col).eqNullSafe(F.col(key)), "left").drop(key)
-    text = F.col(text_col)
+    # Merge joins also where one side is small: the plan is then the same at every size.
+    joined = docs.join(by_id.hint("merge"), F.col(id_col).eqNullSafe(F.col(key)), "left").drop(key)
+    text, stay = F.col(text_col), fresh([*columns, n_lines, n_removed, held], "staying_lines")
     every = F.split(text, "\n", -1)
-    stay = F.filter(every, lambda _, i: ~F.array_contains(held, i.cast("bigint")))
+    kept = F.filter(every, lambda _, i: ~F.array_contains(held, i.cast("bigint")))
+    counted = joined.withColumns(
+        {
+            n_lines: F.when(text.isNull(), 0).otherwise(F.size(every)).cast("bigint"),
+            stay: F.when(F.col(held).isNotNull(), kept),
+        }
+    )
+    gone = F.when(F.col(stay).isNull(), 0).otherwise(F.col(n_lines) - F.size(stay)).cast("bigint")
     return (
-        joined.withColumns(
-            {
-                n_lines: F.when(text.isNull(), 0).otherwise(F.size(every)).cast("bigint"),
-                n_removed: F.when(text.isNull() | F.col(held).isNull(), 0).otherwise(F.size(every) - F.size(stay)).cast("bigint"),
-            }
-        )
-        .withColumn(text_col, F.when(F.col(held).isNull(), text).otherwise(F.array_join(stay, "\n")))
+        counted.withColumn(n_removed, gone)
+        .withColumn(text_col, F.when(F.col(stay).isNull(), text).otherwise(F.array_join(stay, "\n")))
         .select(*(F.col(f"`{c}`") for c in columns), n_lines, n_removed)
     )
