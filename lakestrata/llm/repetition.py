@@ -24,16 +24,18 @@ class RepetitionRules:
 
     A text fails the second one if maximal repeats of `least_repeat` words or more
     cover over `most_covered` of its characters, or if one repeat is longer than
-    `longest_repeat` words and than `longest_share` of the text.
+    `longest_repeat` words and than `longest_share` of the text.  By default the
+    longest repeat is limited in words alone: two copies of a tenth of a text are
+    more than the base rule lets through, so a share would decide nothing.
     """
 
     least_words: int = 10
     window: int = 5
     most_repeat_percent: int = 20
     least_repeat: int = 10
-    most_covered: float = 0.20
+    most_covered: float = 0.10  # clearly below the share that the base rule allows
     longest_repeat: int = 50
-    longest_share: float = 0.10
+    longest_share: float = 0.0
 
 
 STATS = (

@@ -172,6 +172,29 @@ def test_the_longest_repeat_alone_can_fail_a_text():
     assert not measure([text], rules)["kept"][0] and measure([text.replace("a5", "c5", 1)], rules)["longest_repeat"][0] < 30
 
 
+def test_the_second_rule_rejects_what_the_base_accepts():
+    def words(name, n):
+        return [f"{name}{i}" for i in range(n)]
+
+    def around(passages, rest):
+        step = len(rest) // (2 * len(passages))
+        return " ".join(w for k, p in enumerate(passages * 2) for w in p + rest[k * step : (k + 1) * step])
+
+    texts = {
+        "a tenth twice": around([words("p", 390)], words("a", 3220)),
+        "a passage in a long text": around([words("p", 60)], words("a", 99_880)),
+        "many short repeats": around([words(f"p{k}x", 15) for k in range(5)], words("a", 850)),
+        "few short repeats": around([words(f"p{k}x", 15) for k in range(2)], words("a", 940)),
+        "a short repeat in a long text": around([words("p", 50)], words("a", 99_900)),
+        "clean": " ".join(words("a", 100_000)),
+    }
+    found = measure(list(texts.values()), RepetitionRules())
+    assert found["n_words"].tolist() == [4000, 100_000, 1000, 1000, 100_000, 100_000]
+    assert found["longest_repeat"].tolist() == [390, 60, 15, 15, 50, 0]
+    assert not found["base_failed"].any()
+    assert found["kept"].tolist() == [False, False, False, True, True, True]
+
+
 def brute_tokens(reference, text, sections, rule):
     """Tokens and shares per section, byte by byte."""
     owner, at = [], 0
