@@ -369,6 +369,14 @@ def test_query_op10_and_an_empty_table(spark, docs):
     assert substrings.dedup_substrings(docs().limit(0)).count() == 0
 
 
+def test_query_op10_with_a_null_text(spark, docs, tmp_path):
+    shared = " ".join(f"s{i}" for i in range(60))
+    docs((1, shared), (2, None), (3, f"own {shared}"), (4, "")).write.parquet(f"{tmp_path}/documents.parquet")
+    digest = {t: hashlib.sha256(t.encode()).hexdigest() for t in (shared, "own", "")}
+    got = {r["doc_id"]: tuple(r)[1:] for r in CHECKS["op10_fm_substring"].run(spark, str(tmp_path)).collect()}
+    assert got == {1: (60, 0, digest[shared]), 2: (0, 0, digest[""]), 3: (61, 60, digest["own"]), 4: (0, 0, digest[""])}
+
+
 def test_pipeline_against_its_stages(spark):
     """Every stage by brute force on what the one before kept."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
