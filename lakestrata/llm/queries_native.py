@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lakestrata.llm.filter_audit import audit_orders
 from lakestrata.llm.mixing import poisson_mix
 from lakestrata.llm.preference import format_pairs
 from lakestrata.llm.registry import check, table
@@ -148,3 +149,57 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("secrets")).alias("spans"),
     )
+
+
+def audit_conditions() -> dict[str, Column | None]:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
+    capitals = F.length(F.regexp_replace(text, "[^A-Z]+", ""))
+    return {
+        "A": F.size(words) < 100,
+        "B": 100 * F.size(F.array_distinct(words)) < 80 * F.size(words),
+        "C": 100 * capitals > 10 * F.length(text),
+        "D": text.rlike("[#$%&*|]"),
+        "E": None,
+    }
+
+
+AUDIT_SQL = r"""
+    WITH docs AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+    firsts AS (SELECT t, min(doc_id) AS least FROM docs GROUP BY t),
+    flags AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    split AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM docs JOIN firsts USING (t)),
+    judged AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                      concat(CASE WHEN len(words) < 100 THEN 'A' END,
+                             CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' END,
+                             CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 10 * length(t) THEN 'C' END,
+                             CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+                             CASE WHEN doc_id > least THEN 'E' END) AS failed
+               FROM split LEFT JOIN flags USING (doc_id)),
+    cells AS (SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+              FROM judged GROUP BY ALL),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS o
+               FROM letters a, letters b, letters c, letters d, letters e
+               WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    met AS (SELECT *, coalesce((SELECT min(strpos(o, x)) FROM letters WHERE contains(failed, x)), 6) AS gone FROM cells, orders),
+    steps AS (SELECT part, o, step, substr(o, step, 1) AS f, sum(n) FILTER (gone > step) AS kept,
+                     sum(n) FILTER (gone = step) AS removed,
+                     sum(n) FILTER (contains(failed, substr(o, step, 1)) AND gone < step) AS redundant,
+                     sum(n) FILTER (failed = substr(o, step, 1)) AS unique_fails,
+                     sum(n_good) FILTER (gone = step) AS good_lost, sum(n_toxic) FILTER (gone = step) AS toxic_lost
+              FROM met, (SELECT unnest(range(1, 6)) AS step) GROUP BY ALL)
+    SELECT part, o AS filter_order, step::integer AS step, coalesce(kept, 0)::bigint AS kept, coalesce(removed, 0)::bigint AS removed,
+           coalesce(redundant, 0)::bigint AS redundant, coalesce(unique_fails, 0)::bigint AS unique_fails,
+           coalesce(good_lost, 0)::bigint AS good_lost, coalesce(toxic_lost, 0)::bigint AS toxic_lost,
+           coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::bigint AS shapley
+    FROM steps
+"""
+
+
+@check("op13_filter_audit", AUDIT_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Five filters per language, in all 120 orders."""
+    labels = table(spark, folder, "labels")
+    flags = labels.select("doc_id", (F.col("quality") == 1).alias("good"), (F.col("toxic") == 1).alias("toxic"))
+    return audit_orders(table(spark, folder, "documents"), audit_conditions(), part=F.col("lang"), flags=flags)
