@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lakestrata.llm.filter_audit import audit_orders
 from lakestrata.llm.mixing import poisson_mix
 from lakestrata.llm.preference import format_pairs
+from lakestrata.llm.ranked_search import search_ranked
 from lakestrata.llm.registry import check, table
 from lakestrata.llm.secret_scan import ALL_RULES, BASE_RULES, find_secrets, listed
 
@@ -203,3 +204,30 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels")
     flags = labels.select("doc_id", (F.col("quality") == 1).alias("good"), (F.col("toxic") == 1).alias("toxic"))
     return audit_orders(table(spark, folder, "documents"), audit_conditions(), part=F.col("lang"), flags=flags)
+
+
+SEARCH_SQL = r"""
+    WITH folded AS (SELECT doc_id, row_number() OVER () AS d,
+                           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+    sized AS (SELECT d, doc_id, len(terms)::bigint AS n, terms FROM folded WHERE len(terms) > 0),
+    total AS (SELECT count(*)::hugeint AS docs, sum(n)::hugeint AS l FROM sized),
+    tfs AS (SELECT d, term, count(*)::hugeint AS tf FROM (SELECT d, unnest(terms) AS term FROM sized) GROUP BY ALL),
+    weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::hugeint AS w
+                FROM tfs, total GROUP BY term, docs),
+    norms AS (SELECT d, doc_id, 25 + (75 * n * docs) // l AS m FROM sized, total),
+    asked AS (SELECT item_id, row_number() OVER () AS i,
+                     unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    queries AS (SELECT i, item_id, term, count(*) AS q FROM asked GROUP BY ALL),
+    scores AS (SELECT i, item_id, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint AS score
+               FROM queries JOIN tfs USING (term) JOIN weights USING (term) JOIN norms USING (d) GROUP BY i, item_id, d, doc_id),
+    ranked AS (SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::integer AS rank, doc_id, score
+               FROM scores WHERE score > 0)
+    SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+@check("op12_ranked_search", SEARCH_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return search_ranked(table(spark, folder, "benchmark"), table(spark, folder, "documents"), most=10)
