@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SLICE_BYTES = 8 << 20
 
@@ -62,3 +63,15 @@ def only_ids(rows: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
         return rows
     wanted = F.broadcast(ids.select(F.col(ids.columns[0]).alias("only_id")))
     return rows.join(wanted, F.col(id_col).eqNullSafe(F.col("only_id")), "left_semi")
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a job that has written its table go at once, not when the driver forgets the plan."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)

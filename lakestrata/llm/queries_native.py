@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakestrata.llm.filter_audit import audit_orders
+from lakestrata.llm.kneser_ney import score_texts
 from lakestrata.llm.mixing import poisson_mix
 from lakestrata.llm.preference import format_pairs
 from lakestrata.llm.ranked_search import search_ranked
@@ -231,3 +232,57 @@ SEARCH_SQL = r"""
 @check("op12_ranked_search", SEARCH_SQL)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return search_ranked(table(spark, folder, "benchmark"), table(spark, folder, "documents"), most=10)
+
+
+KN_SQL = r"""
+    WITH bytes AS (SELECT doc_id, row_number() OVER () AS d, text, coalesce(doc_id::varchar, '') AS s FROM documents),
+    marked AS (SELECT *, list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, length(s) + 1), lambda i: ascii(s[i])::bigint)),
+                          lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)),
+                                                   lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)) AS crc
+               FROM bytes),
+    docs AS (SELECT doc_id, d, xor(crc, 4294967295) % 5 = 1 AS held_out,
+                    list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[^\x20\x09-\x0D]+'), chr(10)) AS words FROM marked),
+    tokens AS (SELECT d, held_out, unnest(words) AS w, unnest(list_prepend(chr(13), words[:-2])) AS v FROM docs),
+    ones AS (SELECT w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY w),
+    pairs AS (SELECT v, w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY v, w),
+    before AS (SELECT w, count(*) AS c FROM pairs GROUP BY w),
+    after AS (SELECT v, sum(c) AS t, count(*) FILTER (c = 1) AS n1, count(*) FILTER (c = 2) AS n2, count(*) FILTER (c > 2) AS n3
+              FROM pairs GROUP BY v),
+    total AS (SELECT coalesce(sum(c), 0)::bigint AS n, count(*) AS v FROM ones),
+    kinds AS (SELECT 1 AS l, c FROM before UNION ALL SELECT 2, c FROM pairs),
+    counted AS (SELECT l, sum(c) AS t, count(*) FILTER (c = 1) AS n1, count(*) FILTER (c = 2) AS n2, count(*) FILTER (c = 3) AS n3,
+                       count(*) FILTER (c = 4) AS n4, count(*) FILTER (c > 2) AS more FROM kinds GROUP BY l),
+    found AS (SELECT *, 1 - 2 * y * n2 / n1 AS e1, 2 - 3 * y * n3 / n2 AS e2, 3 - 4 * y * n4 / n3 AS e3
+              FROM (SELECT *, n1::double / (n1 + 2 * n2) AS y FROM counted)),
+    less AS (SELECT l, t, n1, n2, more, n1 > 0 AND n2 > 0 AND n3 > 0 AND n4 > 0 AND e1 BETWEEN 0 AND 1 AND e2 BETWEEN 0 AND 2
+                    AND e3 BETWEEN 0 AND 3 AS fits, CASE WHEN fits THEN e1 ELSE 0.5 END AS d1, CASE WHEN fits THEN e2 ELSE 1.0 END AS d2,
+                    CASE WHEN fits THEN e3 ELSE 1.5 END AS d3 FROM found),
+    one AS (SELECT t::double AS t1, d1 * n1 + d2 * n2 + d3 * more AS held1, d1 AS a1, d2 AS a2, d3 AS a3 FROM less WHERE l = 1),
+    two AS (SELECT d1, d2, d3 FROM less WHERE l = 2),
+    placed AS (SELECT x.d, coalesce(o.c, 0) AS seen, coalesce(b.c, 0) AS b, coalesce(p.c, 0) AS c, a.t, a.n1, a.n2, a.n3
+               FROM tokens x LEFT JOIN ones o ON x.w = o.w LEFT JOIN before b ON x.w = b.w LEFT JOIN after a ON x.v = a.v
+               LEFT JOIN pairs p ON x.v = p.v AND x.w = p.w),
+    scored AS (SELECT d, seen, log10((seen + 0.5::double) / (n + 0.5::double * (v + 1))) AS base, c, t, n1, n2, n3, d1, d2, d3,
+                      coalesce((greatest(b - CASE b WHEN 0 THEN 0 WHEN 1 THEN a1 WHEN 2 THEN a2 ELSE a3 END, 0) + held1 / (v + 1)) / t1,
+                               1::double / (v + 1)) AS low
+               FROM placed CROSS JOIN total LEFT JOIN one ON true LEFT JOIN two ON true),
+    final AS (SELECT d, seen, base, CASE WHEN t IS NULL THEN low ELSE
+                     (greatest(c - CASE c WHEN 0 THEN 0 WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END, 0) + (d1 * n1 + d2 * n2 + d3 * n3) * low) / t
+                     END AS p FROM scored),
+    summed AS (SELECT d, count(*) AS n_tokens, count(*) FILTER (seen > 0) AS n_known, sum(base) AS base_score, sum(log10(p)) AS score
+               FROM final GROUP BY d)
+    SELECT doc_id, held_out, n_tokens, n_known, n AS train_tokens, base_score, score
+    FROM docs JOIN summed USING (d) CROSS JOIN total
+"""
+
+
+@check("op11_kneser_ney", KN_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Bigram model of four fifths of the documents; a document without an id is learned from."""
+    docs = table(spark, folder, "documents")
+    fifth = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)), F.lit(0))
+    scored = score_texts(docs, fifth != 1, order=2)
+    return scored.withColumnRenamed("id", "doc_id").select(
+        "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
