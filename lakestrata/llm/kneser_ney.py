@@ -29,6 +29,7 @@ from lakestrata.sources.scratch import materialize
 BLOCK_TOKENS = 2_000_000  # of a block: some 150 MB in a worker
 SHARD_TOKENS = 4_000_000  # tokens a shard stands for, so at most as many hashes while it is added up
 PIECE_KEYS = 500_000  # of a stored row of the model
+SLICE = 1 << 17  # tokens worked on at a time
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 BEGIN, END = xxhash.xxh3_64_intdigest(b"\r"), xxhash.xxh3_64_intdigest(b"\n")  # no word holds these
@@ -98,31 +99,36 @@ class Grams:
         if learning:
             chosen = np.repeat(self.learn > 0, self.lengths)
             local, self.lengths = local[chosen], self.lengths[self.learn > 0]
-        self.hashes = words[local.astype(np.int64)]
+        self.hashes = words[local.astype(np.int32)]
+        starts = np.cumsum(self.lengths) - self.lengths
         self.first = np.zeros(len(self.hashes), bool)
-        self.first[(np.cumsum(self.lengths) - self.lengths)] = True
-        self.position = np.arange(len(self.hashes)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        self.first[starts] = True
+        self.position = np.arange(len(self.hashes), dtype=np.int32) - np.repeat(starts.astype(np.int32), self.lengths)
         self.levels: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
 
     def level(self, n: int) -> tuple[np.ndarray, np.ndarray, int]:
         """Sorted keys of the n-grams; the index of the one that ends at each token; that of n marks of a beginning."""
         if n not in self.levels:
-            begin = np.uint64(BEGIN)
-            key, opening = np.zeros(len(self.hashes), np.uint64), np.zeros(1, np.uint64)
-            for back in reversed(range(n)):
-                word = np.full(len(self.hashes), begin)
-                inside = self.position >= back
-                word[inside] = self.hashes[np.flatnonzero(inside) - back]
-                key = mixed(key * _STEP + word)
-                opening = mixed(opening * _STEP + begin)
-            keys, index = np.unique(np.append(key, opening), return_inverse=True)
+            size = len(self.hashes)
+            key, opening = np.zeros(size + 1, np.uint64), np.zeros(1, np.uint64)
+            for a in range(0, size, SLICE):
+                b = min(a + SLICE, size)
+                for back in reversed(range(n)):
+                    at = np.arange(a - back, b - back)
+                    word = np.where(self.position[a:b] >= back, self.hashes[at], np.uint64(BEGIN))
+                    key[a:b] = mixed(key[a:b] * _STEP + word)
+            for _ in range(n):
+                opening = mixed(opening * _STEP + np.uint64(BEGIN))
+            key[size] = opening[0]
+            keys, index = np.unique(key, return_inverse=True)
+            index = index.astype(np.int32)
             self.levels[n] = keys, index[:-1], int(index[-1])
         return self.levels[n]
 
     def histories(self, n: int) -> np.ndarray:
         """Index among the n-grams of the n tokens before each token."""
         _, index, opening = self.level(n)
-        before = np.empty(len(index), np.int64)
+        before = np.empty(len(index), np.int32)
         before[1:] = index[:-1]
         before[self.first] = opening
         return before
@@ -309,30 +315,41 @@ def _score(model: NgramModel, id_type: pa.DataType):
             def column(level: int, i: int) -> np.ndarray:
                 return np.concatenate([unpack(a[i]) for a in answers[level]]).astype(np.int64)
 
-            doc = np.repeat(np.arange(len(grams.lengths)), grams.lengths)
-            seen = column(1, -1)[grams.level(1)[1]]
-            base = np.log10((seen + 0.5) / (tokens + 0.5 * (words + 1)))
-            p = np.full(len(doc), 1 / (words + 1))
-            for level in range(1, order + 1):
-                count, less = column(level, 0)[grams.level(level)[1]], np.array(taken[level - 1])
-                if level == 1:
-                    total = np.full(len(doc), singles[3])
-                    held_back = np.full(len(doc), float(np.dot(less[1:], singles[:3])))
-                else:
-                    before = grams.histories(level - 1)
-                    total = column(level - 1, 1)[before]
-                    held_back = sum(less[k] * column(level - 1, 1 + k)[before] for k in (1, 2, 3))
-                known = total > 0
-                own = np.maximum(count - less[np.minimum(count, 3)], 0)
-                p[known] = (own[known] + held_back[known] * p[known]) / total[known]
+            def take(values: np.ndarray, at: np.ndarray, a: int) -> np.ndarray:
+                return values[at[a : a + SLICE]]
+
             n = len(grams.lengths)
+            doc = np.repeat(np.arange(n, dtype=np.int32), grams.lengths)
+            held = {level: [column(level, i) for i in range(len(answers[level][0]))] for level in range(1, order + 1)}
+            answers.clear()
+            ends = {level: grams.level(level)[1] for level in range(1, order + 1)}
+            befores = {level: grams.histories(level - 1) for level in range(2, order + 1)}
+            n_known, base_score, score = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+            for a in range(0, len(doc), SLICE):
+                seen, of = take(held[1][-1], ends[1], a), doc[a : a + SLICE]
+                p = np.full(len(of), 1 / (words + 1))
+                for level in range(1, order + 1):
+                    count, less = take(held[level][0], ends[level], a), np.array(taken[level - 1])
+                    if level == 1:
+                        total = np.full(len(of), singles[3])
+                        held_back = np.full(len(of), float(np.dot(less[1:], singles[:3])))
+                    else:
+                        _, histories, *kinds = held[level - 1][:5]
+                        total = take(histories, befores[level], a)
+                        held_back = sum(less[k] * take(kinds[k - 1], befores[level], a) for k in (1, 2, 3))
+                    known = total > 0
+                    own = np.maximum(count - less[np.minimum(count, 3)], 0)
+                    p[known] = (own[known] + held_back[known] * p[known]) / total[known]
+                n_known += np.bincount(of[seen > 0], minlength=n)
+                base_score += np.bincount(of, np.log10((seen + 0.5) / (tokens + 0.5 * (words + 1))), n)
+                score += np.bincount(of, np.log10(p), n)
             result = [
                 pa.array(block["ids"], id_type),
                 pa.array(grams.learn > 0),
                 pa.array(grams.lengths, pa.int64()),
-                pa.array(np.bincount(doc[seen > 0], minlength=n), pa.int64()),
-                pa.array(np.bincount(doc, base, n)),
-                pa.array(np.bincount(doc, np.log10(p), n)),
+                pa.array(n_known, pa.int64()),
+                pa.array(base_score),
+                pa.array(score),
             ]
             yield pa.RecordBatch.from_arrays(result, ["id", "learned", "n_tokens", "n_known", "base_score", "score"])
 
