@@ -9,8 +9,9 @@
     spark-submit lakestrata/jobs.py trust   --root s3a://lake [--tables games_by_genre ...]
     spark-submit lakestrata/jobs.py catalog --root s3a://lake
 
-Records and candidates are parquet, or with `--format json` JSON lines.  Intermediate
-tables are removed when a job ends.  Storage access comes from the Spark configuration
+Records and candidates are parquet, or with `--format json` JSON lines.  Tables of a job are
+built side by side; one that fails is logged and fails the job at its end, and only those that
+read it are left out.  Intermediate tables are removed when a job ends.  Storage access comes from the Spark configuration
 of the cluster.
 """
 
@@ -24,10 +25,10 @@ from pyspark.sql.types import StructType
 
 from lakestrata.plans.context import CONTEXT_TABLES
 from lakestrata.plans.ingest import apply_batches, import_enums, land_full, land_incremental
-from lakestrata.plans.lake import CATALOGUE, CATALOGUE_ENUMS, LANDING, TIMES, Lake, TableId
+from lakestrata.plans.lake import CATALOGUE, CATALOGUE_ENUMS, LANDING, RAW, TIMES, Lake, TableId
 from lakestrata.plans.marts import MARTS
 from lakestrata.plans.matching import land_matches
-from lakestrata.plans.runner import TableSpec, build_all
+from lakestrata.plans.runner import PARALLEL, BuildResult, TableSpec, build_all, failures, run_tables
 from lakestrata.session import build_session
 from lakestrata.sources.catalog import sync_catalog
 from lakestrata.sources.scratch import clear_scratch
@@ -69,7 +70,10 @@ def parser() -> argparse.ArgumentParser:
     context = job("context")
     context.add_argument("--api", choices=(CATALOGUE, TIMES))
     context.add_argument("--tables", nargs="*")
-    job("trust").add_argument("--tables", nargs="*")
+    trust = job("trust")
+    trust.add_argument("--tables", nargs="*")
+    for sub in (raw, context, trust):
+        sub.add_argument("--parallel", type=int, default=PARALLEL, help="tables that are built at the same time")
     job("catalog")
     return top
 
@@ -83,6 +87,36 @@ def _chosen(specs: dict[str, TableSpec], names: Sequence[str] | None) -> list[Ta
     return [s for s in specs.values() if not names or s.target.name in names]
 
 
+def _done(results: list[BuildResult]) -> list[BuildResult]:
+    if failed := failures(results):  # the others are done
+        raise SystemExit("\n".join(failed))
+    return results
+
+
+def _rows(results: list[BuildResult]) -> list[int | None]:
+    return [r.rows for r in _done(results)]
+
+
+def _apply_all(args: argparse.Namespace, lake: Lake) -> list[BuildResult]:
+    """Unread batches of every named table; the tables do not read each other."""
+
+    def apply(table: TableId) -> BuildResult:
+        rows = apply_batches(
+            lake,
+            args.api,
+            table.name,
+            key=args.key,
+            order=args.order,
+            ties=args.ties,
+            schema=StructType.fromDDL(args.schema) if args.schema else None,
+            overwrite_missing=args.overwrite_missing,
+            same_day=not args.first_landing_only,
+        )
+        return BuildResult(table.folder, rows is not None, rows=rows)
+
+    return run_tables(lake, [TableId(RAW, t, args.api) for t in args.tables], {}, apply, parallel=args.parallel)
+
+
 def run(args: argparse.Namespace, lake: Lake) -> list:
     if args.job == "land":
         source = TableId(LANDING, args.table, args.api)
@@ -95,30 +129,17 @@ def run(args: argparse.Namespace, lake: Lake) -> list:
     if args.job == "enums":
         return import_enums(lake, args.folder, args.api)
     if args.job == "raw":
-        return [
-            apply_batches(
-                lake,
-                args.api,
-                table,
-                key=args.key,
-                order=args.order,
-                ties=args.ties,
-                schema=StructType.fromDDL(args.schema) if args.schema else None,
-                overwrite_missing=args.overwrite_missing,
-                same_day=not args.first_landing_only,
-            )
-            for table in args.tables
-        ]
+        return _rows(_apply_all(args, lake))
     if args.job == "catalog":
         rows = sync_catalog(lake.spark, lake.root).collect()
         failed = [f"{r['database']}.{r['table']}: {r['error']}" for r in rows if r["action"] == "failed"]
         if failed:  # the others are done
             raise SystemExit("\n".join(failed))
         return rows
-    if args.job == "trust":
-        return build_all(lake, _chosen(MARTS, args.tables))
-    tables = {k: s for k, s in CONTEXT_TABLES.items() if args.api in (None, s.target.api)}
-    return build_all(lake, _chosen(tables, args.tables))
+    tables = MARTS
+    if args.job == "context":
+        tables = {k: s for k, s in CONTEXT_TABLES.items() if args.api in (None, s.target.api)}
+    return _done(build_all(lake, _chosen(tables, args.tables), parallel=args.parallel))
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> list:

@@ -28,29 +28,24 @@ LANDING_RUN = schema(
 MATCHED_LANDING_RUN = StructType(
     [*LANDING_RUN.fields, StructField("IGDB_Game_Version", COUNT, nullable=False)]
 )
-# The last two are additions: records kept apart, and columns whose type had to change.
+_CLOCK = schema(nullable=False, Exec_date=TEXT, Exec_time=COUNT, Total_duration=TEXT).fields
+# The last ones are additions: records kept apart, columns whose type had to change, and why
+# a run failed.  A failed run has no counts and is no run to the gates.
 RAW_RUN = StructType(
     [
+        *_CLOCK,
         *schema(
-            nullable=False,
-            Exec_date=TEXT,
-            Exec_time=COUNT,
-            Loaded_date=TEXT,
-            Read_Rows=COUNT,
-            Table_Rows=COUNT,
-            Total_duration=TEXT,
+            Loaded_date=TEXT, Read_Rows=COUNT, Table_Rows=COUNT, Bad_Rows=COUNT, Retyped=TEXT, Error=TEXT
         ).fields,
-        StructField("Bad_Rows", COUNT),
-        StructField("Retyped", TEXT),
     ]
 )
-TABLE_RUN = schema(
-    nullable=False, Exec_date=TEXT, Exec_time=COUNT, Table_Rows=COUNT, Total_duration=TEXT
-)
+TABLE_RUN = StructType([*_CLOCK, *schema(Table_Rows=COUNT, Error=TEXT).fields])
 
 # Fixed value: dates are those of GMT-3.
 OFFSET_HOURS = -3
 
+ERROR_CHARS = 2000  # of a reason that is logged
+
 
 @dataclass
 class Run:
@@ -95,6 +90,13 @@ def append_run(
     append_runs(spark, path, columns, [record])
 
 
+def append_failure(spark: SparkSession, path: str, columns: StructType, run: Run, error: Exception) -> str:
+    """Log a run that failed, with its reason; returns the reason."""
+    reason = f"{type(error).__name__}: {error}"[:ERROR_CHARS]
+    append_run(spark, path, columns, run.record(Error=reason))
+    return reason
+
+
 def read_control(spark: SparkSession, path: str) -> DataFrame:
     """A run log that must exist."""
     return spark.read.parquet(path)
@@ -105,9 +107,14 @@ def control_or_empty(spark: SparkSession, path: str, columns: StructType) -> Dat
     return read_or_empty(spark, path, columns)
 
 
+def succeeded(control: DataFrame) -> DataFrame:
+    """The runs of a log that did not fail."""
+    return control.where(F.col("Error").isNull()) if "Error" in control.columns else control
+
+
 def last_run(control: DataFrame) -> DataFrame:
-    """One row `last_run`: time of the newest run, null if there was none."""
-    return control.agg(F.max("Exec_time").alias("last_run"))
+    """One row `last_run`: time of the newest run, null if there was none; failed runs do not count."""
+    return succeeded(control).agg(F.max("Exec_time").alias("last_run"))
 
 
 def last_run_time(control: DataFrame) -> int | None:
@@ -160,7 +167,7 @@ def unread_dates(
         local_date(F.col("Exec_time"), offset_hours).alias("exec_date"), "Exec_time"
     )
     if target_control is not None:
-        read = target_control.agg(
+        read = succeeded(target_control).agg(
             F.max("Loaded_date").alias("last_date"), F.max("Exec_time").alias("last_time")
         )
         later = F.col("exec_date") > F.coalesce(read.select("last_date").scalar(), F.lit(""))

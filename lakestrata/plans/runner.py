@@ -1,10 +1,13 @@
-"""Build tables in order, each only when a source is newer."""
+"""Build tables side by side, each after the tables it reads and only when one of them is newer."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
+from graphlib import TopologicalSorter
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
@@ -13,6 +16,7 @@ from lakestrata.plans.control import (
     RAW_RUN,
     TABLE_RUN,
     Run,
+    append_failure,
     append_run,
     control_or_empty,
     is_stale,
@@ -20,6 +24,9 @@ from lakestrata.plans.control import (
 from lakestrata.plans.lake import LANDING, RAW, Lake, TableId
 from lakestrata.sources.snapshot import write_snapshot
 
+# Fixed value: tables that are built at the same time.
+PARALLEL = 8
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -33,10 +40,25 @@ class TableSpec:
 
 @dataclass(frozen=True)
 class BuildResult:
+    """What became of a table: `state` is built, fresh (no source is newer), failed, or waiting.
+
+    A waiting table reads, directly or not, one that failed in the same run.
+    """
+
     table: str
     built: bool
     version: int | None = None
     rows: int | None = None
+    error: str | None = None
+    waits_for: str | None = None
+
+    @property
+    def state(self) -> str:
+        if self.error is not None:
+            return "failed"
+        if self.waits_for is not None:
+            return "waiting"
+        return "built" if self.built else "fresh"
 
 
 def run_schema(table: TableId) -> StructType:
@@ -53,10 +75,7 @@ def build_table(lake: Lake, spec: TableSpec) -> BuildResult:
     run = Run()
     log_path = lake.control_path(spec.target)
     target_log = control_or_empty(spark, log_path, TABLE_RUN)
-    source_logs = [
-        control_or_empty(spark, lake.control_path(s), run_schema(s)).select("Exec_time")
-        for s in spec.sources
-    ]
+    source_logs = [control_or_empty(spark, lake.control_path(s), run_schema(s)) for s in spec.sources]
     if not is_stale(target_log, source_logs):
         return BuildResult(spec.target.folder, built=False)
     written = write_snapshot(spec.transform(lake), lake.path(spec.target), sort_by=spec.sort_by)
@@ -64,6 +83,71 @@ def build_table(lake: Lake, spec: TableSpec) -> BuildResult:
     return BuildResult(spec.target.folder, True, written.version, written.rows)
 
 
-def build_all(lake: Lake, specs: Sequence[TableSpec]) -> list[BuildResult]:
-    """Build in the given order; a table must come after the ones it reads."""
-    return [build_table(lake, spec) for spec in specs]
+def run_tables(
+    lake: Lake,
+    tables: Sequence[TableId],
+    sources: Mapping[TableId, Sequence[TableId]],
+    work: Callable[[TableId], BuildResult],
+    *,
+    parallel: int = PARALLEL,
+) -> list[BuildResult]:
+    """`work` on every table, several at a time, each after those of its sources that are among the tables.
+
+    Every table runs in a thread, job group and scheduler pool of its own, so that Spark shares the
+    executors between them.  An error goes to the table's run log and result; tables that read it are left
+    out, the others go on.  Results come in the order of `tables`; sources in a circle are an error.
+    """
+    if len(set(tables)) < len(tables):
+        raise ValueError("a table is listed twice")
+    order = TopologicalSorter({t: [s for s in sources.get(t, ()) if s in tables] for t in tables})
+    order.prepare()
+    context = lake.spark.sparkContext
+
+    def one(table: TableId) -> BuildResult:
+        run = Run()
+        context.setJobGroup(table.folder, f"build {table.folder}", interruptOnCancel=True)
+        context.setLocalProperty("spark.scheduler.pool", table.folder)
+        try:
+            return work(table)
+        except Exception as error:  # noqa: BLE001 - kept with the table, the others go on
+            reason = append_failure(lake.spark, lake.control_path(table), run_schema(table), run, error)
+            return BuildResult(table.folder, built=False, error=reason)
+
+    results: dict[TableId, BuildResult] = {}
+    running: dict[Future[BuildResult], TableId] = {}
+    with ThreadPoolExecutor(parallel, thread_name_prefix="build") as pool:
+        while order.is_active():
+            for table in order.get_ready():
+                broken = next((s for s in sources.get(table, ()) if s in results and results[s].state in ("failed", "waiting")), None)
+                if broken is None:
+                    running[pool.submit(inheritable_thread_target(lake.spark)(one), table)] = table
+                else:
+                    results[table] = BuildResult(table.folder, built=False, waits_for=results[broken].waits_for or broken.folder)
+                    order.done(table)
+            if running:
+                for future in wait(running, return_when=FIRST_COMPLETED).done:
+                    table = running.pop(future)
+                    results[table] = future.result()
+                    order.done(table)
+    return [results[t] for t in tables]
+
+
+def build_all(lake: Lake, specs: Sequence[TableSpec], *, parallel: int = PARALLEL) -> list[BuildResult]:
+    """Build what is due, side by side, in the order that the sources ask for (see `run_tables`)."""
+    by_target = {spec.target: spec for spec in specs}
+    return run_tables(
+        lake,
+        [spec.target for spec in specs],
+        {target: spec.sources for target, spec in by_target.items()},
+        lambda target: build_table(lake, by_target[target]),
+        parallel=parallel,
+    )
+
+
+def failures(results: Sequence[BuildResult]) -> list[str]:
+    """A line per table that failed or was left out."""
+    return [
+        f"{r.table}: {r.error if r.error is not None else f'waits for {r.waits_for}'}"
+        for r in results
+        if r.state in ("failed", "waiting")
+    ]

@@ -26,11 +26,14 @@ SETTINGS: dict[str, str] = {
     "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
+# Known before the session starts: tables that are built at the same time share the executors.
+START_SETTINGS: dict[str, str] = {"spark.scheduler.mode": "FAIR"}
+
 
 def build_session(app: str = "lakestrata", conf: Mapping[str, str] | None = None) -> SparkSession:
     """Session with the library's settings; `conf` wins over them."""
     builder = SparkSession.builder.appName(app)
-    for key, value in {**SETTINGS, **(conf or {})}.items():
+    for key, value in {**SETTINGS, **START_SETTINGS, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import threading
 import time
 import uuid
+from dataclasses import replace
+from graphlib import CycleError
 from types import SimpleNamespace
 
 import pytest
@@ -45,7 +48,7 @@ from lakestrata.plans.ingest import (
     read_rejected,
 )
 from lakestrata.plans.lake import LANDING, RAW, Lake, TableId
-from lakestrata.plans.runner import TableSpec, build_all
+from lakestrata.plans.runner import TableSpec, build_all, failures
 from lakestrata.sources.catalog import ddl_type, discover_tables, sync_catalog
 from lakestrata.sources.files import read_enum_dir, read_or_none, write_json_pages
 from lakestrata.sources.scratch import clear_scratch, materialize, scratch_path, shared_dir
@@ -414,6 +417,68 @@ def test_build_order_and_gate(lake, frame, rows):
     assert build_all(lake, specs[:1])[0].version == 1
 
 
+def _specs(lake, *tables):
+    """(name, sources, transform) over raw table `a` with a run."""
+    raw = TableId(RAW, "a", "shop")
+    write_snapshot(lake.spark.range(3), lake.path(raw))
+    append_run(lake.spark, lake.control_path(raw), RAW_RUN, Run(started=time.time() - 100).record(Table_Rows=3))
+    named = {"a": raw} | {name: TableId("trust", name) for name, *_ in tables}
+    return [TableSpec(named[n], tuple(named[s] for s in sources), f) for n, sources, f in tables]
+
+
+def test_independent_tables_are_built_at_the_same_time(lake):
+    met = threading.Barrier(2, timeout=60)  # breaks unless both transforms are inside at once
+    groups = []
+
+    def meet(l):
+        met.wait()
+        groups.append(l.spark.sparkContext.getLocalProperty("spark.jobGroup.id"))
+        return l.spark.range(2)
+
+    specs = _specs(lake, ("one", ["a"], meet), ("two", ["a"], meet), ("last", ["two", "one"], lambda l: l.spark.range(1)))
+    last, two, one = specs[2], specs[1], specs[0]
+    results = build_all(lake, [last, two, one])  # the order given does not matter
+    assert [(r.table, r.state, r.rows) for r in results] == [("trust/last", "built", 1), ("trust/two", "built", 2), ("trust/one", "built", 2)]
+    assert sorted(groups) == ["trust/one", "trust/two"]
+    assert build_all(lake, specs, parallel=1)[2].state == "fresh"
+
+
+def test_a_failure_stops_only_what_reads_it(lake):
+    def fail(l):
+        raise RuntimeError("no such thing")
+
+    ok = lambda l: l.spark.range(1)
+    specs = _specs(lake, ("bad", ["a"], fail), ("good", ["a"], ok), ("child", ["bad", "good"], ok), ("grandchild", ["child"], ok))
+    results = build_all(lake, specs)
+    assert [r.state for r in results] == ["failed", "built", "waiting", "waiting"]
+    assert results[0].error == "RuntimeError: no such thing" and results[3].waits_for == "trust/bad"
+    assert failures(results)[1:] == ["trust/child: waits for trust/bad", "trust/grandchild: waits for trust/bad"]
+    log = read_control(lake.spark, lake.control_path(specs[0].target))
+    assert [r["Error"] for r in log.collect()] == ["RuntimeError: no such thing"]
+    assert last_run_time(log) is None
+    mended = [replace(specs[0], transform=ok), *specs[1:]]
+    assert [r.state for r in build_all(lake, mended)] == ["built", "fresh", "built", "built"]
+
+
+def test_tables_in_a_circle_are_refused(lake):
+    ok = lambda l: l.spark.range(1)
+    specs = _specs(lake, ("one", ["two"], ok), ("two", ["one"], ok))
+    with pytest.raises(CycleError):
+        build_all(lake, specs)
+    with pytest.raises(ValueError, match="twice"):
+        build_all(lake, [specs[0], specs[0]])
+
+
+def test_a_failed_table_fails_its_job_at_the_end(spark, frame, tmp_path):
+    root, given = str(tmp_path / "lake"), str(tmp_path / "given")
+    frame("id long, name string", (1, "x")).write.parquet(given)
+    for table in ("one", "two"):
+        main(["land", "--root", root, "--table", table, "--records", given, "--full"], spark)
+    with pytest.raises(SystemExit, match="raw/igdb/two.*updated_at|raw/igdb/one.*updated_at"):
+        main(["raw", "--root", root, "--tables", "one", "two"], spark)
+    assert main(["raw", "--root", root, "--tables", "one", "two", "--no-order"], spark) == [1, 1]
+
+
 def test_sql_type_names():
     names = {
         StringType(): "varchar",

@@ -15,7 +15,7 @@ from lakestrata.functions.schemas import COUNT, REAL, TEXT, schema
 from lakestrata.operators.match import parse_records
 from lakestrata.plans import matching
 from lakestrata.plans.context import CONTEXT_TABLES
-from lakestrata.plans.control import LANDING_RUN, RAW_RUN, TABLE_RUN, Run, append_runs, read_control
+from lakestrata.plans.control import LANDING_RUN, RAW_RUN, TABLE_RUN, Run, append_runs, last_run_time, read_control
 from lakestrata.plans.ingest import (
     apply_batches,
     batch_path,
@@ -497,6 +497,63 @@ def plan_and_build(t: Source) -> DataFrame:
     return t.spark.createDataFrame(rows, "round int, table string, built boolean, rows bigint")
 
 
+def _lake_with_a_broken_mart(t: Source) -> tuple[Lake, list[TableSpec]]:
+    """Four marts over orders: one reads a column that is not there, one reads that mart and a good one."""
+    lake, specs = _small_lake(t)
+    clean = specs[0].target
+    broken, both = TableId(TRUST, "orders_by_rating"), TableId(TRUST, "orders_summary")
+    share = TableId(TRUST, "open_share")
+    specs += [
+        TableSpec(broken, (clean,), lambda l: l.read(clean).groupBy("rating").count()),
+        TableSpec(both, (broken, share), lambda l: l.read(broken).crossJoin(l.read(share))),
+        TableSpec(share, (clean,), lambda l: l.read(clean).agg(F.avg(F.col("open").cast("int")).alias("share"))),
+    ]
+    return lake, specs
+
+
+@check(
+    "build_failures",
+    """WITH orders_n AS (SELECT count(*) AS n, count(DISTINCT o_orderstatus) AS s FROM orders)
+       SELECT 1 AS round, 'context/shop/orders' AS "table", 'built' AS state, n AS rows, NULL AS waits_for FROM orders_n
+       UNION ALL SELECT 1, 'trust/orders_by_status', 'built', s, NULL FROM orders_n
+       UNION ALL SELECT 1, 'trust/open_share', 'built', 1, NULL
+       UNION ALL SELECT 2, v.t, 'fresh', NULL, NULL
+                 FROM (VALUES ('context/shop/orders'), ('trust/orders_by_status'), ('trust/open_share')) AS v(t)
+       UNION ALL SELECT r, 'trust/orders_by_rating', 'failed', NULL, NULL FROM (VALUES (1), (2)) AS v(r)
+       UNION ALL SELECT r, 'trust/orders_summary', 'waiting', NULL, 'trust/orders_by_rating' FROM (VALUES (1), (2)) AS v(r)""",
+)
+def build_failures(t: Source) -> DataFrame:
+    """A mart that fails stops only what reads it, in the first run and in the second."""
+    lake, specs = _lake_with_a_broken_mart(t)
+    rows = [(turn, r.table, r.state, r.rows, r.waits_for) for turn in (1, 2) for r in build_all(lake, specs)]
+    return t.spark.createDataFrame(rows, "round int, table string, state string, rows bigint, waits_for string")
+
+
+@check(
+    "failure_log",
+    """SELECT 'orders_by_status' AS name, count(DISTINCT o_orderstatus) AS table_rows, false AS failed, true AS has_run FROM orders
+       UNION ALL SELECT 'orders_by_rating', NULL, true, false
+       UNION ALL SELECT 'orders_by_rating', NULL, true, false""",
+)
+def failure_log(t: Source) -> DataFrame:
+    """Run logs after two builds: failures are rows with a reason, and no runs to the gate."""
+    lake, specs = _lake_with_a_broken_mart(t)
+    build_all(lake, specs)
+    build_all(lake, specs)
+    logs = []
+    for spec in (specs[1], specs[2]):
+        log = read_control(t.spark, lake.control_path(spec.target))
+        logs.append(
+            log.select(
+                F.lit(spec.target.name).alias("name"),
+                F.col("Table_Rows").alias("table_rows"),
+                F.coalesce(F.col("Error").contains("rating"), F.lit(False)).alias("failed"),
+                F.lit(last_run_time(log) is not None).alias("has_run"),
+            )
+        )
+    return logs[0].unionByName(logs[1])
+
+
 @check(
     "built_mart",
     "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1",
@@ -545,6 +602,22 @@ def catalog_sync(t: Source) -> DataFrame:
     return result
 
 
+@check(
+    "catalog_failures",
+    """SELECT t AS "table", a AS action, a = 'failed' AS has_error, (SELECT count(*) FROM orders) AS held
+       FROM (VALUES ('raw_shop_orders', 'created'), ('raw_shop_torn', 'failed'), ('ctrl_raw_shop_orders', 'created')) AS v(t, a)""",
+)
+def catalog_failures(t: Source) -> DataFrame:
+    """A lake with a table whose history cannot be read: it is reported, and the others are registered."""
+    lake, _ = _small_lake(t)
+    for database in ("raw", "control"):
+        t.spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+    t.spark.range(3).write.parquet(f"{lake.path(TableId(RAW, 'torn', 'shop'))}/history")
+    synced = sync_catalog(t.spark, lake.root, (RAW,), (RAW,))
+    held = t.spark.table("raw.raw_shop_orders").agg(F.count(F.lit(1)).alias("held")).scalar()
+    return synced.select("table", "action", F.col("error").isNotNull().alias("has_error"), held.alias("held"))
+
+
 @check(
     "catalog_types",
     """SELECT o_orderstatus, count(*) AS n, 'o_orderstatus varchar, n bigint' AS columns FROM orders GROUP BY 1""",
