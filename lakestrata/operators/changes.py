@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
+
+from lakestrata.sources.files import PAGE_OPTIONS
+from lakestrata.sources.scratch import materialize
+
+# Up to so many columns a row is no larger than its hashes.
+NARROW = 3
 
 
 def not_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
@@ -42,9 +50,68 @@ def upsert(
     return untouched.unionByName(updates, allowMissingColumns=True).select(*columns)
 
 
+def row_hashes(columns: StructType, second: Callable[..., Column] = F.xxhash64) -> list[Column]:
+    """Two hashes of a row, `__h1` of 64 bits and `__h2` by `second`, the same for any order of its columns.
+
+    Spark's hash passes nulls over, so which columns are null is hashed as well; nested values are hashed as text.
+    """
+    values, nulls = [], []
+    for name in sorted(columns.names):
+        column = F.col(f"`{name}`")
+        nested = isinstance(columns[name].dataType, (StructType, ArrayType, MapType, VariantType))
+        values.append(F.to_json(F.struct(column), PAGE_OPTIONS) if nested else column)
+        nulls.append(column.isNull())
+    words = [nulls[i : i + 32] for i in range(0, len(nulls), 32)]
+    marks = [reduce(Column.__add__, (n.cast("bigint") * F.lit(1 << i) for i, n in enumerate(word))) for word in words]
+    return [f(F.lit(salt), *marks, *values).alias(f"__h{salt}") for salt, f in ((1, F.xxhash64), (2, second))]
+
+
+@dataclass(frozen=True)
+class Digest:
+    """Of a multiset of rows: their number and the sums of two hashes, so the order of the rows does not matter."""
+
+    rows: int
+    first: int
+    second: int
+
+    def __str__(self) -> str:
+        return f"{self.rows}:{self.first}:{self.second}"
+
+    @staticmethod
+    def columns(columns: StructType) -> list[Column]:
+        """Aggregates that make a digest; sums of up to 10^19 rows fit."""
+        sums = [F.coalesce(F.sum(h.cast("decimal(20,0)")), F.lit(0)) for h in row_hashes(columns)]
+        return [F.count(F.lit(1)).alias("rows"), sums[0].alias("first"), sums[1].alias("second")]
+
+    @classmethod
+    def of(cls, found) -> Digest:
+        """From a row or dictionary of `columns`."""
+        return cls(*(int(found[name]) for name in ("rows", "first", "second")))
+
+
+def digest(df: DataFrame) -> Digest:
+    """One pass over the rows; nothing but a row per task is moved."""
+    return Digest.of(df.agg(*Digest.columns(df.schema)).first())
+
+
 def changed_rows(current: DataFrame, previous: DataFrame) -> DataFrame:
-    """Multiset difference: rows of `current` that `previous` does not hold."""
-    return current.exceptAll(previous.select(*current.columns))
+    """Multiset difference: rows of `current` that `previous` does not hold.
+
+    Of each version only the rows' hashes and their numbers are shuffled.  Hashes of which `current` has more
+    are written; then the rows that have them are taken from both versions and compared by value.
+    """
+    previous = previous.select(*current.columns)
+    if len(current.columns) <= NARROW:
+        return current.exceptAll(previous)
+    hashes = row_hashes(current.schema, F.hash)  # 96 bits are enough for 10^12 rows, and what is shuffled
+    both = current.select(*hashes, F.lit(1).alias("__n")).unionByName(previous.select(*hashes, F.lit(-1).alias("__n")))
+    more = both.groupBy("__h1", "__h2").agg(F.sum("__n").alias("__n")).where(F.col("__n") > 0)
+    more = materialize(more.select("__h1", "__h2"), "changed-hashes")  # its size decides how the rows are found
+
+    def having(df: DataFrame) -> DataFrame:
+        return df.select("*", *hashes).join(more, ["__h1", "__h2"], "left_semi").select(*current.columns)
+
+    return having(current).exceptAll(having(previous))
 
 
 def new_or_changed(

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from lakestrata.functions.schemas import TEXT, merged_schema, schema as columns_of
-from lakestrata.operators.changes import has_changed, upsert
+from lakestrata.operators.changes import Digest, digest, has_changed, schema_diff, upsert
 from lakestrata.operators.columns import incremental_filter
 from lakestrata.operators.dedup import latest_by
 from lakestrata.plans.control import (
@@ -41,7 +41,8 @@ from lakestrata.sources.snapshot import write_snapshot
 # Records per landed file.
 RECORDS_PER_FILE = 10_000
 
-PAGES = columns_of(date=TEXT, folder=TEXT, schema=TEXT)
+# `digest` is that of a full load; pages of other loads have none.
+PAGES = columns_of(date=TEXT, folder=TEXT, schema=TEXT, digest=TEXT)
 
 _DATE, _BROKEN = "__landed", "__broken"
 
@@ -59,16 +60,18 @@ def land(
     *,
     records_per_file: int = RECORDS_PER_FILE,
     log: StructType = LANDING_RUN,
+    with_digest: bool = False,
     **metrics: Any,
 ) -> int:
     """Write one run's pages, what they hold, and its log row; returns the number of files."""
     counted = Observation()
     folder = f"{batch_path(lake, source, run.date)}/{run.folder}"
-    pages = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    write_json_pages(pages, folder, records_per_file)
+    measures = Digest.columns(df.schema) if with_digest else [F.count(F.lit(1)).alias("rows")]
+    write_json_pages(df.observe(counted, *measures), folder, records_per_file)
     files = _count_files(lake, folder) if counted.get["rows"] else 0
     if files:
-        pages = {"date": run.date, "folder": run.folder, "schema": df.schema.json()}
+        told = str(Digest.of(counted.get)) if with_digest else None
+        pages = {"date": run.date, "folder": run.folder, "schema": df.schema.json(), "digest": told}
         append_run(lake.spark, _schemas_path(lake, source), PAGES, pages)
     record = run.record(Load_type=load_type, Loaded_files=files, **metrics)
     append_run(lake.spark, lake.control_path(source), log, record)
@@ -104,13 +107,22 @@ def _landed_pages(lake: Lake, source: TableId) -> DataFrame:
     return read_or_empty(lake.spark, _schemas_path(lake, source), PAGES)
 
 
-def _last_landed(lake: Lake, source: TableId) -> DataFrame | None:
-    """The pages of the newest run that landed files, with the types they were written with."""
+def _full_load_changed(lake: Lake, source: TableId, df: DataFrame, symmetric: bool) -> bool:
+    """Whether `df` differs from the newest run that landed files.
+
+    Structure and digest are compared with those stored at that run; its pages are read only to confirm by rows
+    a digest that differs, as it does already where a row was doubled.
+    """
     last = _landed_pages(lake, source).orderBy(F.desc("folder")).first()
     if last is None:
-        return None
-    folder = f"{batch_path(lake, source, last['date'])}/{last['folder']}"
-    return read_json_batch(lake.spark, folder, StructType.fromJson(json.loads(last["schema"])))
+        return True
+    held = StructType.fromJson(json.loads(last["schema"]))
+    if not schema_diff(held, df.schema).same:
+        return True
+    if last["digest"] is not None and last["digest"] == str(digest(df)):
+        return False
+    pages = read_json_batch(lake.spark, f"{batch_path(lake, source, last['date'])}/{last['folder']}", held)
+    return has_changed(pages, df, symmetric=symmetric)
 
 
 def land_full(
@@ -123,13 +135,13 @@ def land_full(
 ) -> int:
     """Land a whole table if it differs from what was landed last; the run is logged either way.
 
-    A column that came, went or changed its type is a difference.
+    A column that came, went or changed its type is a difference.  Where nothing differs, what was landed
+    is not read: a digest of its rows is kept with it.
     """
     run = Run()
-    previous = _last_landed(lake, source)
-    if previous is not None and not has_changed(previous, df, symmetric=symmetric):
+    if not _full_load_changed(lake, source, df, symmetric):
         df = df.limit(0)
-    return land(lake, source, df, "Full", run, records_per_file=records_per_file)
+    return land(lake, source, df, "Full", run, records_per_file=records_per_file, with_digest=True)
 
 
 @dataclass(frozen=True)

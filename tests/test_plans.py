@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
-from lakestrata.operators.changes import not_in, upsert
+from lakestrata.operators.changes import changed_rows, not_in, upsert
 from lakestrata.operators.dedup import latest_by
 from lakestrata.operators.enrich import decode, fan_out, lookup
 from plans import plan
@@ -62,6 +62,14 @@ def test_copies_of_a_key_collapse_before_an_anti_join(spark):
     assert "HashAggregate(keys=[l_orderkey" in text
 
 
+def test_a_version_difference_shuffles_hashes_and_the_rows_that_differ(spark):
+    lines = Source(spark, FOLDER).lineitem
+    now = lines.withColumn("l_tax", F.when(F.col("l_orderkey") == 7, F.lit(0.5)).otherwise(F.col("l_tax")))
+    text = plan(changed_rows(now, lines))
+    # Rows meet the written hashes by broadcast; what is shuffled comes after that.
+    assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
+
+
 def test_upsert_does_not_shuffle_the_base_for_a_small_batch(spark):
     t = Source(spark, FOLDER)
     updates = t.orders.where("o_orderkey = 5").withColumn("o_totalprice", F.lit(0.0))

@@ -39,6 +39,7 @@ from lakestrata.plans.control import (
     read_control,
     unread_dates,
 )
+from lakestrata.plans.ingest import land as land_pages
 from lakestrata.plans.ingest import (
     apply_batches,
     batch_path,
@@ -289,6 +290,26 @@ def test_land_full_only_when_changed(lake, frame):
     assert log.count() == 6
 
 
+def test_an_unchanged_full_load_does_not_read_what_was_landed(lake, frame):
+    things = frame("id long, name string, at timestamp", (1, "x", None), (2, None, None), (2, None, None))
+    assert land_full(lake, SOURCE, things) > 0
+    folder = f"{batch_path(lake, SOURCE, Run().date)}"
+    os.rename(folder, f"{folder}-away")
+    assert land_full(lake, SOURCE, things.repartition(2)) == 0  # its pages are gone
+    for run in os.listdir(f"{folder}-away"):
+        os.rename(f"{folder}-away/{run}", f"{folder}/{run}")
+    assert land_full(lake, SOURCE, things.dropDuplicates()) == 0  # told apart by the digest, equal by rows
+    assert land_full(lake, SOURCE, things.where("id = 2")) > 0
+
+
+def test_pages_landed_without_a_digest_are_compared_by_rows(lake, frame):
+    things = frame("id long, name string", (1, "x"), (2, None))
+    run = Run(started=time.time() - 60)
+    land_pages(lake, SOURCE, things, "Full", run)
+    assert land_full(lake, SOURCE, things) == 0
+    assert land_full(lake, SOURCE, things.withColumn("name", F.lit("y"))) > 0
+
+
 def test_enum_import_follows_modification_times(lake, spark, rows, tmp_path):
     folder = tmp_path / "enums"
     folder.mkdir()

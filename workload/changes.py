@@ -124,6 +124,30 @@ def changed(t: Source) -> DataFrame:
     return changed_rows(current, previous)
 
 
+_LINES = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
+
+
+@check(
+    "changed_lines",
+    f"""WITH now AS (
+           SELECT {_LINES.replace("l_tax", "CASE WHEN l_orderkey % 50 = 0 THEN l_tax + 1 ELSE l_tax END AS l_tax")
+                        .replace("l_returnflag", "CASE WHEN l_orderkey % 77 <> 0 THEN l_returnflag END AS l_returnflag")}
+           FROM lineitem
+           UNION ALL SELECT {_LINES} FROM lineitem WHERE l_orderkey % 90 = 1)
+       SELECT * FROM now EXCEPT ALL SELECT {_LINES} FROM lineitem""",
+)
+def changed_lines(t: Source) -> DataFrame:
+    """Some lines taxed anew, some with a null, some doubled, out of all columns of all lines."""
+    lines = t.lineitem
+    now = lines.withColumns(
+        {
+            "l_tax": F.when(F.col("l_orderkey") % 50 == 0, F.col("l_tax") + 1).otherwise(F.col("l_tax")),
+            "l_returnflag": F.when(F.col("l_orderkey") % 77 != 0, F.col("l_returnflag")),
+        }
+    )
+    return changed_rows(now.unionByName(lines.where(F.col("l_orderkey") % 90 == 1)), lines)
+
+
 def _versions(t: Source) -> tuple[DataFrame, DataFrame]:
     """Orders now, and as they were before the finished ones got dearer and the last year came."""
     columns = ["o_orderkey", "o_orderstatus", "o_totalprice"]

@@ -269,6 +269,34 @@ def land_customers(t: Source) -> DataFrame:
     return read_json_batch(t.spark, f"{lake.path(source)}/2*/*", customers.schema)
 
 
+@check(
+    "land_full_digest",
+    """SELECT v.round, v.what, v.landed, (SELECT count(*) FROM customer) AS rows
+       FROM (VALUES (1, 'first', true), (2, 'same', false), (3, 'permuted', false), (4, 'doubled', false),
+                    (5, 'changed', true), (6, 'changed again', false)) AS v(round, what, landed)""",
+)
+def land_full_digest(t: Source) -> DataFrame:
+    """Six full loads: only another row is a difference, not another order of rows or columns, nor a doubled row."""
+    lake, source = Lake(t.spark, scratch_path(t.spark, "lake")), TableId(LANDING, "customers", "shop")
+    customers = t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    smallest = customers.agg(F.min("c_custkey")).scalar()
+    one = customers.where(F.col("c_custkey") == smallest)
+    louder = F.when(F.col("c_custkey") == smallest, F.upper("c_name")).otherwise(F.col("c_name"))
+    changed = customers.withColumn("c_name", louder)
+    loads = {
+        "first": customers,
+        "same": customers,
+        "permuted": customers.select(*reversed(customers.columns)).repartition(5, "c_name"),
+        "doubled": customers.unionByName(one),
+        "changed": changed,
+        "changed again": changed.orderBy("c_name"),
+    }
+    landed = [(i, what, land_full(lake, source, df) > 0) for i, (what, df) in enumerate(loads.items(), 1)]
+    held = read_json_batch(t.spark, f"{lake.path(source)}/2*/*", customers.schema).select("c_custkey").distinct()
+    rounds = t.spark.createDataFrame(landed, "round int, what string, landed boolean")
+    return rounds.withColumn("rows", held.agg(F.count(F.lit(1)).alias("rows")).scalar())
+
+
 @check("land_full_micros", "SELECT event_id, user_id, ts FROM events")
 def land_full_micros(t: Source) -> DataFrame:
     """Landed twice: the second time nothing differs, to the microsecond, and nothing is landed."""
