@@ -8,6 +8,7 @@
     spark-submit lakestrata/jobs.py context --root s3a://lake [--tables games ...]
     spark-submit lakestrata/jobs.py trust   --root s3a://lake [--tables games_by_genre ...]
     spark-submit lakestrata/jobs.py catalog --root s3a://lake
+    spark-submit lakestrata/jobs.py expire  --root s3a://lake --layer raw --older-than 30 [--keep 2]
 
 Records and candidates are parquet, or with `--format json` JSON lines.  Tables of a job are
 built side by side; one that fails is logged and fails the job at its end, and only those that
@@ -18,6 +19,7 @@ of the cluster.
 from __future__ import annotations
 
 import argparse
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
@@ -28,10 +30,12 @@ from lakestrata.plans.ingest import apply_batches, import_enums, land_full, land
 from lakestrata.plans.lake import CATALOGUE, CATALOGUE_ENUMS, LANDING, RAW, TIMES, Lake, TableId
 from lakestrata.plans.marts import MARTS
 from lakestrata.plans.matching import land_matches
+from lakestrata.plans.retention import expire_layer
 from lakestrata.plans.runner import PARALLEL, BuildResult, TableSpec, build_all, failures, run_tables
 from lakestrata.session import build_session
 from lakestrata.sources.catalog import sync_catalog
 from lakestrata.sources.scratch import clear_scratch
+from lakestrata.sources.snapshot import Layout
 
 
 def parser() -> argparse.ArgumentParser:
@@ -66,7 +70,14 @@ def parser() -> argparse.ArgumentParser:
     raw.add_argument("--ties", nargs="+", default=())
     raw.add_argument("--schema", help="types of the records, as DDL; else as they were landed")
     raw.add_argument("--overwrite-missing", action="store_true")
+    parts = raw.add_mutually_exclusive_group()
+    parts.add_argument("--part-keys", type=int, help="put a table into parts of so many consecutive keys")
+    parts.add_argument("--parts", type=int, help="put a table into so many parts by the hash of the key")
     raw.add_argument("--first-landing-only", action="store_true", help="do not read a second landing on one day")
+    expire = job("expire")
+    expire.add_argument("--layer", required=True)
+    expire.add_argument("--older-than", type=int, required=True, help="days since a version was replaced")
+    expire.add_argument("--keep", type=int, default=1, help="newest versions that always stay")
     context = job("context")
     context.add_argument("--api", choices=(CATALOGUE, TIMES))
     context.add_argument("--tables", nargs="*")
@@ -99,6 +110,9 @@ def _rows(results: list[BuildResult]) -> list[int | None]:
 
 def _apply_all(args: argparse.Namespace, lake: Lake) -> list[BuildResult]:
     """Unread batches of every named table; the tables do not read each other."""
+    layout = None
+    if args.part_keys or args.parts:
+        layout = Layout(args.key, "range" if args.part_keys else "hash", args.part_keys or args.parts)
 
     def apply(table: TableId) -> BuildResult:
         rows = apply_batches(
@@ -111,6 +125,7 @@ def _apply_all(args: argparse.Namespace, lake: Lake) -> list[BuildResult]:
             schema=StructType.fromDDL(args.schema) if args.schema else None,
             overwrite_missing=args.overwrite_missing,
             same_day=not args.first_landing_only,
+            layout=layout,
         )
         return BuildResult(table.folder, rows is not None, rows=rows)
 
@@ -136,6 +151,8 @@ def run(args: argparse.Namespace, lake: Lake) -> list:
         if failed:  # the others are done
             raise SystemExit("\n".join(failed))
         return rows
+    if args.job == "expire":
+        return expire_layer(lake, args.layer, older_than=int(time.time()) - 86400 * args.older_than, keep=args.keep)
     tables = MARTS
     if args.job == "context":
         tables = {k: s for k, s in CONTEXT_TABLES.items() if args.api in (None, s.target.api)}

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from lakestrata.functions.expressions import local_date
-from lakestrata.functions.schemas import COUNT, TEXT, local_frame, schema
-from lakestrata.sources.files import read_or_empty
+from lakestrata.functions.schemas import COUNT, TEXT, schema
+from lakestrata.sources.log import append_rows, log_folder, read_log
 
 # Column names of the run logs, per layer.
 LANDING_RUN = schema(
@@ -81,7 +81,7 @@ def append_runs(
     spark: SparkSession, path: str, columns: StructType, records: Sequence[Mapping[str, Any]]
 ) -> None:
     """Append rows to the run log at `path`."""
-    local_frame(spark, columns, records).coalesce(1).write.mode("append").parquet(path)
+    append_rows(spark, path, columns, records)
 
 
 def append_run(
@@ -99,12 +99,12 @@ def append_failure(spark: SparkSession, path: str, columns: StructType, run: Run
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:
     """A run log that must exist."""
-    return spark.read.parquet(path)
+    return spark.read.parquet(log_folder(spark, path))
 
 
 def control_or_empty(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
     """A run log, empty before the first run."""
-    return read_or_empty(spark, path, columns)
+    return read_log(spark, path, columns)
 
 
 def succeeded(control: DataFrame) -> DataFrame:

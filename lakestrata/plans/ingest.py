@@ -35,8 +35,9 @@ from lakestrata.plans.control import (
 )
 from lakestrata.plans.lake import CATALOGUE_ENUMS, LANDING, RAW, Lake, TableId
 from lakestrata.sources.files import read_enum_dir, read_json_batch, read_or_empty, write_json_pages
+from lakestrata.sources.log import read_log
 from lakestrata.sources.scratch import materialize
-from lakestrata.sources.snapshot import write_snapshot
+from lakestrata.sources.snapshot import Layout, snapshot_layout, touched_rows, upsert_snapshot, write_snapshot
 
 # Records per landed file.
 RECORDS_PER_FILE = 10_000
@@ -104,7 +105,7 @@ def _schemas_path(lake: Lake, source: TableId) -> str:
 
 def _landed_pages(lake: Lake, source: TableId) -> DataFrame:
     """One row per run that landed files: date, folder, schema."""
-    return read_or_empty(lake.spark, _schemas_path(lake, source), PAGES)
+    return read_log(lake.spark, _schemas_path(lake, source), PAGES)
 
 
 def _full_load_changed(lake: Lake, source: TableId, df: DataFrame, symmetric: bool) -> bool:
@@ -296,6 +297,7 @@ def apply_batches(
     schema: StructType | None = None,
     overwrite_missing: bool = False,
     same_day: bool = False,
+    layout: Layout | None = None,
 ) -> int | None:
     """Upsert every unread landing date into the raw table; returns its rows, None if idle.
 
@@ -303,6 +305,9 @@ def apply_batches(
     are read in one scan and the table is rewritten once: per key the latest
     date wins, and within it the latest record.  The log gets one row per date.
 
+    With a `layout`, or one that the table has already, only the parts of the table
+    that the dates have keys of are read and written, unless a type changed.
+
     `order` must be a column of every date; None leaves the choice to `ties`, which
     default to all other columns.  Lines that are no JSON or do not fit the types,
     and records without key, go to the table's `rejected` folder and are counted
@@ -349,10 +354,15 @@ def apply_batches(
     good = parsed.where(~bad).drop(_BROKEN)
     newest, partial = _newest(good, pending, key, order, ties, overwrite_missing)
     newest = materialize(newest, f"batch-{entity}")  # the upsert reads it more than once
-    if base is not None:
-        base = _retype(base, pending)
-    updates = _with_stored(newest, base, partial, key)
-    written = write_snapshot(upsert(base, updates, key, overwrite_missing=overwrite_missing), lake.path(target))
+    path = lake.path(target)
+    if base is not None and pending.retyped:
+        base, layout = _retype(base, pending), layout or snapshot_layout(spark, path)
+        updates = _with_stored(newest, base, partial, key)
+        whole = upsert(base, updates, key, overwrite_missing=overwrite_missing)
+        written = write_snapshot(whole, path, layout=layout)
+    else:
+        updates = _with_stored(newest, touched_rows(newest, path), partial, key)
+        written = upsert_snapshot(updates, path, key, overwrite_missing=overwrite_missing, layout=layout)
     retyped = "; ".join(f"{c}: {change}" for c, change in sorted(pending.retyped.items()))
     append_runs(
         spark,

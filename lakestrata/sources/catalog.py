@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructType
 
 from lakestrata.functions.schemas import TEXT, local_frame, schema
 from lakestrata.sources.folders import table_folders
-from lakestrata.sources.snapshot import current_location
+from lakestrata.sources.log import log_folder
+from lakestrata.sources.snapshot import PART, current_location
 
 FOUND = schema(name=TEXT, path=TEXT)
 RESULT = schema(database=TEXT, table=TEXT, action=TEXT, error=TEXT, columns=TEXT)
 
+PARTS_AT_ONCE = 500  # added by one statement
+
 # Type names of the SQL catalogue where they differ from Spark's.
 SQL_TYPE_NAMES = {"string": "varchar", "int": "integer"}
 
@@ -49,9 +52,28 @@ def ensure_database(spark: SparkSession, name: str) -> None:
 
 
 def register_table(
-    spark: SparkSession, database: str, table: str, location: str, columns: StructType
+    spark: SparkSession,
+    database: str,
+    table: str,
+    location: str,
+    columns: StructType,
+    parts: Mapping[int, str] | None = None,
 ) -> None:
-    """External parquet table at a location; the location is kept as its comment."""
+    """External parquet table at a location; the location is kept as its comment.
+
+    A table in parts has a further column, by which Spark finds the folder of each part.
+    """
+    if parts is not None:
+        named = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.fields)
+        name, root = f"`{database}`.`{table}`", location.rsplit("/", 1)[0]
+        spark.sql(
+            f"CREATE TABLE {name} ({named}, `{PART}` BIGINT) USING parquet PARTITIONED BY (`{PART}`) "
+            f"LOCATION {_quoted(root)} COMMENT {_quoted(location)}"
+        )
+        listed = [f"PARTITION (`{PART}` = {part}) LOCATION {_quoted(folder)}" for part, folder in parts.items()]
+        for i in range(0, len(listed), PARTS_AT_ONCE):
+            spark.sql(f"ALTER TABLE {name} ADD " + " ".join(listed[i : i + PARTS_AT_ONCE]))
+        return
     spark.catalog.createTable(
         f"{database}.{table}",
         path=location,
@@ -61,8 +83,17 @@ def register_table(
     )
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def sync_table(
-    spark: SparkSession, database: str, table: str, location: str, columns: StructType
+    spark: SparkSession,
+    database: str,
+    table: str,
+    location: str,
+    columns: StructType,
+    parts: Mapping[int, str] | None = None,
 ) -> str:
     """Register a table, or again if its columns or location moved on.
 
@@ -71,13 +102,14 @@ def sync_table(
     """
     name = f"{database}.{table}"
     if not spark.catalog.tableExists(name):
-        register_table(spark, database, table, location, columns)
+        register_table(spark, database, table, location, columns, parts)
         return "created"
-    same_columns = typed(spark.table(name).schema) == typed(columns)
+    held = StructType([f for f in spark.table(name).schema.fields if f.name != PART])
+    same_columns = typed(held) == typed(columns)
     if same_columns and spark.catalog.getTable(name).description == location:
         return "unchanged"
     spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
-    register_table(spark, database, table, location, columns)
+    register_table(spark, database, table, location, columns, parts)
     return "recreated"
 
 
@@ -109,11 +141,12 @@ def sync_catalog(
             told = None
             try:
                 if kind == "history":
-                    location, columns = current_location(spark, table["path"])
+                    location, columns, parts = current_location(spark, table["path"])
                 else:
-                    location = f"{table['path']}/control"
+                    parts = None
+                    location = log_folder(spark, f"{table['path']}/control")
                     columns = spark.read.parquet(location).schema
-                action = sync_table(spark, database, name, location, columns)
+                action = sync_table(spark, database, name, location, columns, parts)
                 error, told = None, typed(columns)
             except Exception as failure:  # noqa: BLE001 - reported, the others go on
                 action, error = "failed", str(failure)

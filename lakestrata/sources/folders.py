@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 from pyspark.sql import SparkSession
 
 # Folders below a table that hold no further tables.
-INSIDE = re.compile(r"data|history|control|schemas|rejected|\d{4}-\d{2}-\d{2}|[._].*")
+INSIDE = re.compile(r"data|history|removed|control|schemas|rejected|\d{4}-\d{2}-\d{2}|[._].*")
 
 
 def _located(spark: SparkSession, path: str):
@@ -17,6 +18,19 @@ def _located(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+class Entry(NamedTuple):
+    name: str
+    folder: bool
+
+
+def entries(spark: SparkSession, path: str) -> list[Entry]:
+    """What lies directly in a folder; nothing where there is none."""
+    store, where = _located(spark, path)
+    if not store.exists(where):
+        return []
+    return [Entry(s.getPath().getName(), s.isDirectory()) for s in store.listStatus(where)]
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     store, where = _located(spark, path)
     store.delete(where, True)

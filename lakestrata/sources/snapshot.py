@@ -1,11 +1,15 @@
 """Versioned tables as plain parquet directories.
 
-    <path>/data/<run>/        the files of one version, written once
-    <path>/history/           one row per version: number, time, rows, schema, run
+    <path>/data/<run>/            the files of one version, written once
+    <path>/data/<run>/__part=7/   of a table in parts: those parts that this version wrote
+    <path>/history/               one row per version: number, time, rows, schema, run, parts
+    <path>/removed/               one row per version that was removed
 
 A version becomes visible when its history row is written, after its data, so
-a write that fails half-way leaves nothing a reader would pick up.  One writer
-per table at a time, as the scheduled jobs guarantee.
+a write that fails half-way leaves nothing a reader would pick up.  A table in
+parts is updated by writing the parts that have changes; its other parts are
+those of earlier versions.  One writer per table at a time, as the scheduled
+jobs guarantee.
 """
 
 from __future__ import annotations
@@ -13,42 +17,114 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections import defaultdict
+from collections.abc import Iterable, Sequence
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from lakestrata.functions.schemas import COUNT, TEXT, local_frame, schema
-from lakestrata.operators.changes import schema_diff
-from lakestrata.sources.files import read_or_empty
+from lakestrata.operators.changes import schema_diff, upsert
+from lakestrata.sources.folders import delete_folder
+from lakestrata.sources.log import append_rows, read_log
 from lakestrata.sources.scratch import materialize
 
-HISTORY = schema(version=COUNT, timestamp=COUNT, rows=COUNT, schema=TEXT, run=TEXT)
+PART = "__part"
+HISTORY = schema(
+    version=COUNT,
+    timestamp=COUNT,
+    rows=COUNT,
+    schema=TEXT,
+    run=TEXT,
+    layout=TEXT,
+    parts=ArrayType(schema(part=COUNT, run=TEXT, rows=COUNT)),
+)
+REMOVED = schema(version=COUNT, timestamp=COUNT)
 
 
 @dataclass(frozen=True)
 class Snapshot:
     version: int
     rows: int
+    parts_written: int | None = None
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Which part of a table a row belongs to, by its key.
+
+    `range`: `size` consecutive whole numbers a part, so that rows added together lie together, all other keys
+    in one; `hash`: one of `size` parts, for keys of any type.
+    """
+
+    key: str
+    kind: str
+    size: int
+
+    def __post_init__(self) -> None:
+        if self.kind not in ("range", "hash") or self.size < 1:
+            raise ValueError(f"no such layout: {self}")
+
+    def part(self) -> Column:
+        if self.kind == "hash":
+            return F.pmod(F.xxhash64(self.key), F.lit(self.size)).cast("bigint")
+        return F.coalesce(F.expr(f"try_cast(`{self.key}` AS bigint) div {self.size}L"), F.lit(0).cast("bigint"))
 
 
 def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
-    """The versions of a table, newest first."""
-    return read_or_empty(spark, f"{path}/history", HISTORY).orderBy(F.desc("version"))
+    """The versions of a table that were not removed, newest first."""
+    history = read_log(spark, f"{path}/history", HISTORY)
+    removed = read_log(spark, f"{path}/removed", REMOVED).select("version")
+    return history.join(removed, "version", "left_anti").select(*HISTORY.names).orderBy(F.desc("version"))
 
 
-def _find(spark: SparkSession, path: str, version: int | None):
+def _find(spark: SparkSession, path: str, version: int | None) -> Row | None:
     history = snapshot_history(spark, path)
-    return (history if version is None else history.where(F.col("version") == version)).first()
+    found = (history if version is None else history.where(F.col("version") == version)).first()
+    if found is None and version is not None:
+        gone = read_log(spark, f"{path}/removed", REMOVED).where(F.col("version") == version).first()
+        if gone is not None:
+            when = time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime(gone["timestamp"]))
+            raise FileNotFoundError(f"version {version} of {path} was removed on {when} UTC")
+    return found
+
+
+def _folders(path: str, entry: Row, parts: Iterable[int] | None = None) -> list[str]:
+    """Folders of a version's files, or of some of its parts."""
+    if entry["parts"] is None:
+        return [f"{path}/data/{entry['run']}"]
+    wanted = None if parts is None else set(parts)
+    return [f"{path}/data/{p['run']}/{PART}={p['part']}" for p in entry["parts"] if wanted is None or p["part"] in wanted]
+
 
+def _schema(entry: Row) -> StructType:
+    return StructType.fromJson(json.loads(entry["schema"]))
 
-def current_location(spark: SparkSession, path: str) -> tuple[str, StructType]:
-    """Folder and schema of the latest version."""
+
+def snapshot_layout(spark: SparkSession, path: str) -> Layout | None:
+    """How the latest version is in parts, if it is."""
+    return _layout(_find(spark, path, None))
+
+
+def _layout(entry: Row | None) -> Layout | None:
+    return None if entry is None or entry["layout"] is None else Layout(**json.loads(entry["layout"]))
+
+
+def _read(spark: SparkSession, path: str, entry: Row, parts: Iterable[int] | None = None) -> DataFrame:
+    folders = _folders(path, entry, parts)
+    if not folders:
+        return local_frame(spark, _schema(entry))
+    return spark.read.schema(_schema(entry)).parquet(*folders)
+
+
+def current_location(spark: SparkSession, path: str) -> tuple[str, StructType, dict[int, str] | None]:
+    """Folder and schema of the latest version, and of a table in parts the folder of each."""
     entry = _find(spark, path, None)
     if entry is None:
         raise FileNotFoundError(f"no version of {path}")
-    return f"{path}/data/{entry['run']}", StructType.fromJson(json.loads(entry["schema"]))
+    parts = None if entry["parts"] is None else dict(zip((p["part"] for p in entry["parts"]), _folders(path, entry)))
+    return f"{path}/data/{entry['run']}", _schema(entry), parts
 
 
 def read_snapshot(
@@ -58,10 +134,9 @@ def read_snapshot(
     entry = _find(spark, path, version)
     if entry is None:
         if required:
-            raise FileNotFoundError(f"no version {version or ''} of {path}")
+            raise FileNotFoundError(f"no version {'' if version is None else version} of {path}")
         return None
-    stored = StructType.fromJson(json.loads(entry["schema"]))
-    return spark.read.schema(stored).parquet(f"{path}/data/{entry['run']}")
+    return _read(spark, path, entry)
 
 
 def read_enum(spark: SparkSession, root: str, entity: str, column: str) -> DataFrame | None:
@@ -70,23 +145,32 @@ def read_enum(spark: SparkSession, root: str, entity: str, column: str) -> DataF
 
 
 def write_snapshot(
-    df: DataFrame, path: str, *, evolve: bool = True, sort_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    *,
+    evolve: bool = True,
+    sort_by: Sequence[str] = (),
+    layout: Layout | None = None,
 ) -> Snapshot:
-    """Write the next version; earlier versions are never touched.
+    """Write the next version whole; earlier versions are never touched.
 
     Without `evolve` a schema other than the stored one is refused.  `sort_by`
     range-partitions and sorts the files; the sort samples its input, so that is
-    written to the shared folder first, and the sources are read once.  Rows are
-    counted during the write.
+    written to the shared folder first, and the sources are read once.  With a
+    `layout` the table is in parts from then on, a task writing whole parts.
+    Rows are counted during the write.
     """
     spark = df.sparkSession
+    if sort_by and layout is not None:
+        raise ValueError("a table is sorted or in parts")
     last = _find(spark, path, None)
     if last is not None and not evolve:
-        diff = schema_diff(StructType.fromJson(json.loads(last["schema"])), df.schema)
+        diff = schema_diff(_schema(last), df.schema)
         if not diff.same:
             raise ValueError(f"schema of {path} would change: {diff}")
-    version = 0 if last is None else last["version"] + 1
-    run = f"{version:06d}-{uuid.uuid4().hex}"
+    if layout is not None:
+        return _write_parts(df, path, last, layout, [])
+    version, run = _next(last)
     counted = Observation(run)
     ordered = materialize(df, "unsorted").orderBy(*sort_by) if sort_by else df
     (
@@ -95,12 +179,120 @@ def write_snapshot(
         .parquet(f"{path}/data/{run}")
     )
     rows = counted.get["rows"]
-    entry = {
-        "version": version,
-        "timestamp": int(time.time()),
-        "rows": rows,
-        "schema": df.schema.json(),
-        "run": run,
-    }
-    local_frame(spark, HISTORY, [entry]).coalesce(1).write.mode("append").parquet(f"{path}/history")
+    _add_version(spark, path, version=version, rows=rows, schema=df.schema.json(), run=run)
     return Snapshot(version, rows)
+
+
+def _next(last: Row | None) -> tuple[int, str]:
+    version = 0 if last is None else last["version"] + 1
+    return version, f"{version:06d}-{uuid.uuid4().hex}"
+
+
+def _add_version(spark: SparkSession, path: str, **entry) -> None:
+    append_rows(spark, f"{path}/history", HISTORY, [{"timestamp": int(time.time()), **entry}])
+
+
+def _write_parts(df: DataFrame, path: str, last: Row | None, layout: Layout, kept: list[Row]) -> Snapshot:
+    """A version of the parts that `df` has rows of, written now, and the `kept` ones of earlier versions."""
+    spark = df.sparkSession
+    version, run = _next(last)
+    folder = f"{path}/data/{run}"
+    df.withColumn(PART, layout.part()).repartition(PART).write.mode("errorifexists").partitionBy(PART).parquet(folder)
+    # Numbers of rows per part come from the file footers.
+    stored = StructType([*df.schema.fields, *schema(**{PART: COUNT}).fields])
+    counts = spark.read.schema(stored).parquet(folder).groupBy(PART).agg(F.count(F.lit(1)).alias("rows")).collect()
+    parts = [p.asDict() for p in kept] + [{"part": c[PART], "run": run, "rows": c["rows"]} for c in counts]
+    rows = sum(p["rows"] for p in parts)
+    _add_version(
+        spark, path, version=version, rows=rows, schema=df.schema.json(), run=run,
+        layout=json.dumps(asdict(layout)), parts=parts,
+    )
+    return Snapshot(version, rows, len(counts))
+
+
+def touched_rows(updates: DataFrame, path: str) -> DataFrame | None:
+    """Rows of the latest version in the parts that `updates` has keys of; all rows of a table not in parts."""
+    entry = _find(updates.sparkSession, path, None)
+    if entry is None:
+        return None
+    layout = _layout(entry)
+    return _read(updates.sparkSession, path, entry, None if layout is None else _parts_of(updates, layout))
+
+
+def _parts_of(updates: DataFrame, layout: Layout) -> list[int]:
+    """Numbers of the parts with updates: no more than the table has or gets."""
+    return [r[PART] for r in updates.select(layout.part().alias(PART)).distinct().collect()]
+
+
+def upsert_snapshot(
+    updates: DataFrame,
+    path: str,
+    key: str,
+    *,
+    overwrite_missing: bool = False,
+    layout: Layout | None = None,
+) -> Snapshot:
+    """The next version: `updates`, one row per key, over the latest one (see `upsert`).
+
+    Of a table in parts only those with updates are read and written.  `layout` is for the first version, or
+    puts a table that was not in parts into parts.  A column whose type changed, or a layout other than the
+    stored one, rewrites the table; types that do not fit each other are the caller's to convert first.
+    `updates` are read several times.
+    """
+    spark = updates.sparkSession
+    last = _find(spark, path, None)
+    stored = _layout(last)
+    layout = layout or stored
+    if layout is not None and layout.key != key:
+        raise ValueError(f"{path} is in parts by {layout.key!r}, not by {key!r}")
+    if last is None:
+        return write_snapshot(updates, path, layout=layout)
+    base = _read(spark, path, last)
+    if stored is None or stored != layout or schema_diff(_schema(last), updates.schema).retyped:
+        return write_snapshot(upsert(base, updates, key, overwrite_missing=overwrite_missing), path, layout=layout)
+    touched = set(_parts_of(updates, layout))
+    changed = upsert(_read(spark, path, last, touched), updates, key, overwrite_missing=overwrite_missing)
+    return _write_parts(changed, path, last, layout, [p for p in last["parts"] if p["part"] not in touched])
+
+
+def expire_versions(
+    spark: SparkSession,
+    path: str,
+    *,
+    older_than: int,
+    read_at: Sequence[int | None] = (),
+    keep: int = 1,
+) -> list[int]:
+    """Remove versions that were replaced before `older_than` (epoch seconds); returns their numbers.
+
+    `read_at` holds the time of the last run of each reader: what was current then, and everything since, stays;
+    a reader that never ran (None) needs nothing.  The newest `keep` versions always stay.  The versions are
+    marked as removed first, so a removal that fails half-way leaves no version that cannot be read, and the next
+    one deletes what is left.  Files that a version shares with one that stays are kept.
+    """
+    if keep < 1:
+        raise ValueError("the newest version cannot be removed")
+    limit = min([older_than, *(t for t in read_at if t is not None)])
+    every = read_log(spark, f"{path}/history", HISTORY).orderBy("version").collect()  # one row a version
+    gone = {r["version"] for r in read_log(spark, f"{path}/removed", REMOVED).collect()}
+    held = [e for e in every if e["version"] not in gone]
+    replaced = [e for e, after in zip(held, held[1:]) if after["timestamp"] <= limit]
+    removed = replaced[: max(0, len(held) - keep)]
+    if removed:
+        now = int(time.time())
+        append_rows(spark, f"{path}/removed", REMOVED, [{"version": e["version"], "timestamp": now} for e in removed])
+    gone |= {e["version"] for e in removed}
+    needed: dict[str, set[str]] = defaultdict(set)
+    for e in every:
+        if e["version"] not in gone:
+            for folder in _folders(path, e):
+                needed[folder.removeprefix(f"{path}/data/").split("/")[0]].add(folder)
+    for e in every:
+        if e["version"] in gone:
+            if e["run"] not in needed:
+                delete_folder(spark, f"{path}/data/{e['run']}")
+            for p in e["parts"] or ():
+                folder = f"{path}/data/{p['run']}/{PART}={p['part']}"
+                if p["run"] in needed and folder not in needed[p["run"]]:
+                    delete_folder(spark, folder)
+    return [e["version"] for e in removed]

@@ -8,6 +8,7 @@ import time
 import uuid
 from dataclasses import replace
 from graphlib import CycleError
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -49,11 +50,22 @@ from lakestrata.plans.ingest import (
     read_rejected,
 )
 from lakestrata.plans.lake import LANDING, RAW, Lake, TableId
+from lakestrata.plans.retention import expire_layer
 from lakestrata.plans.runner import TableSpec, build_all, failures
 from lakestrata.sources.catalog import ddl_type, discover_tables, sync_catalog
 from lakestrata.sources.files import read_enum_dir, read_or_none, write_json_pages
+from lakestrata.sources.log import append_rows, log_folder, read_log
 from lakestrata.sources.scratch import clear_scratch, materialize, scratch_path, shared_dir
-from lakestrata.sources.snapshot import read_snapshot, snapshot_history, write_snapshot
+from lakestrata.sources.snapshot import (
+    Layout,
+    expire_versions,
+    read_snapshot,
+    snapshot_history,
+    snapshot_layout,
+    touched_rows,
+    upsert_snapshot,
+    write_snapshot,
+)
 
 SOURCE, TARGET = TableId(LANDING, "things", "shop"), TableId(RAW, "things", "shop")
 
@@ -211,6 +223,139 @@ def test_run_log_roundtrip(spark, tmp_path):
     assert last_run_time(read_control(spark, path)) == int(run.started)
 
 
+def test_a_log_of_many_files_becomes_one_and_reads_the_same(spark, tmp_path, rows):
+    path = str(tmp_path / "control")
+    columns = schema(n=LongType(), note=StringType())
+    files = lambda: len(list((tmp_path / "control").rglob("*.parquet")))
+    for n in range(10):
+        append_rows(spark, path, columns, [{"n": n, "note": None if n % 2 else "x"}], most_files=3)
+        assert [r[0] for r in rows(read_log(spark, path, columns))] == list(range(n + 1))
+        assert len(list(Path(log_folder(spark, path).removeprefix("file:")).glob("*.parquet"))) <= 3
+    assert log_folder(spark, path).endswith("/g000003")
+    assert not (tmp_path / "control" / "g000001").exists()  # the one before the last goes, the last one stays
+    assert (tmp_path / "control" / "g000002").exists() and files() < 9
+
+
+def test_a_compaction_that_fails_half_way_is_not_seen(spark, tmp_path, rows):
+    path = str(tmp_path / "control")
+    columns = schema(n=LongType())
+    append_rows(spark, path, columns, [{"n": 1}])
+    (tmp_path / "control" / "g000001").mkdir()
+    (tmp_path / "control" / "g000001" / "part-0.parquet").write_text("torn")
+    assert rows(read_log(spark, path, columns)) == [(1,)]
+    append_rows(spark, path, columns, [{"n": 2}], most_files=1)
+    assert rows(read_log(spark, path, columns)) == [(1,), (2,)]
+    assert log_folder(spark, path).endswith("/g000001")
+
+
+# --- tables in parts, retention ----------------------------------------------
+
+
+def test_an_update_of_few_clustered_keys_leaves_most_files_alone(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    base = spark.range(10_000).select("id", (F.col("id") * 2).alias("v"))
+    assert upsert_snapshot(base, path, "id", layout=Layout("id", "range", 500)).parts_written == 20
+    before = {f: f.stat().st_mtime_ns for f in tmp_path.rglob("data/**/*.parquet")}
+    update = spark.range(7100, 7200).select("id", F.lit(-1).cast("long").alias("v"))
+    done = upsert_snapshot(update, path, "id")
+    assert (done.version, done.rows, done.parts_written) == (1, 10_000, 1)
+    after = {f: f.stat().st_mtime_ns for f in tmp_path.rglob("data/**/*.parquet")}
+    assert before.items() <= after.items() and len(after) == len(before) + 1
+    got = read_snapshot(spark, path)
+    assert got.columns == ["id", "v"] and got.count() == 10_000
+    assert got.where("v = -1").agg(F.min("id"), F.max("id")).first()[:] == (7100, 7199)
+    assert read_snapshot(spark, path, 0).where("v = -1").isEmpty()
+    # Only the folder of the part with the key is read for the next update.
+    assert {Path(f).parent.name for f in touched_rows(update, path).inputFiles()} == {"__part=14"}
+
+
+@pytest.mark.parametrize("layout", [Layout("id", "range", 10), Layout("id", "hash", 4)])
+def test_upserts_in_parts_equal_upserts_of_the_whole(spark, frame, rows, tmp_path, layout):
+    parted, plain = str(tmp_path / "parted"), str(tmp_path / "plain")
+    batches = [
+        frame("id long, a string, n long", *((i, f"a{i}", i) for i in range(-15, 40, 3)), (None, "no key", 0)),
+        frame("id long, n long, b double", (3, -3, 0.5), (100, 1, None), (-7, 2, 2.5)),  # lacks a, brings b
+        frame("id long, a string, n long, b double"),
+        frame("id long, a string, n long, b double", (0, None, None, None), (55, "x", 5, 5.5)),
+    ]
+    for batch in batches:
+        for path, how in ((parted, layout), (plain, None)):
+            upsert_snapshot(batch, path, "id", layout=how)
+        one, other = read_snapshot(spark, parted), read_snapshot(spark, plain)
+        assert one.columns == other.columns
+        assert rows(one) == rows(other)
+    assert snapshot_layout(spark, parted) == layout and snapshot_layout(spark, plain) is None
+    upsert_snapshot(batches[3].withColumn("n", F.lit(1.5)), parted, "id")  # another type: all is rewritten
+    assert dict(read_snapshot(spark, parted).dtypes)["n"] == "double"
+    newest = snapshot_history(spark, parted).first()
+    assert {p["run"] for p in newest["parts"]} == {newest["run"]}
+    with pytest.raises(ValueError):
+        upsert_snapshot(batches[0], parted, "n")
+    with pytest.raises(ValueError):
+        Layout("id", "list", 3)
+
+
+def test_batches_applied_in_parts(lake, frame, rows):
+    ddl = "id long, name string, updated_at long"
+    first = frame(ddl, *((i, f"n{i}", 1) for i in range(100)))
+    land(lake, frame, "2024-01-01", DAY1, first)
+    apply_batches(lake, "shop", "things", layout=Layout("id", "range", 10))
+    land(lake, frame, "2024-01-02", DAY2, frame(ddl.replace("name string, ", ""), (5, 2), (101, 2)))
+    assert apply_batches(lake, "shop", "things") == 101
+    newest = snapshot_history(lake.spark, lake.path(TARGET)).first()
+    assert sum(p["run"] == newest["run"] for p in newest["parts"]) == 2
+    got = dict(rows(lake.read(TARGET), "id", "name"))
+    assert (got[5], got[101], got[99]) == ("n5", None, "n99")
+    land(lake, frame, "2024-01-03", DAY3, frame("id string, name string, updated_at long", ("x7", "seven", 3)))
+    assert apply_batches(lake, "shop", "things") == 102  # the key became text: rewritten
+    assert dict(rows(lake.read(TARGET), "id", "name"))["5"] == "n5"
+
+
+def test_old_versions_go_and_what_is_read_stays(spark, frame, rows, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(4):
+        write_snapshot(frame("n long", (n,)), path)
+    times = {r["version"]: r["timestamp"] for r in snapshot_history(spark, path).collect()}
+    assert expire_versions(spark, path, older_than=times[0] - 1) == []
+    assert expire_versions(spark, path, older_than=times[3] + 9, read_at=[times[0] - 1, None]) == []
+    assert expire_versions(spark, path, older_than=times[3] + 9, keep=2) == [0, 1]
+    with pytest.raises(FileNotFoundError, match="version 1 of .* was removed on"):
+        read_snapshot(spark, path, 1)
+    with pytest.raises(FileNotFoundError, match="no version 9"):
+        read_snapshot(spark, path, 9)
+    assert rows(read_snapshot(spark, path, 2)) == [(2,)] and rows(read_snapshot(spark, path)) == [(3,)]
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 2
+    assert expire_versions(spark, path, older_than=times[3] + 9, keep=2) == []
+    assert write_snapshot(frame("n long", (4,)), path).version == 4
+    with pytest.raises(ValueError):
+        expire_versions(spark, path, older_than=0, keep=0)
+
+
+def test_shared_parts_outlive_the_version_that_wrote_them(spark, frame, rows, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_snapshot(frame("id long, v long", (1, 1), (11, 1), (21, 1)), path, "id", layout=Layout("id", "range", 10))
+    upsert_snapshot(frame("id long, v long", (1, 2)), path, "id")
+    upsert_snapshot(frame("id long, v long", (1, 3), (11, 3)), path, "id")
+    assert expire_versions(spark, path, older_than=int(time.time()) + 9) == [0, 1]
+    assert rows(read_snapshot(spark, path)) == [(1, 3), (11, 3), (21, 1)]
+    left = sorted(f"{p.parent.name[:6]}/{p.name}" for p in (tmp_path / "t" / "data").glob("*/__part=*"))
+    assert left == ["000000/__part=2", "000002/__part=0", "000002/__part=1"]
+
+
+def test_a_layer_keeps_what_its_readers_have_not_seen(lake, frame):
+    specs = _specs(lake, ("mart", ["a"], lambda l: l.read(TableId(RAW, "a", "shop"))))
+    path = lake.path(TableId(RAW, "a", "shop"))
+    write_snapshot(frame("id long", (9,)), path)
+    assert build_all(lake, specs)[0].state == "built"
+    time.sleep(1.1)
+    write_snapshot(frame("id long", (10,)), path)
+    write_snapshot(frame("id long", (11,)), path)
+    later = int(time.time()) + 9
+    assert expire_layer(lake, RAW, older_than=later, readers=specs) == [("raw/shop/a", 0)]
+    assert main(["expire", "--root", lake.root, "--layer", "raw", "--older-than", "1"], lake.spark) == []
+    assert expire_layer(lake, RAW, older_than=later, readers=()) == [("raw/shop/a", 1), ("raw/shop/a", 2)]
+
+
 # --- ingest ------------------------------------------------------------------
 
 
@@ -536,6 +681,22 @@ def test_catalog_follows_versions_and_columns(lake, spark, frame, rows):
     assert [(f["name"], f["path"]) for f in found] == [(name, lake.path(table))]
 
 
+def test_a_table_in_parts_is_registered_with_their_folders(lake, spark, frame, rows):
+    layer = f"l{uuid.uuid4().hex[:8]}"
+    table = TableId(layer, "things")
+    upsert_snapshot(frame("id long, v string", (1, "a"), (11, "it's")), lake.path(table), "id", layout=Layout("id", "range", 10))
+
+    def sync():
+        return [(r["table"], r["action"], r["columns"]) for r in sync_catalog(spark, lake.root, (layer,), ()).collect()]
+
+    name = f"{layer}_things"
+    assert sync() == [(name, "created", "id bigint, v varchar")]
+    assert sync()[0][1] == "unchanged"
+    upsert_snapshot(frame("id long, v string", (11, "b"), (21, "c")), lake.path(table), "id")
+    assert sync()[0][1] == "recreated"
+    assert rows(spark.table(f"{layer}.{name}"), "id", "v", "__part") == [(1, "a", 0), (11, "b", 1), (21, "c", 2)]
+
+
 def test_one_failing_table_does_not_stop_the_rest(lake, spark, frame):
     layer = f"l{uuid.uuid4().hex[:8]}"
     good, bad = TableId(layer, "good"), TableId(layer, "bad")

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import time
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType
@@ -36,8 +37,16 @@ from lakestrata.sources.files import (
     to_json_rows,
     write_json_pages,
 )
+from lakestrata.sources.log import append_rows, read_log
 from lakestrata.sources.scratch import scratch_path
-from lakestrata.sources.snapshot import read_snapshot, snapshot_history, write_snapshot
+from lakestrata.sources.snapshot import (
+    Layout,
+    expire_versions,
+    read_snapshot,
+    snapshot_history,
+    upsert_snapshot,
+    write_snapshot,
+)
 from workload.base import Source, check
 from workload.changes import at
 from workload.joins import BEST_MATCH_SQL, country_codes
@@ -231,6 +240,88 @@ def snapshot_versions(t: Source) -> DataFrame:
     return snapshot_history(t.spark, _two_versions(t)).select("version", "rows")
 
 
+def _in_parts(t: Source) -> str:
+    """Orders in parts of 100 keys: all, then the finished ones of the first keys dearer, then some new ones."""
+    path = scratch_path(t.spark, "parts")
+    orders = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    upsert_snapshot(orders, path, "o_orderkey", layout=Layout("o_orderkey", "range", 100))
+    dearer = orders.where("o_orderkey < 250 AND o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    upsert_snapshot(dearer, path, "o_orderkey")
+    new = orders.where("o_orderkey % 100 = 7 AND o_orderkey < 1000").select((-F.col("o_orderkey")).alias("o_orderkey"), F.lit("new").alias("note"))
+    upsert_snapshot(new, path, "o_orderkey")
+    return path
+
+
+@check(
+    "upsert_parts",
+    """SELECT o_orderkey, o_orderstatus, o_totalprice + CASE WHEN o_orderkey < 250 AND o_orderstatus = 'F' THEN 1 ELSE 0 END AS o_totalprice,
+              NULL::VARCHAR AS note FROM orders
+       UNION ALL
+       SELECT -o_orderkey, NULL, NULL, 'new' FROM orders WHERE o_orderkey % 100 = 7 AND o_orderkey < 1000""",
+)
+def upsert_parts(t: Source) -> DataFrame:
+    return read_snapshot(t.spark, _in_parts(t))
+
+
+@check(
+    "upsert_parts_written",
+    """WITH news AS (SELECT -o_orderkey AS k FROM orders WHERE o_orderkey % 100 = 7 AND o_orderkey < 1000)
+       SELECT 0::BIGINT AS version, count(DISTINCT o_orderkey // 100) AS written, 0::BIGINT AS kept, count(*) AS rows FROM orders
+       UNION ALL
+       SELECT 1, count(DISTINCT o_orderkey // 100) FILTER (o_orderkey < 250 AND o_orderstatus = 'F'),
+              count(DISTINCT o_orderkey // 100) - count(DISTINCT o_orderkey // 100) FILTER (o_orderkey < 250 AND o_orderstatus = 'F'), count(*)
+       FROM orders
+       UNION ALL
+       SELECT 2, (SELECT count(DISTINCT -(-k // 100)) FROM news),
+              (SELECT count(*) FROM (SELECT DISTINCT o_orderkey // 100 FROM orders EXCEPT SELECT -(-k // 100) FROM news)),
+              (SELECT count(*) FROM orders) + (SELECT count(*) FROM news)""",
+)
+def upsert_parts_written(t: Source) -> DataFrame:
+    """How many parts each version wrote, and how many it took over."""
+    own = F.size(F.filter("parts", lambda p: p["run"] == F.col("run"))).cast("bigint")
+    return snapshot_history(t.spark, _in_parts(t)).select(
+        "version", own.alias("written"), (F.size("parts") - own).cast("bigint").alias("kept"), "rows"
+    )
+
+
+@check(
+    "expired_versions",
+    """SELECT 1::BIGINT AS version, o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0
+       UNION ALL SELECT 2, o_orderkey, o_orderstatus || '!' FROM orders""",
+)
+def expired_versions(t: Source) -> DataFrame:
+    """Three versions, of which the first one went; the second one was read by somebody's last run."""
+    path = scratch_path(t.spark, "orders")
+    orders = t.orders.select("o_orderkey", "o_orderstatus")
+    write_snapshot(orders, path)
+    time.sleep(1.1)  # histories count seconds
+    write_snapshot(orders.where("o_orderkey % 2 = 0"), path)
+    read = int(time.time())
+    time.sleep(1.1)
+    write_snapshot(orders.withColumn("o_orderstatus", F.concat("o_orderstatus", F.lit("!"))), path)
+    expire_versions(t.spark, path, older_than=int(time.time()) + 100, read_at=[read, None])
+    left = [r["version"] for r in snapshot_history(t.spark, path).collect()]
+    versions = [read_snapshot(t.spark, path, v).select(F.lit(v).cast("bigint").alias("version"), "*") for v in left]
+    return reduce(DataFrame.unionByName, versions)
+
+
+@check(
+    "compacted_log",
+    """SELECT CAST(floor(epoch(date_trunc('day', ts))) AS BIGINT) AS exec_time, count(*) AS table_rows, true AS few_files
+       FROM events GROUP BY 1""",
+)
+def compacted_log(t: Source) -> DataFrame:
+    """A run for every day of events, appended one by one to a log that is written anew after each eight files."""
+    path = scratch_path(t.spark, "control")
+    day = F.unix_timestamp(F.date_trunc("day", F.col("ts").cast("timestamp")))
+    for r in t.events.groupBy(day.alias("day")).count().orderBy("day").collect():  # one row a calendar day
+        run = {"Exec_date": "-", "Exec_time": r["day"], "Total_duration": "00:00:00", "Table_Rows": r["count"]}
+        append_rows(t.spark, path, TABLE_RUN, [run], most_files=8)
+    log = read_log(t.spark, path, TABLE_RUN)
+    files = log.select("_metadata.file_path").distinct().count()
+    return log.select(F.col("Exec_time").alias("exec_time"), F.col("Table_Rows").alias("table_rows"), F.lit(files <= 8).alias("few_files"))
+
+
 @check("read_absent", "SELECT o_orderkey, o_orderstatus FROM orders")
 def read_absent(t: Source) -> DataFrame:
     """A table that is not there yet adds no rows to one that is."""
@@ -526,13 +617,13 @@ def plan_and_build(t: Source) -> DataFrame:
 
 
 def _lake_with_a_broken_mart(t: Source) -> tuple[Lake, list[TableSpec]]:
-    """Four marts over orders: one reads a column that is not there, one reads that mart and a good one."""
+    """Four marts over orders: one reads a table that was never built, one reads that mart and a good one."""
     lake, specs = _small_lake(t)
     clean = specs[0].target
     broken, both = TableId(TRUST, "orders_by_rating"), TableId(TRUST, "orders_summary")
     share = TableId(TRUST, "open_share")
     specs += [
-        TableSpec(broken, (clean,), lambda l: l.read(clean).groupBy("rating").count()),
+        TableSpec(broken, (clean,), lambda l: l.read(TableId(CONTEXT, "ratings", "shop"))),
         TableSpec(both, (broken, share), lambda l: l.read(broken).crossJoin(l.read(share))),
         TableSpec(share, (clean,), lambda l: l.read(clean).agg(F.avg(F.col("open").cast("int")).alias("share"))),
     ]
@@ -599,7 +690,7 @@ def built_mart(t: Source) -> DataFrame:
 def built_log(t: Source) -> DataFrame:
     lake, specs = _small_lake(t)
     build_all(lake, specs)
-    log = read_or_empty(t.spark, lake.control_path(specs[0].target), TABLE_RUN)
+    log = read_control(t.spark, lake.control_path(specs[0].target))
     return log.select(F.col("Table_Rows").alias("table_rows"))
 
 
