@@ -32,7 +32,8 @@ from lakestrata.operators.columns import (
 )
 from lakestrata.operators.dedup import has_duplicates, latest_by
 from lakestrata.operators.enrich import decode, fan_out, lookup, with_parent
-from lakestrata.operators.match import best_match, parse_records, pick_best, similar_names
+from lakestrata.operators import match
+from lakestrata.operators.match import best_match, nearest_names, parse_records, pick_best, similar_names
 from lakestrata.operators.membership import membership
 
 
@@ -468,9 +469,35 @@ def test_best_match_equals_picking_from_all_pairs(frame, rows):
     assert rows(best_match(left, right), "id", "cand_id") == rows(pick_best(pairs), "id", "cand_id")
 
 
-def test_similar_names_refuses_low_thresholds(frame):
-    with pytest.raises(ValueError):
-        similar_names(frame("name string"), frame("name string"), 0.5)
+@pytest.mark.parametrize("threshold", [0.05, 0.35, 0.5, 0.6, 0.75, 0.8])
+def test_similar_names_is_exact_for_every_threshold(frame, threshold):
+    dice = random.Random(threshold)
+
+    def words(n):
+        return ["".join(dice.choices("abcé", k=dice.randint(0, 9))) for _ in range(n)]
+
+    lefts, rights = words(90) + ["long name of a game"], words(90) + ["", "long name", "ong name of game", "l"]
+    got = {(r["lname"], r["rname"]) for r in similar_names(frame("name string", *((n,) for n in lefts)), frame("name string", *((n,) for n in rights)), threshold).collect()}
+    far = {(a, b) for a in lefts for b in rights if a not in rights and (max(len(a), len(b)) - _edit_distance(a, b)) > threshold * max(len(a), len(b)) + 1e-9}
+    assert got == far | {(a, a) for a in lefts if a in rights}
+
+
+@pytest.mark.parametrize("threshold", [0.4, 0.8])
+def test_tiers_and_one_search_agree(frame, rows, monkeypatch, threshold):
+    dice = random.Random(9)
+    lefts = ["".join(dice.choices("abc", k=dice.randint(1, 8))) for _ in range(120)]
+    rights = ["".join(dice.choices("abc", k=dice.randint(1, 8))) for _ in range(120)]
+    sides = [frame("name string", *((n,) for n in names)) for names in (lefts, rights)]
+    monkeypatch.setattr(match, "FEW_NAMES", 0)
+    in_tiers = rows(nearest_names(*sides, threshold))
+    monkeypatch.setattr(match, "FEW_NAMES", 10**9)
+    assert in_tiers == rows(nearest_names(*sides, threshold)) and in_tiers
+
+
+def test_similar_names_refuses_impossible_thresholds(frame):
+    for threshold in (0, 1, 1.5):
+        with pytest.raises(ValueError):
+            similar_names(frame("name string"), frame("name string"), threshold)
 
 
 def test_parse_records_keeps_bad_rows_apart(frame, rows):

@@ -23,7 +23,7 @@ from lakestrata.operators.columns import (
     sort_columns,
 )
 from lakestrata.operators.enrich import decode, fan_out, lookup, with_parent
-from lakestrata.operators.match import best_match, pick_best
+from lakestrata.operators.match import best_match, pick_best, similar_names
 from workload.base import Source, check
 
 
@@ -330,6 +330,42 @@ def best_match_customers(t: Source) -> DataFrame:
     return best_match(left, right).withColumn("similarity", F.round("similarity", 9))
 
 
+@check(
+    "similar_names_low",
+    """WITH a AS (SELECT DISTINCT 'Cust#' || substr(c_name, 13) || n_name AS l FROM customer JOIN nation ON c_nationkey = n_nationkey
+                  WHERE c_custkey % 5 = 0),
+       b AS (SELECT DISTINCT c_name || n_name AS r FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 7 = 0)
+       SELECT l AS lname, r AS rname, round(1 - levenshtein(l, r)::DOUBLE / greatest(length(l), length(r)), 9) AS similarity
+       FROM a, b WHERE round(1 - levenshtein(l, r)::DOUBLE / greatest(length(l), length(r)), 12) > 0.6""",
+)
+def similar_names_low(t: Source) -> DataFrame:
+    """Shortened customer names with their nation against whole ones, at a threshold of 0.6."""
+    named = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    short = F.concat(F.lit("Cust#"), F.substring("c_name", 13, 99), "n_name")
+    left = named.where("c_custkey % 5 = 0").select(short.alias("name"))
+    right = named.where("c_custkey % 7 = 0").select(F.concat("c_name", "n_name").alias("name"))
+    return similar_names(left, right, 0.6).withColumn("similarity", F.round("similarity", 9))
+
+
+@check(
+    "best_match_low",
+    """WITH b AS (SELECT c_custkey AS cand_id, c_name || c_mktsegment AS r FROM customer),
+       scored AS (SELECT a.c_custkey AS id, cand_id,
+                         1 - levenshtein(upper(a.c_mktsegment) || substr(a.c_name, 13), r)::DOUBLE
+                             / greatest(length(a.c_mktsegment) + length(a.c_name) - 12, length(r)) AS sim FROM customer a, b),
+       top AS (SELECT *, max(sim) OVER (PARTITION BY id) AS best FROM scored WHERE round(sim, 12) > 0.35)
+       SELECT id, min(cand_id) AS cand_id, round(max(sim), 9) AS similarity FROM top
+       WHERE sim = best GROUP BY id HAVING count(*) = 1""",
+)
+def best_match_low(t: Source) -> DataFrame:
+    """Segment and number against name and segment, which leaves a little more than a third alike."""
+    none, one = F.lit(None).cast("int").alias("year"), F.lit(1).alias("year")
+    short = F.concat(F.upper("c_mktsegment"), F.substring("c_name", 13, 99)).alias("name")
+    left = t.customer.select(F.col("c_custkey").alias("id"), short, none)
+    right = t.customer.select(F.col("c_custkey").alias("cand_id"), F.concat("c_name", "c_mktsegment").alias("name"), one)
+    return best_match(left, right, 0.35).withColumn("similarity", F.round("similarity", 9))
+
+
 @check(
     "pick_best",
     """WITH hits AS (
