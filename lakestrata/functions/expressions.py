@@ -66,3 +66,20 @@ def percent(part: str, whole: str) -> Column:
 def similarity(a: Column, b: Column) -> Column:
     """1 - edit distance / longer length."""
     return 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b))
+
+
+def variant_field(column: Column | str, kind: str, path: str = "$") -> Column:
+    """What a variant holds at a path, as `kind`; null where it is missing or is something else."""
+    return F.try_variant_get(column, path, kind)
+
+
+def variant_kind(column: Column | str) -> Column:
+    """What a variant holds: 'object', 'array', 'text', 'number', 'flag', or null for a null."""
+    told = F.schema_of_variant(column)
+    return (
+        F.when(told.startswith("OBJECT"), "object")
+        .when(told.startswith("ARRAY"), "array")
+        .when(told == "STRING", "text")
+        .when(told == "BOOLEAN", "flag")
+        .when(told != "VOID", "number")
+    )

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (
     ArrayType,
@@ -15,10 +15,12 @@ from pyspark.sql.types import (
     DoubleType,
     IntegralType,
     LongType,
+    MapType,
     NumericType,
     StringType,
     StructField,
     StructType,
+    VariantType,
 )
 
 TEXT, COUNT, REAL, FLAG = StringType(), LongType(), DoubleType(), BooleanType()
@@ -43,25 +45,56 @@ def local_frame(
     return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(columns)), columns)
 
 
-def merged_type(a: DataType, b: DataType) -> DataType:
-    """Type that holds both: numbers widen, nested types merge, anything else becomes text."""
+VARIANT = VariantType()
+
+
+def merged_type(a: DataType, b: DataType, clash: DataType = TEXT) -> DataType:
+    """Type that holds both: numbers widen, nested types merge, anything else becomes `clash`: text, or a variant.
+
+    What is a variant already stays one.
+    """
     if a == b:
         return a
+    if VARIANT in (a, b):
+        return VARIANT
     if isinstance(a, IntegralType) and isinstance(b, IntegralType):
         return COUNT
     if isinstance(a, NumericType) and isinstance(b, NumericType):
         return REAL
     if isinstance(a, ArrayType) and isinstance(b, ArrayType):
-        return ArrayType(merged_type(a.elementType, b.elementType))
+        return ArrayType(merged_type(a.elementType, b.elementType, clash))
     if isinstance(a, StructType) and isinstance(b, StructType):
-        return merged_schema([a, b])
-    return TEXT
+        return merged_schema([a, b], clash)
+    return clash
+
 
+def merged_schema(schemas: Sequence[StructType], clash: DataType = TEXT, plain: Sequence[str] = ()) -> StructType:
+    """All columns in order of appearance, with types that hold what every schema says.
 
-def merged_schema(schemas: Sequence[StructType]) -> StructType:
-    """All columns in order of appearance, with types that hold what every schema says."""
+    Columns of `plain`, such as keys, become text where their types clash, whatever `clash` is.
+    """
     types: dict[str, DataType] = {}
     for one in schemas:
         for f in one.fields:
-            types[f.name] = merged_type(types[f.name], f.dataType) if f.name in types else f.dataType
+            other = TEXT if f.name in plain else clash
+            types[f.name] = merged_type(types[f.name], f.dataType, other) if f.name in types else f.dataType
     return StructType([StructField(name, kind) for name, kind in types.items()])
+
+
+def holds_variant(kind: DataType) -> bool:
+    """Whether a value of the type can be, or contain, a variant."""
+    return "variant" in kind.simpleString()
+
+
+def converted(column: Column, old: DataType, new: DataType) -> Column:
+    """A column of the type `old` as `new`, one that `merged_type` made of it and others."""
+    nested = isinstance(old, (StructType, ArrayType, MapType))
+    if old == new:
+        return column
+    if new == VARIANT:
+        return F.to_variant_object(column) if nested else column.cast(new)
+    if nested and new == TEXT:
+        return F.to_json(column)
+    if nested and holds_variant(new):
+        return F.from_json(F.to_json(column), new)
+    return column.cast(new)

@@ -70,6 +70,7 @@ def parser() -> argparse.ArgumentParser:
     raw.add_argument("--ties", nargs="+", default=())
     raw.add_argument("--schema", help="types of the records, as DDL; else as they were landed")
     raw.add_argument("--overwrite-missing", action="store_true")
+    raw.add_argument("--variants", action="store_true", help="columns of changing types become variants, not text")
     parts = raw.add_mutually_exclusive_group()
     parts.add_argument("--part-keys", type=int, help="put a table into parts of so many consecutive keys")
     parts.add_argument("--parts", type=int, help="put a table into so many parts by the hash of the key")
@@ -126,6 +127,7 @@ def _apply_all(args: argparse.Namespace, lake: Lake) -> list[BuildResult]:
             overwrite_missing=args.overwrite_missing,
             same_day=not args.first_landing_only,
             layout=layout,
+            variants=args.variants,
         )
         return BuildResult(table.folder, rows is not None, rows=rows)
 

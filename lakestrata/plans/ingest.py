@@ -15,9 +15,9 @@ from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
-from lakestrata.functions.schemas import TEXT, merged_schema, schema as columns_of
+from lakestrata.functions.schemas import TEXT, VARIANT, converted, holds_variant, merged_schema, schema as columns_of
 from lakestrata.operators.changes import Digest, digest, has_changed, schema_diff, upsert
 from lakestrata.operators.columns import incremental_filter
 from lakestrata.operators.dedup import latest_by
@@ -163,7 +163,13 @@ def _landed_date() -> Column:
 
 
 def _plan_read(
-    lake: Lake, source: TableId, dates: Sequence[str], given: StructType | None, base: DataFrame | None
+    lake: Lake,
+    source: TableId,
+    dates: Sequence[str],
+    given: StructType | None,
+    base: DataFrame | None,
+    clash: DataType,
+    plain: Sequence[str],
 ) -> Pending | None:
     """Types and columns of the dates: as given, as their runs say, or else looked up in the pages.
 
@@ -186,11 +192,11 @@ def _plan_read(
         columns |= found
         schemas.append(types)
         # A column of nothing but nulls takes the type it has in the table.
-        known = set(merged_schema([*held, *schemas]).names)
+        known = set().union(*(one.names for one in (*held, *schemas)))
         schemas.append(StructType([StructField(n, TEXT) for n in names if n not in known]))
     if not any(columns.values()):
         return None
-    merged = merged_schema([*held, *schemas])
+    merged = merged_schema([*held, *schemas], clash, plain)
     used = set().union(*columns.values())
     types = StructType([f for f in merged.fields if f.name in used])
     retyped: dict[str, str] = {}
@@ -235,7 +241,10 @@ def _read_dates(lake: Lake, source: TableId, pending: Pending) -> DataFrame | No
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return materialize(pages.withColumn(_DATE, _landed_date()), "pages")
+    # A null in the pages is a null of the column, not a variant that holds one.
+    variants = [f.name for f in pending.types.fields if f.dataType == VARIANT]
+    nulls = {c: F.when(~F.is_variant_null(c), F.col(c)) for c in variants}
+    return materialize(pages.withColumns({**nulls, _DATE: _landed_date()}), "pages")
 
 
 def _newest(
@@ -247,7 +256,8 @@ def _newest(
     lacks comes from the latest date that has it; a flag `<column>__set` says if one has.
     """
     ranked = [order] if order else []
-    rest = list(ties) or [c for c in pending.types.names if c not in (key, *ranked)] or [key]
+    comparable = [c for c in pending.types.names if not holds_variant(pending.types[c].dataType)]
+    rest = list(ties) or [c for c in comparable if c not in (key, *ranked)] or [key]
     partial = [c for c in pending.types.names if any(c not in held for held in pending.columns.values())]
     if overwrite or not partial:
         return latest_by(good, key, [_DATE, *ranked], rest).drop(_DATE), []
@@ -278,12 +288,10 @@ def _with_stored(newest: DataFrame, base: DataFrame | None, partial: Sequence[st
 
 def _retype(base: DataFrame, pending: Pending) -> DataFrame:
     """The stored table with the types it will have."""
-    columns = []
-    for f in base.schema.fields:
-        now = pending.types[f.name].dataType if f.name in pending.types.names else f.dataType
-        nested = isinstance(f.dataType, (StructType, ArrayType, MapType)) and now == TEXT
-        columns.append((F.to_json(f.name) if nested else F.col(f.name).cast(now)).alias(f.name))
-    return base.select(*columns)
+    now = {f.name: f.dataType for f in pending.types.fields}
+    return base.select(
+        *(converted(F.col(f.name), f.dataType, now.get(f.name, f.dataType)).alias(f.name) for f in base.schema.fields)
+    )
 
 
 def apply_batches(
@@ -298,6 +306,7 @@ def apply_batches(
     overwrite_missing: bool = False,
     same_day: bool = False,
     layout: Layout | None = None,
+    variants: bool = False,
 ) -> int | None:
     """Upsert every unread landing date into the raw table; returns its rows, None if idle.
 
@@ -312,7 +321,9 @@ def apply_batches(
     default to all other columns.  Lines that are no JSON or do not fit the types,
     and records without key, go to the table's `rejected` folder and are counted
     in the log.  A type that changed widens: numbers to larger numbers, anything
-    else to text; the log says so.
+    else to text; the log says so.  With `variants` anything else becomes a variant,
+    which keeps numbers, texts, lists and objects as they are (see `variant_field`);
+    key, order and ties still become text.
     """
     spark, run = lake.spark, Run()
     source, target = TableId(LANDING, entity, api), TableId(RAW, entity, api)
@@ -321,7 +332,8 @@ def apply_batches(
     landed = control_or_empty(spark, lake.control_path(source), LANDING_RUN)
     pending_dates = unread_dates(landed, None if base is None else log, same_day=same_day)
     dates = [row["exec_date"] for row in pending_dates.collect()]  # one short text per calendar day
-    pending = _plan_read(lake, source, dates, schema, base) if dates else None
+    clash, plain = VARIANT if variants else TEXT, [key, *([order] if order else []), *ties]
+    pending = _plan_read(lake, source, dates, schema, base, clash, plain) if dates else None
     if pending is None:
         return None
     for column in (key, *([order] if order else [])):

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructType
 
@@ -16,6 +18,7 @@ FOUND = schema(name=TEXT, path=TEXT)
 RESULT = schema(database=TEXT, table=TEXT, action=TEXT, error=TEXT, columns=TEXT)
 
 PARTS_AT_ONCE = 500  # added by one statement
+SYNCED_AT_ONCE = 8  # tables
 
 # Type names of the SQL catalogue where they differ from Spark's.
 SQL_TYPE_NAMES = {"string": "varchar", "int": "integer"}
@@ -133,24 +136,26 @@ def sync_catalog(
     ensure_database(spark, control_database)
     jobs += [(control_database, layer, "control") for layer in control_layers]
 
-    results = []
-    for database, layer, kind in jobs:
-        found = discover_tables(spark, root, layer, kind).orderBy("name").collect()
-        for table in found:
-            name = table["name"] if kind == "history" else f"ctrl_{table['name']}"
-            told = None
-            try:
-                if kind == "history":
-                    location, columns, parts = current_location(spark, table["path"])
-                else:
-                    parts = None
-                    location = log_folder(spark, f"{table['path']}/control")
-                    columns = spark.read.parquet(location).schema
-                action = sync_table(spark, database, name, location, columns, parts)
-                error, told = None, typed(columns)
-            except Exception as failure:  # noqa: BLE001 - reported, the others go on
-                action, error = "failed", str(failure)
-            results.append(
-                {"database": database, "table": name, "action": action, "error": error, "columns": told}
-            )
+    found = [
+        (database, kind, name, path)
+        for database, layer, kind in jobs
+        for name, path in discover_tables(spark, root, layer, kind).orderBy("name").collect()
+    ]
+
+    def sync(database: str, kind: str, name: str, path: str) -> dict[str, str | None]:
+        named = name if kind == "history" else f"ctrl_{name}"
+        action, error, told = "failed", None, None
+        try:
+            if kind == "history":
+                location, columns, parts = current_location(spark, path)
+            else:
+                location, parts = log_folder(spark, f"{path}/control"), None
+                columns = spark.read.parquet(location).schema
+            action, told = sync_table(spark, database, named, location, columns, parts), typed(columns)
+        except Exception as failure:  # noqa: BLE001 - reported, the others go on
+            error = str(failure)
+        return {"database": database, "table": named, "action": action, "error": error, "columns": told}
+
+    with ThreadPoolExecutor(SYNCED_AT_ONCE, thread_name_prefix="catalog") as pool:
+        results = list(pool.map(inheritable_thread_target(spark)(sync), *zip(*found))) if found else []
     return local_frame(spark, RESULT, results)

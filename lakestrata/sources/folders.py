@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import SparkSession
 
+LISTED_AT_ONCE = 16  # a store answers slowly, but many at a time
+
 # Folders below a table that hold no further tables.
 INSIDE = re.compile(r"data|history|removed|control|schemas|rejected|\d{4}-\d{2}-\d{2}|[._].*")
 
@@ -39,15 +42,12 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 def table_folders(spark: SparkSession, root: str, kind: str) -> Iterator[str]:
     """Folders at any depth below `root` that have a folder `kind`, relative to it.
 
-    Lists the folders between the root and its tables, no data files.
+    Lists the folders between the root and its tables, no data files; those of a level at the same time.
     """
-    store, top = _located(spark, root)
-    if not store.exists(top):
-        return
-    todo = [("", top)]
-    while todo:
-        name, folder = todo.pop()
-        below = [s.getPath() for s in store.listStatus(folder) if s.isDirectory()]
-        if name and any(p.getName() == kind for p in below):
-            yield name
-        todo += [(f"{name}/{p.getName()}".lstrip("/"), p) for p in below if not INSIDE.fullmatch(p.getName())]
+    level = [""]
+    with ThreadPoolExecutor(LISTED_AT_ONCE, thread_name_prefix="list") as pool:
+        while level:
+            found = pool.map(lambda name: entries(spark, f"{root}/{name}"), level)
+            below = [(name, [e.name for e in held if e.folder]) for name, held in zip(level, found)]
+            yield from (name for name, folders in below if name and kind in folders)
+            level = [f"{name}/{f}".lstrip("/") for name, folders in below for f in folders if not INSIDE.fullmatch(f)]

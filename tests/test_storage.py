@@ -24,6 +24,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from lakestrata.functions.expressions import variant_kind
 from lakestrata.functions.schemas import merged_schema, schema
 from lakestrata.jobs import main
 from lakestrata.plans.control import (
@@ -52,6 +53,7 @@ from lakestrata.plans.ingest import (
 from lakestrata.plans.lake import LANDING, RAW, Lake, TableId
 from lakestrata.plans.retention import expire_layer
 from lakestrata.plans.runner import TableSpec, build_all, failures
+from lakestrata.sources import folders
 from lakestrata.sources.catalog import ddl_type, discover_tables, sync_catalog
 from lakestrata.sources.files import read_enum_dir, read_or_none, write_json_pages
 from lakestrata.sources.log import append_rows, log_folder, read_log
@@ -528,6 +530,21 @@ def test_types_widen_and_the_log_says_so(lake, frame, rows):
     assert "v: bigint -> double" in changes and any(c and c.endswith("-> string") for c in changes)
 
 
+def test_variants_keep_what_a_field_holds(lake, frame, rows):
+    land(lake, frame, "2024-01-01", DAY1, frame("id long, v struct<a:long,b:string>, n long, updated_at long", (1, (5, "x"), 7, 1), (2, None, 8, 1)))
+    apply_batches(lake, "shop", "things", variants=True)
+    land(lake, frame, "2024-01-02", DAY2, frame("id string, v struct<a:string,b:string>, n array<long>, updated_at long", ("1", ("five", "y"), [1, 2], 2), ("3", ("1", None), None, 2)))
+    apply_batches(lake, "shop", "things", variants=True)
+    held = lake.read(TARGET)
+    assert dict(held.dtypes) == {"id": "string", "v": "struct<a:variant,b:string>", "n": "variant", "updated_at": "bigint"}
+    got = held.select("id", variant_kind("v.a").alias("a"), F.col("v.b").alias("b"), F.to_json("n").alias("n"))
+    assert rows(got) == [("1", "text", "y", "[1,2]"), ("2", None, None, "8"), ("3", "text", None, None)]
+    # Text is the common type where variants were not asked for; a variant stays one.
+    land(lake, frame, "2024-01-03", DAY3, frame("id string, n boolean, updated_at long", ("2", True, 3)))
+    apply_batches(lake, "shop", "things")
+    assert rows(lake.read(TARGET).select("id", variant_kind("n").alias("k"))) == [("1", "array"), ("2", "flag"), ("3", None)]
+
+
 def test_merged_schema():
     a = schema(n=IntegerType(), f=LongType(), t=LongType(), s=StructType([]), l=ArrayType(LongType()))
     b = schema(n=LongType(), f=DoubleType(), t=BooleanType(), s=LongType(), l=ArrayType(DoubleType()), more=StringType())
@@ -697,6 +714,29 @@ def test_a_table_in_parts_is_registered_with_their_folders(lake, spark, frame, r
     assert rows(spark.table(f"{layer}.{name}"), "id", "v", "__part") == [(1, "a", 0), (11, "b", 1), (21, "c", 2)]
 
 
+def test_hundreds_of_folders_are_listed_at_the_same_time(spark, tmp_path, monkeypatch):
+    for i in range(500):
+        (tmp_path / "raw" / f"api{i % 20}" / f"t{i}" / ("history" if i % 2 else "control")).mkdir(parents=True)
+    at_once, inside, lock = [0], [0], threading.Lock()
+    listed = folders.entries
+
+    def slow(*args):
+        with lock:
+            inside[0] += 1
+            at_once[0] = max(at_once[0], inside[0])
+        time.sleep(0.01)
+        try:
+            return listed(*args)
+        finally:
+            with lock:
+                inside[0] -= 1
+
+    monkeypatch.setattr(folders, "entries", slow)
+    found = discover_tables(spark, str(tmp_path), "raw", "history").collect()
+    assert sorted(r["name"] for r in found) == sorted(f"raw_api{i % 20}_t{i}" for i in range(1, 500, 2))
+    assert at_once[0] > 4
+
+
 def test_one_failing_table_does_not_stop_the_rest(lake, spark, frame):
     layer = f"l{uuid.uuid4().hex[:8]}"
     good, bad = TableId(layer, "good"), TableId(layer, "bad")

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType
 
+from lakestrata.functions.expressions import variant_field, variant_kind
 from lakestrata.functions.schemas import COUNT, REAL, TEXT, schema
 from lakestrata.operators.match import parse_records
 from lakestrata.plans import matching
@@ -478,6 +479,44 @@ def apply_type_drift(t: Source) -> DataFrame:
     return lake.read(_ORDERS).withColumn("retyped", log.select("Retyped").scalar())
 
 
+@check(
+    "apply_variants",
+    """WITH kinds AS (SELECT *, o_orderkey % 4 AS k FROM orders)
+       SELECT o_orderkey, CASE k WHEN 1 THEN 'text' WHEN 2 THEN 'object' WHEN 3 THEN 'array' ELSE 'number' END AS kind,
+              CASE k WHEN 0 THEN o_custkey END AS number, CASE k WHEN 1 THEN o_orderpriority END AS text,
+              CASE k WHEN 2 THEN o_custkey END AS object_key, CASE k WHEN 2 THEN o_orderstatus END AS object_status,
+              CASE k WHEN 3 THEN o_orderpriority END AS second, 'extra: bigint -> variant' AS retyped
+       FROM kinds""",
+)
+def apply_variants(t: Source) -> DataFrame:
+    """One field that is a number at first, then a text, an object and a list, on four dates."""
+    orders = t.orders
+    kinds = [
+        F.col("o_custkey"),
+        F.col("o_orderpriority"),
+        F.struct(F.col("o_custkey").alias("key"), F.col("o_orderstatus").alias("status")),
+        F.array("o_orderstatus", "o_orderpriority"),
+    ]
+    lake, source = Lake(t.spark, scratch_path(t.spark, "lake")), TableId(LANDING, "orders", "shop")
+    for k, kind in enumerate(kinds):
+        noon = datetime(2024, 1, 10 + k, 15, tzinfo=timezone.utc).timestamp()
+        batch = orders.where(F.col("o_orderkey") % 4 >= k).select("o_orderkey", kind.alias("extra"))
+        land(lake, source, batch, "Incremental", Run(started=noon))
+        if k != 2:  # the object and the list are read together
+            apply_batches(lake, "shop", "orders", key="o_orderkey", order=None, variants=True)
+    log = read_control(t.spark, lake.control_path(_ORDERS)).where("Loaded_date = '2024-01-11'")
+    return lake.read(_ORDERS).select(
+        "o_orderkey",
+        variant_kind("extra").alias("kind"),
+        F.when(variant_kind("extra") == "number", variant_field("extra", "bigint")).alias("number"),
+        F.when(variant_kind("extra") == "text", variant_field("extra", "string")).alias("text"),
+        variant_field("extra", "bigint", "$.key").alias("object_key"),
+        variant_field("extra", "string", "$.status").alias("object_status"),
+        variant_field("extra", "string", "$[1]").alias("second"),
+        log.select("Retyped").scalar().alias("retyped"),
+    )
+
+
 @check(
     "match_landing",
     f"SELECT id, cand_id AS game_id, 1970 + p_size AS release_world FROM ({BEST_MATCH_SQL}) "
