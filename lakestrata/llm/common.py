@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -51,6 +51,40 @@ def uniform(*parts: Column | str | int) -> Column:
     return (digits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)`, the value being computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running_starts(sizes: Column) -> Column:
+    """For each element of an array of numbers the sum of those before it.
+
+    Appending to an array copies it, so the sums are made over stretches of about the cube root of the length,
+    first of the stretches' totals and then within each: close to linear work for any length that a row can have.
+    """
+    no_numbers = F.array().cast("array<bigint>")
+
+    def starts(numbers: Column, begin: Column) -> Column:
+        first = F.struct(begin.cast("bigint").alias("at"), no_numbers.alias("starts"))
+        return F.aggregate(
+            numbers,
+            first,
+            lambda done, x: F.struct((done["at"] + x).alias("at"), F.concat(done["starts"], F.array(done["at"])).alias("starts")),
+            lambda done: done["starts"],
+        )
+
+    def cut(numbers: Column) -> Column:
+        length = F.greatest(F.lit(32), F.ceil(F.cbrt(F.size(numbers)))).cast("int")
+        last = F.greatest(F.ceil(F.size(numbers) / length).cast("int") - 1, F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(numbers, k * length + 1, length))
+
+    def joined(stretches: Column) -> Column:
+        totals = F.transform(stretches, lambda s: F.aggregate(s, F.lit(0).cast("bigint"), lambda a, x: a + x))
+        return F.flatten(F.zip_with(stretches, starts(totals, F.lit(0)), starts))
+
+    return bound(sizes.cast("array<bigint>"), lambda numbers: bound(cut(numbers), joined))
+
+
 BROADCAST_ROWS = 200_000  # ids; some megabytes
 
 

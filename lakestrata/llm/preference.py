@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakestrata.llm.common import running_starts
+
 TRAINED_ROLE = "assistant"
 
 
@@ -17,18 +19,13 @@ def tail_of(text: Column) -> Column:
 
 def spans_of(turns: Column) -> Column:
     """`start-end` of the trained parts, in code points of the completion, end exclusive."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("spans"))
-
-    def step(done, turn):
-        begin = done["at"] + turn["head"]
-        end = begin + turn["tail"]
-        span = F.concat_ws("-", begin.cast("string"), end.cast("string"))
-        return F.struct(
-            end.alias("at"),
-            F.when(turn["trained"], F.concat(done["spans"], F.array(span))).otherwise(done["spans"]).alias("spans"),
-        )
-
-    return F.array_join(F.aggregate(turns, start, step)["spans"], ",")
+    sizes = F.transform(turns, lambda t: t["head"] + t["tail"])
+    placed = F.zip_with(
+        turns,
+        running_starts(sizes),
+        lambda t, at: F.when(t["trained"], F.concat_ws("-", (at + t["head"]).cast("string"), (at + t["head"] + t["tail"]).cast("string"))),
+    )
+    return F.array_join(placed, ",")  # leaves nulls out
 
 
 def format_pairs(

@@ -9,7 +9,7 @@ from re import _constants as rc, _parser as rp
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakestrata.llm.common import fresh
+from lakestrata.llm.common import bound, fresh, running_starts
 from lakestrata.sources.scratch import materialize
 
 MOST_STRINGS = 64
@@ -163,20 +163,27 @@ def spans_of(rule: Rule, text: Column, order: int) -> Column:
     part = match if rule.group == 0 else F.transform(
         F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length
     )
-    gap = F.transform(F.split(text, rule.pattern, -1), F.length)
-    rows = F.arrays_zip(F.slice(gap, 1, F.size(match)).alias("gap"), match.alias("match"), part.alias("part"))
-    begin = F.struct(F.lit(0).alias("at"), no_spans().alias("spans"))
-
-    def step(done, row):
-        start = done["at"] + row["gap"]
-        end = start + row["match"]
-        span = F.struct(
-            start.alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(rule.kind).alias("kind")
+    gap = F.transform(F.split(text, rule.pattern, -1), F.length)  # one more than there are matches
+
+    def placed(found: Column) -> Column:
+        sizes = F.zip_with(F.slice(found["gap"], 1, F.size(found["match"])), found["match"], lambda g, m: g + m)
+        rows = F.arrays_zip(
+            running_starts(sizes).alias("at"),
+            F.slice(found["gap"], 1, F.size(found["match"])).alias("gap"),
+            found["match"].alias("match"),
+            found["part"].alias("part"),
         )
-        spans = F.when(row["part"] >= rule.least, F.concat(done["spans"], F.array(span))).otherwise(done["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
+        long_enough = F.filter(rows, lambda r: r["part"] >= rule.least)
 
-    return F.aggregate(rows, begin, step)["spans"]
+        def span(r: Column) -> Column:
+            start = (r["at"] + r["gap"]).cast("int")
+            return F.struct(
+                start.alias("start"), F.lit(order).alias("order"), (start + r["match"]).alias("end"), F.lit(rule.kind).alias("kind")
+            )
+
+        return F.transform(long_enough, span)
+
+    return bound(F.struct(gap.alias("gap"), match.alias("match"), part.alias("part")), placed)
 
 
 def no_spans() -> Column:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from lakestrata.llm.common import running_starts
 from lakestrata.llm.mixing import MEAN_PER_DRAW, poisson_mix, thresholds
 from lakestrata.llm.preference import format_pairs
 from lakestrata.llm.queries import CHECKS
@@ -116,3 +118,27 @@ def test_trigram_queries():
         for text in ("password=abcdef", "API_KEY: 'zzzzzz'", "AKIA" + "Z" * 16, "abd", "acdgh"):
             if re.search(rule.pattern, text, re.ASCII):
                 assert any(all(t in text.lower() for t in clause) for clause in trigram_query(rule.pattern))
+
+
+def test_running_starts(spark):
+    for n in (0, 1, 31, 32, 33, 100, 40_000):
+        sizes = [(i * 7919) % 13 for i in range(n)]
+        row = spark.createDataFrame([(sizes,)], "s array<int>").select(running_starts(F.col("s")).alias("at")).first()
+        assert row["at"] == [sum(sizes[:i]) for i in range(n)] if n < 1000 else row["at"][-1] == sum(sizes[:-1])
+
+
+def test_thousands_of_secrets_in_one_text(docs):
+    """A checksum list: far over what work that is quadratic in the matches would end."""
+    text = " ".join(hashlib.md5(str(i).encode()).hexdigest() for i in range(40_000))
+    got = find_secrets(docs((1, text))).first()["secrets"]
+    assert [(s["start"], s["end"]) for s in got] == [(33 * i, 33 * i + 32) for i in range(40_000)]
+
+
+def test_a_conversation_of_thousands_of_turns(spark):
+    n, ddl = 30_000, "pair_id long, turn long, role string, text string"
+    rows = [(1, i, "assistant" if i % 2 else "user", str(i % 10)) for i in range(n)]
+    other = [(p, t, r, x + "!") for p, t, r, x in rows]
+    got = format_pairs(spark.createDataFrame(rows, ddl), spark.createDataFrame(other, ddl)).first()
+    spans = [tuple(map(int, s.split("-"))) for s in got["rejected_mask"].split(",")]
+    assert len(spans) == n // 2
+    assert {got["rejected"][a:b] for a, b in spans[-10:]} == {f"{i}!<|end|>\n" for i in (1, 3, 5, 7, 9)}
