@@ -16,7 +16,6 @@ from lakestrata.llm.block_join import block_rows, close_blocks, number_blocks, w
 from lakestrata.llm.common import fresh, only_ids, slices, text_rows
 from lakestrata.llm.components import connected_components
 from lakestrata.llm.hashing import BASE, SECOND_BASE, Powers
-from lakestrata.llm.simhash import Forest
 from lakestrata.sources.scratch import materialize
 
 LEAST_WORDS = 5  # shorter lines stay as they are
@@ -30,6 +29,10 @@ HASH_BYTES = 1 << 18  # of text hashed at a time: the arrays then fit the proces
 LOOK_EVERY = 64  # columns of an edit table after which it may be given up
 LONG_RUN = 48  # entries of a bucket from which all are compared at once
 PAIRS_AT_ONCE = 1 << 20
+TESTS_AT_ONCE = 1024  # of one line, after which the others are looked at again
+CODES_HELD = 20_000  # lines
+SHORT_TEXT = 40  # characters; below, an edit distance costs no more than a bound for it
+PLACE_BITS = 20
 LEAST_BLOCK, MOST_BLOCK, MOST_BLOCK_BYTES = 4096, 1 << 16, 4 << 20
 NORMAL = bytes.maketrans(
     (string.digits + string.punctuation + "\t\v\f\r").encode(), b"0" * 10 + b" " * (len(string.punctuation) + 4)
@@ -201,6 +204,61 @@ def similar(a: str, b: str, least: float) -> bool:
     return edit_distance(a, b, most) <= most
 
 
+class Labels:
+    """Which entries are connected: the smaller of two groups takes the label of the larger one."""
+
+    def __init__(self, n: int):
+        self.of = np.arange(n)
+        self.members: dict[int, list[np.ndarray]] = {}
+
+    def join(self, x: int, y: int) -> None:
+        a, b = int(self.of[x]), int(self.of[y])
+        one, two = self.members.pop(a, [np.array([a])]), self.members.pop(b, [np.array([b])])
+        if sum(map(len, one)) < sum(map(len, two)):
+            a, one, two = b, two, one
+        moved = np.concatenate(two)
+        self.of[moved] = a
+        self.members[a] = [*one, moved] if len(one) < 32 else [np.concatenate([*one, moved])]
+
+
+class Pairs:
+    """Which of one text and many others can be within `least` of similarity, by their pairs of characters.
+
+    An edit takes away at most two pairs of neighbouring characters and moves the others by one place, so of
+    similar texts all but two pairs per edit are found again no further off than there may be edits.
+    """
+
+    def __init__(self, texts: Sequence[str], least: float):
+        self.texts, self.least, self.codes = texts, least, {}
+
+    def code(self, x: int) -> np.ndarray:
+        if x not in self.codes:
+            if len(self.codes) >= CODES_HELD:
+                self.codes.clear()
+            letters = np.frombuffer(self.texts[x].encode("utf-32-le"), "<u4").astype(np.int64)
+            self.codes[x] = (letters[:-1] << 21 | letters[1:]) << PLACE_BITS
+        return self.codes[x]
+
+    def possible(self, x: int, others: np.ndarray) -> np.ndarray:
+        size = len(self.texts[x])
+        if not SHORT_TEXT <= size < 1 << PLACE_BITS - 2:
+            return others
+        own = np.sort(self.code(x) + np.arange(size - 1))
+        sizes = np.array([len(self.texts[y]) for y in others.tolist()])
+        most = ((1 - self.least) * np.maximum(sizes, size) + 1e-9).astype(np.int64)
+        fits = (np.abs(sizes - size) <= most) & (sizes > 1)
+        others, sizes, most = others[fits], sizes[fits], most[fits]
+        if not len(others):
+            return others
+        codes = np.concatenate([self.code(y) for y in others.tolist()])
+        begin = np.cumsum(sizes - 1) - (sizes - 1)
+        place = np.arange(len(codes)) - np.repeat(begin, sizes - 1)
+        reach = np.repeat(most, sizes - 1)
+        at = np.searchsorted(own, codes + np.maximum(place - reach, 0))
+        lost = (at == len(own)) | (own[np.minimum(at, len(own) - 1)] > codes + place + reach)
+        return others[np.add.reduceat(lost, begin, dtype=np.int64) <= 2 * most]
+
+
 def line_rows(docs: DataFrame, least_words: int, id_col: str, text_col: str) -> DataFrame:
     """(id, line, key, bits) of every line with enough words; lines are numbered from 0."""
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, line long, key binary, bits long"
@@ -306,6 +364,34 @@ def close_in_buckets(row: dict, most: int, tables: Tables) -> Iterator[tuple[np.
             yield checked(i, np.tile(other, len(own[k : k + step])))
 
 
+def close_and_apart(row: dict, most: int, tables: Tables, labels: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """An entry, and those of its bucket within `most` bits that do not have its label when it is their turn.
+
+    Entries of b are counted on from those of a; each pair comes in its first table.  An entry costs a comparison of
+    labels with the rest of its bucket, so a large group that is connected early costs little more than that.
+    """
+    same = row["a"] == row["b"]
+    ka, kb = (np.frombuffer(row[f"{s}_buckets"], "<i8") for s in ("a", "b"))
+    v = np.frombuffer(row["a_entries"], "<u8")
+    if not same:
+        v = np.concatenate([v, np.frombuffer(row["b_entries"], "<u8")])
+
+    def near(x: int, start: int, stop: int, bucket: int) -> np.ndarray:
+        others = np.flatnonzero(labels[start:stop] != labels[x]) + start
+        differ = v[others] ^ v[x]
+        close = np.bitwise_count(differ) <= most
+        others, differ = others[close], differ[close]
+        return others[tables.first(differ) == bucket >> TABLE_SHIFT] if len(others) else others
+
+    for bucket in np.unique(ka).tolist() if same else np.intersect1d(ka, kb).tolist():
+        start, stop = np.searchsorted(ka, [bucket, bucket + 1]).tolist()
+        low, high = (start, stop) if same else (np.searchsorted(kb, [bucket, bucket + 1]) + len(ka)).tolist()
+        for x in range(start, stop):
+            others = near(x, max(low, x + 1) if same else low, high, bucket)
+            if len(others):
+                yield x, others
+
+
 def join_buckets(
     rows: DataFrame, extra: list[str], work: Callable[[dict], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
@@ -328,7 +414,10 @@ def join_buckets(
 
 def partnered(lines: DataFrame, most: int, tables: Tables) -> DataFrame:
     """(bucket, bits) of fingerprints that have another line within `most` bits there."""
-    rows = lines.select("bits", F.explode(tables.buckets(F.col("bits"))).alias("bucket"))
+    found = materialize(lines.groupBy("bits").agg(F.count(F.lit(1)).alias("n")), "line_bits")
+    rows = found.select("bits", F.explode(tables.buckets(F.col("bits"))).alias("bucket"))
+    # Lines with equal bits meet in the first table.
+    equal = found.where(F.col("n") > 1).select(tables.buckets(F.col("bits"))[0].alias("bucket"), "bits")
 
     def work(row: dict) -> Iterator[pa.RecordBatch]:
         for_a, for_b = [], []
@@ -341,7 +430,7 @@ def partnered(lines: DataFrame, most: int, tables: Tables) -> DataFrame:
                 columns = [np.frombuffer(row[f"{side}_{c}"], "<i8")[at] for c in ("buckets", "entries")]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "bits"])
 
-    return join_buckets(rows, [], work, "bucket long, bits long").distinct()
+    return join_buckets(rows, [], work, "bucket long, bits long").unionByName(equal).distinct()
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -374,13 +463,19 @@ def similar_links(candidates: DataFrame, most: int, least: float, tables: Tables
     """
 
     def work(row: dict) -> Iterator[pa.RecordBatch]:
-        forest, kept = Forest(), []
-        offset = 0 if row["a"] == row["b"] else len(row["a_key"])
-        for i, j in close_in_buckets(row, most, tables):
-            for x, y in zip(i.tolist(), j.tolist()):
-                if forest.root(x) != forest.root(y + offset) and similar(row["a_text"][x], row["b_text"][y], least):
-                    forest.join(x, y + offset)
-                    kept.append((row["a_key"][x], row["b_key"][y]))
+        same = row["a"] == row["b"]
+        texts, keys = (row[f"a_{c}"] if same else row[f"a_{c}"] + row[f"b_{c}"] for c in ("text", "key"))
+        labels, pairs, kept = Labels(len(keys)), Pairs(texts, least), []
+        for x, others in close_and_apart(row, most, tables, labels.of):
+            step = 1
+            while len(others):
+                for y in pairs.possible(x, others[:step]).tolist():
+                    if labels.of[x] != labels.of[y] and similar(texts[x], texts[y], least):
+                        labels.join(x, y)
+                        kept.append((keys[x], keys[y]))
+                others = others[step:]
+                others = others[labels.of[others] != labels.of[x]]
+                step = min(4 * step, TESTS_AT_ONCE)
         if kept:
             ends = [pa.array(k, pa.binary()) for k in zip(*kept)]
             yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
@@ -429,8 +524,7 @@ def dedup_lines(
     bits and their edit similarity reaches `least_similarity`.  Of each connected
     group the occurrence with the smallest (id, line number) stays; the others go
     with their line feed.  Lines of fewer than `least_words` words stay.  Equal
-    lines are joined by a 128-bit hash; no more than 3 bits may differ, or the
-    tables would miss links.
+    lines are joined by a 128-bit hash.  The search is exact for each `most_bits`.
 
     Defined cases: a null text stays null and has no lines; a text may become empty,
     its row stays.  Rows with equal ids are one document: a line number that goes in

@@ -210,7 +210,9 @@ def vector_classes(
         "classes",
     )
     eps = math.sqrt(max(0.0, 2 - 2 * least)) + SLACK
-    parts = max(1, classes.count() // block_rows(classes.count(), LEAST_BLOCK, BLOCK_VALUES))
+    held = classes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("vector")), F.lit(1)).alias("d")).first()
+    # A sort task holds about as many numbers as a block may.
+    parts = max(1, held["n"] // block_rows(held["n"], LEAST_BLOCK, max(LEAST_BLOCK, BLOCK_VALUES // held["d"])))
     blocks = grid_blocks(classes, eps, parts)
     names = [f"x{i}" for i in range(LEADING)]
     lows = ["d_low", "first", *(f"{x}_low" for x in names)]
