@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -272,6 +273,50 @@ def test_lines_against_brute_force(docs, spark, monkeypatch):
         fuzzy.dedup_lines(rows, most_bits=8)
 
 
+def test_bound_by_pairs_of_characters_never_rules_out_a_similar_text():
+    rng = random.Random(14)
+    texts = []
+    for _ in range(40):
+        base = [rng.choice("abcdeé ") for _ in range(rng.randint(30, 120))]
+        for _ in range(5):
+            edited = list(base)
+            for _ in range(rng.randint(0, len(base) // 4)):
+                k = rng.randrange(len(edited))
+                edited[k : k + 1] = rng.choice([[], ["x"], [edited[k], "y"]])
+            texts.append("".join(edited))
+    texts += ["", "a"]
+    pairs, kept = fuzzy.Pairs(texts, 0.8), 0
+    for x in range(len(texts)):
+        others = np.array([y for y in range(len(texts)) if y != x])
+        found = set(pairs.possible(x, others).tolist())
+        kept += len(found)
+        assert found >= {y for y in others.tolist() if fuzzy.similar(texts[x], texts[y], 0.8)}
+    assert kept < len(texts) ** 2 / 2
+
+
+def test_labels_follow_the_joins():
+    rng, labels = random.Random(15), fuzzy.Labels(200)
+    links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)]
+    for x, y in links:
+        if labels.of[x] != labels.of[y]:
+            labels.join(x, y)
+    low = groups(200, links)
+    assert len({(a, int(b)) for a, b in zip(low, labels.of)}) == len(set(low)) == len(set(labels.of.tolist()))
+
+
+def test_large_groups_of_lines_cost_little(docs, spark):
+    """A template with thousands of names, and one set of words in many orders, which no edit links."""
+    rng = random.Random(16)
+    words = [hashlib.md5(str(i).encode()).hexdigest()[:6] for i in range(60)]
+    template = [" ".join(words) + f" {hashlib.md5(bytes(str(i), 'ascii')).hexdigest()[:8]}" for i in range(6000)]
+    orders = [" ".join(rng.sample(words[:40], 40)) for _ in range(300)]
+    rows = docs(*((i, "\n".join(template[i * 20 : i * 20 + 20])) for i in range(300)), (1000, "\n".join(orders)), partitions=4)
+    started = time.time()
+    out = fuzzy.dedup_lines(rows).where("n_removed > 0 or doc_id = 1000").agg(F.sum("n_removed")).first()[0]
+    assert out >= 5900 and time.time() - started < 60
+    assert fuzzy.dedup_lines(rows.where("doc_id = 1000")).first()["n_removed"] == 0
+
+
 def test_line_hasher_counts_lines_and_words():
     texts = ["x " * 70_000 + "y", "", "\n\na\tb", None, "A, b\nq 7"]
     found = fuzzy.LineHasher().read(texts)
