@@ -10,7 +10,8 @@ from lakestrata.llm.queries_native import MIX_OTHER, MIX_SEED, MIX_WEIGHTS
 from lakestrata.llm.queries_text import token_digests
 from lakestrata.llm.repetition import keep_clean
 from lakestrata.llm.simhash import keep_one
-from lakestrata.sources.scratch import materialize
+from lakestrata.sources.folders import delete_folder
+from lakestrata.sources.scratch import scratch_dropped, scratch_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +56,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows over `documents`."""
-    docs = spark.read.parquet(f"{str(sf_dir).rstrip('/')}/documents.parquet")
+    """The last stage's rows over `documents`.
+
+    A stage's intermediate tables go once its result is written, and that one when the next stage's is.
+    """
+    docs, before = spark.read.parquet(f"{str(sf_dir).rstrip('/')}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        path = scratch_path(spark, name.replace(" ", "_"))
+        with scratch_dropped(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        if before is not None:
+            delete_folder(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,9 +12,13 @@ from lakestrata.sources.folders import delete_folder
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`; where it is unset, the warehouse, which a cluster shares as well."""
+    """`spark.checkpoint.dir`; where it is unset, the warehouse, unless that is a folder of a cluster's driver."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if folder is None:
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+        if folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("executors do not share the driver's folders: set spark.checkpoint.dir")
+    return folder.rstrip("/")
 
 
 _given: list[str] = []  # paths since the last clearing
@@ -31,6 +37,17 @@ def clear_scratch(spark: SparkSession) -> None:
         delete_folder(spark, _given.pop())
 
 
+@contextmanager
+def scratch_dropped(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables that were made inside, when nothing reads them any more; for one thread."""
+    first = len(_given)
+    try:
+        yield
+    finally:
+        while len(_given) > first:
+            delete_folder(spark, _given.pop())
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and go on from the written columns.
 

@@ -57,7 +57,7 @@ from lakestrata.sources import folders
 from lakestrata.sources.catalog import ddl_type, discover_tables, sync_catalog
 from lakestrata.sources.files import read_enum_dir, read_or_none, write_json_pages
 from lakestrata.sources.log import append_rows, log_folder, read_log
-from lakestrata.sources.scratch import clear_scratch, materialize, scratch_path, shared_dir
+from lakestrata.sources.scratch import clear_scratch, materialize, scratch_dropped, scratch_path, shared_dir
 from lakestrata.sources.snapshot import (
     Layout,
     expire_versions,
@@ -250,6 +250,27 @@ def test_a_compaction_that_fails_half_way_is_not_seen(spark, tmp_path, rows):
     assert log_folder(spark, path).endswith("/g000001")
 
 
+def test_scratch_made_inside_is_dropped(spark, tmp_path):
+    kept = materialize(spark.range(3), "kept")
+    with scratch_dropped(spark):
+        inside = materialize(spark.range(4), "inside")
+        assert inside.count() == 4
+        path = Path(inside.inputFiles()[0].removeprefix("file://")).parent
+    assert kept.count() == 3 and not path.exists()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    def session(master, **conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)), sparkContext=SimpleNamespace(master=master))
+
+    warehouse = "spark.sql.warehouse.dir"
+    assert shared_dir(session("local[4]", **{warehouse: "file:/home/x/"})) == "file:/home/x"
+    assert shared_dir(session("yarn", **{warehouse: "hdfs://a/b"})) == "hdfs://a/b"
+    assert shared_dir(session("yarn", **{warehouse: "file:/x", "spark.checkpoint.dir": "s3a://c/"})) == "s3a://c"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("spark://host:7077", **{warehouse: "file:/home/x"}))
+
+
 # --- tables in parts, retention ----------------------------------------------
 
 
