@@ -140,6 +140,36 @@ def test_repeat_lengths_against_brute_force():
         assert got == want
 
 
+def brute_repeats(text, least=10, window=5):
+    """Share of the words' bytes in windows of `least` words found twice, and the longest run of words found twice."""
+    words = (text or "").encode().split()
+
+    def twice(n):
+        found = {}
+        for i in range(len(words) - n + 1):
+            found.setdefault(tuple(words[i : i + n]), []).append(i)
+        return [i for at in found.values() if len(at) > 1 for i in at]
+
+    held = {i + k for i in twice(least) for k in range(least)}
+    low, high = 0, len(words)  # runs shorter than one found twice are found twice as well
+    while low < high:
+        n = (low + high + 1) // 2
+        low, high = (n, high) if twice(n) else (low, n - 1)
+    return sum(len(words[i]) for i in held) / max(1, sum(map(len, words))), low if low >= window else 0
+
+
+def test_query_op5_against_windows_found_twice(spark):
+    """The verdict of every text of the table, by other means than suffixes."""
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    verdicts = set()
+    for r in CHECKS["op5_suffix_repetition"].run(spark, SF).collect():
+        covered, longest = brute_repeats(texts[r["doc_id"]])
+        assert r["covered"] == pytest.approx(covered) and r["longest_repeat"] == longest
+        assert r["kept"] == (not r["base_failed"] and covered <= 0.10 and longest <= 50)
+        verdicts.add((r["base_failed"], r["kept"]))
+    assert len(verdicts) > 1
+
+
 def test_query_op5_and_the_base_rule(spark):
     rows = CHECKS["op5_suffix_repetition"].run(spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id")
     for r in rows.collect():
@@ -240,6 +270,25 @@ def test_section_tokens_against_brute_force(spark, docs, reference, rule):
     assert (90, "a") not in got
 
 
+def test_query_op2_line_by_line(spark, reference):
+    """Every row of the query against attribution byte by byte."""
+    got = {}
+    for r in CHECKS["op2_token_spans"].run(spark, SF).collect():
+        got.setdefault(r["doc_id"], {})[r["section"]] = r
+    texts = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    for i, text in texts:
+        sections, at = [], 0
+        for k, line in enumerate(text.split("\n")):
+            sections.append((str(k), at, min(at + len(line) + 1, len(text))))
+            at += len(line) + 1
+        count, share, crossing = brute_tokens(reference, text, sections, "most")
+        assert set(got[i]) == {name for name, _, _ in sections}
+        for k, (name, start, end) in enumerate(sections):
+            r = got[i][name]
+            assert (r["start"], r["end"], r["n_tokens"], r["n_crossing"]) == (start, end, count.get(k, 0), crossing.get(k, 0))
+            assert r["token_share"] == pytest.approx(share.get(k, 0))
+
+
 def test_line_sections_and_query_op2(spark, docs, reference):
     assert line_sections("a\n\nb") == [("0", 0, 2), ("1", 2, 3), ("2", 3, 4)] and line_sections("") == [("0", 0, 0)]
     rows = CHECKS["op2_token_spans"].run(spark, SF).groupBy("doc_id").agg(F.sum("n_tokens").alias("n"), F.sum("token_share").alias("s"))
