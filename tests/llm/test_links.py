@@ -23,6 +23,8 @@ from lakestrata.llm.queries import CHECKS
 from lakestrata.llm.queries_native import MIX_OTHER, MIX_SEED, MIX_WEIGHTS
 from lakestrata.llm.repetition import RepetitionRules, measure
 from lakestrata.llm.vectors import vector_classes
+from lakestrata.sources.folders import entries
+from lakestrata.sources.scratch import shared_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -446,3 +448,12 @@ def test_pipeline_against_its_stages(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert set(stage(spark, docs.limit(5), SF).columns) == docs_columns
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_the_pipeline_leaves_one_table(spark):
+    """Tables of its stages go as it runs; what stays is the one that the last stage reads."""
+    before = {e.name for e in entries(spark, f"{shared_dir(spark)}/lakestrata")}
+    rows = corpus_pipeline.run(spark, SF)
+    after = {e.name for e in entries(spark, f"{shared_dir(spark)}/lakestrata")} - before
+    assert [name.split("-")[0] for name in after] == ["mixing_to_weights"]
+    assert rows.count() > 0
