@@ -99,13 +99,22 @@ def only_ids(rows: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     return rows.join(wanted, F.col(id_col).eqNullSafe(F.col("only_id")), "left_semi")
 
 
+LARGE_ROWS = {
+    # Shuffle files of a job that has written its table go at once, not when the driver forgets the plan.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # A worker and the memory beside the heap hold so many rows at a time.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "32",
+}
+
+
 @contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of a job that has written its table go at once, not when the driver forgets the plan."""
-    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(setting, "false")
-    spark.conf.set(setting, "true")
+def large_rows(spark: SparkSession) -> Iterator[None]:
+    """Settings for jobs whose rows hold whole arrays; for tables that are written inside."""
+    before = {key: spark.conf.get(key, None) for key in LARGE_ROWS}
+    for key, value in LARGE_ROWS.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

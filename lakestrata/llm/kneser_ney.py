@@ -21,13 +21,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lakestrata.llm.common import shuffles_removed, slices
+from lakestrata.llm.common import large_rows, slices
 from lakestrata.llm.hash_arrays import MappedArrays, cuts, pack, row_stream, unpack
 from lakestrata.llm.hashing import mixed
 from lakestrata.sources.scratch import materialize
 
 BLOCK_TOKENS = 2_000_000  # of a block: some 150 MB in a worker
-SHARD_TOKENS = 4_000_000  # tokens a shard stands for, so at most as many hashes while it is added up
+SHARD_TOKENS = 2_500_000  # tokens a shard stands for, so at most as many hashes while it is added up
 PIECE_KEYS = 500_000  # of a stored row of the model
 SLICE = 1 << 17  # tokens worked on at a time
 
@@ -389,10 +389,10 @@ def score_texts(
     ones and those without an id too.  Where nothing is learned, every token has probability 1.  A long text is one
     block, and costs the memory of its tokens.  An empty table gives no rows; other columns are not read.
     """
-    with shuffles_removed(docs.sparkSession):
+    with large_rows(docs.sparkSession):
         blocks = token_blocks(docs, learn, id_col=id_col, text_col=text_col, block_tokens=block_tokens)
         model = train_model(blocks, order=order, shard_tokens=shard_tokens)
-        scored = score_blocks(blocks, model)
+        scored = materialize(score_blocks(blocks, model), "scores")
     return scored.select(
         "id",
         "learned",
