@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Iterable, Iterator
 
@@ -65,6 +66,14 @@ class MappedArrays:
             file.close()
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system; an idle worker would keep what its largest arrays took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def row_stream(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
     """Rows one by one; few and large ones, as these are, cost nothing to turn into objects."""
     for batch in batches:

@@ -22,11 +22,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from lakestrata.llm.common import large_rows, slices
-from lakestrata.llm.hash_arrays import MappedArrays, cuts, pack, row_stream, unpack
+from lakestrata.llm.hash_arrays import MappedArrays, cuts, give_back, pack, row_stream, unpack
 from lakestrata.llm.hashing import mixed
 from lakestrata.sources.scratch import materialize
 
-BLOCK_TOKENS = 2_000_000  # of a block: some 150 MB in a worker
+BLOCK_TOKENS = 1_200_000  # of a block: some 100 MB in a worker
 SHARD_TOKENS = 2_500_000  # tokens a shard stands for, so at most as many hashes while it is added up
 PIECE_KEYS = 500_000  # of a stored row of the model
 SLICE = 1 << 17  # tokens worked on at a time
@@ -71,8 +71,11 @@ def _tokenised(most: int):
                     yield block()
                     number += 1
                     ids, learn, lengths, parts, held, known = [], [], [], [], 0, {}
+                    give_back()
         if ids:
             yield block()
+        parts, known = [], {}
+        give_back()
 
     return run
 
@@ -178,6 +181,8 @@ def _send_counts(level: int, order: int, shards: int):
             for shard in range(shards):
                 a, b = ends[shard], ends[shard + 1]
                 yield _batch(block["block"], level, shard, [pack(keys[a:b], ascending=True), *(pack(s[a:b]) for s in sums)])
+            del grams, sums, keys, block, answers
+            give_back()
 
     return run
 
@@ -209,6 +214,8 @@ def _add_up(level: int, *, answer: bool):
             if answer:
                 for block, a, b in zip(blocks, ends - [len(k) for k in keys], ends):
                     yield _batch(block, level, shard, [pack(count[at[a:b]]), pack(owner[at[a:b]] == block)])
+            del keys, sums, held, at, total, count, owner, raw
+            give_back()
 
     return run
 
@@ -285,6 +292,8 @@ def _ask(order: int, shards: int):
                 for shard in range(shards):
                     asked = keys[ends[shard] : ends[shard + 1]]
                     yield _batch(block["block"], level, shard, [pack(asked, ascending=True)])
+            del grams, keys, asked, block
+            give_back()
 
     return run
 
@@ -301,6 +310,7 @@ def _look_up(order: int):
                     found = arrays.look_up(unpack(r["data"][0], ascending=True))
                     yield _batch(r["block"], level, shard, [pack(f) for f in found])
             arrays.close()
+            give_back()
 
     return run
 
@@ -352,6 +362,8 @@ def _score(model: NgramModel, id_type: pa.DataType):
                 pa.array(score),
             ]
             yield pa.RecordBatch.from_arrays(result, ["id", "learned", "n_tokens", "n_known", "base_score", "score"])
+            del grams, block, held, ends, befores, doc, result
+            give_back()
 
     return run
 
