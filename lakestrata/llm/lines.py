@@ -20,6 +20,7 @@ from lakestrata.sources.scratch import materialize
 
 LEAST_WORDS = 5  # shorter lines stay as they are
 MOST_BITS = 3
+MOST_END_BITS = 16  # that may differ where the first or the last words of two lines are the same
 LEAST_SIMILARITY = 0.8
 TABLE_SHIFT = 56  # a bucket's number: table above, bits below
 MOST_RANGES = 8
@@ -78,6 +79,13 @@ class Tables:
             keys.append(key.bitwiseOR(F.lit(t << TABLE_SHIFT).cast("bigint")))
         return F.array(*keys)
 
+    def end_buckets(self, head: Column, tail: Column) -> Column:
+        """Buckets of the fingerprints of a line's two ends, in two tables after the others."""
+        mask = F.lit((1 << TABLE_SHIFT) - 1).cast("bigint")
+        ends = [c.bitwiseAND(mask) for c in (head, tail)]
+        tables = [F.lit(len(self.groups) + k << TABLE_SHIFT).cast("bigint") for k in range(2)]
+        return F.array(*(c.bitwiseOR(t) for c, t in zip(ends, tables)))
+
     def first(self, differ: np.ndarray) -> np.ndarray:
         """The first table in which two fingerprints with these differing bits meet."""
         same = [(differ >> np.uint64(s)) & np.uint64((1 << w) - 1) == 0 for s, w in self.ranges]
@@ -87,6 +95,25 @@ class Tables:
         return out
 
 
+@dataclass(frozen=True)
+class Rule:
+    """Which fingerprints of one bucket are close: `most` bits in a table of ranges, `most_end` in one of line ends."""
+
+    tables: Tables
+    most: int
+    most_end: int
+
+    def limits(self, table: np.ndarray) -> np.ndarray:
+        return np.where(table < len(self.tables.groups), self.most, self.most_end)
+
+    def new(self, differ: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """Of differing bits within the limit: does no earlier table of ranges hold the pair?"""
+        few = np.bitwise_count(differ) <= self.most
+        out = ~few
+        out[few] = self.tables.first(differ[few]) == table[few]
+        return out
+
+
 def normalised(text: str | None) -> bytes:
     """Lower case, digits as 0, ASCII punctuation and white space other than line feeds as space."""
     return (text or "").lower().encode().translate(NORMAL)
@@ -104,7 +131,7 @@ class LineHasher:
         self.letters, self.one, self.two = Powers(BASE), Powers(BASE), Powers(SECOND_BASE)
 
     def read(self, texts: Sequence[str | None]) -> dict[str, np.ndarray]:
-        """Per line with a word: owner (text), line (from 0), words, key (two numbers), bits."""
+        """Per line with a word: owner (text), line (from 0), words, key (two numbers), bits, head and tail bits."""
         raw = [normalised(t) for t in texts]
         values = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
         feed = values == 10
@@ -123,9 +150,10 @@ class LineHasher:
         owner = np.searchsorted(begin, line, side="right") - 1
         key = [p.ranges(p.sums(hashes), first, last) for p in (self.one, self.two)] if len(first) else [hashes, hashes]
         key[1] = key[1] + (last - first).astype(np.uint64)
+        bits, head, tail = end_bits(hashes, first, last - first)
         return {
             "owner": owner, "line": line - begin[owner], "words": last - first,
-            "key": np.stack(key, axis=1), "bits": majority_bits(hashes, first, last - first),
+            "key": np.stack(key, axis=1), "bits": bits, "head": head, "tail": tail,
         }
 
     def key_of(self, words: list[bytes]) -> bytes:
@@ -133,23 +161,52 @@ class LineHasher:
         return self.read([b" ".join(words).decode()])["key"].tobytes()
 
 
-def majority_bits(hashes: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Bits set in over half of the hashes of each run, as signed numbers.
+def end_words(words: np.ndarray) -> np.ndarray:
+    """Words of an end of a line: 1, 2, 3, 4, 6, 8, 12, ..., at most half of the words.
+
+    In steps, so that a word more or less in a line seldom changes the length of its ends.
+    """
+    half = np.maximum(words // 2, 1)
+    step = 1 << np.maximum(np.frexp(half.astype(np.float64))[1] - 2, 0)
+    return half // step * step
+
+
+def bit_counts(hashes: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """How many hashes of each run have each bit; the runs follow one another.
 
     Eight lanes count eight bits each in the bytes of one number, over runs of up to 255.
     """
-    if not len(first):
-        return np.empty(0, np.int64)
-    pieces = -(-count // 255)
-    row = np.repeat(np.arange(len(first)), pieces)
-    begin = first[row] + 255 * (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    held = np.flatnonzero(count)
+    first, pieces = (np.cumsum(count) - count)[held], -(-count[held] // 255)
+    row = np.repeat(np.arange(len(held)), pieces)
+    before = np.cumsum(pieces) - pieces
+    begin = first[row] + 255 * (np.arange(len(row)) - np.repeat(before, pieces))
     sums = np.empty((len(row), 8), np.uint64)
     for lane in range(8):
         sums[:, lane] = np.add.reduceat((hashes >> np.uint64(lane)) & np.uint64(0x0101010101010101), begin)
-    counts = sums.view(np.uint8).reshape(-1, 8, 8).transpose(0, 2, 1).reshape(-1, 64).astype(np.int32)
-    if len(row) > len(first):
-        counts = np.add.reduceat(counts, np.cumsum(pieces) - pieces, axis=0)
-    return np.packbits(2 * counts > count[:, None], axis=1, bitorder="little").view("<i8").ravel()
+    found = sums.view(np.uint8).reshape(-1, 8, 8).transpose(0, 2, 1).reshape(-1, 64).astype(np.int32)
+    if len(row) > len(held):
+        found = np.add.reduceat(found, before, axis=0)
+    if len(held) == len(count):
+        return found
+    out = np.zeros((len(count), 64), np.int32)
+    out[held] = found
+    return out
+
+
+def end_bits(hashes: np.ndarray, first: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bits set in over half of the hashes of each line, of its first words and of its last words, as signed numbers."""
+    if not len(first):
+        return (np.empty(0, np.int64),) * 3
+    ends = end_words(words)
+    runs = np.stack([ends, np.where(words > 1, words - 2 * ends, 0), np.where(words > 1, ends, 0)], axis=1)
+    counts = bit_counts(hashes, runs.ravel()).reshape(-1, 3, 64)
+
+    def majority(found: np.ndarray, of: np.ndarray) -> np.ndarray:
+        return np.packbits(2 * found > of[:, None], axis=1, bitorder="little").view("<i8").ravel()
+
+    bits = majority(counts.sum(axis=1), words)
+    return bits, majority(counts[:, 0], ends), np.where(words > 1, majority(counts[:, 2], ends), bits)
 
 
 def edit_distance(a: str, b: str, most: float = float("inf")) -> int:
@@ -260,8 +317,8 @@ class Pairs:
 
 
 def line_rows(docs: DataFrame, least_words: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, line, key, bits) of every line with enough words; lines are numbered from 0."""
-    schema = f"id {docs.schema[id_col].dataType.simpleString()}, line long, key binary, bits long"
+    """(id, line, key, bits, head, tail) of every line with enough words; lines are numbered from 0."""
+    schema = f"id {docs.schema[id_col].dataType.simpleString()}, line long, key binary, bits long, head long, tail long"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = LineHasher()
@@ -276,9 +333,9 @@ def line_rows(docs: DataFrame, least_words: int, id_col: str, text_col: str) ->
                     pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(keep), [None, pa.py_buffer(keys.tobytes())]).cast(
                         pa.binary()
                     ),
-                    pa.array(found["bits"][keep]),
+                    *(pa.array(found[c][keep]) for c in ("bits", "head", "tail")),
                 ],
-                names=["id", "line", "key", "bits"],
+                names=["id", "line", "key", "bits", "head", "tail"],
             )
 
     return text_rows(docs, id_col, text_col).mapInArrow(run, schema)
@@ -320,54 +377,50 @@ def bucket_blocks(rows: DataFrame, extra: list[str]) -> DataFrame:
     return number_blocks(materialize(blocks, "line_blocks"))
 
 
-def close_in_buckets(row: dict, most: int, tables: Tables) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions in blocks a and b of entries of one bucket within `most` bits; each pair in its first table."""
+def with_partners(row: dict, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries of blocks a and b have one within the limit in the other block in their bucket."""
     same = row["a"] == row["b"]
     ka, kb = (np.frombuffer(row[f"{s}_buckets"], "<i8") for s in ("a", "b"))
     va, vb = (np.frombuffer(row[f"{s}_entries"], "<u8") for s in ("a", "b"))
+    in_a = np.zeros(len(ka), bool)
+    in_b = in_a if same else np.zeros(len(kb), bool)
+    limit = rule.limits(ka >> TABLE_SHIFT)
+
+    def compare(own: slice, other: slice) -> None:
+        step = max(1, PAIRS_AT_ONCE // max(1, other.stop - other.start))
+        for k in range(own.start, own.stop, step):
+            stop = min(k + step, own.stop)
+            near = np.bitwise_count(va[k:stop, None] ^ vb[None, other]) <= limit[k]
+            if same:  # not itself
+                near[np.arange(stop - k), np.arange(k, stop) - other.start] = False
+            in_a[k:stop] |= near.any(axis=1)
+            in_b[other] |= near.any(axis=0)
 
-    def checked(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        differ = va[i] ^ vb[j]
-        near = np.bitwise_count(differ) <= most
-        i, j, differ = i[near], j[near], differ[near]
-        first = tables.first(differ) == ka[i] >> TABLE_SHIFT
-        return i[first], j[first]
-
-    def close_in_run(v: np.ndarray, start: int, stop: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        run = v[start:stop]
-        rows = max(1, PAIRS_AT_ONCE // len(run))
-        for k in range(0, len(run), rows):
-            i, j = np.nonzero(np.bitwise_count(run[k : k + rows, None] ^ run[None, k:]) <= most)
-            later = j > i
-            yield checked(i[later] + start + k, j[later] + start + k)
-
-    if same:
-        edges = np.flatnonzero(np.diff(ka)) + 1
-        starts, stops = np.append(0, edges), np.append(edges, len(ka))
-        long = stops - starts >= LONG_RUN
-        for start, stop in zip(starts[long].tolist(), stops[long].tolist()):
-            yield from close_in_run(va, start, stop)
-        short = np.repeat(~long, stops - starts)
-        i = np.flatnonzero(short[:-1])
-        for step in range(1, LONG_RUN):
-            i = i[i + step < len(ka)]
-            i = i[ka[i] == ka[i + step]]  # sorted: a run that ended stays ended
-            if not len(i):
-                return
-            yield checked(i, i + step)
-        return
-    for bucket in np.intersect1d(ka, kb):
-        own, other = np.flatnonzero(ka == bucket), np.flatnonzero(kb == bucket)
-        step = max(1, PAIRS_AT_ONCE // len(other))
-        for k in range(0, len(own), step):
-            i = np.repeat(own[k : k + step], len(other))
-            yield checked(i, np.tile(other, len(own[k : k + step])))
-
-
-def close_and_apart(row: dict, most: int, tables: Tables, labels: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """An entry, and those of its bucket within `most` bits that do not have its label when it is their turn.
-
-    Entries of b are counted on from those of a; each pair comes in its first table.  An entry costs a comparison of
+    if not same:
+        for bucket in np.intersect1d(ka, kb).tolist():
+            compare(*(slice(*np.searchsorted(k, [bucket, bucket + 1]).tolist()) for k in (ka, kb)))
+        return in_a, in_b
+    edges = np.flatnonzero(np.diff(ka)) + 1
+    starts, stops = np.append(0, edges), np.append(edges, len(ka))
+    long = stops - starts >= LONG_RUN
+    for start, stop in zip(starts[long].tolist(), stops[long].tolist()):
+        compare(slice(start, stop), slice(start, stop))
+    short = np.repeat(~long, stops - starts)
+    i = np.flatnonzero(short[:-1])
+    for step in range(1, LONG_RUN):
+        i = i[i + step < len(ka)]
+        i = i[ka[i] == ka[i + step]]  # sorted: a run that ended stays ended
+        if not len(i):
+            break
+        near = i[np.bitwise_count(va[i] ^ va[i + step]) <= limit[i]]
+        in_a[near] = in_a[near + step] = True
+    return in_a, in_b
+
+
+def close_and_apart(row: dict, rule: Rule, labels: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """An entry, and those of its bucket within the limit that do not have its label when it is their turn.
+
+    Entries of b are counted on from those of a; each pair comes in its first table of ranges, if in one.  An entry costs a comparison of
     labels with the rest of its bucket, so a large group that is connected early costs little more than that.
     """
     same = row["a"] == row["b"]
@@ -379,9 +432,10 @@ def close_and_apart(row: dict, most: int, tables: Tables, labels: np.ndarray) ->
     def near(x: int, start: int, stop: int, bucket: int) -> np.ndarray:
         others = np.flatnonzero(labels[start:stop] != labels[x]) + start
         differ = v[others] ^ v[x]
-        close = np.bitwise_count(differ) <= most
+        table = bucket >> TABLE_SHIFT
+        close = np.bitwise_count(differ) <= rule.limits(table)
         others, differ = others[close], differ[close]
-        return others[tables.first(differ) == bucket >> TABLE_SHIFT] if len(others) else others
+        return others[rule.new(differ, np.full(len(others), table))] if len(others) else others
 
     for bucket in np.unique(ka).tolist() if same else np.intersect1d(ka, kb).tolist():
         start, stop = np.searchsorted(ka, [bucket, bucket + 1]).tolist()
@@ -412,25 +466,22 @@ def join_buckets(
     return with_blocks(pairs, blocks, ["buckets", "entries", *extra]).mapInArrow(run, schema)
 
 
-def partnered(lines: DataFrame, most: int, tables: Tables) -> DataFrame:
-    """(bucket, bits) of fingerprints that have another line within `most` bits there."""
+def partnered(lines: DataFrame, rule: Rule) -> DataFrame:
+    """(bucket, bits) of fingerprints that have another line within the limit there."""
     found = materialize(lines.groupBy("bits").agg(F.count(F.lit(1)).alias("n")), "line_bits")
-    rows = found.select("bits", F.explode(tables.buckets(F.col("bits"))).alias("bucket"))
+    rows = found.select("bits", F.explode(rule.tables.buckets(F.col("bits"))).alias("bucket"))
+    ends = lines.select("bits", F.explode(rule.tables.end_buckets(F.col("head"), F.col("tail"))).alias("bucket"))
     # Lines with equal bits meet in the first table.
-    equal = found.where(F.col("n") > 1).select(tables.buckets(F.col("bits"))[0].alias("bucket"), "bits")
+    equal = found.where(F.col("n") > 1).select(rule.tables.buckets(F.col("bits"))[0].alias("bucket"), "bits")
 
     def work(row: dict) -> Iterator[pa.RecordBatch]:
-        for_a, for_b = [], []
-        for i, j in close_in_buckets(row, most, tables):
-            for_a.append(np.unique(i))
-            for_b.append(np.unique(j))
-        for side, found in (("a", for_a), ("b", for_b)):
-            if found:
-                at = np.unique(np.concatenate(found))
-                columns = [np.frombuffer(row[f"{side}_{c}"], "<i8")[at] for c in ("buckets", "entries")]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "bits"])
+        for side, held in zip("a" if row["a"] == row["b"] else "ab", with_partners(row, rule)):
+            at = np.flatnonzero(held)
+            columns = [np.frombuffer(row[f"{side}_{c}"], "<i8")[at] for c in ("buckets", "entries")]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "bits"])
 
-    return join_buckets(rows, [], work, "bucket long, bits long").unionByName(equal).distinct()
+    made = join_buckets(rows.unionByName(ends), [], work, "bucket long, bits long")
+    return made.unionByName(equal).distinct()
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -456,7 +507,7 @@ def line_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
     return found.groupBy("key").agg(F.min("text").alias("text"))  # repeated ids give a line twice
 
 
-def similar_links(candidates: DataFrame, most: int, least: float, tables: Tables) -> DataFrame:
+def similar_links(candidates: DataFrame, rule: Rule, least: float) -> DataFrame:
     """Links (a, b) of line keys that connect all pairs of `candidates` that pass both tests.
 
     `candidates`: bucket, bits, key, text.  Pairs that are connected already need no test.
@@ -466,7 +517,7 @@ def similar_links(candidates: DataFrame, most: int, least: float, tables: Tables
         same = row["a"] == row["b"]
         texts, keys = (row[f"a_{c}"] if same else row[f"a_{c}"] + row[f"b_{c}"] for c in ("text", "key"))
         labels, pairs, kept = Labels(len(keys)), Pairs(texts, least), []
-        for x, others in close_and_apart(row, most, tables, labels.of):
+        for x, others in close_and_apart(row, rule, labels.of):
             step = 1
             while len(others):
                 for y in pairs.possible(x, others[:step]).tolist():
@@ -484,19 +535,21 @@ def similar_links(candidates: DataFrame, most: int, least: float, tables: Tables
 
 
 def removed_places(
-    docs: DataFrame, least_words: int, most: int, least: float, id_col: str, text_col: str
+    docs: DataFrame, least_words: int, most: int, most_end: int, least: float, id_col: str, text_col: str
 ) -> DataFrame:
     """(id, line) of every line that is not the kept one of its group."""
     rows = materialize(line_rows(docs, least_words, id_col, text_col), "line_rows")
-    lines = materialize(
-        rows.groupBy("key").agg(F.min(F.struct("id", "line")).alias("place"), F.min("bits").alias("bits")), "lines"
-    )
-    tables = Tables.choose(lines.count(), most)
-    active = materialize(partnered(lines, most, tables), "partnered")
-    near = materialize(active.hint("merge").join(lines, "bits").select("bucket", "bits", "key", "place.id", "place.line"), "near")
+    prints = [F.min(c).alias(c) for c in ("bits", "head", "tail")]
+    lines = materialize(rows.groupBy("key").agg(F.min(F.struct("id", "line")).alias("place"), *prints), "lines")
+    rule = Rule(Tables.choose(lines.count(), most), most, most_end)
+    active = materialize(partnered(lines, rule), "partnered")
+    by_ranges = F.shiftright("bucket", TABLE_SHIFT) < len(rule.tables.groups)
+    own = by_ranges | F.array_contains(rule.tables.end_buckets(F.col("head"), F.col("tail")), F.col("bucket"))
+    joined = active.hint("merge").join(lines, "bits").where(own)
+    near = materialize(joined.select("bucket", "bits", "key", "place.id", "place.line"), "near")
     texts = line_texts(docs, near.select("key", "id", "line").distinct(), id_col, text_col)
     candidates = materialize(near.select("bucket", "bits", "key").join(texts, "key"), "candidates")
-    groups = connected_components(similar_links(candidates, most, least, tables))
+    groups = connected_components(similar_links(candidates, rule, least))
     kept = (
         lines.join(groups.withColumnRenamed("id", "key"), "key", "left")
         .groupBy(F.coalesce("component", "key").alias("root"))
@@ -512,6 +565,7 @@ def dedup_lines(
     *,
     least_words: int = LEAST_WORDS,
     most_bits: int = MOST_BITS,
+    most_end_bits: int = MOST_END_BITS,
     least_similarity: float = LEAST_SIMILARITY,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -520,11 +574,14 @@ def dedup_lines(
 
     Lines (split at line feeds) are normalised: lower case, digits as 0, ASCII
     punctuation and runs of white space as one space.  Two lines are linked if they
-    are equal, or if the SimHashes of their words differ in at most `most_bits`
-    bits and their edit similarity reaches `least_similarity`.  Of each connected
+    are equal, or if their edit similarity reaches `least_similarity` and the
+    SimHashes of their words differ in at most `most_bits` bits, or in at most
+    `most_end_bits` where the SimHashes of their first or of their last words are
+    the same (`end_words` of them, half a line at most).  Of each connected
     group the occurrence with the smallest (id, line number) stays; the others go
     with their line feed.  Lines of fewer than `least_words` words stay.  Equal
-    lines are joined by a 128-bit hash.  The search is exact for each `most_bits`.
+    lines are joined by a 128-bit hash, ends by 56 bits of theirs.  The search is
+    exact for these limits.
 
     Defined cases: a null text stays null and has no lines; a text may become empty,
     its row stays.  Rows with equal ids are one document: a line number that goes in
@@ -534,7 +591,7 @@ def dedup_lines(
     """
     if not 0 <= most_bits < MOST_RANGES:
         raise ValueError(f"most_bits must be from 0 to {MOST_RANGES - 1}")
-    removed = removed_places(docs, least_words, most_bits, least_similarity, id_col, text_col)
+    removed = removed_places(docs, least_words, most_bits, most_end_bits, least_similarity, id_col, text_col)
     columns = docs.columns
     n_lines = fresh(columns, "n_lines")
     n_removed = fresh([*columns, n_lines], "n_removed")

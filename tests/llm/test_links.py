@@ -220,19 +220,37 @@ def word_hash(word):
 WORD_HASHES = {}
 
 
-def brute_lines(rows, most=3, least=0.8, words=5):
+def brute_bits(words):
+    hashes = [word_hash(w) for w in words]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_ends(words):
+    """Fingerprints of the first and last words: the largest of 1, 2, 3, 4, 6, 8, 12 ... that is half of them at most."""
+    sizes = sorted({s * 2**k for s in (2, 3) for k in range(20)} | {1})
+    n = max(s for s in sizes if s <= max(1, len(words) // 2))
+    return [brute_bits(w) & (1 << 56) - 1 for w in (words[:n], words[-n:])]
+
+
+def close_lines(a, b, most=3, most_end=16):
+    """Of (bits, ends): within the limit, or within the other one with the same beginning or end."""
+    bits = (a[0] ^ b[0]).bit_count()
+    return bits <= most or bits <= most_end and any(x == y for x, y in zip(a[1], b[1]))
+
+
+def brute_lines(rows, least=0.8, words=5):
     places, bits = {}, {}
     for id_, text in rows:
         for k, own in enumerate(fuzzy.normal_lines(text) if text is not None else []):
             if len(own) >= words:
                 line = b" ".join(own).decode()
                 places.setdefault(line, []).append((id_ is not None, id_ or 0, k))
-                hashes = [word_hash(w) for w in line.split(" ")]
-                bits[line] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+                if line not in bits:
+                    bits[line] = brute_bits(line.split(" ")), brute_ends(line.split(" "))
     names = sorted(places)
     links = [
         (i, j) for i in range(len(names)) for j in range(i)
-        if (bits[names[i]] ^ bits[names[j]]).bit_count() <= most and fuzzy.similar(names[i], names[j], least)
+        if close_lines(bits[names[i]], bits[names[j]]) and fuzzy.similar(names[i], names[j], least)
     ]
     low = groups(len(names), links)
     best = {}
@@ -337,6 +355,34 @@ def test_some_table_holds_every_close_pair(n):
         assert tables.first(np.array([differ], np.uint64))[0] < len(tables.groups)
 
 
+def test_line_hasher_ends():
+    rng = random.Random(17)
+    lines = [[rng.choice(["ab", "c", "dé", "f0", "ghi"]) for _ in range(n)] for n in [*range(1, 40), 300, 521, 1100]]
+    found = fuzzy.LineHasher().read(["\n".join(" ".join(w) for w in lines)])
+    for k, w in enumerate(lines):
+        assert int(found["bits"][k]) & (1 << 64) - 1 == brute_bits(w)
+        assert [int(found[c][k]) & (1 << 56) - 1 for c in ("head", "tail")] == brute_ends(w)
+
+
+@pytest.mark.parametrize(("low", "high"), [(5, 15), (15, 30), (30, 60), (60, 201)])
+def test_recall_of_lines_with_a_changed_word(docs, spark, low, high):
+    """Against edit similarity alone: a line of the table, and the same with a word replaced, similarity 0.8 or more."""
+    rng = random.Random(18)
+    rows = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").select("text").collect()
+    lines = {" ".join(w.decode() for w in own): own for r in rows for own in fuzzy.normal_lines(r["text"])}
+    vocabulary = sorted({w for own in lines.values() for w in own})
+    pairs = []
+    for line, own in sorted(lines.items()):
+        k, new = rng.randrange(max(1, len(own))), rng.choice(vocabulary)
+        changed = b" ".join([*own[:k], new, *own[k + 1 :]]).decode()
+        if low <= len(own) < high and changed not in lines and fuzzy.similar(line, changed, 0.8):
+            pairs.append((line, changed))
+    pairs = rng.sample(pairs, min(200, len(pairs)))
+    both = docs(*((2 * i + k, p[k]) for i, p in enumerate(pairs) for k in range(2)))
+    found = fuzzy.dedup_lines(both).where("doc_id % 2 = 1 and n_removed = 1").count()
+    assert len(pairs) >= 30 and found >= 0.9 * len(pairs), (found, len(pairs))
+
+
 def test_query_op3(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     want = {i: hashlib.sha256(t.encode()).hexdigest() for i, t in brute_lines(rows)[0]}
