@@ -209,20 +209,31 @@ def end_bits(hashes: np.ndarray, first: np.ndarray, words: np.ndarray) -> tuple[
     return bits, majority(counts[:, 0], ends), np.where(words > 1, majority(counts[:, 2], ends), bits)
 
 
-def edit_distance(a: str, b: str, most: float = float("inf")) -> int:
-    """Levenshtein distance, a column of the table at a time in the bits of one integer.
+def shared_start(a: Sequence, b: Sequence) -> int:
+    """Length of the longest common beginning, by comparisons of halves."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if a[low:middle] == b[low:middle] else (low, middle - 1)
+    return low
+
+
+def without_shared_ends(a: Sequence, b: Sequence) -> tuple[Sequence, Sequence]:
+    begin = shared_start(a, b)
+    a, b = a[begin:], b[begin:]
+    end = shared_start(a[::-1], b[::-1])
+    return a[: len(a) - end], b[: len(b) - end]
+
+
+def edit_distance(a: Sequence, b: Sequence, most: float = float("inf")) -> int:
+    """Levenshtein distance of texts or lists, a column of the table at a time in the bits of one integer.
 
     Where all ways through a column are longer than `most`, the shortest of them is returned.
     """
-    begin = 0
-    while begin < min(len(a), len(b)) and a[begin] == b[begin]:
-        begin += 1
-    a, b = a[begin:], b[begin:]
-    while a and b and a[-1] == b[-1]:
-        a, b = a[:-1], b[:-1]
+    a, b = without_shared_ends(a, b)
     if not a or not b:
         return len(a) + len(b)
-    places: dict[str, int] = {}
+    places: dict = {}
     for i, c in enumerate(a):
         places[c] = places.get(c, 0) | 1 << i
     full = (1 << len(a)) - 1
@@ -249,16 +260,30 @@ def least_through(rise: int, fall: int, column: int, m: int, n: int) -> int:
     return int((held + np.abs((m - np.arange(m + 1)) - (n - column))).min())
 
 
-def similar(a: str, b: str, least: float) -> bool:
-    """1 - edit distance / longer length >= least."""
-    longer = max(len(a), len(b), 1)
-    most = (1 - least) * longer + 1e-9
+def most_edits(a: str, b: str, least: float) -> float:
+    return (1 - least) * max(len(a), len(b), 1) + 1e-9
+
+
+def surely_similar(a: str, b: str, least: float) -> bool:
+    """Whether edits of whole words prove that two texts are similar; quicker than a table of characters."""
+    most = most_edits(a, b, least)
     if abs(len(a) - len(b)) > most:
         return False
-    wa, wb = a.split(" "), b.split(" ")
+    wa, wb = without_shared_ends(a.split(" "), b.split(" "))
     if len(wa) == len(wb) and sum(max(len(x), len(y)) for x, y in zip(wa, wb) if x != y) <= most:
         return True  # words replaced one by one are no fewer edits
-    return edit_distance(a, b, most) <= most
+    # A word that is added, left out or replaced costs its characters and a space at most; so many of the longest may.
+    costs = np.cumsum(sorted((len(w) + 1 for w in (*wa, *wb)), reverse=True))
+    words = int(np.searchsorted(costs, most, side="right"))
+    return abs(len(wa) - len(wb)) <= words and edit_distance(wa, wb, words) <= words
+
+
+def similar(a: str, b: str, least: float) -> bool:
+    """1 - edit distance / longer length >= least."""
+    most = most_edits(a, b, least)
+    if abs(len(a) - len(b)) > most:
+        return False
+    return surely_similar(a, b, least) or edit_distance(a, b, most) <= most
 
 
 class Labels:
@@ -437,7 +462,35 @@ def close_and_apart(row: dict, rule: Rule, labels: np.ndarray) -> Iterator[tuple
         others, differ = others[close], differ[close]
         return others[rule.new(differ, np.full(len(others), table))] if len(others) else others
 
-    for bucket in np.unique(ka).tolist() if same else np.intersect1d(ka, kb).tolist():
+    def short_runs(short: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """The same for all runs of a block that are short, their pairs compared at once."""
+        table, one, two = ka >> TABLE_SHIFT, [], []
+        limit, i = rule.limits(table), np.flatnonzero(short[:-1])
+        for step in range(1, LONG_RUN):
+            i = i[i + step < len(ka)]
+            i = i[ka[i] == ka[i + step]]  # sorted: a run that ended stays ended
+            differ = v[i] ^ v[i + step]
+            close = np.bitwise_count(differ) <= limit[i]
+            at = i[close][rule.new(differ[close], table[i[close]])]
+            one.append(at)
+            two.append(at + step)
+        one, two = np.concatenate(one), np.concatenate(two)
+        order = np.lexsort((two, one))
+        one, two = one[order], two[order]
+        edges = np.flatnonzero(np.diff(one, prepend=-1))
+        for begin, end in zip(edges.tolist(), [*edges[1:].tolist(), len(one)]):
+            x, others = int(one[begin]), two[begin:end]
+            others = others[labels[others] != labels[x]]
+            if len(others):
+                yield x, others
+
+    buckets = np.unique(ka) if same else np.intersect1d(ka, kb)
+    if same:
+        starts = np.searchsorted(ka, buckets)
+        sizes = np.diff(starts, append=len(ka))
+        yield from short_runs(np.repeat(sizes < LONG_RUN, sizes))
+        buckets = buckets[sizes >= LONG_RUN]
+    for bucket in buckets.tolist():
         start, stop = np.searchsorted(ka, [bucket, bucket + 1]).tolist()
         low, high = (start, stop) if same else (np.searchsorted(kb, [bucket, bucket + 1]) + len(ka)).tolist()
         for x in range(start, stop):
@@ -518,7 +571,11 @@ def similar_links(candidates: DataFrame, rule: Rule, least: float) -> DataFrame:
         texts, keys = (row[f"a_{c}"] if same else row[f"a_{c}"] + row[f"b_{c}"] for c in ("text", "key"))
         labels, pairs, kept = Labels(len(keys)), Pairs(texts, least), []
         for x, others in close_and_apart(row, rule, labels.of):
-            step = 1
+            y, step = int(others[0]), 1
+            if surely_similar(texts[x], texts[y], least):
+                labels.join(x, y)
+                kept.append((keys[x], keys[y]))
+                others = others[labels.of[others] != labels.of[x]]
             while len(others):
                 for y in pairs.possible(x, others[:step]).tolist():
                     if labels.of[x] != labels.of[y] and similar(texts[x], texts[y], least):

@@ -210,6 +210,21 @@ def test_edit_distance():
     assert fuzzy.similar("abcde", "abcdx", 0.8) and not fuzzy.similar("abcde", "abxyx", 0.8) and fuzzy.similar("", "", 0.8)
 
 
+def test_edits_of_words_prove_only_what_holds():
+    rng, sure = random.Random(19), 0
+    for _ in range(1500):
+        a = [rng.choice(["a", "bb", "cé", "dddd", "eeeeeeee"]) for _ in range(rng.randint(0, 14))]
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randrange(len(b) + 1)
+            b[k : k + rng.randint(0, 1)] = rng.choice([[], ["x"], ["bb", "zzz"]])
+        a, b = " ".join(a), " ".join(b)
+        within = table_distance(a, b) <= 0.2 * max(len(a), len(b), 1) + 1e-9
+        assert fuzzy.similar(a, b, 0.8) == within and (within or not fuzzy.surely_similar(a, b, 0.8))
+        sure += fuzzy.surely_similar(a, b, 0.8)
+    assert sure > 200
+
+
 def word_hash(word):
     """The bits of a line of one word are the word's hash."""
     if word not in WORD_HASHES:
