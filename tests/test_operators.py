@@ -494,6 +494,58 @@ def test_tiers_and_one_search_agree(frame, rows, monkeypatch, threshold):
     assert in_tiers == rows(nearest_names(*sides, threshold)) and in_tiers
 
 
+@pytest.mark.parametrize("threshold", [0.35, 0.6, 0.8, 0.85, 0.9])
+def test_numbered_names_are_exact(frame, threshold):
+    dice = random.Random(threshold)
+    name = lambda: dice.choice(["Game #", "Gamé ", "Hall of "]) + "".join(dice.choices("0123", k=dice.randint(1, 9))) + dice.choice(["", "b", " II"])
+    lefts, rights = [name() for _ in range(150)], [name() for _ in range(150)]
+    sides = [frame("name string", *((n,) for n in names)) for names in (lefts, rights)]
+    got = [(r["lname"], r["rname"], round(r["similarity"], 9)) for r in similar_names(*sides, threshold).collect()]
+    longer = {(a, b): max(len(a), len(b)) for a in lefts for b in rights if a not in rights}
+    alike = {(a, b, round(1 - _edit_distance(a, b) / n, 9)) for (a, b), n in longer.items() if (n - _edit_distance(a, b)) > threshold * n + 1e-9}
+    assert sorted(got) == sorted(alike | {(a, a, 1.0) for a in lefts if a in rights})
+
+
+def _written(monkeypatch) -> list[int]:
+    """Rows of every intermediate table that matching writes from now on."""
+    counts, write = [], match.materialize
+
+    def counted(df, label):
+        held = write(df, label)
+        counts.append(held.count())
+        return held
+
+    monkeypatch.setattr(match, "materialize", counted)
+    return counts
+
+
+def test_numbered_names_without_partner_make_few_candidates(frame, monkeypatch):
+    """Pieces of each name at a low threshold were thousands of rows a name."""
+    written = _written(monkeypatch)
+    left = frame("name string", *((f"BUILDING{i:06}",) for i in range(400)))
+    right = frame("name string", *((f"Customer#{i:09}BUILDING",) for i in range(400)))
+    assert nearest_names(left, right, 0.35).isEmpty()
+    assert max(written) <= 1000
+
+
+def test_pairs_of_patterns_meet_without_pieces_of_each_name(frame, monkeypatch):
+    written = _written(monkeypatch)
+    left = frame("name string", *((f"Cust#{i:06}PERU",) for i in range(300)))
+    right = frame("name string", *((f"Customer#{i:09}PERU",) for i in range(300)))
+    pairs = similar_names(left, right, 0.6)
+    assert pairs.where("substring(lname, 6, 6) = substring(rname, 13, 6)").count() == 300
+    assert max(written) <= 1000
+
+
+def test_names_one_edit_apart_need_no_bigrams(frame, rows, monkeypatch):
+    """Numbered names share all their bigrams, so these brought nearly all pairs together."""
+    monkeypatch.setattr(match, "_gram_pairs", None)
+    monkeypatch.setattr(match, "_bigrams", None)
+    names = [f"Customer#{i:09}" for i in range(500)]
+    sides = [frame("name string", *((n + end,) for n in names)) for end in ("", "x")]
+    assert rows(nearest_names(*sides), "lname", "rname") == [(n, n + "x") for n in names]
+
+
 def test_similar_names_refuses_impossible_thresholds(frame):
     for threshold in (0, 1, 1.5):
         with pytest.raises(ValueError):
