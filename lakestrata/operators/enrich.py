@@ -7,9 +7,10 @@ otherwise shuffles; adaptive execution then splits hot and null keys.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegralType
 
 
@@ -28,21 +29,33 @@ def lookup(
     """Left-join `dim` on `key` and take over the columns `{dim column: new name}`.
 
     The key column goes away unless `keep_key`.  A new name may equal the key,
-    in which case the label replaces the id.
+    in which case the label replaces the id.  Rows with a null key match nothing
+    and are dealt out by a hash of their columns, so that a shuffle does not
+    gather them in one task.
     """
     taken = {f"__take_{i}": (source, name) for i, (source, name) in enumerate(take.items())}
     side = dim.select(
         F.col(dim_key).alias("__dim_key"),
         *(F.col(source).alias(tmp) for tmp, (source, _) in taken.items()),
+        # Always 0, but no constant: Spark would take that out of the join's keys.
+        F.pmod(F.xxhash64(dim_key), F.lit(1).cast("bigint")).alias("__dim_salt"),
     )
     new_names = {name for _, name in taken.values()}
     kept = [c for c in df.columns if c not in new_names and (keep_key or c != key)]
-    return df.join(side, df[key] == side["__dim_key"], "left").select(
+    salt = F.when(df[key].isNull(), _spread(df)).otherwise(F.lit(0).cast("bigint"))
+    meet = (df[key] == side["__dim_key"]) & (salt == side["__dim_salt"])
+    return df.join(side, meet, "left").select(
         *(df[c] for c in kept),
         *(side[tmp].alias(name) for tmp, (_, name) in taken.items()),
     )
 
 
+def _spread(df: DataFrame) -> Column:
+    """A hash of a row's columns; maps and variants, which have none, are passed over."""
+    plain = [f.name for f in df.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    return F.xxhash64(*(df[name] for name in plain))
+
+
 def fan_out(
     df: DataFrame, key: str, other: DataFrame, take: Mapping[str, str], *, other_key: str
 ) -> DataFrame:

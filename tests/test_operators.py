@@ -546,6 +546,23 @@ def test_names_one_edit_apart_need_no_bigrams(frame, rows, monkeypatch):
     assert rows(nearest_names(*sides), "lname", "rname") == [(n, n + "x") for n in names]
 
 
+def test_null_keys_of_a_lookup_do_not_gather_in_one_task(spark, frame):
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in off}
+    for key, value in off.items():
+        spark.conf.set(key, value)
+    try:
+        facts = spark.range(400).select("id", F.when(F.col("id") % 4 == 0, F.col("id") % 8).alias("part"))
+        found = lookup(facts, "part", frame("id long, name string", (0, "a"), (None, "b")), {"name": "name"}, keep_key=True)
+        got = found.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert {r["name"] for r in got if r["part"] == 0} == {"a"} and {r["name"] for r in got if r["part"] != 0} == {None}
+    nulls = [r["task"] for r in got if r["part"] is None]
+    assert len(got) == 400 and len(nulls) == 300 and len(set(nulls)) > 1
+
+
 def test_similar_names_refuses_impossible_thresholds(frame):
     for threshold in (0, 1, 1.5):
         with pytest.raises(ValueError):
