@@ -98,20 +98,23 @@ def changed_rows(current: DataFrame, previous: DataFrame) -> DataFrame:
     """Multiset difference: rows of `current` that `previous` does not hold.
 
     Of each version only the rows' hashes and their numbers are shuffled.  Hashes of which `current` has more
-    are written; then the rows that have them are taken from both versions and compared by value.
+    are written.  Rows with a hash that `previous` lacks differ from all of its rows; where it has the hash, but
+    fewer times, the rows are taken from both versions and compared by value.
     """
     previous = previous.select(*current.columns)
     if len(current.columns) <= NARROW:
         return current.exceptAll(previous)
     hashes = row_hashes(current.schema, F.hash)  # 96 bits are enough for 10^12 rows, and what is shuffled
     both = current.select(*hashes, F.lit(1).alias("__n")).unionByName(previous.select(*hashes, F.lit(-1).alias("__n")))
-    more = both.groupBy("__h1", "__h2").agg(F.sum("__n").alias("__n")).where(F.col("__n") > 0)
-    more = materialize(more.select("__h1", "__h2"), "changed-hashes")  # its size decides how the rows are found
+    counted = both.groupBy("__h1", "__h2").agg(F.sum("__n").alias("__n"), (F.min("__n") < 0).alias("__held"))
+    more = materialize(counted.where(F.col("__n") > 0).drop("__n"), "changed-hashes")
+    partly = materialize(more.where("__held"), "changed-partly")  # its size decides how the rows are found
 
-    def having(df: DataFrame) -> DataFrame:
-        return df.select("*", *hashes).join(more, ["__h1", "__h2"], "left_semi").select(*current.columns)
+    def having(df: DataFrame, wanted: DataFrame) -> DataFrame:
+        return df.select("*", *hashes).join(wanted, ["__h1", "__h2"], "left_semi").select(*current.columns)
 
-    return having(current).exceptAll(having(previous))
+    fresh = having(current, more.where(~F.col("__held")))
+    return fresh.unionByName(having(current, partly).exceptAll(having(previous, partly)))
 
 
 def new_or_changed(

@@ -267,6 +267,18 @@ def wide_rows(dice, n):
     ]
 
 
+def test_only_rows_held_fewer_times_are_compared_by_value(spark, monkeypatch):
+    from lakestrata.operators import changes
+
+    written, write = {}, changes.materialize
+    monkeypatch.setattr(changes, "materialize", lambda df, label: written.setdefault(label, write(df, label)))
+    held = spark.range(40).select(*(F.col("id").alias(c) for c in "abcd"))
+    now = held.withColumn("d", F.when(F.col("a") >= 10, F.col("d"))).unionByName(held.where("a = 20"))
+    got = Counter((r["a"], r["d"]) for r in changed_rows(now, held).collect())
+    assert got == Counter({**{(i, None): 1 for i in range(10)}, (20, 20): 1})
+    assert (written["changed-hashes"].count(), written["changed-partly"].count()) == (11, 1)
+
+
 def test_changed_rows_of_wide_tables_equal_except_all(frame):
     dice = random.Random(5)
     old = wide_rows(dice, 1500)
