@@ -90,6 +90,11 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _own(columns: StructType) -> StructType:
+    """Without the number of the part."""
+    return StructType([f for f in columns.fields if f.name != PART])
+
+
 def sync_table(
     spark: SparkSession,
     database: str,
@@ -107,8 +112,7 @@ def sync_table(
     if not spark.catalog.tableExists(name):
         register_table(spark, database, table, location, columns, parts)
         return "created"
-    held = StructType([f for f in spark.table(name).schema.fields if f.name != PART])
-    same_columns = typed(held) == typed(columns)
+    same_columns = typed(_own(spark.table(name).schema)) == typed(_own(columns))
     if same_columns and spark.catalog.getTable(name).description == location:
         return "unchanged"
     spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
@@ -151,7 +155,7 @@ def sync_catalog(
             else:
                 location, parts = log_folder(spark, f"{path}/control"), None
                 columns = spark.read.parquet(location).schema
-            action, told = sync_table(spark, database, named, location, columns, parts), typed(columns)
+            action, told = sync_table(spark, database, named, location, columns, parts), typed(_own(columns))
         except Exception as failure:  # noqa: BLE001 - reported, the others go on
             error = str(failure)
         return {"database": database, "table": named, "action": action, "error": error, "columns": told}

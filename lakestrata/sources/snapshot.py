@@ -2,13 +2,15 @@
 
     <path>/data/<run>/            the files of one version, written once
     <path>/data/<run>/__part=7/   of a table in parts: those parts that this version wrote
+    <path>/data/<run>/__pack=3/   where these are many: several of them, each row with its `__part`
     <path>/history/               one row per version: number, time, rows, schema, run, parts
     <path>/removed/               one row per version that was removed
 
 A version becomes visible when its history row is written, after its data, so
 a write that fails half-way leaves nothing a reader would pick up.  A table in
 parts is updated by writing the parts that have changes; its other parts are
-those of earlier versions.  One writer per table at a time, as the scheduled
+those of earlier versions.  A part of a pack that a later version wrote again
+stays in its file, and readers pass it over.  One writer per table at a time, as the scheduled
 jobs guarantee.
 """
 
@@ -20,17 +22,20 @@ import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from lakestrata.functions.schemas import COUNT, TEXT, local_frame, schema
 from lakestrata.operators.changes import schema_diff, upsert
-from lakestrata.sources.folders import delete_folder
-from lakestrata.sources.log import append_rows, read_log
-from lakestrata.sources.scratch import materialize
+from lakestrata.sources.folders import delete_folder, entries
+from lakestrata.sources.log import DONE, append_rows, read_log
+from lakestrata.sources.scratch import materialize, scratch_path
 
-PART = "__part"
+PART, PACK, RUN, WHOLE = "__part", "__pack", "__run", "whole"
+MOST_FOLDERS = 256  # parts that a version writes to a folder each; of more, several share one
+PACK_ROWS = 1_000_000  # above, a folder takes no further part
 HISTORY = schema(
     version=COUNT,
     timestamp=COUNT,
@@ -38,7 +43,7 @@ HISTORY = schema(
     schema=TEXT,
     run=TEXT,
     layout=TEXT,
-    parts=ArrayType(schema(part=COUNT, run=TEXT, rows=COUNT)),
+    parts=ArrayType(schema(part=COUNT, run=TEXT, rows=COUNT, pack=COUNT, packed=COUNT)),
 )
 REMOVED = schema(version=COUNT, timestamp=COUNT)
 
@@ -90,12 +95,17 @@ def _find(spark: SparkSession, path: str, version: int | None) -> Row | None:
     return found
 
 
-def _folders(path: str, entry: Row, parts: Iterable[int] | None = None) -> list[str]:
-    """Folders of a version's files, or of some of its parts."""
+def _folder(path: str, part: Row) -> str:
+    """Where a part is, alone or with others."""
+    name = f"{PART}={part['part']}" if part["pack"] is None else f"{PACK}={part['pack']}"
+    return f"{path}/data/{part['run']}/{name}"
+
+
+def _folders(path: str, entry: Row) -> list[str]:
+    """Folders of a version's files."""
     if entry["parts"] is None:
         return [f"{path}/data/{entry['run']}"]
-    wanted = None if parts is None else set(parts)
-    return [f"{path}/data/{p['run']}/{PART}={p['part']}" for p in entry["parts"] if wanted is None or p["part"] in wanted]
+    return list(dict.fromkeys(_folder(path, p) for p in entry["parts"]))
 
 
 def _schema(entry: Row) -> StructType:
@@ -112,19 +122,51 @@ def _layout(entry: Row | None) -> Layout | None:
 
 
 def _read(spark: SparkSession, path: str, entry: Row, parts: Iterable[int] | None = None) -> DataFrame:
-    folders = _folders(path, entry, parts)
-    if not folders:
-        return local_frame(spark, _schema(entry))
-    return spark.read.schema(_schema(entry)).parquet(*folders)
+    columns = _schema(entry)
+    if entry["parts"] is None:
+        return spark.read.schema(columns).parquet(*_folders(path, entry))
+    wanted = None if parts is None else set(parts)
+    held: dict[str, list[Row]] = defaultdict(list)
+    for p in entry["parts"]:
+        if wanted is None or p["part"] in wanted:
+            held[_folder(path, p)].append(p)
+    if not held:
+        return local_frame(spark, columns)
+    whole = {folder for folder, some in held.items() if some[0]["pack"] is None or len(some) == some[0]["packed"]}
+    frames = [spark.read.schema(columns).parquet(*(f for f in held if f in whole))] if whole else []
+    if len(whole) < len(held):
+        cut = [f for f in held if f not in whole]
+        key = schema(**{RUN: TEXT, PART: COUNT})
+        found = local_frame(spark, key, [{RUN: p["run"], PART: p["part"]} for f in cut for p in held[f]])
+        run = F.element_at(F.split("_metadata.file_path", "/"), -3)
+        stored = spark.read.schema(_with_part(columns)).parquet(*cut).withColumn(RUN, run)
+        frames.append(stored.join(found, key.names, "left_semi").select(*_quoted(columns.names)))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _with_part(columns: StructType) -> StructType:
+    """The columns of a file of several parts."""
+    return StructType([*columns.fields, *schema(**{PART: COUNT}).fields])
 
 
 def current_location(spark: SparkSession, path: str) -> tuple[str, StructType, dict[int, str] | None]:
-    """Folder and schema of the latest version, and of a table in parts the folder of each."""
+    """Folder and schema of the latest version, and of a table in parts the folder of each.
+
+    Others cannot tell which rows of a pack count, so a table with packs is written whole for them, once a version,
+    with the part of each row as its last column.
+    """
     entry = _find(spark, path, None)
     if entry is None:
         raise FileNotFoundError(f"no version of {path}")
-    parts = None if entry["parts"] is None else dict(zip((p["part"] for p in entry["parts"]), _folders(path, entry)))
-    return f"{path}/data/{entry['run']}", _schema(entry), parts
+    folder, columns = f"{path}/data/{entry['run']}", _schema(entry)
+    if entry["parts"] is None:
+        return folder, columns, None
+    if all(p["pack"] is None for p in entry["parts"]):
+        return folder, columns, {p["part"]: _folder(path, p) for p in entry["parts"]}
+    if not any(e.name == DONE for e in entries(spark, f"{folder}/{WHOLE}")):
+        numbered = _read(spark, path, entry).withColumn(PART, _layout(entry).part())
+        numbered.write.mode("overwrite").parquet(f"{folder}/{WHOLE}")
+    return f"{folder}/{WHOLE}", _with_part(columns), None
 
 
 def read_snapshot(
@@ -196,18 +238,53 @@ def _write_parts(df: DataFrame, path: str, last: Row | None, layout: Layout, kep
     """A version of the parts that `df` has rows of, written now, and the `kept` ones of earlier versions."""
     spark = df.sparkSession
     version, run = _next(last)
-    folder = f"{path}/data/{run}"
-    df.withColumn(PART, layout.part()).repartition(PART).write.mode("errorifexists").partitionBy(PART).parquet(folder)
-    # Numbers of rows per part come from the file footers.
-    stored = StructType([*df.schema.fields, *schema(**{PART: COUNT}).fields])
-    counts = spark.read.schema(stored).parquet(folder).groupBy(PART).agg(F.count(F.lit(1)).alias("rows")).collect()
-    parts = [p.asDict() for p in kept] + [{"part": c[PART], "run": run, "rows": c["rows"]} for c in counts]
+    unsorted = scratch_path(spark, "unpacked")  # how many parts there are decides where they go
+    df.withColumn(PART, layout.part()).write.parquet(unsorted)
+    numbered = spark.read.schema(_with_part(df.schema)).parquet(unsorted)
+    counts = numbered.groupBy(PART).agg(F.count(F.lit(1)).alias("rows")).collect()
+    written = _packed([{"part": c[PART], "run": run, "rows": c["rows"]} for c in counts])
+    folder = PART
+    if len(written) > MOST_FOLDERS:
+        places = local_frame(spark, schema(**{PART: COUNT, PACK: COUNT}), [{PART: p["part"], PACK: p["pack"]} for p in written])
+        numbered, folder = numbered.join(places, PART).select(*_quoted(numbered.columns), PACK), PACK
+    (
+        numbered.repartition(folder)
+        .sortWithinPartitions(folder, PART)  # of a pack, what is read for an update lies together
+        .write.mode("errorifexists")
+        .partitionBy(folder)
+        .parquet(f"{path}/data/{run}")
+    )
+    delete_folder(spark, unsorted)
+    parts = [p.asDict() for p in kept] + written
     rows = sum(p["rows"] for p in parts)
     _add_version(
         spark, path, version=version, rows=rows, schema=df.schema.json(), run=run,
         layout=json.dumps(asdict(layout)), parts=parts,
     )
-    return Snapshot(version, rows, len(counts))
+    return Snapshot(version, rows, len(written))
+
+
+def _quoted(names: Iterable[str]) -> list[str]:
+    return [f"`{name}`" for name in names]
+
+
+def _packed(parts: list[dict]) -> list[dict]:
+    """The parts of one version, with the pack each goes to where they are too many for a folder each.
+
+    Neighbouring parts share a pack, as they are likely to change together.
+    """
+    if len(parts) <= MOST_FOLDERS:
+        return parts
+    most = -(-len(parts) // MOST_FOLDERS)
+    packs: list[list[dict]] = []
+    rows = 0
+    for p in sorted(parts, key=lambda p: p["part"]):
+        if not packs or len(packs[-1]) == most or rows + p["rows"] > PACK_ROWS:
+            packs.append([])
+            rows = 0
+        packs[-1].append(p)
+        rows += p["rows"]
+    return [{**p, "pack": n, "packed": len(held)} for n, held in enumerate(packs) for p in held]
 
 
 def touched_rows(updates: DataFrame, path: str) -> DataFrame | None:
@@ -247,8 +324,8 @@ def upsert_snapshot(
         raise ValueError(f"{path} is in parts by {layout.key!r}, not by {key!r}")
     if last is None:
         return write_snapshot(updates, path, layout=layout)
-    base = _read(spark, path, last)
     if stored is None or stored != layout or schema_diff(_schema(last), updates.schema).retyped:
+        base = _read(spark, path, last)  # lists all folders
         return write_snapshot(upsert(base, updates, key, overwrite_missing=overwrite_missing), path, layout=layout)
     touched = set(_parts_of(updates, layout))
     changed = upsert(_read(spark, path, last, touched), updates, key, overwrite_missing=overwrite_missing)
@@ -289,10 +366,9 @@ def expire_versions(
                 needed[folder.removeprefix(f"{path}/data/").split("/")[0]].add(folder)
     for e in every:
         if e["version"] in gone:
-            if e["run"] not in needed:
-                delete_folder(spark, f"{path}/data/{e['run']}")
-            for p in e["parts"] or ():
-                folder = f"{path}/data/{p['run']}/{PART}={p['part']}"
-                if p["run"] in needed and folder not in needed[p["run"]]:
+            delete_folder(spark, f"{path}/data/{e['run']}" + (f"/{WHOLE}" if e["run"] in needed else ""))
+            for folder in _folders(path, e) if e["parts"] is not None else ():
+                run = folder.removeprefix(f"{path}/data/").split("/")[0]
+                if run in needed and folder not in needed[run]:
                     delete_folder(spark, folder)
     return [e["version"] for e in removed]

@@ -53,7 +53,7 @@ from lakestrata.plans.ingest import (
 from lakestrata.plans.lake import LANDING, RAW, Lake, TableId
 from lakestrata.plans.retention import expire_layer
 from lakestrata.plans.runner import TableSpec, build_all, failures
-from lakestrata.sources import folders
+from lakestrata.sources import folders, snapshot
 from lakestrata.sources.catalog import ddl_type, discover_tables, sync_catalog
 from lakestrata.sources.files import read_enum_dir, read_or_none, write_json_pages
 from lakestrata.sources.log import append_rows, log_folder, read_log
@@ -318,6 +318,58 @@ def test_upserts_in_parts_equal_upserts_of_the_whole(spark, frame, rows, tmp_pat
         Layout("id", "list", 3)
 
 
+def test_many_parts_share_folders(lake, spark, frame, rows):
+    layer = f"l{uuid.uuid4().hex[:8]}"
+    table = TableId(layer, "things")
+    path, plain = lake.path(table), f"{lake.root}/plain"
+    ddl = "id long, v string, n long"
+    batches = [
+        spark.range(-5, 6000).select("id", F.concat(F.lit("a"), "id").alias("v"), F.lit(0).cast("long").alias("n")),
+        frame(ddl, (3, "b3", 1), (17, None, 1), (9000, "new", 1)),
+        spark.range(0, 6000, 20).select("id", F.lit(2).cast("long").alias("n")),  # lacks v; packs again
+        frame(ddl, (3, "c3", 3), (40, "c40", 3)),
+    ]
+    written = []
+    for batch in batches:
+        written.append(upsert_snapshot(batch, path, "id", layout=Layout("id", "range", 10)).parts_written)
+        upsert_snapshot(batch, plain, "id")
+        assert rows(read_snapshot(spark, path)) == rows(read_snapshot(spark, plain))
+    assert written == [600, 3, 300, 2]
+    folders_of = [len(list(f.glob("__pa*"))) for f in sorted(Path(path, "data").iterdir())]
+    assert 100 < folders_of[0] <= 256 and 100 < folders_of[2] <= 256 and folders_of[1::2] == [3, 2]
+    newest = snapshot_history(spark, path).first()
+    assert len(newest["parts"]) == 601 and sum(p["rows"] for p in newest["parts"]) == newest["rows"] == 6006
+    assert rows(read_snapshot(spark, path, 1)) == rows(read_snapshot(spark, plain, 1))
+    # Of the folders, an update reads those with a key of its own, and of them only its parts.
+    touched = touched_rows(frame(ddl, (41, "x", 0)), path)
+    assert rows(touched, "id") == [(i,) for i in range(40, 50)] and len(touched.inputFiles()) == 1
+
+    def sync():
+        return [(r["table"], r["action"], r["columns"]) for r in sync_catalog(spark, lake.root, (layer,), ()).collect()]
+
+    name = f"{layer}_things"
+    assert sync() == [(name, "created", "id bigint, v varchar, n bigint")]
+    assert sync()[0][1] == "unchanged"
+    registered = rows(spark.table(f"{layer}.{name}"), "id", "v", "n", "__part")
+    expected = read_snapshot(spark, plain).withColumn("__part", F.expr("id div 10"))
+    assert registered == rows(expected, "id", "v", "n", "__part")
+    upsert_snapshot(frame(ddl, (0, "d", 4)), path, "id")
+    assert expire_versions(spark, path, older_than=int(time.time()) + 9) == [0, 1, 2, 3]
+    upsert_snapshot(frame(ddl, (0, "d", 4)), plain, "id")
+    assert rows(read_snapshot(spark, path)) == rows(read_snapshot(spark, plain))
+    assert not list(Path(path, "data").glob("*/whole")) and sync()[0][1] == "recreated"
+
+
+def test_packs_hold_neighbouring_parts_and_few_rows():
+    def packs(sizes):
+        found = snapshot._packed([{"part": n, "rows": r} for n, r in reversed(list(enumerate(sizes)))])
+        return [(p["part"], p.get("pack"), p.get("packed")) for p in found]
+
+    assert {p[1] for p in packs([10**9] * 256)} == {None}
+    assert [p[1] for p in packs([1] * 257)][:5] == [0, 0, 1, 1, 2] and packs([1] * 257)[-1] == (256, 128, 1)
+    assert [p[1] for p in packs([600_000] * 300)] == list(range(300))
+
+
 def test_batches_applied_in_parts(lake, frame, rows):
     ddl = "id long, name string, updated_at long"
     first = frame(ddl, *((i, f"n{i}", 1) for i in range(100)))
