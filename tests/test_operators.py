@@ -35,6 +35,7 @@ from lakestrata.operators.enrich import decode, fan_out, lookup, with_parent
 from lakestrata.operators import match
 from lakestrata.operators.match import best_match, nearest_names, parse_records, pick_best, similar_names
 from lakestrata.operators.membership import membership
+from plans import plan
 
 
 # --- membership --------------------------------------------------------------
@@ -428,6 +429,35 @@ def test_pick_best_rules(frame, rows):
     assert rows(pick_best(hits), "id", "cand_id") == [(2, 21), (3, 32), (6, 61)]
 
 
+def test_pick_best_of_copies_nulls_and_nan(frame, rows):
+    nan = float("nan")
+    hits = frame(
+        "id long, year int, cand_id long, cand_year int, similarity double",
+        *[(1, 2000, 11, 2000, 0.9)] * 2,  # two copies are two hits: the year decides
+        *[(2, 2000, 21, 1999, 0.9)] * 2,
+        (3, 2000, None, 2000, 0.95),  # the single best one has no id: none
+        (3, 2000, 31, 2000, 0.9),
+        (4, 2000, None, 2000, 0.9),  # of several, the smallest id there is
+        (4, 2000, 41, 2000, 0.9),
+        (5, 2000, 51, 1999, nan),  # greater than any number
+        (5, 2000, 52, 2000, 1.0),
+        *[(6, 2000, c, 2000, nan) for c in (62, 61)],
+        (None, 2000, 71, 1999, 0.9),
+        (8, 2000, 81, 2000, None),
+    )
+    for df in (hits, hits.repartition(5), hits.coalesce(1)):
+        assert rows(pick_best(df), "id", "cand_id") == [(None, 71), (1, 11), (4, 41), (5, 51), (6, 61)]
+
+
+def test_pick_best_holds_one_id_at_a_time(spark):
+    ids = spark.range(1000).select("id", F.lit(2000).alias("year"))
+    found = spark.range(1000).select("id", F.col("id").alias("cand_id"), F.lit(2000).alias("cand_year"), F.lit(0.9).alias("similarity"))
+    text = plan(pick_best(ids.join(found.hint("merge"), "id")))
+    # After the sorts of the join nothing is sorted, hashed or shuffled again.
+    assert "HashAggregate" not in text and "SortAggregate" in text
+    assert text.count("Sort [") == 2 and text.count("Exchange hashpartitioning") == 2
+
+
 NAMES = """Halo|Halo 2|Halo 3|Portal|Portal 2|The Witcher|The Witcher 2|The Witcher 3|Witcher
 Dark Souls|Dark Souls II|Dark Souls III|Demon's Souls|Final Fantasy VII|Final Fantasy VIII
 Final Fantasy XIII|Final Fantasy XIII-2|Celeste|Céleste|Celestee|a|b|ab|abc|abcd|abcde|abcdef
