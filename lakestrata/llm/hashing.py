@@ -28,7 +28,9 @@ class Powers:
             self.up = np.cumprod(np.append(one, np.full(size - 1, self.base, np.uint64)))
             inverse = pow(self.base, -1, 1 << 64)
             self.down = np.cumprod(np.append(one, np.full(size - 1, inverse, np.uint64)))
-        return np.append(np.uint64(0), np.cumsum(values * self.up[:n]))
+        out = np.zeros(n + 1, np.uint64)
+        np.multiply(values, self.up[:n], out=out[1:])
+        return np.cumsum(out, out=out)
 
     def ranges(self, sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return mixed((sums[stop] - sums[start]) * self.down[start])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import string
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -33,8 +34,9 @@ PAIRS_AT_ONCE = 1 << 20
 TESTS_AT_ONCE = 1024  # of one line, after which the others are looked at again
 CODES_HELD = 20_000  # lines
 SHORT_TEXT = 40  # characters; below, an edit distance costs no more than a bound for it
-PLACE_BITS = 20
+PLACE_BITS, GRAM_BITS = 20, 43
 LEAST_BLOCK, MOST_BLOCK, MOST_BLOCK_BYTES = 4096, 1 << 16, 4 << 20
+LOST_GROUP = re.compile(rb"\x01..", re.DOTALL)  # of three characters, and the two places that it shares characters with
 NORMAL = bytes.maketrans(
     (string.digits + string.punctuation + "\t\v\f\r").encode(), b"0" * 10 + b" " * (len(string.punctuation) + 4)
 )
@@ -106,6 +108,10 @@ class Rule:
     def limits(self, table: np.ndarray) -> np.ndarray:
         return np.where(table < len(self.tables.groups), self.most, self.most_end)
 
+    def least(self, table: np.ndarray) -> np.ndarray:
+        """Equal fingerprints are close in the first table of ranges and in those of line ends."""
+        return ((table > 0) & (table < len(self.tables.groups))).astype(np.int64)
+
     def new(self, differ: np.ndarray, table: np.ndarray) -> np.ndarray:
         """Of differing bits within the limit: does no earlier table of ranges hold the pair?"""
         few = np.bitwise_count(differ) <= self.most
@@ -130,30 +136,41 @@ class LineHasher:
     def __init__(self):
         self.letters, self.one, self.two = Powers(BASE), Powers(BASE), Powers(SECOND_BASE)
 
-    def read(self, texts: Sequence[str | None]) -> dict[str, np.ndarray]:
-        """Per line with a word: owner (text), line (from 0), words, key (two numbers), bits, head and tail bits."""
-        raw = [normalised(t) for t in texts]
+    def words(self, raw: list[bytes]) -> tuple[np.ndarray, ...]:
+        """Hashes of the words of normalised texts; per line with a word: number among all lines, first word, words."""
         values = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
         feed = values == 10
-        blank = feed | (values == 32)
-        edge = np.flatnonzero(np.diff(np.concatenate([[True], blank])))  # beginnings and ends of words in turn
+        edge = np.flatnonzero(np.diff(feed | (values == 32), prepend=True))  # beginnings and ends of words in turn
         start, stop = edge[::2], edge[1::2]
-        sums = self.letters.sums(values.astype(np.uint64) + np.uint64(1))
-        hashes = self.letters.ranges(sums, start, stop)
-        line_of = np.cumsum(feed)[start] if len(start) else np.empty(0, np.int64)
-        first = np.flatnonzero(np.diff(np.concatenate([[-1], line_of])))
-        last = np.append(first[1:], len(hashes))
-        line = line_of[first]
+        hashes = self.letters.ranges(self.letters.sums(np.add(values, 1, dtype=np.uint64)), start, stop)
+        last = np.searchsorted(start, np.flatnonzero(feed))  # words up to the end of each line
+        words = np.diff(last, prepend=0)
+        line = np.flatnonzero(words)
+        return hashes, line, (last - words)[line], words[line]
+
+    def keys(self, hashes: np.ndarray, first: np.ndarray, words: np.ndarray) -> np.ndarray:
+        last = first + words
+        key = [p.ranges(p.sums(hashes), first, last) for p in (self.one, self.two)] if len(first) else [hashes, hashes]
+        key[1] = key[1] + words.astype(np.uint64)
+        return np.stack(key, axis=1)
+
+    def line_keys(self, lines: Sequence[str]) -> list[bytes]:
+        """The keys alone, of normalised lines with words."""
+        hashes, _, first, words = self.words([line.encode() for line in lines])
+        return [k.tobytes() for k in self.keys(hashes, first, words)]
+
+    def read(self, texts: Sequence[str | None]) -> dict[str, np.ndarray]:
+        """Per line with a word: owner (text), line (from 0), words, key (two numbers), bits, head and tail bits."""
+        raw = [normalised(t) for t in texts]
+        hashes, line, first, words = self.words(raw)
         # Lines of a text: one more than its line feeds.
         lines = np.array([r.count(b"\n") + 1 for r in raw], np.int64)
         begin = np.cumsum(lines) - lines
         owner = np.searchsorted(begin, line, side="right") - 1
-        key = [p.ranges(p.sums(hashes), first, last) for p in (self.one, self.two)] if len(first) else [hashes, hashes]
-        key[1] = key[1] + (last - first).astype(np.uint64)
-        bits, head, tail = end_bits(hashes, first, last - first)
+        bits, head, tail = end_bits(hashes, first, words)
         return {
-            "owner": owner, "line": line - begin[owner], "words": last - first,
-            "key": np.stack(key, axis=1), "bits": bits, "head": head, "tail": tail,
+            "owner": owner, "line": line - begin[owner], "words": words,
+            "key": self.keys(hashes, first, words), "bits": bits, "head": head, "tail": tail,
         }
 
     def key_of(self, words: list[bytes]) -> bytes:
@@ -304,41 +321,49 @@ class Labels:
 
 
 class Pairs:
-    """Which of one text and many others can be within `least` of similarity, by their pairs of characters.
+    """Which of one text and many others can be within `least` of similarity, by their groups of three characters.
 
-    An edit takes away at most two pairs of neighbouring characters and moves the others by one place, so of
-    similar texts all but two pairs per edit are found again no further off than there may be edits.
+    A group that no edit touches stands in the other text as well, moved by so many places as characters were added or
+    left out before it; these and the ones that restore the length after it are no more than all edits.  Groups without
+    a common character that are not found there take an edit each.
     """
 
     def __init__(self, texts: Sequence[str], least: float):
         self.texts, self.least, self.codes = texts, least, {}
 
     def code(self, x: int) -> np.ndarray:
+        """Hashes of the groups; two with one hash count as equal, which rules out less."""
         if x not in self.codes:
             if len(self.codes) >= CODES_HELD:
                 self.codes.clear()
-            letters = np.frombuffer(self.texts[x].encode("utf-32-le"), "<u4").astype(np.int64)
-            self.codes[x] = (letters[:-1] << 21 | letters[1:]) << PLACE_BITS
+            letters = np.frombuffer(self.texts[x].encode("utf-32-le"), "<u4").astype(np.uint64)
+            groups = (letters[:-2] << np.uint64(42) | letters[1:-1] << np.uint64(21) | letters[2:]) * np.uint64(BASE)
+            self.codes[x] = (groups >> np.uint64(64 - GRAM_BITS) << np.uint64(PLACE_BITS)).view(np.int64)
         return self.codes[x]
 
     def possible(self, x: int, others: np.ndarray) -> np.ndarray:
         size = len(self.texts[x])
         if not SHORT_TEXT <= size < 1 << PLACE_BITS - 2:
             return others
-        own = np.sort(self.code(x) + np.arange(size - 1))
         sizes = np.array([len(self.texts[y]) for y in others.tolist()])
         most = ((1 - self.least) * np.maximum(sizes, size) + 1e-9).astype(np.int64)
-        fits = (np.abs(sizes - size) <= most) & (sizes > 1)
+        fits = np.abs(sizes - size) <= most
         others, sizes, most = others[fits], sizes[fits], most[fits]
-        if not len(others):
+        if not len(others) or sizes.min() < 3 or sizes.max() >= 1 << PLACE_BITS - 1:
             return others
+        own = np.sort(self.code(x) + np.arange(size - 2))
         codes = np.concatenate([self.code(y) for y in others.tolist()])
-        begin = np.cumsum(sizes - 1) - (sizes - 1)
-        place = np.arange(len(codes)) - np.repeat(begin, sizes - 1)
-        reach = np.repeat(most, sizes - 1)
-        at = np.searchsorted(own, codes + np.maximum(place - reach, 0))
-        lost = (at == len(own)) | (own[np.minimum(at, len(own) - 1)] > codes + place + reach)
-        return others[np.add.reduceat(lost, begin, dtype=np.int64) <= 2 * most]
+        begin = np.cumsum(sizes - 2) - (sizes - 2)
+        place = np.arange(len(codes)) - np.repeat(begin, sizes - 2)
+        back, ahead = (np.repeat((most + d) // 2, sizes - 2) for d in (sizes - size, size - sizes))
+        at = np.searchsorted(own, codes + np.maximum(place - back, 0))
+        lost = (at == len(own)) | (own[np.minimum(at, len(own) - 1)] > codes + place + ahead)
+        fits = np.add.reduceat(lost, begin, dtype=np.int64) <= 3 * most
+        flags, stop = lost.tobytes(), begin + sizes - 2
+        for k in np.flatnonzero(fits).tolist():
+            # The last group may lack its two places.
+            fits[k] = len(LOST_GROUP.findall(flags[begin[k] : stop[k]] + b"\0\0")) <= most[k]
+        return others[fits]
 
 
 def line_rows(docs: DataFrame, least_words: int, id_col: str, text_col: str) -> DataFrame:
@@ -366,12 +391,27 @@ def line_rows(docs: DataFrame, least_words: int, id_col: str, text_col: str) ->
     return text_rows(docs, id_col, text_col).mapInArrow(run, schema)
 
 
-def bucket_blocks(rows: DataFrame, extra: list[str]) -> DataFrame:
-    """Rows (bucket, bits, extra ...) sorted by bucket, in blocks: low, high, buckets, entries, extra lists."""
-    n = rows.count()
+Work = Callable[[dict], Iterator[pa.RecordBatch]]
+
+
+def bucket_blocks(rows: DataFrame, n: int, extra: list[str], work: Work, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (bucket, bits, extra ...) sorted by bucket, in blocks: what `work` makes of each, and what goes on.
+
+    As the rows are sorted, only the first and the last bucket of a block can have rows in others.  Their rows go
+    on as: low, high, buckets, entries, extra lists.  Without extra columns equal rows of a block are one, which
+    `twice` says to `work`.
+    """
     size = block_rows(n, LEAST_BLOCK, MOST_BLOCK, 64)
     kinds = {c: rows.schema[c].dataType.simpleString() for c in extra}
     lists = {c: pa.list_(pa.binary() if k == "binary" else pa.string()) for c, k in kinds.items()}
+    numbers = {c: pa.int64() for c in ("part", "seq", "low", "high")}
+    ends = {**numbers, "buckets": pa.binary(), "entries": pa.binary(), **lists}
+    made = {f.split()[0]: pa.int64() if f.split()[1] == "long" else pa.binary() for f in schema.split(", ")}
+    names = [*ends, *made]
+
+    def whole(held: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+        kind = {**ends, **made}
+        return pa.RecordBatch.from_arrays([held[c] if c in held else pa.nulls(n, kind[c]) for c in names], names=names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
@@ -381,41 +421,51 @@ def bucket_blocks(rows: DataFrame, extra: list[str]) -> DataFrame:
             for i in range(0, batch.num_rows, step):
                 piece = batch.slice(i, step)
                 buckets, bits = (piece.column(c).to_numpy() for c in ("bucket", "bits"))
-                made = {
-                    "part": pa.array([part], pa.int64()),
-                    "seq": pa.array([seq], pa.int64()),
-                    "low": pa.array([int(buckets[0])], pa.int64()),
-                    "high": pa.array([int(buckets[-1])], pa.int64()),
-                    "buckets": pa.array([buckets.astype("<i8").tobytes()], pa.binary()),
-                    "entries": pa.array([bits.astype("<i8").tobytes()], pa.binary()),
-                }
+                twice = None
+                if not extra:
+                    first = np.flatnonzero((np.diff(buckets, prepend=~buckets[0]) != 0) | (np.diff(bits, prepend=bits[0]) != 0))
+                    twice = np.diff(first, append=len(bits)) > 1
+                    buckets, bits = buckets[first], bits[first]
+                row = {"a": 0, "b": 0, "a_buckets": buckets.astype("<i8").tobytes(), "a_entries": bits.astype("<i8").tobytes()}
+                row |= {"twice": twice, **{f"b_{c}": row[f"a_{c}"] for c in ("buckets", "entries")}}
+                for out in work(row | {f"a_{c}": piece.column(c).to_pylist() for c in extra}):
+                    yield whole(dict(zip(out.schema.names, out.columns)), out.num_rows)
+                at = np.flatnonzero((buckets == buckets[0]) | (buckets == buckets[-1]))
+                held = {c: pa.array([int(x)], pa.int64()) for c, x in zip(numbers, (part, seq, buckets[0], buckets[-1]))}
+                held["buckets"] = pa.array([buckets[at].astype("<i8").tobytes()], pa.binary())
+                held["entries"] = pa.array([bits[at].astype("<i8").tobytes()], pa.binary())
                 for c in extra:
-                    made[c] = pa.array([piece.column(c).to_pylist()], lists[c])
-                yield pa.RecordBatch.from_pydict(made)
+                    held[c] = pa.array([piece.column(c).take(pa.array(at)).to_pylist()], lists[c])
+                yield whole(held, 1)
                 seq += 1
 
-    schema = "part long, seq long, low long, high long, buckets binary, entries binary"
-    schema += "".join(f", {c} array<{k}>" for c, k in kinds.items())
+    columns = "part long, seq long, low long, high long, buckets binary, entries binary"
+    columns += "".join(f", {c} array<{k}>" for c, k in kinds.items())
     order = ["bucket", "bits", *extra[:1]]
-    spread = rows.select("bucket", "bits", *extra).repartitionByRange(max(1, n // size), *order)
-    blocks = spread.sortWithinPartitions(*order).mapInArrow(run, schema)
-    return number_blocks(materialize(blocks, "line_blocks"))
+    tasks = n // size if extra else max(min(64, n // size), n // (4 * MOST_BLOCK))
+    spread = rows.select("bucket", "bits", *extra).repartitionByRange(max(1, tasks), *order)
+    found = spread.sortWithinPartitions(*order).mapInArrow(run, f"{columns}, {schema}")
+    found = materialize(found, "line_blocks")
+    # Few rows in many files: dealt out anew, they are read by few tasks.
+    blocks = materialize(found.where(F.col("part").isNotNull()).select(*ends).repartition("part"), "block_ends")
+    return found.where(F.col("part").isNull()).select(*made), number_blocks(blocks)
 
 
 def with_partners(row: dict, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """Which entries of blocks a and b have one within the limit in the other block in their bucket."""
+    """Which entries of blocks a and b have one within the limits in the other block in their bucket."""
     same = row["a"] == row["b"]
     ka, kb = (np.frombuffer(row[f"{s}_buckets"], "<i8") for s in ("a", "b"))
     va, vb = (np.frombuffer(row[f"{s}_entries"], "<u8") for s in ("a", "b"))
     in_a = np.zeros(len(ka), bool)
     in_b = in_a if same else np.zeros(len(kb), bool)
-    limit = rule.limits(ka >> TABLE_SHIFT)
+    limit, least = rule.limits(ka >> TABLE_SHIFT), rule.least(ka >> TABLE_SHIFT)
 
     def compare(own: slice, other: slice) -> None:
         step = max(1, PAIRS_AT_ONCE // max(1, other.stop - other.start))
         for k in range(own.start, own.stop, step):
             stop = min(k + step, own.stop)
-            near = np.bitwise_count(va[k:stop, None] ^ vb[None, other]) <= limit[k]
+            differ = np.bitwise_count(va[k:stop, None] ^ vb[None, other])
+            near = (differ <= limit[k]) & (differ >= least[k])
             if same:  # not itself
                 near[np.arange(stop - k), np.arange(k, stop) - other.start] = False
             in_a[k:stop] |= near.any(axis=1)
@@ -431,14 +481,14 @@ def with_partners(row: dict, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     for start, stop in zip(starts[long].tolist(), stops[long].tolist()):
         compare(slice(start, stop), slice(start, stop))
     short = np.repeat(~long, stops - starts)
-    i = np.flatnonzero(short[:-1])
     for step in range(1, LONG_RUN):
-        i = i[i + step < len(ka)]
-        i = i[ka[i] == ka[i + step]]  # sorted: a run that ended stays ended
-        if not len(i):
+        near = short[step:] & (ka[step:] == ka[:-step])
+        if not near.any():
             break
-        near = i[np.bitwise_count(va[i] ^ va[i + step]) <= limit[i]]
-        in_a[near] = in_a[near + step] = True
+        near &= np.bitwise_count(va[step:] ^ va[:-step]) <= limit[step:]
+        in_a[step:] |= near
+        in_a[:-step] |= near
+    in_a |= row["twice"] & (least == 0)
     return in_a, in_b
 
 
@@ -499,33 +549,33 @@ def close_and_apart(row: dict, rule: Rule, labels: np.ndarray) -> Iterator[tuple
                 yield x, others
 
 
-def join_buckets(
-    rows: DataFrame, extra: list[str], work: Callable[[dict], Iterator[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    """Runs `work` on every pair of blocks that share a bucket; hot buckets span many blocks."""
-    blocks = bucket_blocks(rows, extra)
+def join_buckets(rows: DataFrame, n: int, extra: list[str], work: Work, schema: str) -> DataFrame:
+    """Runs `work` on every block and on every pair of blocks that share a bucket; hot buckets span many blocks.
+
+    `n`: number of rows.  A block is worked on where it was sorted.  `schema`: numbers (long) and binary columns.
+    """
+    own, blocks = bucket_blocks(rows, n, extra, work, schema)
     merge = {"low": F.min, "high": F.max}
 
     def near(a, b) -> Column:
         return (a("low") <= b("high")) & (b("low") <= a("high"))
 
-    pairs = close_blocks(blocks, merge, near)
+    pairs = close_blocks(blocks, merge, near).where(F.col("a") != F.col("b"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 yield from work(batch.slice(i, 1).to_pylist()[0])
 
-    return with_blocks(pairs, blocks, ["buckets", "entries", *extra]).mapInArrow(run, schema)
+    across = with_blocks(pairs, blocks, ["buckets", "entries", *extra]).mapInArrow(run, schema)
+    return own.unionByName(across)
 
 
 def partnered(lines: DataFrame, rule: Rule) -> DataFrame:
     """(bucket, bits) of fingerprints that have another line within the limit there."""
-    found = materialize(lines.groupBy("bits").agg(F.count(F.lit(1)).alias("n")), "line_bits")
-    rows = found.select("bits", F.explode(rule.tables.buckets(F.col("bits"))).alias("bucket"))
-    ends = lines.select("bits", F.explode(rule.tables.end_buckets(F.col("head"), F.col("tail"))).alias("bucket"))
-    # Lines with equal bits meet in the first table.
-    equal = found.where(F.col("n") > 1).select(rule.tables.buckets(F.col("bits"))[0].alias("bucket"), "bits")
+    buckets = F.concat(rule.tables.buckets(F.col("bits")), rule.tables.end_buckets(F.col("head"), F.col("tail")))
+    rows = lines.select("bits", F.explode(buckets).alias("bucket"))
+    n = lines.count() * (len(rule.tables.groups) + 2)
 
     def work(row: dict) -> Iterator[pa.RecordBatch]:
         for side, held in zip("a" if row["a"] == row["b"] else "ab", with_partners(row, rule)):
@@ -533,15 +583,14 @@ def partnered(lines: DataFrame, rule: Rule) -> DataFrame:
             columns = [np.frombuffer(row[f"{side}_{c}"], "<i8")[at] for c in ("buckets", "entries")]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "bits"])
 
-    made = join_buckets(rows.unionByName(ends), [], work, "bucket long, bits long")
-    return made.unionByName(equal).distinct()
+    return join_buckets(rows, n, [], work, "bucket long, bits long").distinct()
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(key, text) normalised, for rows (key, id, line) that name one place of each line."""
     places = wanted.groupBy("id").agg(F.collect_set("line").alias("lines"))
     rows = only_ids(text_rows(docs, id_col, text_col), places.select("id"), "id").join(
-        places.withColumnRenamed("id", "place"), F.col("id").eqNullSafe(F.col("place"))
+        places.withColumnRenamed("id", "place").hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("place"))
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -552,8 +601,7 @@ def line_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
                 raw = normalised(text).split(b"\n")
                 chosen = [b" ".join(raw[k].split()).decode() for k in sorted(lines) if k < len(raw)]
                 texts += [c for c in chosen if c]
-            keys = [k.tobytes() for k in hasher.read(["\n".join(texts)])["key"]]
-            arrays = [pa.array(keys, pa.binary()), pa.array(texts, pa.string())]
+            arrays = [pa.array(hasher.line_keys(texts), pa.binary()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=["key", "text"])
 
     found = rows.select("text", "lines").mapInArrow(run, "key binary, text string")
@@ -588,7 +636,7 @@ def similar_links(candidates: DataFrame, rule: Rule, least: float) -> DataFrame:
             ends = [pa.array(k, pa.binary()) for k in zip(*kept)]
             yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
 
-    return join_buckets(candidates, ["key", "text"], work, "a binary, b binary")
+    return join_buckets(candidates, candidates.count(), ["key", "text"], work, "a binary, b binary")
 
 
 def removed_places(
@@ -604,17 +652,20 @@ def removed_places(
     own = by_ranges | F.array_contains(rule.tables.end_buckets(F.col("head"), F.col("tail")), F.col("bucket"))
     joined = active.hint("merge").join(lines, "bits").where(own)
     near = materialize(joined.select("bucket", "bits", "key", "place.id", "place.line"), "near")
-    texts = line_texts(docs, near.select("key", "id", "line").distinct(), id_col, text_col)
+    wanted = materialize(near.select("key", "id", "line").distinct(), "wanted")
+    texts = line_texts(docs, wanted, id_col, text_col)
     candidates = materialize(near.select("bucket", "bits", "key").join(texts, "key"), "candidates")
     groups = connected_components(similar_links(candidates, rule, least))
-    kept = (
-        lines.join(groups.withColumnRenamed("id", "key"), "key", "left")
-        .groupBy(F.coalesce("component", "key").alias("root"))
-        .agg(F.min("place").alias("place"))
-        .select(F.col("place.id").alias("kept_id"), F.col("place.line").alias("kept_line"))
+    members = materialize(wanted.join(groups.withColumnRenamed("id", "key"), "key"), "members")
+    first = members.groupBy("component").agg(F.min(F.struct("id", "line", "key")).alias("first"))
+    lost = members.join(first.select(F.col("first.key").alias("key")), "key", "left_anti")
+    # A place stays if it is the first one of more lines than lost ones; rows with equal ids can have several lines in one.
+    places = (
+        rows.select("id", "line", F.lit(0).alias("n"))
+        .unionAll(lines.select("place.id", "place.line", F.lit(1)))
+        .unionAll(lost.select("id", "line", F.lit(-1)))
     )
-    here = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("line") == F.col("kept_line"))
-    return rows.select("id", "line").join(kept, here, "left_anti")
+    return places.groupBy("id", "line").agg(F.sum("n").alias("n")).where(F.col("n") == 0).select("id", "line")
 
 
 def dedup_lines(
@@ -656,12 +707,12 @@ def dedup_lines(
     by_id = materialize(
         removed.groupBy(F.col("id").alias(key)).agg(F.collect_set("line").alias(held)), "removed_lines"
     )
-    # Merge joins also where one side is small: the plan is then the same at every size.
-    joined = docs.join(by_id.hint("merge"), F.col(id_col).eqNullSafe(F.col(key)), "left").drop(key)
+    # A row for each id with the numbers of its lines is hashed; texts need no sort then.
+    joined = docs.join(by_id.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col(key)), "left").drop(key)
     text, stay = F.col(text_col), fresh([*columns, n_lines, n_removed, held], "staying_lines")
-    every = F.split(text, "\n", -1)
+    every = fresh([*columns, n_lines, n_removed, held, stay], "every_line")
     kept = F.filter(every, lambda _, i: ~F.array_contains(held, i.cast("bigint")))
-    counted = joined.withColumns(
+    counted = joined.withColumn(every, F.split(text, "\n", -1)).withColumns(
         {
             n_lines: F.when(text.isNull(), 0).otherwise(F.size(every)).cast("bigint"),
             stay: F.when(F.col(held).isNotNull(), kept),

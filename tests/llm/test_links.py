@@ -329,6 +329,24 @@ def test_bound_by_pairs_of_characters_never_rules_out_a_similar_text():
     assert kept < len(texts) ** 2 / 2
 
 
+def test_bound_rules_out_other_texts_of_the_same_syllables():
+    rng = random.Random(21)
+    parts = ["th", "he", "in", "er", "on", "an", "re", "nd", "at", "en", "ti", "es", "or", "ing", "tion", "ed", "ha", "wh", "the", "ly"]
+    texts = [" ".join("".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(100)) for _ in range(40)]
+    pairs = fuzzy.Pairs(texts, 0.8)
+    kept = sum(len(pairs.possible(x, np.arange(x + 1, 40))) for x in range(39))
+    assert kept < 0.1 * 780 and not any(fuzzy.similar(texts[0], t, 0.8) for t in texts[1:])
+
+
+def test_lines_of_rows_with_one_id_keep_their_places(docs):
+    """Two lines stand in one place: one is a copy that may go, the other is not."""
+    near, own = "one two three four five six seven eight nine ten", "quite another line that is nowhere else at all"
+    rows = docs((0, near + " x"), (1, near + " y"), (1, own), (2, f"{own}\n{near} z"), (3, near + " y"))
+    out = [(r["doc_id"], r["text"]) for r in fuzzy.dedup_lines(rows).collect()]
+    want = brute_lines([(r["doc_id"], r["text"]) for r in rows.collect()])[0]
+    assert sorted(out) == sorted(want) and (1, near + " y") in out and (3, "") in out
+
+
 def test_labels_follow_the_joins():
     rng, labels = random.Random(15), fuzzy.Labels(200)
     links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)]
