@@ -398,8 +398,8 @@ def bucket_blocks(rows: DataFrame, n: int, extra: list[str], work: Work, schema:
     """Rows (bucket, bits, extra ...) sorted by bucket, in blocks: what `work` makes of each, and what goes on.
 
     As the rows are sorted, only the first and the last bucket of a block can have rows in others.  Their rows go
-    on as: low, high, buckets, entries, extra lists.  Without extra columns equal rows of a block are one, which
-    `twice` says to `work`.
+    on as: low, high, buckets, entries, extra lists.  With extra columns `work` gets the other rows here, so that no
+    hot bucket is left to the task that sorted it; without, all of them, equal rows as one, which `twice` says.
     """
     size = block_rows(n, LEAST_BLOCK, MOST_BLOCK, 64)
     kinds = {c: rows.schema[c].dataType.simpleString() for c in extra}
@@ -421,17 +421,24 @@ def bucket_blocks(rows: DataFrame, n: int, extra: list[str], work: Work, schema:
             for i in range(0, batch.num_rows, step):
                 piece = batch.slice(i, step)
                 buckets, bits = (piece.column(c).to_numpy() for c in ("bucket", "bits"))
+                low, high = buckets[0], buckets[-1]
                 twice = None
-                if not extra:
-                    first = np.flatnonzero((np.diff(buckets, prepend=~buckets[0]) != 0) | (np.diff(bits, prepend=bits[0]) != 0))
+                if extra:
+                    inner = slice(*np.searchsorted(buckets, [low + 1, max(high, low + 1)]).tolist())
+                else:
+                    first = np.flatnonzero((np.diff(buckets, prepend=~low) != 0) | (np.diff(bits, prepend=bits[0]) != 0))
                     twice = np.diff(first, append=len(bits)) > 1
                     buckets, bits = buckets[first], bits[first]
-                row = {"a": 0, "b": 0, "a_buckets": buckets.astype("<i8").tobytes(), "a_entries": bits.astype("<i8").tobytes()}
-                row |= {"twice": twice, **{f"b_{c}": row[f"a_{c}"] for c in ("buckets", "entries")}}
-                for out in work(row | {f"a_{c}": piece.column(c).to_pylist() for c in extra}):
+                    inner = slice(0, len(buckets))
+                row = {"a": 0, "b": 0, "twice": twice}
+                for c, v in (("buckets", buckets), ("entries", bits)):
+                    row[f"a_{c}"] = row[f"b_{c}"] = v[inner].astype("<i8").tobytes()
+                for c in extra:
+                    row[f"a_{c}"] = piece.column(c).slice(inner.start, inner.stop - inner.start).to_pylist()
+                for out in work(row) if inner.start < inner.stop else ():
                     yield whole(dict(zip(out.schema.names, out.columns)), out.num_rows)
-                at = np.flatnonzero((buckets == buckets[0]) | (buckets == buckets[-1]))
-                held = {c: pa.array([int(x)], pa.int64()) for c, x in zip(numbers, (part, seq, buckets[0], buckets[-1]))}
+                at = np.flatnonzero((buckets == low) | (buckets == high))
+                held = {c: pa.array([int(x)], pa.int64()) for c, x in zip(numbers, (part, seq, low, high))}
                 held["buckets"] = pa.array([buckets[at].astype("<i8").tobytes()], pa.binary())
                 held["entries"] = pa.array([bits[at].astype("<i8").tobytes()], pa.binary())
                 for c in extra:
@@ -552,7 +559,8 @@ def close_and_apart(row: dict, rule: Rule, labels: np.ndarray) -> Iterator[tuple
 def join_buckets(rows: DataFrame, n: int, extra: list[str], work: Work, schema: str) -> DataFrame:
     """Runs `work` on every block and on every pair of blocks that share a bucket; hot buckets span many blocks.
 
-    `n`: number of rows.  A block is worked on where it was sorted.  `schema`: numbers (long) and binary columns.
+    `n`: number of rows.  A block is worked on where it was sorted, with what `bucket_blocks` leaves out coming after as
+    pairs.  `schema`: numbers (long) and binary columns.
     """
     own, blocks = bucket_blocks(rows, n, extra, work, schema)
     merge = {"low": F.min, "high": F.max}
@@ -560,7 +568,9 @@ def join_buckets(rows: DataFrame, n: int, extra: list[str], work: Work, schema:
     def near(a, b) -> Column:
         return (a("low") <= b("high")) & (b("low") <= a("high"))
 
-    pairs = close_blocks(blocks, merge, near).where(F.col("a") != F.col("b"))
+    pairs = close_blocks(blocks, merge, near)
+    if not extra:
+        pairs = pairs.where(F.col("a") != F.col("b"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
