@@ -6,6 +6,7 @@ import random
 from collections import Counter
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ from lakestrata.operators.columns import (
 from lakestrata.operators.dedup import has_duplicates, latest_by
 from lakestrata.operators.enrich import decode, fan_out, lookup, with_parent
 from lakestrata.operators import match
+from lakestrata.operators.edits import near_in_blocks
 from lakestrata.operators.match import best_match, nearest_names, parse_records, pick_best, similar_names
 from lakestrata.operators.membership import membership
 from plans import plan
@@ -579,6 +581,55 @@ def test_pairs_of_patterns_meet_without_pieces_of_each_name(frame, monkeypatch):
     assert max(written) <= 1000
 
 
+def _alike(lefts, rights, threshold):
+    pairs = {(a, b, max(len(a), len(b)), _edit_distance(a, b)) for a in set(lefts) - set(rights) for b in set(rights)}
+    return sorted((a, b, round(1 - d / n, 9)) for a, b, n, d in pairs if n - d > threshold * n + 1e-9)
+
+
+def _found(frame, lefts, rights, threshold):
+    pairs = similar_names(*(frame("name string", *((n,) for n in names)) for names in (lefts, rights)), threshold)
+    return sorted((r["lname"], r["rname"], round(r["similarity"], 9)) for r in pairs.collect())
+
+
+def test_many_names_of_few_patterns_are_not_measured_pair_by_pair(frame, monkeypatch):
+    """Each pair took an edit distance of its own, which did not finish for 15 000 names."""
+    monkeypatch.setattr(match, "_measured", None)
+    lefts = [f"Cust#{i:06}NATION_{i % 10}" for i in range(0, 2000, 49)]
+    rights = [f"Customer#{i:09}NATION_{i % 25}" for i in range(300)]
+    got = _found(frame, lefts, rights, 0.6)
+    assert got == _alike(lefts, rights, 0.6) and 0 < len(got) < len(lefts) * len(rights)
+
+
+def test_blocks_of_names_and_few_names_together_are_exact(frame, monkeypatch):
+    for name, size in (("LEFTS_PER_BLOCK", 7), ("RIGHTS_PER_BLOCK", 40), ("TESTS_PER_TASK", 500), ("MANY_LEFTS", 10), ("MANY_RIGHTS", 50)):
+        monkeypatch.setattr(match, name, size)
+    dice = random.Random(4)
+    words = lambda n: ["".join(dice.choices("abé中 ", k=dice.randint(1, 12))) for _ in range(n)]
+    lefts = [f"Hall é{i:03}" for i in range(0, 400, 13)] + words(20)
+    rights = [f"Hall é{i:04}" for i in range(0, 800, 7)] + words(60) + ["Hall é013", "H"]
+    got = _found(frame, lefts, rights, 0.5)
+    assert [x for x in got if x[2] < 1] == _alike(lefts, rights, 0.5)
+    assert {x[:2] for x in got if x[2] == 1} == {(a, a) for a in lefts if a in rights}
+
+
+@pytest.mark.parametrize("longest", [8, 9, 17, 33, 64, 65, 130, 280])
+def test_a_block_of_names_has_the_edit_distances(longest):
+    dice = random.Random(longest)
+    lefts, rights = ({"x" * dice.randint(0, longest // 2) + "".join(dice.choices("abé中", k=dice.randint(1, longest // 2))) for _ in range(14)} for _ in "lr")
+    lefts |= {"y" * 300, "xa"}
+    rights |= {"y" * 20, "xa"}
+
+    def rows(names, side):
+        names = sorted(names, key=str.encode)
+        columns = [[7] * len(names), *([0] * len(names) for _ in "lr"), [side] * len(names), names, pa.array([len(n) // 2 for n in names], pa.int32())]
+        batch = pa.record_batch(columns, names=["pair", "l", "r", "side", "name", "edits"])
+        return [batch.slice(0, 4), batch.slice(4)]
+
+    got = [tuple(r.values()) for b in near_in_blocks(iter(rows(rights, 0) + rows(lefts, 1))) for r in b.to_pylist()]
+    apart = [(a, b, _edit_distance(a, b)) for a in lefts for b in rights]
+    assert sorted(got) == sorted(x for x in apart if 0 < x[2] <= max(len(x[0]) // 2, len(x[1]) // 2))
+
+
 def test_names_one_edit_apart_need_no_bigrams(frame, rows, monkeypatch):
     """Numbered names share all their bigrams, so these brought nearly all pairs together."""
     monkeypatch.setattr(match, "_gram_pairs", None)
