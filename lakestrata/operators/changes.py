@@ -114,7 +114,8 @@ def changed_rows(current: DataFrame, previous: DataFrame) -> DataFrame:
         return df.select("*", *hashes).join(wanted, ["__h1", "__h2"], "left_semi").select(*current.columns)
 
     fresh = having(current, more.where(~F.col("__held")))
-    return fresh.unionByName(having(current, partly).exceptAll(having(previous, partly)))
+    held = materialize(having(current, partly), "changed-held")
+    return fresh.unionByName(held.exceptAll(having(previous, partly)))
 
 
 def new_or_changed(
